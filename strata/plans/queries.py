@@ -6,6 +6,8 @@ Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the *w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,27 +150,32 @@ def q_incremental_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- Data tests ----------------------------------------------------------------------------
-def model_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def model_builders(spark: SparkSession, d: str) -> dict[str, Callable[[], DataFrame]]:
+    """Every table the data tests read, as lazy builders (a query only builds what it uses)."""
     return {
-        "bronze.customers": A.customers(spark, d),
-        "bronze.products": A.products(spark, d),
-        "bronze.orders": A.orders(spark, d),
-        "bronze.order_items": A.order_items(spark, d),
-        "bronze.payments": A.payments(spark, d),
-        "bronze.clickstream_events": A.clickstream_events(spark, d),
-        "silver_customers": q_silver_customers(spark, d),
-        "silver_products": q_silver_products(spark, d),
-        "silver_orders": q_silver_orders(spark, d),
-        "silver_order_items": q_silver_order_items(spark, d),
-        "silver_payments": q_silver_payments(spark, d),
-        "silver_clickstream_sessions": q_silver_clickstream_sessions(spark, d),
-        "gold_daily_sales_summary": daily_sales(q_silver_orders(spark, d)),
-        "gold_customer_ltv": q_gold_customer_ltv(spark, d),
-        "customers_snapshot": customers_history(spark, d),
-        "products_snapshot": products_history(spark, d),
+        "bronze.customers": lambda: A.customers(spark, d),
+        "bronze.products": lambda: A.products(spark, d),
+        "bronze.orders": lambda: A.orders(spark, d),
+        "bronze.order_items": lambda: A.order_items(spark, d),
+        "bronze.payments": lambda: A.payments(spark, d),
+        "bronze.clickstream_events": lambda: A.clickstream_events(spark, d),
+        "silver_customers": lambda: q_silver_customers(spark, d),
+        "silver_products": lambda: q_silver_products(spark, d),
+        "silver_orders": lambda: q_silver_orders(spark, d),
+        "silver_order_items": lambda: q_silver_order_items(spark, d),
+        "silver_payments": lambda: q_silver_payments(spark, d),
+        "silver_clickstream_sessions": lambda: q_silver_clickstream_sessions(spark, d),
+        "gold_daily_sales_summary": lambda: daily_sales(q_silver_orders(spark, d)),
+        "gold_customer_ltv": lambda: q_gold_customer_ltv(spark, d),
+        "customers_snapshot": lambda: customers_history(spark, d),
+        "products_snapshot": lambda: products_history(spark, d),
     }
 
 
+def model_tables(spark: SparkSession, d: str, prefix: str = "") -> dict[str, DataFrame]:
+    return {k: build() for k, build in model_builders(spark, d).items() if k.startswith(prefix)}
+
+
 def q_dq_report(spark: SparkSession, d: str) -> DataFrame:
     return run_checks(model_tables(spark, d), ALL_RULES)
 
@@ -192,8 +199,7 @@ def q_foreign_key_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    tables = {k: v for k, v in model_tables(spark, d).items() if k.startswith("bronze.")}
-    return row_counts(spark, tables)
+    return row_counts(spark, model_tables(spark, d, prefix="bronze."))
 
 
 # --- Reports -----------------------------------------------------------------------------------

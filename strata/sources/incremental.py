@@ -10,13 +10,14 @@ is advanced last (L6): a crash before it re-reads the batch, which the upsert ab
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.upsert import merge_frames
+from strata.sinks.tables import upsert_table
 
 # First-run watermark, control-table columns, and the reference's ingest config.
 DEFAULT_WATERMARK = _dt.datetime(1900, 1, 1)
@@ -91,8 +92,11 @@ def jdbc_source(
 
 
 # --- control table (SRC-4, SNK-4, DDL-2) ----------------------------------------------------
-def ensure_control_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({CONTROL_SCHEMA}) USING parquet")
+def ensure_control_table(spark: SparkSession, name: str, root: str) -> None:
+    """DDL-2: create the (external) control table if missing."""
+    if not spark.catalog.tableExists(name):
+        path = f"{root.rstrip('/')}/{name.replace('.', '/')}/v-initial"
+        spark.sql(f"CREATE TABLE {name} ({CONTROL_SCHEMA}) USING parquet LOCATION '{path}'")
 
 
 def get_last_watermark(spark: SparkSession, control_table: str, table_name: str):
@@ -109,35 +113,114 @@ def get_last_watermark(spark: SparkSession, control_table: str, table_name: str)
     return row["w"] if row and row["w"] is not None else DEFAULT_WATERMARK
 
 
-def update_watermark(spark: SparkSession, control_table: str, table_name: str, new_watermark) -> None:
-    """Upsert one control row (SNK-4) by rewriting the small control table."""
-    current = spark.table(control_table)
+def update_watermark(spark: SparkSession, control_table: str, table_name: str, new_watermark, root: str) -> None:
+    """Upsert one control row (SNK-4): a one-row batch merged on ``table_name``."""
     row = spark.createDataFrame(
         [(table_name, new_watermark)], "table_name string, last_watermark timestamp"
     ).withColumn("last_run_at", F.current_timestamp())
-    merged = merge_frames(current, row, ["table_name"], order_cols=(), dedup_batch=False)
-    # The control table is tiny (one row per ingested table); collect it before the overwrite so
-    # the write never reads the files it replaces.
-    rows = merged.collect()
-    spark.createDataFrame(rows, CONTROL_SCHEMA).write.mode("overwrite").insertInto(control_table)
+    upsert_table(spark, control_table, row, ["table_name"], order_cols=(), root=root)
 
 
 # --- landing (SNK-1, SRC-9) -----------------------------------------------------------------
-def land(df: DataFrame, landing_root: str, table: str, run_date: _dt.date | str) -> str:
-    """Append the raw extract under ``<root>/<table>/dt=<date>`` as Parquet (SNK-1)."""
+def land(df: DataFrame, landing_root: str, table: str, run_date: _dt.date | str, batch_id: str) -> str:
+    """Append the raw extract under ``<root>/<table>/dt=<date>/batch=<id>`` as Parquet (SNK-1).
+
+    The batch folder makes the landed batch addressable: it is read back by partition pruning
+    and is the recovery point of the run.
+    """
     path = f"{landing_root.rstrip('/')}/{table}"
-    df.withColumn("dt", F.lit(str(run_date))).write.mode("append").partitionBy("dt").parquet(path)
+    (
+        df.withColumns({"dt": F.lit(str(run_date)), "batch": F.lit(batch_id)})
+        .write.mode("append")
+        .partitionBy("dt", "batch")
+        .parquet(path)
+    )
     return path
 
 
-def read_landed(spark: SparkSession, landing_root: str, table: str, dates: Sequence[str] | None = None) -> DataFrame:
-    """Landed files of a table; ``dates`` prunes ``dt=`` partitions (SRC-9 replay)."""
-    df = spark.read.parquet(f"{landing_root.rstrip('/')}/{table}")
+def read_landed(
+    spark: SparkSession,
+    landing_root: str,
+    table: str,
+    dates: Sequence[str] | None = None,
+    batch_id: str | None = None,
+) -> DataFrame:
+    """Landed files of a table; ``dates``/``batch_id`` prune ``dt=``/``batch=`` folders (SRC-9 replay)."""
+    df = spark.read.option("basePath", f"{landing_root.rstrip('/')}/{table}").parquet(
+        f"{landing_root.rstrip('/')}/{table}"
+    )
     if dates:
         df = df.filter(F.col("dt").isin(*[str(d) for d in dates]))
+    if batch_id:
+        df = df.filter(F.col("batch") == batch_id)
     return df
 
 
 def add_ingest_metadata(df: DataFrame, source_system: str) -> DataFrame:
     """PRJ-1: ``_ingested_at`` and ``_source_system``."""
     return df.withColumns({"_ingested_at": F.current_timestamp(), "_source_system": F.lit(source_system)})
+
+
+@dataclass(frozen=True)
+class IngestResult:
+    table: str
+    rows: int
+    old_watermark: _dt.datetime
+    new_watermark: _dt.datetime | None
+    landed_path: str | None
+
+
+def ingest_table(
+    spark: SparkSession,
+    cfg: TableConfig,
+    source: DataFrame,
+    landing_root: str,
+    bronze_db: str,
+    control_table: str,
+    table_root: str,
+    run_date: _dt.date | str | None = None,
+    source_system: str = "postgres",
+    overlap: _dt.timedelta | None = None,
+) -> IngestResult:
+    """PIPE-1 for one table: watermark -> extract -> land -> read back -> upsert -> advance.
+
+    The source is read exactly once (by the landing write).  Zero new rows: nothing is merged
+    and the watermark stays (L4).  Two scalars reach the driver: the old and the new watermark.
+    """
+    old = get_last_watermark(spark, control_table, cfg.source_table)
+    extract = add_ingest_metadata(extract_incremental(source, cfg.watermark_col, old, overlap), source_system)
+    batch_id = uuid.uuid4().hex[:16]
+    day = str(run_date or _dt.date.today())
+    path = land(extract, landing_root, cfg.source_table, day, batch_id)
+    # Read back exactly the folder just written: no listing of earlier batches.
+    batch_dir = f"{path}/dt={day}/batch={batch_id}"
+    try:
+        landed = spark.read.parquet(batch_dir)
+    except Exception as e:  # an empty extract writes no batch folder
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return IngestResult(cfg.source_table, 0, old, None, None)
+        raise
+    stats = landed.agg(F.count(F.lit(1)).alias("n"), F.max(cfg.watermark_col).alias("w")).first()
+    if not stats or stats["n"] == 0:
+        return IngestResult(cfg.source_table, 0, old, None, path)
+    bronze_table = f"{bronze_db}.{cfg.source_table}"
+    upsert_table(spark, bronze_table, landed, [cfg.primary_key], [cfg.watermark_col], root=table_root)
+    update_watermark(spark, control_table, cfg.source_table, stats["w"], root=table_root)
+    return IngestResult(cfg.source_table, int(stats["n"]), old, stats["w"], path)
+
+
+def ingest_all(
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    landing_root: str,
+    bronze_db: str,
+    control_table: str,
+    table_root: str,
+    configs: Sequence[TableConfig] = TABLES_CONFIG,
+    run_date: _dt.date | str | None = None,
+) -> list[IngestResult]:
+    """SRC-7: ingest every configured table in order; the first failure aborts the run."""
+    return [
+        ingest_table(spark, cfg, sources[cfg.source_table], landing_root, bronze_db, control_table, table_root, run_date)
+        for cfg in configs
+    ]
