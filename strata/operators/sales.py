@@ -66,30 +66,38 @@ def customer_ltv(
     ``current_date()`` for a reproducible recency (ledger L18).
     """
     status = F.col("status")
-    if unique_keys:
-        per_order = payments.groupBy("order_id").agg(
-            F.count("payment_id").alias("_attempts"),
-            F.count_if(status == FAILED_PAYMENT).alias("_failed"),
-        )
-        enriched = orders.join(per_order, "order_id", "left")
-        attempts = F.sum("_attempts")
-        failed = F.sum("_failed")
-    else:
-        pay = payments.select("order_id", F.col("payment_id").alias("_pid"), F.col("status").alias("_pstatus"))
-        enriched = orders.join(pay, "order_id", "left")
-        attempts = F.count_distinct("_pid")
-        failed = F.count_distinct(F.when(F.col("_pstatus") == FAILED_PAYMENT, F.col("_pid")))
-
-    per_customer = enriched.groupBy("customer_id").agg(
+    order_aggs = [
         _distinct_or_count(unique_keys, "order_id").alias("total_orders"),
         _distinct_or_count(unique_keys, "order_id", status == DELIVERED).alias("delivered_orders"),
         _distinct_or_count(unique_keys, "order_id", status == CANCELLED).alias("cancelled_orders"),
         F.sum(F.when(status != CANCELLED, F.col("total_amount")).otherwise(F.lit(0))).alias("lifetime_revenue"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("most_recent_order_date"),
-        attempts.alias("total_payment_attempts"),
-        failed.alias("failed_payments"),
-    )
+    ]
+    if unique_keys:
+        # one row per order on both sides: a 1:1 join, then a single aggregate per customer
+        per_order = payments.groupBy("order_id").agg(
+            F.count("payment_id").alias("_attempts"),
+            F.count_if(status == FAILED_PAYMENT).alias("_failed"),
+        )
+        per_customer = (
+            orders.join(per_order, "order_id", "left")
+            .groupBy("customer_id")
+            .agg(*order_aggs, F.sum("_attempts").alias("total_payment_attempts"), F.sum("_failed").alias("failed_payments"))
+        )
+    else:
+        # the reference's form: order figures from orders alone, payment health from the join
+        pay = payments.select("order_id", F.col("payment_id").alias("_pay_id"), F.col("status").alias("_pstatus"))
+        health = (
+            orders.select("order_id", "customer_id")
+            .join(pay, "order_id", "left")
+            .groupBy("customer_id")
+            .agg(
+                F.count_distinct("_pay_id").alias("total_payment_attempts"),
+                F.count_distinct(F.when(F.col("_pstatus") == FAILED_PAYMENT, F.col("_pay_id"))).alias("failed_payments"),
+            )
+        )
+        per_customer = orders.groupBy("customer_id").agg(*order_aggs).join(health, "customer_id", "left")
 
     if as_of is None:
         today = F.current_date()
