@@ -240,8 +240,8 @@ def q_stream_decode_events(spark: SparkSession, d: str) -> DataFrame:
 
     sink = drain_file_stream(spark, A.event_messages(spark, d))
     # ingestion time is not reproducible; event time compared zone-free
-    return sink.drop("_ingested_at", "_source_system").withColumn(
-        "event_time", F.col("event_time").cast("timestamp_ntz")
+    return sink.drop("_ingested_at", "_source_system").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("event_time", "kafka_timestamp")}
     )
 
 

@@ -57,7 +57,7 @@ def decode_events(
     """
     msgs = raw.select(
         F.col(value_col).cast("string").alias("json_value"),
-        F.col(broker_time_col).alias("kafka_timestamp"),
+        F.col(broker_time_col).cast("timestamp").alias("kafka_timestamp"),
     )
     if mode == "strict":
         parsed = msgs.select(F.from_json("json_value", EVENT_SCHEMA).alias("data"), "kafka_timestamp")

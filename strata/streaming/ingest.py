@@ -16,7 +16,7 @@ from strata.session import scratch_path
 from strata.streaming.decode import decode_events
 
 MESSAGE_SCHEMA = T.StructType(
-    [T.StructField("value", T.StringType()), T.StructField("timestamp", T.TimestampNTZType())]
+    [T.StructField("value", T.StringType()), T.StructField("timestamp", T.TimestampType())]
 )
 
 
@@ -67,7 +67,7 @@ def drain_file_stream(spark: SparkSession, messages: DataFrame, mode: str = "str
     root = scratch_path(spark, "stream-ingest")
     source_dir, sink_dir, ckpt = f"{root}/source", f"{root}/sink", f"{root}/_checkpoint"
     messages.select(
-        F.col("value").cast("string"), F.col("timestamp").cast("timestamp_ntz")
+        F.col("value").cast("string"), F.col("timestamp").cast("timestamp")
     ).write.mode("errorifexists").parquet(source_dir)
     ingest_stream(file_stream(spark, source_dir), ckpt, path=sink_dir, mode=mode)
     return spark.read.parquet(sink_dir)
