@@ -2,8 +2,7 @@
 
 Failure counts follow the reference's test runner: ``unique`` counts duplicated *values*
 (NULLs ignored), ``not_null`` counts NULL rows, ``accepted_values`` counts distinct offending
-values (NULL passes).  Every check is one aggregate; all ``not_null`` and ``accepted_values``
-checks of one table share a single pass.
+values (NULL passes).  All tests declared on one table share a single pass over it.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,35 +75,52 @@ def _status(failures):
 
 
 def run_table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
-    """Report rows (REPORT_SCHEMA) for every test declared on one table."""
-    parts: list[DataFrame] = []
-    single = []
-    for c in rules.not_null:
-        single.append(("not_null", c, F.count_if(F.col(c).isNull())))
-    for c, values in rules.accepted_values.items():
-        bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.col(c))
-        single.append(("accepted_values", c, F.count_distinct(bad)))
-    if single:
-        # one pass for all row-level checks of this table
-        agg = df.agg(*[expr.alias(f"_f{i}") for i, (_, _, expr) in enumerate(single)])
-        stack = ", ".join(f"'{name}', '{col}', _f{i}" for i, (name, col, _) in enumerate(single))
-        parts.append(
-            agg.selectExpr(f"stack({len(single)}, {stack}) as (test_name, column_name, failures)")
+    """Report rows (REPORT_SCHEMA) for every test declared on one table, in **one pass** over it.
+
+    A single ``GROUPING SETS`` aggregate computes, with one shuffle of partial counts: the
+    empty set (global ``count_if(col IS NULL)`` per ``not_null`` column) and one set per
+    ``unique``/``accepted_values`` column (a count per distinct value).  A one-row aggregate
+    over that result turns it into failure counts.  The table is read once, however many tests
+    it has; a hot value is just one partially-aggregated group.
+    """
+    group_cols = list(dict.fromkeys([*rules.unique, *rules.accepted_values]))
+    nn = [F.count_if(F.col(c).isNull()).alias(f"_nn_{i}") for i, c in enumerate(rules.not_null)]
+    tests: list[tuple[str, str, Column]] = []
+    if group_cols:
+        k = len(group_cols)
+        full = (1 << k) - 1  # grouping_id of the empty set: every column aggregated away
+
+        def gid_of(c: str) -> int:
+            return full & ~(1 << (k - 1 - group_cols.index(c)))
+
+        sets = [[]] + [[c] for c in group_cols]
+        res = df.groupingSets(sets, *group_cols).agg(
+            F.count(F.lit(1)).alias("_n"), *nn, F.grouping_id().alias("_gid")
         )
-    for c in rules.unique:
-        dup = unique_violations(df, c).agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(dup.select(F.lit("unique").alias("test_name"), F.lit(c).alias("column_name"), "failures"))
-    if not parts:
+        gid = F.col("_gid")
+        for i, c in enumerate(rules.not_null):
+            tests.append(("not_null", c, F.max(F.when(gid == full, F.col(f"_nn_{i}")))))
+        for c, values in rules.accepted_values.items():
+            bad = (gid == gid_of(c)) & F.col(c).isNotNull() & ~F.col(c).isin(*values)
+            tests.append(("accepted_values", c, F.count_if(bad)))
+        for c in rules.unique:
+            dup = (gid == gid_of(c)) & F.col(c).isNotNull() & (F.col("_n") > 1)
+            tests.append(("unique", c, F.count_if(dup)))
+    elif nn:
+        res = df.agg(*nn)
+        tests = [("not_null", c, F.max(F.col(f"_nn_{i}"))) for i, c in enumerate(rules.not_null)]
+    else:
         raise ValueError(f"no tests declared for {rules.model}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    one_row = res.agg(*[expr.alias(f"_f{i}") for i, (_, _, expr) in enumerate(tests)])
+    stack = ", ".join(f"'{name}', '{col}', _f{i}" for i, (name, col, _) in enumerate(tests))
+    out = one_row.selectExpr(f"stack({len(tests)}, {stack}) as (test_name, column_name, failures)")
+    failures = F.coalesce(F.col("failures"), F.lit(0)).cast("long")
     return out.select(
         "test_name",
         F.lit(rules.model).alias("model"),
         "column_name",
-        F.col("failures").cast("long").alias("failures"),
-        _status(F.col("failures")).alias("status"),
+        failures.alias("failures"),
+        _status(failures).alias("status"),
     )
 
 

@@ -32,8 +32,22 @@ LTV_AS_OF = "2001-08-02"
 INCREMENTAL_SINCE = "2000-01-01 00:00:00"
 
 
+_READ_CACHE: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table ``name`` (one parquet file per table, read-only).
+
+    A DataFrame is an immutable plan, so one per (session, path) is reused: the file listing
+    and footer read happen once per session instead of once per query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    hit = _READ_CACHE.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _READ_CACHE[key] = hit
+    return hit[1]
 
 
 def ts_ntz(value: str | _dt.datetime) -> Column:
