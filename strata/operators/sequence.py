@@ -16,6 +16,11 @@ third of all events would then sort a third of the data on one core.  Instead:
 
 Result: exact SQL semantics (``row_number()``/``lag`` over ``partition by group order by
 order_cols``), one full shuffle, no group ever confined to one task.
+
+``strategy="auto"`` first measures the largest group with a partial count per group (it reads
+only the group column; one scalar reaches the driver).  When that size is within
+``max_group_rows`` — a bound a single task sorts comfortably — the plain window is provably
+safe and cheaper, and is used; otherwise the range path above.
 """
 
 from __future__ import annotations
@@ -28,6 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Largest group (rows) the plain window may put into one task.
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_col: str) -> int:
+    """Rows in the biggest group (NULL keys form one group); partial counts are combined map-side."""
+    row = df.groupBy(group_col).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0) if row else 0
+
+
 def sequence_within_groups(
     df: DataFrame,
     group_col: str,
@@ -36,12 +51,31 @@ def sequence_within_groups(
     num_partitions: int | None = None,
     seq_col: str = "_seq",
     prev_prefix: str = "_prev_",
+    strategy: str = "auto",
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``seq_col`` (1-based position in the group) and ``prev_prefix + c`` for each carry column.
 
     Ordering is ascending with NULLs first on ``group_col`` and ``order_cols``; give order columns
     that make the order total (ties are otherwise broken arbitrarily, as in SQL).
+    ``strategy``: ``"auto"`` (measure, then choose), ``"window"`` or ``"range"``.
     """
+    if strategy not in ("auto", "window", "range"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "auto":
+        strategy = "window" if largest_group(df, group_col) <= max_group_rows else "range"
+    if strategy == "window":
+        order = [F.col(c).asc_nulls_first() for c in order_cols]
+        w = Window.partitionBy(group_col).orderBy(*order)
+        return df.select(
+            "*",
+            F.row_number().over(w).cast("long").alias(seq_col),
+            *[F.lag(c).over(w).alias(f"{prev_prefix}{c}") for c in carry_cols],
+        )
+    return _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix)
+
+
+def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in (group_col, *order_cols)]

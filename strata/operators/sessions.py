@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.math import pct
 from strata.functions.text import lower_trim
 from strata.functions.time import elapsed_seconds
-from strata.operators.sequence import sequence_within_groups
+from strata.operators.sequence import DEFAULT_MAX_GROUP_ROWS, sequence_within_groups
 
 # The decoded event columns carried into Silver, in output order.
 EVENT_COLUMNS = (
@@ -35,14 +35,17 @@ def sessionize(
     customer_col: str = "customer_id",
     tie_cols: Sequence[str] = ("event_id",),
     num_partitions: int | None = None,
+    strategy: str = "auto",
+    max_session_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Silver ``silver_clickstream_sessions``: one row per event with its place in the session.
 
     Drops events whose time failed to parse (FLT-3), normalises the type (PRJ-8), numbers events
     by time within the session with ``tie_cols`` as tie-break (WIN-2, ledger L8), takes the
     previous event's time and type (WIN-3, WIN-4), the whole-second gap (PRJ-9) and the
-    per-event anonymous flag (PRJ-10, ledger L14).  Sessions of any size are split across
-    tasks (see ``sequence_within_groups``).
+    per-event anonymous flag (PRJ-10, ledger L14).  A session larger than ``max_session_rows``
+    (measured first) switches to the range path that splits it across tasks (see
+    ``sequence_within_groups``).
     """
     src = events.filter(F.col(time_col).isNotNull()).withColumn(type_col, lower_trim(type_col))
     seq = sequence_within_groups(
@@ -51,6 +54,8 @@ def sessionize(
         order_cols=[time_col, *tie_cols],
         carry_cols=[time_col, type_col],
         num_partitions=num_partitions,
+        strategy=strategy,
+        max_group_rows=max_session_rows,
     )
     passthrough = [c for c in EVENT_COLUMNS if c in events.columns]
     return seq.select(

@@ -39,7 +39,7 @@ def test_sequence_matches_window_with_hot_group_and_small_batches(spark):
     df = spark.createDataFrame(data, "g string, t long, e long, v string")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")  # many batches per slice
     try:
-        got = sequence_within_groups(df, "g", ["t", "e"], ["t", "v"], num_partitions=7)
+        got = sequence_within_groups(df, "g", ["t", "e"], ["t", "v"], num_partitions=7, strategy="range")
         got = got.select("g", "t", "e", "v", F.col("_seq").alias("seq"), F.col("_prev_t").alias("pt"), F.col("_prev_v").alias("pv"))
         assert rows(got) == rows(reference_sequence(df))
     finally:
@@ -51,11 +51,21 @@ def test_sequence_hot_group_is_split_across_tasks(spark):
     df = spark.range(4000).selectExpr("'hot' as g", "id as t", "id as e", "cast(id as string) as v")
     ranged = df.repartitionByRange(8, "g", "t", "e").withColumn("_pid", F.spark_partition_id())
     assert ranged.select("_pid").distinct().count() > 1
-    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], num_partitions=8)
+    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], num_partitions=8, max_group_rows=1000)
+    assert "MapInPandas" in got._jdf.queryExecution().executedPlan().toString()  # auto chose the range path
     assert got.filter(F.col("_seq") != F.col("t") + 1).count() == 0
     spark.catalog.clearCache()
 
 
+def test_sequence_auto_uses_window_for_bounded_groups(spark):
+    df = spark.range(100).selectExpr("cast(id % 10 as string) as g", "id as t", "id as e", "cast(id as string) as v")
+    got = sequence_within_groups(df, "g", ["t", "e"], ["t", "v"])
+    assert "MapInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    ref = reference_sequence(df)
+    got = got.select("g", "t", "e", "v", F.col("_seq").alias("seq"), F.col("_prev_t").alias("pt"), F.col("_prev_v").alias("pv"))
+    assert rows(got) == rows(ref)
+
+
 def test_ds6_sessionize(spark):
     df = spark.createDataFrame(
         [
@@ -67,6 +77,8 @@ def test_ds6_sessionize(spark):
         EV_SCHEMA,
     )
     out = {r.event_id: r for r in sessionize(df).collect()}
+    ranged = {r.event_id: r for r in sessionize(df, strategy="range").collect()}
+    assert ranged == out
     assert set(out) == {"a1", "a2", "a3"}
     assert (out["a1"].event_sequence_in_session, out["a1"].previous_event_type, out["a1"].seconds_since_previous_event) == (1, None, None)
     assert out["a1"].event_type == "page_view"
