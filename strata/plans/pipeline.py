@@ -112,17 +112,18 @@ def ingest_batch(
     )
 
 
-def ingest_events(spark: SparkSession, layout: Layout, stream: DataFrame, mode: str = "strict") -> int:
+def ingest_events(spark: SparkSession, layout: Layout, stream: DataFrame, mode: str = "strict", wait: bool = True):
     """PIPE-2: drain the event stream into ``bronze.clickstream_events``."""
     return ingest_stream(
         stream,
         layout.checkpoint("clickstream_events"),
         table=f"{layout.db('bronze')}.clickstream_events",
         mode=mode,
+        wait=wait,
     )
 
 
-def build_models(bronze: dict[str, DataFrame], history: dict[str, DataFrame | None], as_of, ltv_as_of=None):
+def build_models(bronze: dict[str, DataFrame], history: dict[str, DataFrame | None], as_of):
     """The transform DAG as lazy DataFrames (nothing is stored here)."""
     ck, cc, ccols = CUSTOMER_SNAPSHOT
     pk, pc, pcols = PRODUCT_SNAPSHOT
@@ -195,9 +196,16 @@ def run(
     as_of: _dt.datetime | str | None = None,
     ltv_as_of: _dt.date | str | None = None,
 ) -> DataFrame:
-    """PIPE-4: setup -> batch ingest and stream drain -> transform; returns the test report."""
+    """PIPE-4: setup -> {batch ingest || stream drain} -> transform; returns the test report.
+
+    The stream query runs on its own thread of the same session while the batch tables are
+    ingested; the transform starts once both have finished.
+    """
     setup(spark, layout)
-    ingest_batch(spark, layout, sources, run_date=run_date)
-    if stream is not None:
-        ingest_events(spark, layout, stream)
+    query = ingest_events(spark, layout, stream, wait=False) if stream is not None else None
+    try:
+        ingest_batch(spark, layout, sources, run_date=run_date)
+    finally:
+        if query is not None:
+            query.awaitTermination()
     return transform(spark, layout, as_of=as_of, ltv_as_of=ltv_as_of)

@@ -97,19 +97,20 @@ def upsert_table(
     fmt: str = "parquet",
 ) -> str:
     """Create on first run (SNK-2), else upsert on ``keys`` (SNK-3): matched -> replace, else insert."""
+    order = [c for c in order_cols if c in batch.columns]
+    # several rows per key in one batch: the latest wins (a MERGE would reject them)
+    deduped = keep_latest(batch, keys, order, default_ties(batch.columns, keys, order))
     if not spark.catalog.tableExists(name):
         if root is None:
             raise ValueError("root is needed to create the table")
-        return materialize(batch, name, root, fmt)
+        return materialize(deduped, name, root, fmt)
     if _provider(spark, name) in ROW_LEVEL_FORMATS:
         target = name.split(".")[-1]
         cond = " AND ".join(f"{target}.{k} = s.{k}" for k in keys)
-        order = [c for c in order_cols if c in batch.columns]
-        deduped = keep_latest(batch, keys, order, default_ties(batch.columns, keys, order))
         deduped.alias("s").mergeInto(name, F.expr(cond)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return name
     current = spark.table(name)
-    merged = merge_frames(current, batch, keys, order_cols)
+    merged = merge_frames(current, deduped, keys, order_cols, dedup_batch=False)
     base = _location(spark, name) or f"{root}/{name}"
     parent = base.rstrip("/").rsplit("/", 1)[0] if "/v-" in base else base
     path = _version_path(parent)

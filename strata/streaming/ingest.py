@@ -28,12 +28,14 @@ def ingest_stream(
     fmt: str = "parquet",
     mode: str = "strict",
     dedup_within: str | None = None,
-) -> int:
+    wait: bool = True,
+):
     """Decode a streaming source and append it to a table or path; block until drained.
 
     ``dedup_within`` (e.g. ``"1 hour"``) drops producer duplicates of ``event_id`` with
     ``dropDuplicatesWithinWatermark`` (ledger L28); off by default, as in the reference.
-    Returns the number of micro-batches run.
+    Returns the number of micro-batches run, or the running query when ``wait`` is false (the
+    caller then awaits it, e.g. while batch ingest runs on the same session).
     """
     decoded = decode_events(source, mode=mode)
     if dedup_within:
@@ -50,6 +52,8 @@ def ingest_stream(
         query = writer.start(path)
     else:
         raise ValueError("give a table or a path")
+    if not wait:
+        return query
     query.awaitTermination()
     return len(query.recentProgress)
 
