@@ -47,10 +47,32 @@ def snapshot(
     * open version, key gone and ``close_missing`` -> close at ``as_of`` (hard delete)
     * closed versions                   -> untouched; a key that returns opens a new version
 
-    Only *open* versions take part in the full outer join, so the join is 1:1 on a unique key
-    (the extract is deduplicated to its latest row per key first): nothing can fan out, and
-    closed history just passes by in a union.  Unchecked columns are frozen at the moment a
-    version opens (ledger L32).
+    Closed history only passes by in a union; the work is ``snapshot_changes`` over the open
+    versions.  Unchecked columns are frozen at the moment a version opens (ledger L32).
+    """
+    if history is None:
+        return snapshot_changes(None, extract, key, check_cols, as_of, close_missing, order_col)
+    closed = history.filter(F.col(VALID_TO).isNotNull())
+    open_ = history.filter(F.col(VALID_TO).isNull())
+    current = snapshot_changes(open_, extract, key, check_cols, as_of, close_missing, order_col)
+    return closed.select(*current.columns).unionByName(current)
+
+
+def snapshot_changes(
+    open_versions: DataFrame | None,
+    extract: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    as_of: str | _dt.datetime | Column,
+    close_missing: bool = True,
+    order_col: str | None = "updated_at",
+) -> DataFrame:
+    """The versions a run touches: every previously open version in its new state (kept or
+    closed at ``as_of``) plus the versions it opens.  ``open_versions=None`` is the first run.
+
+    The extract is reduced to its latest row per key first, so the full outer join with the
+    open versions (one per key) is 1:1: nothing can fan out, and a run costs in proportion to
+    the number of keys, not to the length of the history.
     """
     cols = list(extract.columns)
     ts_type = extract.schema[order_col].dataType if order_col else "timestamp"
@@ -68,13 +90,12 @@ def snapshot(
             F.lit(None).cast(ts_type).alias(VALID_TO),
         )
 
-    if history is None:
+    if open_versions is None:
         first = ext.select(opened().alias("v")).select("v.*")
         return first.withColumn(SCD_ID, version_id([key], VALID_FROM)).select(*cols, SCD_ID, VALID_FROM, VALID_TO)
 
     hist_cols = [*cols, SCD_ID, VALID_FROM, VALID_TO]
-    open_ = history.filter(F.col(VALID_TO).isNull()).select(*[F.col(c).alias(f"h_{c}") for c in hist_cols])
-    closed = history.filter(F.col(VALID_TO).isNotNull()).select(*hist_cols)
+    open_ = open_versions.select(*[F.col(c).alias(f"h_{c}") for c in hist_cols])
     e = ext.select(*[F.col(c).alias(f"e_{c}") for c in cols])
 
     j = open_.join(e, F.col(f"h_{key}") == F.col(f"e_{key}"), "full_outer")
@@ -95,12 +116,11 @@ def snapshot(
         F.when(has_h, kept_or_closed),
         F.when(has_e & (~has_h | diff), new_version),
     )
-    current = (
+    return (
         j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
         .withColumn(SCD_ID, version_id([key], VALID_FROM))
         .select(*hist_cols)
     )
-    return closed.unionByName(current)
 
 
 def current_flag(history: DataFrame) -> DataFrame:

@@ -24,8 +24,9 @@ from strata.operators.cleaning import (
 )
 from strata.operators.quality import ALL_RULES, run_checks
 from strata.operators.sales import customer_ltv, daily_sales
-from strata.operators.scd2 import current_flag, snapshot, version_stats
+from strata.operators.scd2 import current_flag, version_stats
 from strata.operators.sessions import funnel, sessionize
+from strata.sinks.snapshots import snapshot_run
 from strata.sinks.tables import materialize
 from strata.sources.incremental import TABLES_CONFIG, TableConfig, ensure_control_table, ingest_all
 from strata.streaming.ingest import ingest_stream
@@ -123,13 +124,9 @@ def ingest_events(spark: SparkSession, layout: Layout, stream: DataFrame, mode:
     )
 
 
-def build_models(bronze: dict[str, DataFrame], history: dict[str, DataFrame | None], as_of):
-    """The transform DAG as lazy DataFrames (nothing is stored here)."""
-    ck, cc, ccols = CUSTOMER_SNAPSHOT
-    pk, pc, pcols = PRODUCT_SNAPSHOT
+def build_models(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The Silver cleaning models as lazy DataFrames (nothing is stored here)."""
     models: dict[str, DataFrame] = {}
-    models["customers_snapshot"] = snapshot(history.get("customers_snapshot"), bronze["customers"].select(*ccols), ck, cc, as_of)
-    models["products_snapshot"] = snapshot(history.get("products_snapshot"), bronze["products"].select(*pcols), pk, pc, as_of)
     models["silver_customers"] = silver_customers(bronze["customers"])
     models["silver_products"] = silver_products(bronze["products"])
     models["silver_orders"] = silver_orders(bronze["orders"])
@@ -155,10 +152,6 @@ def transform(
     names = ["customers", "products", "orders", "order_items", "payments", "clickstream_events"]
     bronze = {n: spark.table(f"{bronze_db}.{n}") for n in names if spark.catalog.tableExists(f"{bronze_db}.{n}")}
     snap_at = str(as_of or _dt.datetime.now().replace(microsecond=0))
-    history = {
-        n: spark.table(f"{silver_db}.{n}") if spark.catalog.tableExists(f"{silver_db}.{n}") else None
-        for n in ("customers_snapshot", "products_snapshot")
-    }
     stored: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame, db: str) -> DataFrame:
@@ -166,7 +159,15 @@ def transform(
         stored[name] = spark.table(f"{db}.{name}")
         return stored[name]
 
-    for name, df in build_models(bronze, history, snap_at).items():
+    # snapshots read Bronze (L22); closed history is appended, never rewritten (SNK-7)
+    for name, (key, check, cols), src in (
+        ("customers_snapshot", CUSTOMER_SNAPSHOT, "customers"),
+        ("products_snapshot", PRODUCT_SNAPSHOT, "products"),
+    ):
+        view = f"{silver_db}.{name}"
+        snapshot_run(spark, view, bronze[src].select(*cols), key, check, snap_at, layout.tables)
+        stored[name] = spark.table(view)
+    for name, df in build_models(bronze).items():
         store(name, df, silver_db)
     # thin views over the snapshots (L23: views, not copies)
     current_flag(stored["customers_snapshot"]).createOrReplaceTempView("silver_customers_current_flag")

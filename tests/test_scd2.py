@@ -91,3 +91,29 @@ def test_scd7_as_of_join(spark):
     )
     out = {r.sale_id: r.price for r in as_of_join(facts, hist, "id", "sold_at", ["price"]).collect()}
     assert out == {1: None, 2: Decimal("1.00"), 3: Decimal("2.00"), 4: None}
+
+
+def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):
+    import uuid
+
+    from strata.sinks.snapshots import committed_run, snapshot_run
+
+    db = f"s{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    view = f"{db}.hist"
+    runs = [
+        ([(1, "A", "a", 0), (2, "B", "b", 0)], "2024-01-01 00:00:00"),
+        ([(1, "A2", "a", 0), (3, "C", "c", 0)], "2024-02-01 00:00:00"),
+        ([(1, "A", "a", 0), (2, "B", "b", 0), (3, "C", "c", 5)], "2024-03-01 00:00:00"),
+    ]
+    mem = None
+    for data, at in runs:
+        snapshot_run(spark, view, ext(spark, data), "id", CHECK, at, tmp_root)
+        mem = run(spark, mem, data, at)
+    assert committed_run(spark, view) == 3
+    cols = ["id", "a", "b", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"]
+    assert sorted(map(tuple, spark.table(view).select(*cols).collect())) == sorted(
+        map(tuple, mem.select(*cols).collect())
+    )
+    parts = {(r.run_no, r._open) for r in spark.table(f"{view}__versions").select("run_no", "_open").distinct().collect()}
+    assert (1, True) in parts and (3, True) in parts  # run 1's open rows stay on disk, superseded
