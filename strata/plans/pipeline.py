@@ -13,6 +13,7 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.cleaning import (
@@ -52,13 +53,14 @@ def schema_name(custom: str | None, default: str) -> str:
 
 
 def safe_create(spark: SparkSession, statement: str) -> bool:
-    """DDL-1: run a CREATE; tolerate only "already exists"/location-overlap errors."""
+    """DDL-1: run a CREATE; an object that already exists (or a location it already owns) is not
+    an error, anything else is re-raised.  Returns whether something was created."""
     try:
         spark.sql(statement)
         return True
-    except Exception as e:
-        msg = str(e)
-        if "LOCATION_OVERLAP" in msg or "already exists" in msg.lower() or "ALREADY_EXISTS" in msg:
+    except AnalysisException as e:
+        condition = e.getCondition() or ""
+        if condition.endswith("ALREADY_EXISTS") or condition == "LOCATION_OVERLAP":
             return False
         raise
 

@@ -7,6 +7,8 @@ file stream.
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The broker endpoint port and the login module of the shaded Kafka client.
@@ -15,9 +17,12 @@ PLAIN_LOGIN_MODULE = "kafkashaded.org.apache.kafka.common.security.plain.PlainLo
 
 
 def namespace_host(connection_string: str) -> str:
-    """``Endpoint=sb://<host>/;...`` -> ``<host>`` (SRC-3)."""
-    first = connection_string.split(";")[0]
-    return first.replace("Endpoint=sb://", "").replace("/", "")
+    """The broker host named by the ``Endpoint`` entry of a ``key=value;...`` connection string (SRC-3)."""
+    fields = dict(part.split("=", 1) for part in connection_string.split(";") if "=" in part)
+    endpoint = fields.get("Endpoint")
+    if not endpoint:
+        raise ValueError("connection string has no Endpoint")
+    return urlparse(endpoint).hostname or endpoint
 
 
 def kafka_options(
