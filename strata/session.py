@@ -14,8 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every session of this library should run with.  AQE re-plans joins at runtime
-# (broadcast only when the *measured* side is small, split skewed partitions), the session
+# Settings every session of this library should run with.  AQE re-plans joins at run time
+# (broadcast only when the *measured* side is small, split skewed partitions); the session
 # zone is pinned so that timestamp parsing does not depend on the machine.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from *estimated* sizes: AQE broadcasts a join side only once its shuffle has
+    # run and its real size is known to be under the threshold; explicit hints are kept for
+    # inputs with a size bound by construction.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
