@@ -58,9 +58,16 @@ def ingest_stream(
     return len(query.recentProgress)
 
 
-def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
-    """A Parquet file stream of broker-like messages, standing in for the broker in tests."""
-    return spark.readStream.schema(schema).parquet(source_dir)
+def file_stream(
+    spark: SparkSession, source_dir: str, schema: T.StructType = MESSAGE_SCHEMA, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """A Parquet file stream of broker-like messages, standing in for the broker in tests.
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` honours it)."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
+    return reader.parquet(source_dir)
 
 
 def drain_file_stream(spark: SparkSession, messages: DataFrame, mode: str = "strict") -> DataFrame:

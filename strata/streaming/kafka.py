@@ -30,11 +30,16 @@ def kafka_options(
     topic: str,
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """SASL_SSL / PLAIN options for a connection-string authenticated broker (SRC-2, STR-7)."""
+    """SASL_SSL / PLAIN options for a connection-string authenticated broker (SRC-2, STR-7).
+
+    ``max_offsets_per_trigger`` bounds each micro-batch; ``availableNow`` still drains the whole
+    backlog, in several bounded batches instead of one (a first run over a day of retention).
+    """
     host = namespace_host(connection_string)
     jaas = f'{PLAIN_LOGIN_MODULE} required username="$ConnectionString" password="{connection_string}";'
-    return {
+    opts = {
         "kafka.bootstrap.servers": f"{host}:{KAFKA_SASL_PORT}",
         "kafka.sasl.mechanism": "PLAIN",
         "kafka.security.protocol": "SASL_SSL",
@@ -43,6 +48,9 @@ def kafka_options(
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(bool(fail_on_data_loss)).lower(),
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    return opts
 
 
 def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:

@@ -58,6 +58,16 @@ def test_kafka_options_src3():
     assert o["subscribe"] == "clicks" and o["startingOffsets"] == "earliest" and o["failOnDataLoss"] == "false"
     assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.sasl.mechanism"] == "PLAIN"
     assert 'username="$ConnectionString"' in o["kafka.sasl.jaas.config"]
+    assert "maxOffsetsPerTrigger" not in o
+    assert kafka_options(cs, "clicks", max_offsets_per_trigger=1000)["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_available_now_drains_in_bounded_batches(spark, tmp_root):
+    src, sink, ckpt = (os.path.join(tmp_root, p) for p in ("src", "sink", "ckpt"))
+    for i in range(3):
+        _write_batch(spark, src, MSGS[i : i + 1])
+    batches = ingest_stream(file_stream(spark, src, max_files_per_trigger=1), ckpt, path=sink)
+    assert batches >= 3 and spark.read.parquet(sink).count() == 3
 
 
 def _write_batch(spark, folder, values):
