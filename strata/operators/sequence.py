@@ -5,9 +5,10 @@ third of all events would then sort a third of the data on one core.  Instead:
 
 1. ``repartitionByRange(n, group, order...)`` samples the keys and cuts the *sorted* data into
    ``n`` balanced slices, so a hot group is split over several tasks (one shuffle).
-2. The slices are persisted, so every reader below sees exactly the same cut points (range
-   bounds are sampled per execution; persisting pins them, and a lost block is recomputed
-   from the same shuffle dependency, hence the same bounds).
+2. The slices, with their slice id as a column, are written once with a reliable
+   ``checkpoint()`` into ``spark.checkpoint.dir``.  Range bounds are sampled per execution, so
+   every reader below must see the *same* cut: the checkpoint pins it as data (no recompute, no
+   cache that could be cleared, and lost executors do not lose it).
 3. One Arrow-batched pass per slice numbers the rows and takes the previous row's values.
 4. Only the first group of a slice can continue from earlier slices.  A JVM aggregate gets,
    per slice, the row count and last row of its first and last group; a window over that
@@ -27,11 +28,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import ensure_checkpoint_dir
+
 
 # Largest group (rows) the plain window may put into one task.
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
@@ -79,11 +81,12 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in (group_col, *order_cols)]
+    ensure_checkpoint_dir(spark)
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .checkpoint(eager=True)
     )
 
     carry = list(carry_cols)
@@ -150,7 +153,7 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
 
     local = ranged.mapInPandas(local_pass, local_schema)
 
-    # --- per-slice edges, computed in the JVM from the same persisted slices -------------
+    # --- per-slice edges, computed in the JVM from the same checkpointed slices ----------
     g = F.col(group_col)
     bounds = ranged.groupBy("_pid").agg(
         F.min(F.struct(g.isNotNull().alias("nn"), g.alias("k"))).alias("_first"),
