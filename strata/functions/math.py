@@ -17,9 +17,7 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
 
 def pct(num: str | Column, den: str | Column, scale: int = 2) -> Column:
     """round(num / nullif(den, 0) * 100, scale) as a double (half-up)."""
-    n = _c(num).cast("double")
-    d = _c(den).cast("double")
-    return F.round(n / F.nullif(d, F.lit(0.0)) * 100, scale)
+    return F.round(safe_ratio(_c(num).cast("double"), _c(den).cast("double")) * 100, scale)
 
 
 def half_up_div(num: str | Column, den: str | Column, scale: int = 2) -> Column:

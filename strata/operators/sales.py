@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.math import half_up_div
 from strata.functions.time import to_day
 
 # Order status groups of the daily summary.
@@ -128,6 +129,6 @@ def customer_ltv(
         last.alias("most_recent_order_date"),
         F.coalesce(F.col("a.total_payment_attempts"), F.lit(0)).alias("total_payment_attempts"),
         F.coalesce(F.col("a.failed_payments"), F.lit(0)).alias("failed_payments"),
-        F.when(total > 0, F.round(revenue / total, 2)).otherwise(F.lit(0)).alias("avg_order_value"),
+        half_up_div(revenue, total).alias("avg_order_value"),
         F.when(last.isNotNull(), F.datediff(today, last)).alias("days_since_last_order"),
     )
