@@ -34,6 +34,7 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("cart_value", T.DoubleType()),
     ]
 )
+# Fixed value: the ``_source_system`` tag of clickstream rows in Bronze.
 SOURCE_SYSTEM = "eventhub_clickstream"
 _DRIFTING_INTS = ("customer_id", "product_id", "quantity")
 

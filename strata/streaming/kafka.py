@@ -11,9 +11,11 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The broker endpoint port and the login module of the shaded Kafka client.
+# The SASL endpoint port of a connection-string broker, and the PLAIN login module
+# of the Kafka client that open-source Spark's connector ships (runtimes that relocate the client
+# pass their own class name).
 KAFKA_SASL_PORT = 9093
-PLAIN_LOGIN_MODULE = "kafkashaded.org.apache.kafka.common.security.plain.PlainLoginModule"
+PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 
 def namespace_host(connection_string: str) -> str:
@@ -31,6 +33,7 @@ def kafka_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
+    login_module: str = PLAIN_LOGIN_MODULE,
 ) -> dict[str, str]:
     """SASL_SSL / PLAIN options for a connection-string authenticated broker (SRC-2, STR-7).
 
@@ -38,7 +41,7 @@ def kafka_options(
     backlog, in several bounded batches instead of one (a first run over a day of retention).
     """
     host = namespace_host(connection_string)
-    jaas = f'{PLAIN_LOGIN_MODULE} required username="$ConnectionString" password="{connection_string}";'
+    jaas = f'{login_module} required username="$ConnectionString" password="{connection_string}";'
     opts = {
         "kafka.bootstrap.servers": f"{host}:{KAFKA_SASL_PORT}",
         "kafka.sasl.mechanism": "PLAIN",
