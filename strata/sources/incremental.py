@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from strata.sinks.tables import upsert_table
 
 # First-run watermark, control-table columns, and the reference's ingest config.
-DEFAULT_WATERMARK = _dt.datetime(1900, 1, 1)
+DEFAULT_WATERMARK = "1900-01-01 00:00:00"
+# Watermarks travel as text written by Spark in the session zone and read back the same way, so
+# they never pass through the driver process's local zone (a Python datetime would).
+WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CONTROL_SCHEMA = "table_name string, last_watermark timestamp, last_run_at timestamp"
 
 
@@ -99,15 +102,15 @@ def ensure_control_table(spark: SparkSession, name: str, root: str) -> None:
         spark.sql(f"CREATE TABLE {name} ({CONTROL_SCHEMA}) USING parquet LOCATION '{path}'")
 
 
-def get_last_watermark(spark: SparkSession, control_table: str, table_name: str):
-    """The stored watermark for one table, or 1900-01-01 on the first run (SRC-4, L3).
+def get_last_watermark(spark: SparkSession, control_table: str, table_name: str) -> str:
+    """The stored watermark for one table as text, or 1900-01-01 on the first run (SRC-4, L3).
 
     A one-row aggregate: the only value that reaches the driver.
     """
     row = (
         spark.table(control_table)
         .filter(F.col("table_name") == table_name)
-        .agg(F.max("last_watermark").alias("w"))
+        .agg(F.date_format(F.max("last_watermark"), WATERMARK_FORMAT).alias("w"))
         .first()
     )
     return row["w"] if row and row["w"] is not None else DEFAULT_WATERMARK
@@ -115,9 +118,11 @@ def get_last_watermark(spark: SparkSession, control_table: str, table_name: str)
 
 def update_watermark(spark: SparkSession, control_table: str, table_name: str, new_watermark, root: str) -> None:
     """Upsert one control row (SNK-4): a one-row batch merged on ``table_name``."""
-    row = spark.createDataFrame(
-        [(table_name, new_watermark)], "table_name string, last_watermark timestamp"
-    ).withColumn("last_run_at", F.current_timestamp())
+    row = spark.createDataFrame([(table_name, str(new_watermark))], "table_name string, w string").select(
+        "table_name",
+        F.col("w").cast("timestamp").alias("last_watermark"),
+        F.current_timestamp().alias("last_run_at"),
+    )
     upsert_table(spark, control_table, row, ["table_name"], order_cols=(), root=root)
 
 
@@ -186,8 +191,8 @@ def add_ingest_metadata(df: DataFrame, source_system: str) -> DataFrame:
 class IngestResult:
     table: str
     rows: int
-    old_watermark: _dt.datetime
-    new_watermark: _dt.datetime | None
+    old_watermark: str
+    new_watermark: str | None
     landed_path: str | None
 
 
@@ -221,7 +226,9 @@ def ingest_table(
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return IngestResult(cfg.source_table, 0, old, None, None)
         raise
-    stats = landed.agg(F.count(F.lit(1)).alias("n"), F.max(cfg.watermark_col).alias("w")).first()
+    stats = landed.agg(
+        F.count(F.lit(1)).alias("n"), F.date_format(F.max(cfg.watermark_col), WATERMARK_FORMAT).alias("w")
+    ).first()
     if not stats or stats["n"] == 0:
         return IngestResult(cfg.source_table, 0, old, None, path)
     bronze_table = f"{bronze_db}.{cfg.source_table}"
