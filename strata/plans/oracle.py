@@ -21,6 +21,7 @@ from collections.abc import Sequence
 T1, T2, T3 = (f"TIMESTAMP '{t}'" for t in ("1996-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00"))
 LTV_AS_OF = "DATE '2001-08-02'"
 SINCE = "TIMESTAMP '2000-01-01 00:00:00'"
+CUTOFF = "TIMESTAMP '2000-01-01 00:00:00'"
 
 
 def initcap(x: str) -> str:
@@ -68,8 +69,8 @@ def b_customers(run: int) -> str:
     city = "n.n_name"
     where = ""
     if run == 2:
-        city = "CASE WHEN c.c_custkey % 7 = 0 THEN n.n_name || ' NEW' ELSE n.n_name END"
-        where = "WHERE c.c_custkey % 11 <> 0"
+        city = "CASE WHEN c.c_mktsegment = 'MACHINERY' THEN n.n_name || ' NEW' ELSE n.n_name END"
+        where = "WHERE coalesce(c.c_acctbal >= 0, true)"
     return f"""SELECT c.c_custkey AS customer_id,
         '  ' || upper(c.c_name) || ' ' AS first_name,
         c.c_mktsegment || '  ' AS last_name,
@@ -94,8 +95,8 @@ def b_products(run: int) -> str:
     price = "CAST(p_retailprice AS DECIMAL(10,2))"
     stock = "CAST(p_size * 3 - 20 AS INTEGER)"
     if run == 2:
-        price = f"CASE WHEN p_partkey % 5 = 0 THEN CAST({price} + 10 AS DECIMAL(10,2)) ELSE {price} END"
-        stock = f"CASE WHEN p_partkey % 3 = 0 THEN {stock} + 7 ELSE {stock} END"
+        price = f"CASE WHEN p_size <= 10 THEN CAST({price} + 10 AS DECIMAL(10,2)) ELSE {price} END"
+        stock = f"CASE WHEN p_type = 'PROMO' THEN {stock} + 7 ELSE {stock} END"
     return f"""SELECT p_partkey AS product_id,
         p_name || ' ' AS product_name,
         p_type AS category,
@@ -178,13 +179,14 @@ cte("b_customers", b_customers(1))
 cte("b_customers_r2", b_customers(2))
 cte("b_products", b_products(1))
 cte("b_products_r2", b_products(2))
-cte("b_orders", f"SELECT {ORDER_COLS_SQL} FROM orders WHERE o_custkey % 10 <> 0")
+cte("b_orders", f"SELECT {ORDER_COLS_SQL} FROM orders")
+cte("b_orders_before", f"SELECT {ORDER_COLS_SQL} FROM orders WHERE o_orderdate < {CUTOFF}")
 cte(
-    "b_order_changes",
-    f"""SELECT {ORDER_COLS_SQL} FROM orders WHERE o_custkey % 10 = 0
+    "b_orders_batch",
+    f"""SELECT {ORDER_COLS_SQL} FROM orders WHERE o_orderdate >= {CUTOFF}
     UNION ALL
     SELECT * REPLACE ('DELIVERED' AS status, updated_at + INTERVAL 1 DAY AS updated_at)
-    FROM (SELECT {ORDER_COLS_SQL} FROM orders WHERE o_custkey % 10 <> 0 AND o_orderkey % 5 = 0)""",
+    FROM (SELECT {ORDER_COLS_SQL} FROM orders WHERE o_orderdate < {CUTOFF} AND o_orderstatus = 'O')""",
 )
 cte(
     "b_order_items",
@@ -488,12 +490,12 @@ ORACLE_SQL: dict[str, str] = {
         "s_orders",
     ),
     "upsert_orders": with_ctes(
-        f"""SELECT * FROM b_orders t
-            WHERE NOT EXISTS (SELECT 1 FROM b_order_changes b WHERE b.order_id = t.order_id)
+        f"""SELECT * FROM b_orders_before t
+            WHERE NOT EXISTS (SELECT 1 FROM b_orders_batch b WHERE b.order_id = t.order_id)
         UNION ALL
-        SELECT * FROM {latest('b_order_changes', 'order_id', 'updated_at', ORDER_COLS)}""",
-        "b_orders",
-        "b_order_changes",
+        SELECT * FROM {latest('b_orders_batch', 'order_id', 'updated_at', ORDER_COLS)}""",
+        "b_orders_before",
+        "b_orders_batch",
     ),
     "incremental_extract": with_ctes(f"SELECT * FROM b_orders WHERE updated_at > {SINCE}", "b_orders"),
     "dq_report": _dq_sql(),
@@ -549,9 +551,9 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {HIST_VIEW} FROM p_flag WHERE is_discontinued = true ORDER BY dbt_valid_from DESC, product_id LIMIT 10",
         "p_flag",
     ),
-    "customer_history": with_ctes("SELECT * FROM c_hist WHERE customer_id = 14 ORDER BY dbt_valid_from", "c_hist"),
+    "customer_history": with_ctes("SELECT * FROM c_hist WHERE customer_id = 1 ORDER BY dbt_valid_from", "c_hist"),
     "product_price_history": with_ctes(
-        f"SELECT {HIST_VIEW} FROM p_flag WHERE product_id = 5 ORDER BY dbt_valid_from", "p_flag"
+        f"SELECT {HIST_VIEW} FROM p_flag WHERE product_id = 2 ORDER BY dbt_valid_from", "p_flag"
     ),
     "top_customers_ltv": with_ctes("SELECT * FROM g_ltv ORDER BY lifetime_revenue DESC, customer_id LIMIT 10", "g_ltv"),
     "order_status_breakdown": with_ctes(

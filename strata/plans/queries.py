@@ -172,7 +172,7 @@ def q_click_order_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
-    return merge_frames(A.orders(spark, d), A.order_changes(spark, d), ["order_id"], ["updated_at"])
+    return merge_frames(A.orders_before(spark, d), A.orders_batch_since(spark, d), ["order_id"], ["updated_at"])
 
 
 def q_incremental_extract(spark: SparkSession, d: str) -> DataFrame:
@@ -246,11 +246,11 @@ def q_discontinued_top10(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_customer_history(spark: SparkSession, d: str) -> DataFrame:
-    return reports.customer_history(customers_history(spark, d), customer_id=14)
+    return reports.customer_history(customers_history(spark, d), customer_id=1)
 
 
 def q_product_price_history(spark: SparkSession, d: str) -> DataFrame:
-    return reports.product_price_history(products_history(spark, d), product_id=5)
+    return reports.product_price_history(products_history(spark, d), product_id=2)
 
 
 def q_top_customers_ltv(spark: SparkSession, d: str) -> DataFrame:

@@ -5,13 +5,15 @@ mapping in SQL.  Messy casing and padding are added on purpose, so the Silver cl
 work to do.  Every adapter is a lazy projection over one parquet scan; Catalyst prunes the
 columns a query does not use and pushes its filters into the scan.
 
-Scenario choices (ours, not the reference's):
-* orders of every 10th customer (``o_custkey % 10 = 0``) have *not yet been ingested* into
-  Bronze: customers without orders exist for the LTV left join, and those orders arrive as
-  inserts in the upsert scenario;
-* SCD extracts: run 2 moves customers ``k % 7 = 0`` to a new city, deletes ``k % 11 = 0``,
-  reprices products ``k % 5 = 0`` by +10.00 and changes only the stock of ``k % 3 = 0``;
-  run 3 restores the run-1 extract (A -> B -> A, and deleted keys come back).
+Every adapter keeps every row of its table.  Scenario choices (ours, not the reference's),
+all driven by attributes of the data:
+* upsert: Bronze ``orders`` as of 2000-01-01 (orders placed before it) receives a batch of
+  the orders placed since (inserts) plus the delivery of every order that was still open
+  (status ``O``) before the cutoff (updates, one day after the order date);
+* SCD extracts: run 2 moves the customers of segment ``MACHINERY`` to a new city, deletes
+  the customers with a negative balance, reprices parts of size <= 10 by +10.00 and changes
+  only the stock of ``PROMO`` parts (no new version); run 3 restores the run-1 extract
+  (A -> B -> A, and deleted keys come back).
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ TABLES = (
 SNAPSHOT_RUNS = ("1996-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00")
 LTV_AS_OF = "2001-08-02"
 INCREMENTAL_SINCE = "2000-01-01 00:00:00"
+UPSERT_CUTOFF = "2000-01-01 00:00:00"
+MOVED_SEGMENT = "MACHINERY"
+REPRICED_MAX_SIZE = 10
+STOCK_ONLY_TYPE = "PROMO"
 
 
 _READ_CACHE: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
@@ -73,7 +79,8 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     signup = F.date_add(F.lit("1990-01-01").cast("date"), (key % 1000).cast("int")).cast("timestamp_ntz")
     city = F.col("n_name")
     if run == 2:
-        city = F.when(key % 7 == 0, F.concat(F.col("n_name"), F.lit(" NEW"))).otherwise(city)
+        moved = F.col("c_mktsegment") == MOVED_SEGMENT
+        city = F.when(moved, F.concat(F.col("n_name"), F.lit(" NEW"))).otherwise(city)
     out = j.select(
         key.alias("customer_id"),
         _pad(F.upper("c_name"), "  ", " ").alias("first_name"),
@@ -94,8 +101,8 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
         signup.alias("created_at"),
         signup.alias("updated_at"),
     )
-    if run == 2:
-        out = out.filter(F.col("customer_id") % 11 != 0)
+    if run == 2:  # accounts in debt (is_active false) were closed: absent from this full extract
+        out = out.filter(F.coalesce(F.col("is_active"), F.lit(True)))
     return out
 
 
@@ -106,8 +113,9 @@ def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     price = F.col("p_retailprice").cast("decimal(10,2)")
     stock = (F.col("p_size") * 3 - 20).cast("int")
     if run == 2:
-        price = F.when(key % 5 == 0, (price + F.lit(10).cast("decimal(10,2)")).cast("decimal(10,2)")).otherwise(price)
-        stock = F.when(key % 3 == 0, stock + 7).otherwise(stock)
+        repriced = F.col("p_size") <= REPRICED_MAX_SIZE
+        price = F.when(repriced, (price + F.lit(10).cast("decimal(10,2)")).cast("decimal(10,2)")).otherwise(price)
+        stock = F.when(F.col("p_type") == STOCK_ONLY_TYPE, stock + 7).otherwise(stock)
     stamp = ts_ntz("1995-01-01 00:00:00")
     return p.select(
         key.alias("product_id"),
@@ -152,21 +160,26 @@ def _order_columns(o: DataFrame) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze ``orders``: every order except those of customers ``o_custkey % 10 = 0`` (not yet ingested)."""
+    """Bronze ``orders``: every order."""
+    return _order_columns(read(spark, sf_dir, "orders"))
+
+
+def orders_before(spark: SparkSession, sf_dir: str, cutoff: str = UPSERT_CUTOFF) -> DataFrame:
+    """Bronze ``orders`` as a previous run left it: the orders placed before ``cutoff``."""
     o = read(spark, sf_dir, "orders")
-    return _order_columns(o.filter(F.col("o_custkey") % 10 != 0))
+    return _order_columns(o.filter(F.col("o_orderdate") < ts_ntz(cutoff)))
 
 
-def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An incremental orders batch: late orders (``o_custkey % 10 = 0``) plus a status update of
-    every 5th known order, one day after its order date."""
+def orders_batch_since(spark: SparkSession, sf_dir: str, cutoff: str = UPSERT_CUTOFF) -> DataFrame:
+    """The incremental batch after ``cutoff``: orders placed since (inserts) and the delivery of
+    every earlier order that was still open (updates, one day after the order date)."""
     o = read(spark, sf_dir, "orders")
-    late = _order_columns(o.filter(F.col("o_custkey") % 10 == 0))
-    upd = _order_columns(o.filter((F.col("o_custkey") % 10 != 0) & (F.col("o_orderkey") % 5 == 0)))
-    upd = upd.withColumn("status", F.lit("DELIVERED")).withColumn(
-        "updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY")
+    cut = ts_ntz(cutoff)
+    new = _order_columns(o.filter(F.col("o_orderdate") >= cut))
+    delivered = _order_columns(o.filter((F.col("o_orderdate") < cut) & (F.col("o_orderstatus") == "O"))).withColumns(
+        {"status": F.lit("DELIVERED"), "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY")}
     )
-    return late.unionByName(upd)
+    return new.unionByName(delivered)
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
