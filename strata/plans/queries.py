@@ -114,22 +114,33 @@ def q_gold_clickstream_funnel(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- Snapshots (three runs: base, changed/deleted, restored) -------------------------------
-@_shared
-def customers_history(spark: SparkSession, d: str) -> DataFrame:
+def _history(spark: SparkSession, extracts, key: str, check_cols) -> DataFrame:
+    """Chain the snapshot runs.  Each run reads the previous history twice (closed and open
+    versions), so a lazy chain would repeat earlier runs in 2^runs branches; a reliable
+    checkpoint (``spark.checkpoint.dir``) between runs keeps every run computed once, as the
+    pipeline does by storing each run."""
     hist = None
-    for run, as_of in enumerate(A.SNAPSHOT_RUNS, start=1):
-        extract = A.customers(spark, d, run=2 if run == 2 else 1).select(*CUSTOMER_SNAPSHOT_COLS)
-        hist = snapshot(hist, extract, "customer_id", CUSTOMER_CHECK_COLS, as_of=as_of)
+    for i, (extract, as_of) in enumerate(extracts):
+        hist = snapshot(hist, extract, key, check_cols, as_of=as_of)
+        if i < len(extracts) - 1:
+            hist = hist.checkpoint(eager=True)
     return hist
 
 
-@_shared
+def customers_history(spark: SparkSession, d: str) -> DataFrame:
+    runs = [
+        (A.customers(spark, d, run=2 if run == 2 else 1).select(*CUSTOMER_SNAPSHOT_COLS), as_of)
+        for run, as_of in enumerate(A.SNAPSHOT_RUNS, start=1)
+    ]
+    return _history(spark, runs, "customer_id", CUSTOMER_CHECK_COLS)
+
+
 def products_history(spark: SparkSession, d: str) -> DataFrame:
-    hist = None
-    for run, as_of in enumerate(A.SNAPSHOT_RUNS, start=1):
-        extract = A.products(spark, d, run=2 if run == 2 else 1).select(*PRODUCT_SNAPSHOT_COLS)
-        hist = snapshot(hist, extract, "product_id", PRODUCT_CHECK_COLS, as_of=as_of)
-    return hist
+    runs = [
+        (A.products(spark, d, run=2 if run == 2 else 1).select(*PRODUCT_SNAPSHOT_COLS), as_of)
+        for run, as_of in enumerate(A.SNAPSHOT_RUNS, start=1)
+    ]
+    return _history(spark, runs, "product_id", PRODUCT_CHECK_COLS)
 
 
 def q_customers_snapshot(spark: SparkSession, d: str) -> DataFrame:
