@@ -69,12 +69,24 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the library defaults."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app_name).master(master or f"local[{cpus}]")
+    """Create (or reuse) a session with the library defaults.
+
+    Under ``spark-submit`` (a master is already configured) the cluster's master, memory and
+    parallelism are left alone — size those with ``scale_conf``.  Without one, this is a local
+    run: ``local[$BENCH_CPUS]`` (default 8) with matching shuffle partitions.
+    """
+    from pyspark import SparkConf
+
+    submitted = SparkConf().contains("spark.master")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", "16g")
+    builder = SparkSession.builder.appName(app_name)
+    if master or not submitted:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        builder = builder.master(master or f"local[{cpus}]")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+        conf["spark.driver.memory"] = "16g"
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

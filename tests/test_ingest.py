@@ -156,3 +156,38 @@ def test_pipe4_whole_run(spark, tmp_root):
 
     transform(spark, layout, as_of="2024-01-03 00:00:00", ltv_as_of="2024-01-10").collect()
     assert spark.table(f"{layout.db('silver')}.customers_snapshot").count() == 1
+
+
+def test_job_entry_point(spark, tmp_root):
+    from strata.plans.job import main
+
+    t = ts("2024-01-01")
+    url = derby_url()
+    schemas = {
+        "customers": ("customer_id int, first_name string, last_name string, email string, phone string, "
+                      "address_line string, city string, state string, country string, postal_code string, "
+                      "signup_date timestamp, is_active boolean, created_at timestamp, updated_at timestamp",
+                      [(1, "a", "b", "a@x", None, None, "c", None, None, None, t, True, t, t)]),
+        "products": ("product_id int, product_name string, category string, sub_category string, brand string, "
+                     "price decimal(10,2), stock_qty int, is_discontinued boolean, created_at timestamp, updated_at timestamp",
+                     [(1, "w", "c", None, None, D("1.00"), 1, False, t, t)]),
+        "orders": ("order_id int, customer_id int, order_date timestamp, status string, shipping_city string, "
+                   "shipping_country string, total_amount decimal(12,2), created_at timestamp, updated_at timestamp",
+                   [(1, 1, t, "SHIPPED", None, None, D("2.00"), t, t)]),
+        "order_items": ("order_item_id int, order_id int, product_id int, quantity int, unit_price decimal(10,2), "
+                        "created_at timestamp", [(1, 1, 1, 1, D("2.00"), t)]),
+        "payments": ("payment_id int, order_id int, amount decimal(12,2), method string, status string, "
+                     "paid_at timestamp, created_at timestamp, updated_at timestamp",
+                     [(1, 1, D("2.00"), "COD", "SUCCESS", t, t, t)]),
+    }
+    for name, (schema, data) in schemas.items():
+        write_source(spark.createDataFrame(data, schema), url, name.upper())
+    events = os.path.join(tmp_root, "events")
+    msg = '{"event_id":"e1","event_type":"page_view","event_time":"2024-01-01T10:00:00","session_id":"s1"}'
+    spark.createDataFrame([(msg, t)], MESSAGE_SCHEMA).write.parquet(events)
+    code = main([
+        "--root", os.path.join(tmp_root, "lake"), "--prefix", f"j{uuid.uuid4().hex[:6]}_",
+        "--jdbc-url", url, "--jdbc-driver", DERBY["driver"], "--events-dir", events,
+        "--run-date", "2024-01-02", "--as-of", "2024-01-02 00:00:00",
+    ])
+    assert code == 0
