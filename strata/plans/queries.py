@@ -47,8 +47,9 @@ _PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
 
 def _shared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Build a model's plan once per (session, data folder): a DataFrame is an immutable plan, so
-    queries that share a model (the snapshot histories, the Silver tables) reuse it instead of
-    re-running the driver-side construction.  Nothing is cached as data."""
+    queries that share a model (the Silver tables, LTV) reuse it instead of re-running the
+    driver-side construction.  Only plans that hold no materialised data are shared (not the
+    checkpointed snapshot chains, not sessions, whose range path checkpoints)."""
 
     def shared(spark: SparkSession, d: str) -> DataFrame:
         key = (id(spark), d, fn.__name__)
@@ -89,7 +90,6 @@ def q_silver_payments(spark: SparkSession, d: str) -> DataFrame:
     return silver_payments(A.payments(spark, d))
 
 
-@_shared
 def q_silver_clickstream_sessions(spark: SparkSession, d: str) -> DataFrame:
     return sessionize(A.clickstream_events(spark, d))
 
