@@ -12,7 +12,7 @@ import argparse
 import os
 import sys
 
-from strata.plans.pipeline import Layout, run
+from strata.plans.pipeline import STEPS, Layout, run
 from strata.session import build_session
 from strata.sources.incremental import TABLES_CONFIG, jdbc_source
 from strata.streaming.ingest import file_stream
@@ -33,6 +33,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--events-dir", default=None, help="folder of message files instead of a broker")
     ap.add_argument("--run-date", default=None)
     ap.add_argument("--as-of", default=None, help="snapshot instant (default: now)")
+    ap.add_argument("--steps", default=",".join(STEPS), help=f"comma-separated subset of {','.join(STEPS)}")
     return ap.parse_args(argv)
 
 
@@ -55,7 +56,10 @@ def main(argv: list[str] | None = None) -> int:
         stream = kafka_stream(spark, kafka_options(os.environ[args.kafka_connection_env], args.topic))
     elif args.events_dir:
         stream = file_stream(spark, args.events_dir)
-    report = run(spark, Layout(args.root, args.prefix), sources, stream=stream, run_date=args.run_date, as_of=args.as_of)
+    steps = tuple(x.strip() for x in args.steps.split(",") if x.strip())
+    report = run(
+        spark, Layout(args.root, args.prefix), sources, stream=stream, run_date=args.run_date, as_of=args.as_of, steps=steps
+    )
     failed = report.filter("status = 'fail'")
     failed.show(100, truncate=False)
     return 1 if failed.limit(1).count() else 0

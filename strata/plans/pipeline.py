@@ -23,7 +23,7 @@ from strata.operators.cleaning import (
     silver_payments,
     silver_products,
 )
-from strata.operators.quality import ALL_RULES, run_checks
+from strata.operators.quality import ALL_RULES, REPORT_SCHEMA, run_checks
 from strata.operators.sales import customer_ltv, daily_sales
 from strata.operators.scd2 import current_flag, version_stats
 from strata.operators.sessions import funnel, sessionize
@@ -34,6 +34,7 @@ from strata.streaming.ingest import ingest_stream
 
 # Layer schemas, and the snapshot configurations (key, check columns, columns).
 LAYERS = ("landing", "bronze", "silver", "gold")
+STEPS = ("ingest", "snapshot", "models", "test")
 CUSTOMER_SNAPSHOT = (
     "customer_id",
     "first_name last_name email phone address_line city state country postal_code is_active".split(),
@@ -139,36 +140,43 @@ def build_models(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return models
 
 
-def transform(
-    spark: SparkSession,
-    layout: Layout,
-    as_of: _dt.datetime | str | None = None,
-    ltv_as_of: _dt.date | str | None = None,
-) -> DataFrame:
-    """PIPE-3: snapshot -> silver -> gold -> tests; returns the test report (DQ-5).
+BRONZE_TABLES = ("customers", "products", "orders", "order_items", "payments", "clickstream_events")
+SILVER_TABLES = (
+    "silver_customers",
+    "silver_products",
+    "silver_orders",
+    "silver_order_items",
+    "silver_payments",
+    "silver_clickstream_sessions",
+    "silver_customer_profile_history",
+)
+GOLD_TABLES = ("gold_daily_sales_summary", "gold_customer_ltv", "gold_clickstream_funnel")
+SNAPSHOTS = ("customers_snapshot", "products_snapshot")
 
-    Each model is materialised before the models that read it, in the reference's DAG order, so
-    later models read stored tables (column pruning, no recomputation).
-    """
-    bronze_db, silver_db, gold_db = layout.db("bronze"), layout.db("silver"), layout.db("gold")
-    names = ["customers", "products", "orders", "order_items", "payments", "clickstream_events"]
-    bronze = {n: spark.table(f"{bronze_db}.{n}") for n in names if spark.catalog.tableExists(f"{bronze_db}.{n}")}
+
+def _tables(spark: SparkSession, db: str, names) -> dict[str, DataFrame]:
+    return {n: spark.table(f"{db}.{n}") for n in names if spark.catalog.tableExists(f"{db}.{n}")}
+
+
+def snapshot_all(spark: SparkSession, layout: Layout, as_of: _dt.datetime | str | None = None) -> None:
+    """The snapshot step: one run of each type-2 history, read from Bronze (L22), appended (SNK-7)."""
+    bronze = _tables(spark, layout.db("bronze"), BRONZE_TABLES)
     snap_at = str(as_of or _dt.datetime.now().replace(microsecond=0))
-    stored: dict[str, DataFrame] = {}
+    for name, (key, check, cols), src in zip(SNAPSHOTS, (CUSTOMER_SNAPSHOT, PRODUCT_SNAPSHOT), ("customers", "products")):
+        snapshot_run(spark, f"{layout.db('silver')}.{name}", bronze[src].select(*cols), key, check, snap_at, layout.tables)
+
+
+def build_layers(spark: SparkSession, layout: Layout, ltv_as_of: _dt.date | str | None = None) -> None:
+    """The model step: Silver then Gold, each table materialised before the models that read it
+    (in the reference's DAG order), so later models read stored tables."""
+    silver_db, gold_db = layout.db("silver"), layout.db("gold")
+    bronze = _tables(spark, layout.db("bronze"), BRONZE_TABLES)
+    stored = _tables(spark, silver_db, SNAPSHOTS)
 
-    def store(name: str, df: DataFrame, db: str) -> DataFrame:
+    def store(name: str, df: DataFrame, db: str) -> None:
         materialize(df, f"{db}.{name}", layout.tables)
         stored[name] = spark.table(f"{db}.{name}")
-        return stored[name]
-
-    # snapshots read Bronze (L22); closed history is appended, never rewritten (SNK-7)
-    for name, (key, check, cols), src in (
-        ("customers_snapshot", CUSTOMER_SNAPSHOT, "customers"),
-        ("products_snapshot", PRODUCT_SNAPSHOT, "products"),
-    ):
-        view = f"{silver_db}.{name}"
-        snapshot_run(spark, view, bronze[src].select(*cols), key, check, snap_at, layout.tables)
-        stored[name] = spark.table(view)
+
     for name, df in build_models(bronze).items():
         store(name, df, silver_db)
     # thin views over the snapshots (L23: views, not copies)
@@ -176,18 +184,30 @@ def transform(
     current_flag(stored["products_snapshot"]).createOrReplaceTempView("silver_products_current_flag")
     store("silver_customer_profile_history", version_stats(stored["customers_snapshot"], "customer_id"), silver_db)
     store("gold_daily_sales_summary", daily_sales(stored["silver_orders"]), gold_db)
-    store(
-        "gold_customer_ltv",
-        customer_ltv(stored["silver_customers"], stored["silver_orders"], stored["silver_payments"], ltv_as_of),
-        gold_db,
-    )
+    ltv = customer_ltv(stored["silver_customers"], stored["silver_orders"], stored["silver_payments"], ltv_as_of)
+    store("gold_customer_ltv", ltv, gold_db)
     if "silver_clickstream_sessions" in stored:
         store("gold_clickstream_funnel", funnel(stored["silver_clickstream_sessions"]), gold_db)
 
-    tables = {f"bronze.{k}": v for k, v in bronze.items()}
-    tables.update(stored)
-    rules = [r for r in ALL_RULES if r.model in tables]
-    return run_checks(tables, rules)
+
+def run_data_tests(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The test step: every declared data test on the stored tables; the report (DQ-5)."""
+    tables = {f"bronze.{k}": v for k, v in _tables(spark, layout.db("bronze"), BRONZE_TABLES).items()}
+    tables.update(_tables(spark, layout.db("silver"), SILVER_TABLES + SNAPSHOTS))
+    tables.update(_tables(spark, layout.db("gold"), GOLD_TABLES))
+    return run_checks(tables, [r for r in ALL_RULES if r.model in tables])
+
+
+def transform(
+    spark: SparkSession,
+    layout: Layout,
+    as_of: _dt.datetime | str | None = None,
+    ltv_as_of: _dt.date | str | None = None,
+) -> DataFrame:
+    """PIPE-3: snapshot -> silver -> gold -> tests; returns the test report (DQ-5)."""
+    snapshot_all(spark, layout, as_of)
+    build_layers(spark, layout, ltv_as_of)
+    return run_data_tests(spark, layout)
 
 
 def run(
@@ -198,17 +218,31 @@ def run(
     run_date: _dt.date | str | None = None,
     as_of: _dt.datetime | str | None = None,
     ltv_as_of: _dt.date | str | None = None,
+    steps: tuple[str, ...] = STEPS,
 ) -> DataFrame:
     """PIPE-4: setup -> {batch ingest || stream drain} -> transform; returns the test report.
 
+    ``steps`` selects a subset of ``("ingest", "snapshot", "models", "test")`` (the order is
+    fixed); without ``"test"`` the report is empty.
+
     The stream query runs on its own thread of the same session while the batch tables are
     ingested; the transform starts once both have finished.
     """
+    unknown = set(steps) - set(STEPS)
+    if unknown:
+        raise ValueError(f"unknown steps {sorted(unknown)}")
     setup(spark, layout)
-    query = ingest_events(spark, layout, stream, wait=False) if stream is not None else None
-    try:
-        ingest_batch(spark, layout, sources, run_date=run_date)
-    finally:
-        if query is not None:
-            query.awaitTermination()
-    return transform(spark, layout, as_of=as_of, ltv_as_of=ltv_as_of)
+    if "ingest" in steps:
+        query = ingest_events(spark, layout, stream, wait=False) if stream is not None else None
+        try:
+            ingest_batch(spark, layout, sources, run_date=run_date)
+        finally:
+            if query is not None:
+                query.awaitTermination()
+    if "snapshot" in steps:
+        snapshot_all(spark, layout, as_of)
+    if "models" in steps:
+        build_layers(spark, layout, ltv_as_of)
+    if "test" in steps:
+        return run_data_tests(spark, layout)
+    return spark.createDataFrame([], REPORT_SCHEMA)

@@ -185,9 +185,10 @@ def test_job_entry_point(spark, tmp_root):
     events = os.path.join(tmp_root, "events")
     msg = '{"event_id":"e1","event_type":"page_view","event_time":"2024-01-01T10:00:00","session_id":"s1"}'
     spark.createDataFrame([(msg, t)], MESSAGE_SCHEMA).write.parquet(events)
-    code = main([
+    common = [
         "--root", os.path.join(tmp_root, "lake"), "--prefix", f"j{uuid.uuid4().hex[:6]}_",
         "--jdbc-url", url, "--jdbc-driver", DERBY["driver"], "--events-dir", events,
         "--run-date", "2024-01-02", "--as-of", "2024-01-02 00:00:00",
-    ])
-    assert code == 0
+    ]
+    assert main(common + ["--steps", "ingest"]) == 0  # like the ingestion notebooks
+    assert main(common + ["--steps", "snapshot,models,test"]) == 0  # like snapshot, run, test
