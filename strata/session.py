@@ -114,7 +114,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    # Unset: local runs and tests only.  A cluster always names a shared folder.
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(checkpoints and scratch files must survive the loss of any machine)"
+        )
+    # Unset on a local master (tests, laptops): a folder of our own.
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
