@@ -25,7 +25,7 @@ from strata.operators.cleaning import (
 )
 from strata.operators.quality import ALL_RULES, REPORT_SCHEMA, run_checks
 from strata.operators.sales import customer_ltv, daily_sales
-from strata.operators.scd2 import current_flag, version_stats
+from strata.operators.scd2 import version_stats
 from strata.operators.sessions import funnel, sessionize
 from strata.sinks.snapshots import snapshot_run
 from strata.sinks.tables import materialize
@@ -179,9 +179,15 @@ def build_layers(spark: SparkSession, layout: Layout, ltv_as_of: _dt.date | str
 
     for name, df in build_models(bronze).items():
         store(name, df, silver_db)
-    # thin views over the snapshots (L23: views, not copies)
-    current_flag(stored["customers_snapshot"]).createOrReplaceTempView("silver_customers_current_flag")
-    current_flag(stored["products_snapshot"]).createOrReplaceTempView("silver_products_current_flag")
+    # thin persistent views over the snapshots (L23: views, not copies); same as current_flag()
+    for flag_view, snap in (
+        ("silver_customers_current_flag", "customers_snapshot"),
+        ("silver_products_current_flag", "products_snapshot"),
+    ):
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {silver_db}.{flag_view} AS "
+            f"SELECT *, dbt_valid_to IS NULL AS is_current FROM {silver_db}.{snap}"
+        )
     store("silver_customer_profile_history", version_stats(stored["customers_snapshot"], "customer_id"), silver_db)
     store("gold_daily_sales_summary", daily_sales(stored["silver_orders"]), gold_db)
     ltv = customer_ltv(stored["silver_customers"], stored["silver_orders"], stored["silver_payments"], ltv_as_of)
