@@ -565,6 +565,17 @@ ORACLE_SQL: dict[str, str] = {
         "g_daily",
     ),
     "bronze_customers": with_ctes("SELECT * FROM b_customers", "b_customers"),
+    # Expected drift counts, from the rules that build the messages (quoted ids, "$" prices and
+    # epoch-millisecond times are lost by strict decoding and repaired by lenient decoding).
+    "stream_drift_report": """WITH m AS (SELECT event_id AS eid, user_id AS uid FROM events)
+        SELECT 'event_time' AS field, count(*) FILTER (WHERE eid % 4 = 3) AS lost_strict,
+               count(*) FILTER (WHERE eid % 4 = 3) AS repaired, CAST(0 AS BIGINT) AS unreadable FROM m
+        UNION ALL SELECT 'customer_id', count(*) FILTER (WHERE uid % 5 <> 0 AND uid % 7 = 0),
+               count(*) FILTER (WHERE uid % 5 <> 0 AND uid % 7 = 0), 0 FROM m
+        UNION ALL SELECT 'product_id', 0, 0, 0
+        UNION ALL SELECT 'quantity', 0, 0, 0
+        UNION ALL SELECT 'cart_value', count(*) FILTER (WHERE eid % 10 = 3), count(*) FILTER (WHERE eid % 10 = 3), 0 FROM m
+        UNION ALL SELECT '<message>', 0, 0, 0""",
     # The stream drain's result, stated as the decoded projection of the same messages:
     # ISO-with-offset times keep microseconds, the two second-precision patterns truncate,
     # epoch-millisecond times are NULL (L13); quoted ints and "$" prices are NULL (L12).

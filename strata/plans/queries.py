@@ -286,6 +286,13 @@ def q_stream_decode_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_stream_drift_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per field: values the strict decode loses, the lenient decode repairs, or nobody can read."""
+    from strata.streaming.decode import drift_report
+
+    return drift_report(A.event_messages(spark, d))
+
+
 QUERIES = {
     "silver_customers": q_silver_customers,
     "silver_products": q_silver_products,
@@ -317,4 +324,5 @@ QUERIES = {
     "order_status_breakdown": q_order_status_breakdown,
     "bronze_customers": q_bronze_customers,
     "stream_decode_events": q_stream_decode_events,
+    "stream_drift_report": q_stream_drift_report,
 }

@@ -79,3 +79,39 @@ def decode_events(
     if with_metadata:
         out = out.withColumns({"_ingested_at": F.current_timestamp(), "_source_system": F.lit(SOURCE_SYSTEM)})
     return out
+
+
+def drift_report(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Per field: values present in the message that ``strict`` loses, that ``lenient`` repairs,
+    and that stay unreadable; plus malformed messages.  One pass, one global aggregate.
+
+    A field is *present* when the message carries a non-null JSON value for it.
+    """
+    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in EVENT_SCHEMA.fields])
+    msgs = raw.select(F.col(value_col).cast("string").alias("v"))
+    parsed = msgs.select(
+        F.from_json("v", EVENT_SCHEMA).alias("s"),
+        F.from_json("v", text_schema).alias("t"),
+    )
+    lenient = {c: _lenient_int(c) for c in _DRIFTING_INTS}
+    lenient["cart_value"] = F.regexp_replace(F.trim("cart_value"), r"^\$", "").try_cast("double")
+    lenient["event_time"] = parse_event_time("event_time", "lenient")
+    strict_time = parse_event_time(F.col("s.event_time"), "strict")
+    aggs = [F.count_if(F.col("t").isNull() | F.col("t.event_id").isNull() & F.col("t.event_type").isNull()).alias("_malformed")]
+    fields = ["event_time", *_DRIFTING_INTS, "cart_value"]
+    for c in fields:
+        present = F.col(f"t.{c}").isNotNull() & (F.lower(F.trim(F.col(f"t.{c}"))) != "null")
+        strict_val = strict_time if c == "event_time" else F.col(f"s.{c}")
+        lenient_val = lenient[c]
+        aggs += [
+            F.count_if(present & strict_val.isNull()).alias(f"{c}__lost_strict"),
+            F.count_if(present & strict_val.isNull() & lenient_val.isNotNull()).alias(f"{c}__repaired"),
+            F.count_if(present & lenient_val.isNull()).alias(f"{c}__unreadable"),
+        ]
+    # the lenient expressions read top-level text columns: expose the text struct's fields
+    flat = parsed.select("s", "t", *[F.col(f"t.{c}").alias(c) for c in fields])
+    one = flat.agg(*aggs)
+    stack = ", ".join(f"'{c}', `{c}__lost_strict`, `{c}__repaired`, `{c}__unreadable`" for c in fields)
+    per_field = one.selectExpr(f"stack({len(fields)}, {stack}) as (field, lost_strict, repaired, unreadable)")
+    malformed = one.selectExpr("'<message>' as field", "_malformed as lost_strict", "0L as repaired", "_malformed as unreadable")
+    return per_field.unionByName(malformed)

@@ -96,3 +96,14 @@ def test_dedup_within_watermark_l28(spark, tmp_root):
     _write_batch(spark, src, [MSGS[0], MSGS[0], MSGS[2]])
     ingest_stream(file_stream(spark, src), ckpt, path=sink, dedup_within="1 hour")
     assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == ["e1", "e3"]
+
+
+def test_drift_report_counts_lost_and_repaired(spark):
+    from strata.streaming.decode import drift_report
+
+    got = {r.field: (r.lost_strict, r.repaired, r.unreadable) for r in drift_report(raw(spark)).collect()}
+    assert got["customer_id"] == (1, 1, 0)  # "102" lost by strict, repaired by lenient
+    assert got["cart_value"] == (1, 1, 0)  # "$149.99"
+    assert got["quantity"] == (1, 1, 0)  # 2.0
+    assert got["event_time"] == (1, 1, 0)  # epoch milliseconds
+    assert got["<message>"][0] == 3  # not JSON, truncated JSON, empty
