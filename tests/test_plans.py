@@ -47,7 +47,16 @@ def test_bounded_sessions_use_one_exchange_and_no_python(spark):
 
 
 def test_static_plan_broadcasts_only_bounded_dimensions(spark):
-    p = plan(Q.q_gold_customer_ltv(spark, SMOKE))
+    from strata.operators.cleaning import silver_customers, silver_orders, silver_payments
+    from strata.operators.sales import customer_ltv
+
+    fresh = customer_ltv(
+        silver_customers(A.customers(spark, SMOKE)),
+        silver_orders(A.orders(spark, SMOKE)),
+        silver_payments(A.payments(spark, SMOKE)),
+        as_of="2001-08-02",
+    )
+    p = plan(fresh)  # static plan, before AQE has measured anything
     # nation (25 rows) and region (5 rows) by hint; nothing broadcast from size estimates
     assert p.count("BroadcastExchange") == 2
     assert "n_nationkey" in p and "r_regionkey" in p
