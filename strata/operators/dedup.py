@@ -31,5 +31,7 @@ def keep_latest(
     winners are exchanged.  NULL keys form one group, as in SQL.
     """
     order = [F.col(c).desc_nulls_last() for c in (*order_cols, *tie_cols)]
+    if not order:  # nothing to rank by: every row of a key is equally "latest"
+        return df.dropDuplicates(list(keys))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

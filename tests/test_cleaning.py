@@ -34,6 +34,11 @@ def test_win1_keep_latest_picks_greatest_with_ties(spark):
     assert rows(out, "k", "v") == [(1, "c"), (2, "y")]  # NULL order values lose (DESC NULLS LAST)
 
 
+def test_keep_latest_without_order_columns(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert rows(keep_latest(df, ["k"], [])) == [(1,), (2,)]
+
+
 def test_win1_plan_limits_before_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as u")
     plan = keep_latest(df, ["k"], ["u"])._jdf.queryExecution().executedPlan().toString()
