@@ -28,6 +28,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--jdbc-driver", default=None)
     ap.add_argument("--jdbc-user-env", default=None, help="name of the env var holding the user")
     ap.add_argument("--jdbc-password-env", default=None, help="name of the env var holding the password")
+    ap.add_argument("--jdbc-partitions", type=int, default=1, help="parallel reads per table, split on its key")
     ap.add_argument("--kafka-connection-env", default=None, help="env var with the broker connection string")
     ap.add_argument("--topic", default=None)
     ap.add_argument("--events-dir", default=None, help="folder of message files instead of a broker")
@@ -48,7 +49,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.jdbc_password_env:
         props["password"] = os.environ[args.jdbc_password_env]
     sources = {
-        cfg.source_table: jdbc_source(spark, args.jdbc_url, f"{args.jdbc_schema}{cfg.source_table}", props)
+        cfg.source_table: jdbc_source(
+            spark,
+            args.jdbc_url,
+            f"{args.jdbc_schema}{cfg.source_table}",
+            props,
+            partition_column=cfg.primary_key,
+            num_partitions=args.jdbc_partitions,
+        )
         for cfg in TABLES_CONFIG
     }
     stream = None

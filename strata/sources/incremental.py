@@ -66,6 +66,15 @@ def extract_incremental(
     return source.filter(F.col(watermark_col) > lower)
 
 
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, properties: dict[str, str] | None = None):
+    """``(min, max)`` of a numeric column, computed by the database in one small query; the
+    column is quoted by Spark's JDBC dialect for that database.  Two values come back."""
+    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+    query = f"(SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}) strata_bounds"
+    row = jdbc_source(spark, url, query, properties).first()
+    return (row[0], row[1]) if row else (None, None)
+
+
 def jdbc_source(
     spark: SparkSession,
     url: str,
@@ -78,19 +87,24 @@ def jdbc_source(
 ) -> DataFrame:
     """A JDBC table as a lazy DataFrame (SRC-1).
 
-    Parallel reads need ``partition_column`` with bounds; ``numPartitions`` alone gives one
-    partition (the reference's setting, BASELINE).  Filters applied later are pushed down.
+    Parallel reads need ``partition_column`` (numeric, e.g. the primary key) and bounds;
+    ``numPartitions`` alone gives one partition (the reference's setting, BASELINE).  Without
+    explicit bounds they are fetched with ``jdbc_bounds``.  Filters applied later (the
+    watermark) are pushed into every partition's query.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    if partition_column:
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(lower_bound))
-            .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions or 4))
-        )
+    if partition_column and (num_partitions or 0) > 1:
+        if lower_bound is None or upper_bound is None:
+            lower_bound, upper_bound = jdbc_bounds(spark, url, table, partition_column, properties)
+        if lower_bound is not None and upper_bound is not None and upper_bound > lower_bound:
+            reader = (
+                reader.option("partitionColumn", partition_column)
+                .option("lowerBound", str(lower_bound))
+                .option("upperBound", str(upper_bound))
+                .option("numPartitions", str(num_partitions))
+            )
     return reader.load()
 
 

@@ -47,6 +47,20 @@ def test_src1_pushdown_and_strict_watermark(spark):
     assert sorted(r.id for r in again.collect()) == [1, 2]
 
 
+def test_jdbc_parallel_read_by_key_range(spark):
+    url = derby_url()
+    write_source(spark.createDataFrame([(i, f"n{i}", ts("2024-01-01")) for i in range(1, 101)], SCHEMA), url, "WIDE")
+    one = jdbc_source(spark, url, "WIDE", DERBY)
+    split = jdbc_source(spark, url, "WIDE", DERBY, partition_column="id", num_partitions=4)
+    assert one.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() == 4
+    assert sorted(split.collect()) == sorted(one.collect())
+    inc = extract_incremental(split, "updated_at", "2023-12-31 00:00:00")
+    assert inc.count() == 100 and "PushedFilters" in inc._jdf.queryExecution().executedPlan().toString()
+    from strata.sources.incremental import jdbc_bounds
+
+    assert jdbc_bounds(spark, url, "WIDE", "id", DERBY) == (1, 100)
+
+
 def test_pipe1_three_runs(spark, tmp_root):
     url = derby_url()
     layout = Layout(os.path.join(tmp_root, "lake"), prefix=f"t{uuid.uuid4().hex[:6]}_")
@@ -188,7 +202,7 @@ def test_job_entry_point(spark, tmp_root):
     spark.createDataFrame([(msg, t)], MESSAGE_SCHEMA).write.parquet(events)
     common = [
         "--root", os.path.join(tmp_root, "lake"), "--prefix", f"j{uuid.uuid4().hex[:6]}_",
-        "--jdbc-url", url, "--jdbc-driver", DERBY["driver"], "--events-dir", events,
+        "--jdbc-url", url, "--jdbc-driver", DERBY["driver"], "--events-dir", events, "--jdbc-partitions", "2",
         "--run-date", "2024-01-02", "--as-of", "2024-01-02 00:00:00",
     ]
     assert main(common + ["--steps", "ingest"]) == 0  # like the ingestion notebooks
