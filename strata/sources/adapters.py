@@ -278,15 +278,25 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     k = F.get_json_object("props", "$.k")
     uid = F.col("user_id")
-    cust = F.when(uid % 5 == 0, F.lit("null")).when(uid % 7 == 0, F.concat(F.lit('"'), uid.cast("string"), F.lit('"'))).otherwise(uid.cast("string"))
-    cart = F.when(eid % 10 == 3, F.concat(F.lit('"$'), F.col("value").cast("string"), F.lit('"'))).otherwise(F.col("value").cast("string"))
+    # string fields through to_json (escaping, explicit nulls); the numeric fields are appended
+    # as JSON literals, with the drift applied, and "null" when the source value is missing
+    strings = F.to_json(
+        F.struct(
+            eid.cast("string").alias("event_id"),
+            F.upper(F.col("event_type")).alias("event_type"),
+            event_time.alias("event_time"),
+            F.concat(uid.cast("string"), F.lit("-"), F.to_date(ts).cast("string")).alias("session_id"),
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    cust = F.when(uid % 5 == 0, F.lit("null")).when(uid % 7 == 0, F.concat(F.lit('"'), uid.cast("string"), F.lit('"')))
+    cust = F.coalesce(cust.otherwise(uid.cast("string")), F.lit("null"))
+    cart = F.when(eid % 10 == 3, F.concat(F.lit('"$'), F.col("value").cast("string"), F.lit('"')))
+    cart = F.coalesce(cart.otherwise(F.col("value").cast("string")), F.lit("null"))
     parts = [
-        F.lit('{"event_id":"'), eid.cast("string"),
-        F.lit('","event_type":"'), F.upper(F.col("event_type")),
-        F.lit('","event_time":"'), event_time,
-        F.lit('","session_id":"'), uid.cast("string"), F.lit("-"), F.to_date(ts).cast("string"),
-        F.lit('","customer_id":'), cust,
-        F.lit(',"product_id":'), k,
+        strings.substr(F.lit(1), F.length(strings) - 1),
+        F.lit(',"customer_id":'), cust,
+        F.lit(',"product_id":'), F.coalesce(k, F.lit("null")),
         F.lit(',"cart_value":'), cart,
         F.when(eid % 20 == 7, F.lit(',"_meta_source_version":"v2"')).otherwise(F.lit("")),
         F.lit("}"),
