@@ -94,7 +94,9 @@ def b_customers(run: int) -> str:
 def b_products(run: int) -> str:
     price = "CAST(p_retailprice AS DECIMAL(10,2))"
     stock = "CAST(p_size * 3 - 20 AS INTEGER)"
+    discontinued = "p_size > 45"
     if run == 2:
+        discontinued = "(p_size > 45 OR p_size = 20)"
         price = f"CASE WHEN p_size <= 10 THEN CAST({price} + 10 AS DECIMAL(10,2)) ELSE {price} END"
         stock = f"CASE WHEN p_type = 'PROMO' THEN {stock} + 7 ELSE {stock} END"
     return f"""SELECT p_partkey AS product_id,
@@ -104,7 +106,7 @@ def b_products(run: int) -> str:
         p_brand AS brand,
         {price} AS price,
         {stock} AS stock_qty,
-        p_size > 45 AS is_discontinued,
+        {discontinued} AS is_discontinued,
         TIMESTAMP '1995-01-01 00:00:00' AS created_at,
         TIMESTAMP '1995-01-01 00:00:00' AS updated_at
     FROM part"""

@@ -11,9 +11,10 @@ all driven by attributes of the data:
   the orders placed since (inserts) plus the delivery of every order that was still open
   (status ``O``) before the cutoff (updates, one day after the order date);
 * SCD extracts: run 2 moves the customers of segment ``MACHINERY`` to a new city, deletes
-  the customers with a negative balance, reprices parts of size <= 10 by +10.00 and changes
-  only the stock of ``PROMO`` parts (no new version); run 3 restores the run-1 extract
-  (A -> B -> A, and deleted keys come back).
+  the customers with a negative balance, reprices parts of size <= 10 by +10.00, discontinues
+  parts of size 20 (a soft delete: a flag flip, SCD-4) and changes only the stock of ``PROMO``
+  parts (no new version); run 3 restores the run-1 extract (A -> B -> A, and deleted keys
+  come back).
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ INCREMENTAL_SINCE = "2000-01-01 00:00:00"
 UPSERT_CUTOFF = "2000-01-01 00:00:00"
 MOVED_SEGMENT = "MACHINERY"
 REPRICED_MAX_SIZE = 10
+DISCONTINUED_SIZE = 20
 STOCK_ONLY_TYPE = "PROMO"
 
 
@@ -112,7 +114,9 @@ def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     key = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(10,2)")
     stock = (F.col("p_size") * 3 - 20).cast("int")
+    discontinued = F.col("p_size") > 45
     if run == 2:
+        discontinued = discontinued | (F.col("p_size") == DISCONTINUED_SIZE)
         repriced = F.col("p_size") <= REPRICED_MAX_SIZE
         price = F.when(repriced, (price + F.lit(10).cast("decimal(10,2)")).cast("decimal(10,2)")).otherwise(price)
         stock = F.when(F.col("p_type") == STOCK_ONLY_TYPE, stock + 7).otherwise(stock)
@@ -127,7 +131,7 @@ def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
         F.col("p_brand").alias("brand"),
         price.alias("price"),
         stock.alias("stock_qty"),
-        (F.col("p_size") > 45).alias("is_discontinued"),
+        discontinued.alias("is_discontinued"),
         stamp.alias("created_at"),
         stamp.alias("updated_at"),
     )
