@@ -25,23 +25,10 @@ from strata.operators.scd2 import VALID_FROM, as_of_join, current_flag, snapshot
 from strata.operators.sessions import funnel, sessionize
 from strata.operators.upsert import merge_frames
 from strata.plans import reports
+from strata.plans.pipeline import CUSTOMER_SNAPSHOT, PRODUCT_SNAPSHOT
 from strata.sources import adapters as A
 from strata.sources.incremental import extract_incremental
 
-# The check columns of the two snapshots.
-CUSTOMER_CHECK_COLS = (
-    "first_name last_name email phone address_line city state country postal_code is_active"
-).split()
-PRODUCT_CHECK_COLS = "product_name category sub_category brand price is_discontinued".split()
-CUSTOMER_SNAPSHOT_COLS = (
-    "customer_id first_name last_name email phone address_line city state country postal_code "
-    "signup_date is_active updated_at"
-).split()
-PRODUCT_SNAPSHOT_COLS = (
-    "product_id product_name category sub_category brand price stock_qty is_discontinued updated_at"
-).split()
-
-
 _PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
 
 
@@ -114,7 +101,7 @@ def q_gold_clickstream_funnel(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- Snapshots (three runs: base, changed/deleted, restored) -------------------------------
-def _history(spark: SparkSession, extracts, key: str, check_cols) -> DataFrame:
+def _history(extracts, key: str, check_cols) -> DataFrame:
     """Chain the snapshot runs.  Each run reads the previous history twice (closed and open
     versions), so a lazy chain would repeat earlier runs in 2^runs branches; a reliable
     checkpoint (``spark.checkpoint.dir``) between runs keeps every run computed once, as the
@@ -128,19 +115,15 @@ def _history(spark: SparkSession, extracts, key: str, check_cols) -> DataFrame:
 
 
 def customers_history(spark: SparkSession, d: str) -> DataFrame:
-    runs = [
-        (A.customers(spark, d, run=2 if run == 2 else 1).select(*CUSTOMER_SNAPSHOT_COLS), as_of)
-        for run, as_of in enumerate(A.SNAPSHOT_RUNS, start=1)
-    ]
-    return _history(spark, runs, "customer_id", CUSTOMER_CHECK_COLS)
+    key, check, cols = CUSTOMER_SNAPSHOT
+    runs = [(A.customers(spark, d, run=r).select(*cols), at) for r, at in enumerate(A.SNAPSHOT_RUNS, start=1)]
+    return _history(runs, key, check)
 
 
 def products_history(spark: SparkSession, d: str) -> DataFrame:
-    runs = [
-        (A.products(spark, d, run=2 if run == 2 else 1).select(*PRODUCT_SNAPSHOT_COLS), as_of)
-        for run, as_of in enumerate(A.SNAPSHOT_RUNS, start=1)
-    ]
-    return _history(spark, runs, "product_id", PRODUCT_CHECK_COLS)
+    key, check, cols = PRODUCT_SNAPSHOT
+    runs = [(A.products(spark, d, run=r).select(*cols), at) for r, at in enumerate(A.SNAPSHOT_RUNS, start=1)]
+    return _history(runs, key, check)
 
 
 def q_customers_snapshot(spark: SparkSession, d: str) -> DataFrame:
