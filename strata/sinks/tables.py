@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,12 +69,25 @@ def materialize(
     return path
 
 
+def _partition_specs(spark: SparkSession, name: str) -> list[str]:
+    """``PARTITION (k='v', ...)`` clauses of the registered partitions (metadata, one row each)."""
+    specs = []
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        pairs = (item.split("=", 1) for item in row[0].split("/"))
+        specs.append("PARTITION (" + ", ".join(f"{k}='{unquote(v)}'" for k, v in pairs) + ")")
+    return specs
+
+
 def _point_table(spark: SparkSession, name: str, path: str, fmt: str, df: DataFrame, partition_by) -> None:
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
         if partition_by:
+            # registered partitions still point into the previous version: re-register them
+            specs = _partition_specs(spark, name)
+            if specs:
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")
             spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.catalog.refreshTable(name)
         return
     ddl = df.schema.toDDL()
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
