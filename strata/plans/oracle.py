@@ -56,10 +56,7 @@ def latest(src: str, key: str, order_col: str, cols: Sequence[str]) -> str:
     """Keep-latest per key with the same deterministic tie-break as ``keep_latest``."""
     ties = [c for c in cols if c not in (key, order_col)]
     order = ", ".join(f"{c} DESC" for c in (order_col, *ties))
-    return (
-        f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY {key} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1)"
-    )
+    return f"(SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)"
 
 
 SIGNUP = "CAST(DATE '1990-01-01' + CAST(c.c_custkey % 1000 AS INTEGER) AS TIMESTAMP)"
@@ -300,49 +297,45 @@ cte(
     "g_daily",
     f"""SELECT CAST(order_date AS DATE) AS order_day,
         count(DISTINCT order_id) AS total_orders,
-        count(DISTINCT CASE WHEN status = 'DELIVERED' THEN order_id END) AS delivered_orders,
-        count(DISTINCT CASE WHEN status = 'CANCELLED' THEN order_id END) AS cancelled_orders,
-        count(DISTINCT CASE WHEN status IN ('PENDING', 'CONFIRMED', 'SHIPPED') THEN order_id END) AS in_flight_orders,
+        count(DISTINCT order_id) FILTER (WHERE status = 'DELIVERED') AS delivered_orders,
+        count(DISTINCT order_id) FILTER (WHERE status = 'CANCELLED') AS cancelled_orders,
+        count(DISTINCT order_id) FILTER (WHERE status IN ('PENDING', 'CONFIRMED', 'SHIPPED')) AS in_flight_orders,
         CAST(sum(total_amount) AS DECIMAL(22,2)) AS gross_revenue,
-        CAST(sum(CASE WHEN status != 'CANCELLED' THEN total_amount ELSE 0 END) AS DECIMAL(22,2)) AS net_revenue,
+        CAST(coalesce(sum(total_amount) FILTER (WHERE status <> 'CANCELLED'), 0) AS DECIMAL(22,2)) AS net_revenue,
         count(DISTINCT customer_id) AS unique_customers,
         {spark_round_avg_cents('total_amount', 'DECIMAL(13,2)')} AS avg_order_value
-    FROM s_orders GROUP BY CAST(order_date AS DATE)""",
+    FROM s_orders GROUP BY ALL""",
     ["s_orders"],
 )
 cte(
     "g_ltv",
-    f"""SELECT c.customer_id, c.first_name, c.last_name, c.email, c.city, c.country, c.signup_date, c.is_active,
-        coalesce(co.total_orders, 0) AS total_orders,
-        coalesce(co.delivered_orders, 0) AS delivered_orders,
-        coalesce(co.cancelled_orders, 0) AS cancelled_orders,
-        CAST(coalesce(co.lifetime_revenue, 0) AS DECIMAL(22,2)) AS lifetime_revenue,
-        co.first_order_date,
-        co.most_recent_order_date,
-        coalesce(cp.total_payment_attempts, 0) AS total_payment_attempts,
-        coalesce(cp.failed_payments, 0) AS failed_payments,
-        CASE WHEN co.total_orders > 0
-             THEN {half_up_div_cents('co.lifetime_revenue', 'co.total_orders', 'DECIMAL(23,2)')}
+    f"""WITH per_customer AS (
+            SELECT customer_id,
+                count(DISTINCT order_id) AS n_orders,
+                count(DISTINCT order_id) FILTER (WHERE status = 'DELIVERED') AS n_delivered,
+                count(DISTINCT order_id) FILTER (WHERE status = 'CANCELLED') AS n_cancelled,
+                coalesce(sum(total_amount) FILTER (WHERE status <> 'CANCELLED'), 0) AS revenue,
+                min(order_date) AS first_at,
+                max(order_date) AS last_at
+            FROM s_orders GROUP BY ALL),
+        attempts AS (
+            SELECT customer_id,
+                count(DISTINCT payment_id) AS n_attempts,
+                count(DISTINCT payment_id) FILTER (WHERE s_payments.status = 'FAILED') AS n_failed
+            FROM s_orders JOIN s_payments USING (order_id) GROUP BY ALL)
+    SELECT customer_id, first_name, last_name, email, city, country, signup_date, is_active,
+        coalesce(n_orders, 0) AS total_orders,
+        coalesce(n_delivered, 0) AS delivered_orders,
+        coalesce(n_cancelled, 0) AS cancelled_orders,
+        CAST(coalesce(revenue, 0) AS DECIMAL(22,2)) AS lifetime_revenue,
+        first_at AS first_order_date,
+        last_at AS most_recent_order_date,
+        coalesce(n_attempts, 0) AS total_payment_attempts,
+        coalesce(n_failed, 0) AS failed_payments,
+        CASE WHEN n_orders > 0 THEN {half_up_div_cents('revenue', 'n_orders', 'DECIMAL(23,2)')}
              ELSE CAST(0 AS DECIMAL(23,2)) END AS avg_order_value,
-        CASE WHEN co.most_recent_order_date IS NOT NULL
-             THEN CAST(date_diff('day', CAST(co.most_recent_order_date AS DATE), {LTV_AS_OF}) AS INTEGER) END
-             AS days_since_last_order
-    FROM s_customers c
-    LEFT JOIN (
-        SELECT customer_id,
-            count(DISTINCT order_id) AS total_orders,
-            count(DISTINCT CASE WHEN status = 'DELIVERED' THEN order_id END) AS delivered_orders,
-            count(DISTINCT CASE WHEN status = 'CANCELLED' THEN order_id END) AS cancelled_orders,
-            sum(CASE WHEN status != 'CANCELLED' THEN total_amount ELSE 0 END) AS lifetime_revenue,
-            min(order_date) AS first_order_date,
-            max(order_date) AS most_recent_order_date
-        FROM s_orders GROUP BY customer_id) co ON c.customer_id = co.customer_id
-    LEFT JOIN (
-        SELECT o.customer_id,
-            count(DISTINCT p.payment_id) AS total_payment_attempts,
-            count(DISTINCT CASE WHEN p.status = 'FAILED' THEN p.payment_id END) AS failed_payments
-        FROM s_orders o LEFT JOIN s_payments p ON o.order_id = p.order_id
-        GROUP BY o.customer_id) cp ON c.customer_id = cp.customer_id""",
+        CAST(date_diff('day', CAST(last_at AS DATE), {LTV_AS_OF}) AS INTEGER) AS days_since_last_order
+    FROM s_customers LEFT JOIN per_customer USING (customer_id) LEFT JOIN attempts USING (customer_id)""",
     ["s_customers", "s_orders", "s_payments"],
 )
 
@@ -437,24 +430,25 @@ ORACLE_SQL: dict[str, str] = {
     "gold_daily_sales_summary": with_ctes("SELECT * FROM g_daily ORDER BY order_day", "g_daily"),
     "gold_customer_ltv": with_ctes("SELECT * FROM g_ltv", "g_ltv"),
     "gold_clickstream_funnel": with_ctes(
-        f"""SELECT total_sessions, anonymous_sessions, total_sessions - anonymous_sessions AS identified_sessions,
-            sessions_page_view, sessions_product_view, sessions_add_to_cart, sessions_checkout,
+        f"""SELECT * FROM (WITH reached AS (
+                SELECT bool_or(event_type = 'page_view') AS pv, bool_or(event_type = 'product_view') AS prv,
+                       bool_or(event_type = 'add_to_cart') AS atc, bool_or(event_type = 'checkout_start') AS co,
+                       bool_or(is_anonymous_session) AS anon
+                FROM s_sessions GROUP BY session_id),
+            totals AS (
+                SELECT count(*) AS total_sessions,
+                       CAST(sum(CAST(coalesce(anon, false) AS INTEGER)) AS BIGINT) AS anonymous_sessions,
+                       CAST(sum(CAST(coalesce(pv, false) AS INTEGER)) AS BIGINT) AS sessions_page_view,
+                       CAST(sum(CAST(coalesce(prv, false) AS INTEGER)) AS BIGINT) AS sessions_product_view,
+                       CAST(sum(CAST(coalesce(atc, false) AS INTEGER)) AS BIGINT) AS sessions_add_to_cart,
+                       CAST(sum(CAST(coalesce(co, false) AS INTEGER)) AS BIGINT) AS sessions_checkout
+                FROM reached)
+        SELECT *, total_sessions - anonymous_sessions AS identified_sessions,
             {spark_round_double('sessions_product_view / nullif(sessions_page_view, 0) * 100')} AS pct_page_to_product,
             {spark_round_double('sessions_add_to_cart / nullif(sessions_product_view, 0) * 100')} AS pct_product_to_cart,
             {spark_round_double('sessions_checkout / nullif(sessions_add_to_cart, 0) * 100')} AS pct_cart_to_checkout,
             {spark_round_double('sessions_checkout / nullif(sessions_page_view, 0) * 100')} AS pct_overall_conversion
-        FROM (
-            SELECT CAST(sum(r_pv) AS BIGINT) AS sessions_page_view, CAST(sum(r_prv) AS BIGINT) AS sessions_product_view,
-                   CAST(sum(r_atc) AS BIGINT) AS sessions_add_to_cart, CAST(sum(r_co) AS BIGINT) AS sessions_checkout,
-                   CAST(sum(anon) AS BIGINT) AS anonymous_sessions, count(*) AS total_sessions
-            FROM (
-                SELECT session_id,
-                    max(CASE WHEN event_type = 'page_view' THEN 1 ELSE 0 END) AS r_pv,
-                    max(CASE WHEN event_type = 'product_view' THEN 1 ELSE 0 END) AS r_prv,
-                    max(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS r_atc,
-                    max(CASE WHEN event_type = 'checkout_start' THEN 1 ELSE 0 END) AS r_co,
-                    max(CASE WHEN is_anonymous_session THEN 1 ELSE 0 END) AS anon
-                FROM s_sessions GROUP BY session_id))""",
+        FROM totals)""",
         "s_sessions",
     ),
     "customers_snapshot": with_ctes("SELECT * FROM c_hist", "c_hist"),
@@ -462,12 +456,13 @@ ORACLE_SQL: dict[str, str] = {
     "customers_current_flag": with_ctes("SELECT *, dbt_valid_to IS NULL AS is_current FROM c_hist", "c_hist"),
     "products_current_flag": with_ctes("SELECT * FROM p_flag", "p_flag"),
     "customer_profile_history": with_ctes(
-        """SELECT customer_id, total_profile_versions, number_of_profile_changes, first_seen_at,
-            current_version_since, number_of_profile_changes > 0 AS has_relocated
-        FROM (SELECT customer_id, count(*) AS total_profile_versions, count(*) - 1 AS number_of_profile_changes,
-                     min(dbt_valid_from) AS first_seen_at,
-                     max(CASE WHEN dbt_valid_to IS NULL THEN dbt_valid_from END) AS current_version_since
-              FROM c_hist GROUP BY customer_id)""",
+        """SELECT customer_id,
+            count(*) AS total_profile_versions,
+            count(*) - 1 AS number_of_profile_changes,
+            min(dbt_valid_from) AS first_seen_at,
+            max(dbt_valid_from) FILTER (WHERE dbt_valid_to IS NULL) AS current_version_since,
+            count(*) > 1 AS has_relocated
+        FROM c_hist GROUP BY ALL""",
         "c_hist",
     ),
     "as_of_price_at_sale": with_ctes(
