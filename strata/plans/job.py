@@ -1,4 +1,5 @@
-"""The schedulable job (PIPE-4): ``spark-submit -m strata.plans.job ...`` or ``python -m strata.plans.job``.
+"""The schedulable job (PIPE-4): ``spark-submit --py-files strata.zip strata/plans/job.py ...`` or
+``python -m strata.plans.job ...``.
 
 Reads the five OLTP tables over JDBC (incremental, by watermark), drains the clickstream from a
 Kafka-protocol broker or from a folder of message files, then rebuilds Silver and Gold and runs
