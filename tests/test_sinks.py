@@ -40,3 +40,24 @@ def test_upsert_table_parquet_path(spark, tmp_root):
     upsert_table(spark, t, batch, ["k"], root=tmp_root)  # idempotent
     assert rows(spark.table(t), "k", "v") == [(1, "a2"), (2, "b")]
     assert before.count() == 1  # a DataFrame planned on the old version still reads it
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_root):
+    import glob
+
+    db = f"d{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    schema = "k int, v string, updated_at timestamp, month string"
+    t = f"{db}.t"
+    first = spark.createDataFrame(
+        [(1, "a", ts("2024-01-01"), "2024-01"), (2, "b", ts("2024-02-01"), "2024-02")], schema
+    )
+    upsert_table(spark, t, first, ["k"], root=tmp_root, partition_by=["month"])
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").filter("col_name = 'Location'").first()["data_type"]
+    jan_before = sorted(glob.glob(f"{loc.replace('file:', '')}/month=2024-01/*.parquet"))
+    batch = spark.createDataFrame([(2, "b2", ts("2024-02-05"), "2024-02"), (3, "c", ts("2024-02-06"), "2024-02")], schema)
+    upsert_table(spark, t, batch, ["k"], root=tmp_root, partition_by=["month"])
+    upsert_table(spark, t, batch, ["k"], root=tmp_root, partition_by=["month"])  # idempotent
+    assert rows(spark.table(t), "k", "v", "month") == [(1, "a", "2024-01"), (2, "b2", "2024-02"), (3, "c", "2024-02")]
+    jan_after = sorted(glob.glob(f"{loc.replace('file:', '')}/month=2024-01/*.parquet"))
+    assert jan_before and jan_after == jan_before  # the untouched partition kept its files
