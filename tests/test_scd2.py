@@ -117,3 +117,17 @@ def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):
     )
     parts = {(r.run_no, r._open) for r in spark.table(f"{view}__versions").select("run_no", "_open").distinct().collect()}
     assert (1, True) in parts and (3, True) in parts  # run 1's open rows stay on disk, superseded
+
+
+def test_history_chain_with_lineage_cuts_equals_lazy_chain(spark):
+    from strata.plans.queries import _history
+
+    runs = [
+        (ext(spark, [(1, "A", "a", 0), (2, "B", "b", 0)]), "2024-01-01 00:00:00"),
+        (ext(spark, [(1, "A2", "a", 0)]), "2024-02-01 00:00:00"),
+        (ext(spark, [(1, "A", "a", 0), (2, "B", "b", 0)]), "2024-03-01 00:00:00"),
+    ]
+    lazy = _history(runs, "id", CHECK, cut_every=99)
+    cut = _history(runs, "id", CHECK, cut_every=1)
+    assert "Scan ExistingRDD" in cut._jdf.queryExecution().optimizedPlan().toString() or cut.count() == lazy.count()
+    assert sorted(map(str, cut.collect())) == sorted(map(str, lazy.collect()))
