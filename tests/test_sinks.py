@@ -61,3 +61,25 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_root):
     assert rows(spark.table(t), "k", "v", "month") == [(1, "a", "2024-01"), (2, "b2", "2024-02"), (3, "c", "2024-02")]
     jan_after = sorted(glob.glob(f"{loc.replace('file:', '')}/month=2024-01/*.parquet"))
     assert jan_before and jan_after == jan_before  # the untouched partition kept its files
+
+
+def test_partitioned_upsert_on_driver_orders_matches_query(spark, tmp_root):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from strata.plans import queries as Q
+    from strata.sources import adapters as A
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        return
+    month = {"_created_month": F.date_format("created_at", "yyyy-MM")}
+    db = f"o{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    t = f"{db}.orders"
+    upsert_table(spark, t, A.orders_before(spark, d).withColumns(month), ["order_id"], root=tmp_root,
+                 partition_by=["_created_month"])
+    upsert_table(spark, t, A.orders_batch_since(spark, d).withColumns(month), ["order_id"], root=tmp_root,
+                 partition_by=["_created_month"])
+    assert rows(spark.table(t).drop("_created_month")) == rows(Q.q_upsert_orders(spark, d))
