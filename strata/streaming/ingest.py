@@ -29,17 +29,23 @@ def ingest_stream(
     mode: str = "strict",
     dedup_within: str | None = None,
     wait: bool = True,
+    files_per_batch: int | None = None,
 ):
     """Decode a streaming source and append it to a table or path; block until drained.
 
     ``dedup_within`` (e.g. ``"1 hour"``) drops producer duplicates of ``event_id`` with
     ``dropDuplicatesWithinWatermark`` (ledger L28); off by default, as in the reference.
+    ``files_per_batch`` caps the files each micro-batch writes (a narrow ``coalesce``, no
+    shuffle): a stream drained every few minutes would otherwise leave many small files, and a
+    file sink's table cannot be compacted afterwards without hiding files from its commit log.
     Returns the number of micro-batches run, or the running query when ``wait`` is false (the
     caller then awaits it, e.g. while batch ingest runs on the same session).
     """
     decoded = decode_events(source, mode=mode)
     if dedup_within:
         decoded = decoded.withWatermark("kafka_timestamp", dedup_within).dropDuplicatesWithinWatermark(["event_id"])
+    if files_per_batch:
+        decoded = decoded.coalesce(files_per_batch)
     writer = (
         decoded.writeStream.format(fmt)
         .outputMode("append")

@@ -91,6 +91,16 @@ def test_available_now_checkpointed_reruns(spark, tmp_root):
     assert spark.read.parquet(sink + "-replay").count() == 4
 
 
+def test_files_per_batch_caps_output_files(spark, tmp_root):
+    import glob
+
+    src, sink, ckpt = (os.path.join(tmp_root, p) for p in ("src", "sink", "ckpt"))
+    for i in range(4):
+        _write_batch(spark, src, MSGS[i : i + 1])
+    ingest_stream(file_stream(spark, src), ckpt, path=sink, files_per_batch=1)
+    assert spark.read.parquet(sink).count() == 4 and len(glob.glob(f"{sink}/*.parquet")) == 1
+
+
 def test_dedup_within_watermark_l28(spark, tmp_root):
     src, sink, ckpt = (os.path.join(tmp_root, p) for p in ("src", "sink", "ckpt"))
     _write_batch(spark, src, [MSGS[0], MSGS[0], MSGS[2]])
