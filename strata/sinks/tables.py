@@ -78,7 +78,16 @@ def _partition_specs(spark: SparkSession, name: str) -> list[str]:
     return specs
 
 
+def _same_schema(spark: SparkSession, name: str, df: DataFrame) -> bool:
+    current = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    return current == {f.name: f.dataType for f in df.schema.fields}
+
+
 def _point_table(spark: SparkSession, name: str, path: str, fmt: str, df: DataFrame, partition_by) -> None:
+    if spark.catalog.tableExists(name) and not _same_schema(spark, name, df):
+        # the model's columns changed: SET LOCATION would keep the old schema, so the external
+        # table definition is replaced (its data folders are untouched)
+        spark.sql(f"DROP TABLE {name}")
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         if partition_by:

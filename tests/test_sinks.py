@@ -18,6 +18,15 @@ def test_materialize_rebuild_repoints_and_keeps_old_version(spark, tmp_root):
     assert rows(old_reader) == [(1, "a")]  # the previous version is still readable
 
 
+def test_materialize_follows_a_schema_change(spark, tmp_root):
+    db = f"s{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    materialize(spark.createDataFrame([(1, "a")], "k int, v string"), f"{db}.t", tmp_root)
+    materialize(spark.createDataFrame([(1, "a", 2.5)], "k int, v string, w double"), f"{db}.t", tmp_root)
+    assert spark.table(f"{db}.t").columns == ["k", "v", "w"]
+    assert rows(spark.table(f"{db}.t")) == [(1, "a", 2.5)]
+
+
 def test_materialize_partitioned(spark, tmp_root):
     db = f"p{uuid.uuid4().hex[:6]}"
     spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
