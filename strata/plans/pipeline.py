@@ -103,6 +103,17 @@ def setup(spark: SparkSession, layout: Layout) -> list[str]:
     return [r[0] for r in spark.sql("SHOW DATABASES").collect()]
 
 
+def list_layers(spark: SparkSession, layout: Layout) -> DataFrame:
+    """DDL-3: the tables and views of every layer, as a DataFrame ``(layer, name, kind)``."""
+    rows = [
+        (layer, t.name, t.tableType)
+        for layer in LAYERS
+        if spark.catalog.databaseExists(layout.db(layer))
+        for t in spark.catalog.listTables(layout.db(layer))
+    ]
+    return spark.createDataFrame(rows, "layer string, name string, kind string")
+
+
 def ingest_batch(
     spark: SparkSession,
     layout: Layout,

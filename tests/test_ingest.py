@@ -163,6 +163,10 @@ def test_pipe4_whole_run(spark, tmp_root):
     assert (ltv.first_name, ltv.total_orders, ltv.days_since_last_order) == ("Ann", 1, 9)
     assert spark.table(f"{layout.db('silver')}.customers_snapshot").count() == 1
     assert spark.table(f"{layout.db('silver')}.silver_products_current_flag").first().is_current
+    from strata.plans.pipeline import list_layers
+
+    listed = {(r.layer, r.name) for r in list_layers(spark, layout).collect()}
+    assert {("bronze", "orders"), ("silver", "customers_snapshot"), ("gold", "gold_customer_ltv")} <= listed
     funnel_row = spark.table(f"{layout.db('gold')}.gold_clickstream_funnel").first()
     assert (funnel_row.total_sessions, funnel_row.sessions_checkout) == (1, 1)
     assert ("bronze.clickstream_events", "unique", "event_id") in result
