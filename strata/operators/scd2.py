@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.compare import changed, version_id
@@ -142,6 +142,10 @@ def version_stats(history: DataFrame, key: str = "customer_id") -> DataFrame:
     return stats.withColumn("has_relocated", F.col("number_of_profile_changes") > 0)
 
 
+# Largest number of versions per key for which the equi + range join is used (its per-fact cost).
+DEFAULT_MAX_VERSIONS_PER_KEY = 1000
+
+
 def as_of_join(
     facts: DataFrame,
     history: DataFrame,
@@ -151,16 +155,32 @@ def as_of_join(
     prefix: str = "",
     how: str = "left",
     fact_key: str | None = None,
+    strategy: str = "auto",
+    max_versions_per_key: int = DEFAULT_MAX_VERSIONS_PER_KEY,
 ) -> DataFrame:
     """Attach to each fact the version valid at its time: ``from <= t < coalesce(to, +inf)``.
 
-    An equi-join on the key with a range residual.  Versions per key do not overlap, so a fact
-    matches at most one version and the join cannot fan out.  A hot key on the fact side is a
-    skewed sort-merge partition, which AQE's skew-join split handles (facts are the streamed
-    side of a left join); the history side per key is bounded by its number of versions.
-    Facts before the first version get NULLs.
+    Versions of a key do not overlap, so a fact matches at most one version and nothing fans
+    out; facts before the first version (or in a gap after a hard delete) get NULLs.
+
+    * ``"range"``: an equi-join on the key with the range as residual.  Every fact is compared
+      with every version of its key, so the cost per fact is the number of versions of that
+      key; a hot key on the fact side is a skewed sort-merge partition that AQE splits.
+    * ``"sorted"``: facts and version starts are merged in time order per key and the last
+      version start is carried forward (a running ``last`` over a window); facts then join
+      the history on ``(key, version start)``, unique on the history side.  O(n log n), no
+      pairwise comparisons, whatever the number of versions.
+    * ``"auto"``: measure the largest number of versions of one key (an aggregate over the
+      history, which is small next to the facts) and use ``"range"`` when it is within
+      ``max_versions_per_key``, else ``"sorted"``.
     """
+    if strategy not in ("auto", "range", "sorted"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     fk = fact_key or key
+    if strategy == "auto":
+        row = history.groupBy(key).count().agg(F.max("count").alias("m")).first()
+        most = int(row["m"] or 0) if row else 0
+        strategy = "range" if most <= max_versions_per_key else "sorted"
     h = history.select(
         F.col(key).alias("_h_key"),
         F.col(VALID_FROM).alias("_h_from"),
@@ -168,5 +188,44 @@ def as_of_join(
         *[F.col(c).alias(f"{prefix}{c}") for c in columns],
     )
     t = F.col(fact_time)
-    cond = (F.col(fk) == F.col("_h_key")) & (t >= F.col("_h_from")) & (F.col("_h_to").isNull() | (t < F.col("_h_to")))
-    return facts.join(h, cond, how).drop("_h_key", "_h_from", "_h_to")
+    if strategy == "range":
+        cond = (F.col(fk) == F.col("_h_key")) & (t >= F.col("_h_from")) & (F.col("_h_to").isNull() | (t < F.col("_h_to")))
+        return facts.join(h, cond, how).drop("_h_key", "_h_from", "_h_to")
+
+    # sorted: carry the start of the latest version forward through the facts of each key
+    from_type = history.schema[VALID_FROM].dataType
+    fact_struct = F.struct(*[F.col(c) for c in facts.columns])
+    events = facts.select(
+        F.col(fk).alias("_k"), t.alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(from_type).alias("_vfrom"), fact_struct.alias("_fact"),
+    ).unionByName(
+        history.select(
+            F.col(key).alias("_k"), F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_kind"),
+            F.col(VALID_FROM).alias("_vfrom"), F.lit(None).cast(facts.select(fact_struct).schema[0].dataType).alias("_fact"),
+        )
+    )
+    # a version starting at the fact's instant covers it: versions sort before facts on ties
+    w = Window.partitionBy("_k").orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    located = (
+        events.withColumn("_cur", F.last("_vfrom", ignorenulls=True).over(w))
+        .filter(F.col("_kind") == 1)
+        .select(
+            "_fact.*",
+            F.when(F.col("_k").isNotNull() & F.col("_t").isNotNull(), F.col("_cur")).alias("_cur"),
+            F.col("_k").alias("_fk"),
+            F.col("_t").alias("_ft"),
+        )
+    )
+    cond = (F.col("_fk") == F.col("_h_key")) & (F.col("_cur") == F.col("_h_from"))
+    joined = located.join(h, cond, "left")
+    inside = F.col("_h_to").isNull() | (F.col("_ft") < F.col("_h_to"))
+    out = joined.select(
+        *[F.col(c) for c in facts.columns],
+        *[F.when(inside, F.col(f"{prefix}{c}")).alias(f"{prefix}{c}") for c in columns],
+        (F.col("_h_key").isNotNull() & inside).alias("_matched"),
+    )
+    if how == "inner":
+        out = out.filter(F.col("_matched"))
+    elif how != "left":
+        raise ValueError("the sorted strategy supports how='left' or 'inner'")
+    return out.drop("_matched")

@@ -1,5 +1,6 @@
 """SCD-1..7: snapshot cases, invariants, current flag, version stats, as-of join (L24/L25/L26/L32)."""
 
+import datetime as dt
 from decimal import Decimal
 
 from conftest import ts
@@ -89,8 +90,37 @@ def test_scd7_as_of_join(spark):
         [(1, 7, ts("2023-12-31")), (2, 7, ts("2024-01-15")), (3, 7, ts("2024-02-01")), (4, 8, ts("2024-03-01"))],
         "sale_id int, id int, sold_at timestamp",
     )
-    out = {r.sale_id: r.price for r in as_of_join(facts, hist, "id", "sold_at", ["price"]).collect()}
-    assert out == {1: None, 2: Decimal("1.00"), 3: Decimal("2.00"), 4: None}
+    for strategy in ("auto", "range", "sorted"):
+        got = as_of_join(facts, hist, "id", "sold_at", ["price"], strategy=strategy)
+        out = {r.sale_id: r.price for r in got.collect()}
+        assert out == {1: None, 2: Decimal("1.00"), 3: Decimal("2.00"), 4: None}, strategy
+        assert got.columns == ["sale_id", "id", "sold_at", "price"]
+
+
+def test_scd7_sorted_equals_range_on_random_histories(spark):
+    import random
+
+    rnd = random.Random(11)
+    hist, facts = [], []
+    for k in [1, 2, 3, None]:
+        t, n = 0, (300 if k == 1 else rnd.randrange(1, 6))  # key 1: a hot key with many versions
+        for v in range(n):
+            start = t + rnd.randrange(0, 3)  # 0: back-to-back versions
+            end = start + rnd.randrange(1, 5)
+            last = v == n - 1 and rnd.random() < 0.5
+            hist.append((k, v, ts("2024-01-01") + dt.timedelta(hours=start),
+                         None if last else ts("2024-01-01") + dt.timedelta(hours=end)))
+            t = end
+        for i in range(60):
+            at = None if rnd.random() < 0.05 else ts("2024-01-01") + dt.timedelta(hours=rnd.randrange(-2, t + 3))
+            facts.append((len(facts), k, at))
+    h = spark.createDataFrame(hist, "id int, ver int, dbt_valid_from timestamp, dbt_valid_to timestamp")
+    f = spark.createDataFrame(facts, "fid int, id int, at timestamp")
+    a = as_of_join(f, h, "id", "at", ["ver"], strategy="range")
+    b = as_of_join(f, h, "id", "at", ["ver"], strategy="sorted")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    plan = as_of_join(f, h, "id", "at", ["ver"], max_versions_per_key=10)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan  # auto switched to the sorted path for the hot key
 
 
 def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):
