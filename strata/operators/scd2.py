@@ -157,6 +157,7 @@ def as_of_join(
     fact_key: str | None = None,
     strategy: str = "auto",
     max_versions_per_key: int = DEFAULT_MAX_VERSIONS_PER_KEY,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Attach to each fact the version valid at its time: ``from <= t < coalesce(to, +inf)``.
 
@@ -167,9 +168,10 @@ def as_of_join(
       with every version of its key, so the cost per fact is the number of versions of that
       key; a hot key on the fact side is a skewed sort-merge partition that AQE splits.
     * ``"sorted"``: facts and version starts are merged in time order per key and the last
-      version start is carried forward (a running ``last`` over a window); facts then join
-      the history on ``(key, version start)``, unique on the history side.  O(n log n), no
-      pairwise comparisons, whatever the number of versions.
+      version start is carried forward (``sequence_within_groups`` forward fill: a window, or
+      the range path when one key is too big for a task); facts then join the history on
+      ``(key, version start)``, unique on the history side.  O(n log n), no pairwise
+      comparisons, whatever the number of versions.
     * ``"auto"``: measure the largest number of versions of one key (an aggregate over the
       history, which is small next to the facts) and use ``"range"`` when it is within
       ``max_versions_per_key``, else ``"sorted"``.
@@ -192,29 +194,30 @@ def as_of_join(
         cond = (F.col(fk) == F.col("_h_key")) & (t >= F.col("_h_from")) & (F.col("_h_to").isNull() | (t < F.col("_h_to")))
         return facts.join(h, cond, how).drop("_h_key", "_h_from", "_h_to")
 
-    # sorted: carry the start of the latest version forward through the facts of each key
+    # sorted: carry the start of the latest version forward through the facts of each key.  The
+    # forward fill runs on sequence_within_groups, which measures the largest key and splits a
+    # hot one over tasks, so a key hot on both sides is not confined to one task either.
+    from strata.operators.sequence import sequence_within_groups
+
     from_type = history.schema[VALID_FROM].dataType
-    fact_struct = F.struct(*[F.col(c) for c in facts.columns])
     events = facts.select(
-        F.col(fk).alias("_k"), t.alias("_t"), F.lit(1).alias("_kind"),
-        F.lit(None).cast(from_type).alias("_vfrom"), fact_struct.alias("_fact"),
+        *facts.columns, F.col(fk).alias("_k"), t.alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(from_type).alias("_vfrom"),
     ).unionByName(
         history.select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields],
             F.col(key).alias("_k"), F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_kind"),
-            F.col(VALID_FROM).alias("_vfrom"), F.lit(None).cast(facts.select(fact_struct).schema[0].dataType).alias("_fact"),
+            F.col(VALID_FROM).alias("_vfrom"),
         )
     )
     # a version starting at the fact's instant covers it: versions sort before facts on ties
-    w = Window.partitionBy("_k").orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    located = (
-        events.withColumn("_cur", F.last("_vfrom", ignorenulls=True).over(w))
-        .filter(F.col("_kind") == 1)
-        .select(
-            "_fact.*",
-            F.when(F.col("_k").isNotNull() & F.col("_t").isNotNull(), F.col("_cur")).alias("_cur"),
-            F.col("_k").alias("_fk"),
-            F.col("_t").alias("_ft"),
-        )
+    bound = {"max_group_rows": max_group_rows} if max_group_rows is not None else {}
+    filled = sequence_within_groups(events, "_k", ["_t", "_kind"], [], fill_cols=["_vfrom"], **bound)
+    located = filled.filter(F.col("_kind") == 1).select(
+        *facts.columns,
+        F.when(F.col("_k").isNotNull() & F.col("_t").isNotNull(), F.col("_fill__vfrom")).alias("_cur"),
+        F.col("_k").alias("_fk"),
+        F.col("_t").alias("_ft"),
     )
     cond = (F.col("_fk") == F.col("_h_key")) & (F.col("_cur") == F.col("_h_from"))
     joined = located.join(h, cond, "left")

@@ -55,8 +55,12 @@ def sequence_within_groups(
     prev_prefix: str = "_prev_",
     strategy: str = "auto",
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    fill_cols: Sequence[str] = (),
+    fill_prefix: str = "_fill_",
 ) -> DataFrame:
-    """Add ``seq_col`` (1-based position in the group) and ``prev_prefix + c`` for each carry column.
+    """Add ``seq_col`` (1-based position in the group), ``prev_prefix + c`` for each carry column
+    (the previous row's value) and ``fill_prefix + c`` for each fill column (the last non-null
+    value up to and including the row: a forward fill).
 
     Ordering is ascending with NULLs first on ``group_col`` and ``order_cols``; give order columns
     that make the order total (ties are otherwise broken arbitrarily, as in SQL).
@@ -69,15 +73,21 @@ def sequence_within_groups(
     if strategy == "window":
         order = [F.col(c).asc_nulls_first() for c in order_cols]
         w = Window.partitionBy(group_col).orderBy(*order)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
         return df.select(
             "*",
             F.row_number().over(w).cast("long").alias(seq_col),
             *[F.lag(c).over(w).alias(f"{prev_prefix}{c}") for c in carry_cols],
+            *[F.last(c, ignorenulls=True).over(upto).alias(f"{fill_prefix}{c}") for c in fill_cols],
         )
-    return _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix)
+    return _sequence_by_range(
+        df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix, list(fill_cols), fill_prefix
+    )
 
 
-def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix) -> DataFrame:
+def _sequence_by_range(
+    df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix, fill_cols=(), fill_prefix="_fill_"
+) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in (group_col, *order_cols)]
@@ -90,6 +100,7 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
     )
 
     carry = list(carry_cols)
+    fills = list(fill_cols)
     local_schema = T.StructType(
         list(ranged.schema.fields)
         + [
@@ -97,6 +108,7 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
             T.StructField("_head", T.BooleanType(), False),
         ]
         + [T.StructField(f"_lprev_{c}", ranged.schema[c].dataType, True) for c in carry]
+        + [T.StructField(f"_lfill_{c}", ranged.schema[c].dataType, True) for c in fills]
     )
 
     def local_pass(batches):
@@ -108,6 +120,7 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
         unset = object()
         last_pid, last_key, last_null, last_seq, last_head = unset, None, False, 0, False
         last_vals = {c: None for c in carry}
+        last_fill = {c: None for c in fills}
         for pdf in batches:
             m = len(pdf)
             if m == 0:
@@ -146,9 +159,18 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
                     prev.iloc[0] = last_vals[c]
                 prev[new] = None
                 out[f"_lprev_{c}"] = prev
+            gidx = np.cumsum(new)  # 0 = the group continued from the previous batch
+            for c in fills:
+                filled = pdf[c].groupby(gidx).ffill()
+                if not new[0] and last_fill[c] is not None:
+                    filled[(gidx == 0) & filled.isna().to_numpy()] = last_fill[c]
+                out[f"_lfill_{c}"] = filled
             last_pid, last_key, last_null = pid[-1], key.iloc[-1], bool(isnull[-1])
             last_seq, last_head = int(seq[-1]), bool(head[-1])
             last_vals = {c: pdf[c].iloc[-1] for c in carry}
+            for c in fills:
+                v = out[f"_lfill_{c}"].iloc[-1]
+                last_fill[c] = None if pd.isna(v) else v
             yield out
 
     local = ranged.mapInPandas(local_pass, local_schema)
@@ -167,6 +189,8 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
         F.count(F.lit(1)).alias("_cnt"),
         F.max_by(F.struct(*[F.col(c).alias(c) for c in carry]), order_struct).alias("_tail"),
         F.max(is_first.cast("int")).alias("_is_first"),
+        # last non-null value of each fill column in this slice's part of the group
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(f"_lastnn_{c}") for c in fills],
     )
     w = Window.partitionBy(group_col).orderBy("_pid")
     corr = (
@@ -175,6 +199,12 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
             "_is_first",
             F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
             *[F.lag(F.col(f"_tail.{c}")).over(w).alias(f"_cprev_{c}") for c in carry],
+            *[
+                F.last(f"_lastnn_{c}", ignorenulls=True)
+                .over(w.rowsBetween(Window.unboundedPreceding, -1))
+                .alias(f"_cfill_{c}")
+                for c in fills
+            ],
         )
         .filter(F.col("_is_first") == 1)
         .drop("_is_first")
@@ -188,4 +218,7 @@ def _sequence_by_range(df, group_col, order_cols, carry_cols, num_partitions, se
     cols.append(F.when(head, F.col("_lseq") + F.col("_offset")).otherwise(F.col("_lseq")).alias(seq_col))
     for c in carry:
         cols.append(F.when(first_row, F.col(f"_cprev_{c}")).otherwise(F.col(f"_lprev_{c}")).alias(f"{prev_prefix}{c}"))
+    for c in fills:
+        carried = head & F.col(f"_lfill_{c}").isNull()
+        cols.append(F.when(carried, F.col(f"_cfill_{c}")).otherwise(F.col(f"_lfill_{c}")).alias(f"{fill_prefix}{c}"))
     return joined.select(*cols)

@@ -121,6 +121,9 @@ def test_scd7_sorted_equals_range_on_random_histories(spark):
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
     plan = as_of_join(f, h, "id", "at", ["ver"], max_versions_per_key=10)._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan  # auto switched to the sorted path for the hot key
+    c = as_of_join(f, h, "id", "at", ["ver"], strategy="sorted", max_group_rows=10)  # hot key split over tasks
+    assert "MapInPandas" in c._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, c.collect()), key=str)
 
 
 def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):

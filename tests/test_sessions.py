@@ -117,3 +117,21 @@ def test_l21_funnel_over_zero_sessions(spark):
     assert r.total_sessions == 0 and r.anonymous_sessions is None and r.identified_sessions is None
     assert r.pct_page_to_product is None
     spark.catalog.clearCache()
+
+
+def test_forward_fill_range_equals_window(spark):
+    rnd = random.Random(5)
+    data = []
+    for i in range(2500):
+        g = "hot" if rnd.random() < 0.5 else (None if rnd.random() < 0.05 else f"s{rnd.randrange(50)}")
+        data.append((g, rnd.randrange(5000), i, None if rnd.random() < 0.6 else rnd.randrange(100)))
+    df = spark.createDataFrame(data, "g string, t long, e long, f long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        cols = ("g", "t", "e", "f", "_seq", "_fill_f")
+        a = sequence_within_groups(df, "g", ["t", "e"], [], num_partitions=7, strategy="range", fill_cols=["f"])
+        b = sequence_within_groups(df, "g", ["t", "e"], [], strategy="window", fill_cols=["f"])
+        assert rows(a, *cols) == rows(b, *cols)
+        assert a.filter("f is not null and _fill_f != f").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
