@@ -82,11 +82,19 @@ groups = st.lists(
 @SETTINGS
 @given(data=groups, n=st.integers(1, 5))
 def test_range_sequencing_equals_window(spark, data, n):
-    df = spark.createDataFrame([(g, t, i) for i, (g, t) in enumerate(data)], "g string, t long, e long")
-    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], num_partitions=n, strategy="range")
+    df = spark.createDataFrame(
+        [(g, t, i, t if t % 3 == 0 else None) for i, (g, t) in enumerate(data)], "g string, t long, e long, f long"
+    )
+    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], num_partitions=n, strategy="range", fill_cols=["f"])
     w = Window.partitionBy("g").orderBy("t", "e")
-    ref = df.select("*", F.row_number().over(w).cast("long").alias("_seq"), F.lag("t").over(w).alias("_prev_t"))
-    assert rows(got, "g", "t", "e", "_seq", "_prev_t") == rows(ref, "g", "t", "e", "_seq", "_prev_t")
+    ref = df.select(
+        "*",
+        F.row_number().over(w).cast("long").alias("_seq"),
+        F.lag("t").over(w).alias("_prev_t"),
+        F.last("f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_fill_f"),
+    )
+    cols = ("g", "t", "e", "_seq", "_prev_t", "_fill_f")
+    assert rows(got, *cols) == rows(ref, *cols)
 
 
 orders = st.lists(
