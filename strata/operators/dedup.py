@@ -6,6 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return True
 
 
 def default_ties(columns: Sequence[str], keys: Sequence[str], order_cols: Sequence[str]) -> list[str]:
@@ -30,7 +41,8 @@ def keep_latest(
     so a key holding a third of all rows still leaves each map task as a single row; only the
     winners are exchanged.  NULL keys form one group, as in SQL.
     """
-    order = [F.col(c).desc_nulls_last() for c in (*order_cols, *tie_cols)]
+    ties = [c for c in tie_cols if _orderable(df.schema[c].dataType)]  # maps cannot be ordered
+    order = [F.col(c).desc_nulls_last() for c in (*order_cols, *ties)]
     if not order:  # nothing to rank by: every row of a key is equally "latest"
         return df.dropDuplicates(list(keys))
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -39,6 +39,11 @@ def test_keep_latest_without_order_columns(spark):
     assert rows(keep_latest(df, ["k"], [])) == [(1,), (2,)]
 
 
+def test_keep_latest_skips_unorderable_ties(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k int, u int, m map<string,int>")
+    assert rows(keep_latest(df, ["k"], ["u"], ["m"]), "k", "u") == [(1, 2)]
+
+
 def test_win1_plan_limits_before_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as u")
     plan = keep_latest(df, ["k"], ["u"])._jdf.queryExecution().executedPlan().toString()
