@@ -168,3 +168,23 @@ def test_history_chain_with_lineage_cuts_equals_lazy_chain(spark):
 
     assert checkpointed(cut) and not checkpointed(lazy)
     assert sorted(map(str, cut.collect())) == sorted(map(str, lazy.collect()))
+
+
+def test_snk7_crashed_run_stays_invisible_and_is_replaced(spark, tmp_root):
+    import uuid
+
+    from strata.sinks.snapshots import committed_run, snapshot_run
+
+    db = f"c{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    view = f"{db}.hist"
+    snapshot_run(spark, view, ext(spark, [(1, "A", "a", 0)]), "id", CHECK, "2024-01-01 00:00:00", tmp_root)
+    # a run that died after registering its partitions, before the commit (the view replace)
+    bogus = run(spark, None, [(9, "ZZ", "z", 0)], "2024-01-15 00:00:00")
+    bogus.write.parquet(f"{tmp_root}/crashed/_open=true")
+    spark.sql(f"ALTER TABLE {view}__versions ADD PARTITION (run_no=2, _open=true) LOCATION '{tmp_root}/crashed/_open=true'")
+    assert committed_run(spark, view) == 1
+    assert [r.id for r in spark.table(view).collect()] == [1]  # the orphan is not visible
+    snapshot_run(spark, view, ext(spark, [(1, "B", "a", 0)]), "id", CHECK, "2024-02-01 00:00:00", tmp_root)
+    assert committed_run(spark, view) == 2
+    assert sorted((r.id, r.a) for r in spark.table(view).collect()) == [(1, "A"), (1, "B")]
