@@ -15,16 +15,20 @@ def _c(col: str | Column) -> Column:
 
 
 def trimmed(col: str | Column) -> Column:
+    """``trim`` (spaces at both ends)."""
     return F.trim(_c(col))
 
 
 def upper_trim(col: str | Column) -> Column:
+    """``upper(trim(x))``: status and method codes."""
     return F.upper(F.trim(_c(col)))
 
 
 def lower_trim(col: str | Column) -> Column:
+    """``lower(trim(x))``: emails, event types."""
     return F.lower(F.trim(_c(col)))
 
 
 def initcap_trim(col: str | Column) -> Column:
+    """``initcap(trim(x))``: names and cities (L11)."""
     return F.initcap(F.trim(_c(col)))

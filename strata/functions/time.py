@@ -37,4 +37,5 @@ def elapsed_seconds(later: str | Column, earlier: str | Column) -> Column:
 
 
 def to_day(col: str | Column) -> Column:
+    """The calendar day of a timestamp (``date(x)``)."""
     return F.to_date(_c(col))

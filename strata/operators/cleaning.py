@@ -35,6 +35,8 @@ def _latest(df: DataFrame, key: str, columns: Sequence[str], order_col: str, tie
 
 
 def silver_customers(bronze: DataFrame, tie_cols: Sequence[str] | None = None) -> DataFrame:
+    """DS-1: latest row per customer; rows without email or id dropped after the dedup (L7);
+    names and city in ``initcap``, email lower-cased, the other columns passed through (L10)."""
     latest = _latest(bronze, "customer_id", CUSTOMER_COLUMNS, "updated_at", tie_cols)
     return latest.filter(F.col("email").isNotNull() & F.col("customer_id").isNotNull()).select(
         "customer_id",
@@ -55,6 +57,7 @@ def silver_customers(bronze: DataFrame, tie_cols: Sequence[str] | None = None) -
 
 
 def silver_products(bronze: DataFrame, tie_cols: Sequence[str] | None = None) -> DataFrame:
+    """DS-2: latest row per product with a non-negative price; text columns trimmed only (L10)."""
     latest = _latest(bronze, "product_id", PRODUCT_COLUMNS, "updated_at", tie_cols)
     return latest.filter(F.col("price") >= 0).select(
         "product_id",
@@ -71,6 +74,8 @@ def silver_products(bronze: DataFrame, tie_cols: Sequence[str] | None = None) ->
 
 
 def silver_orders(bronze: DataFrame, tie_cols: Sequence[str] | None = None) -> DataFrame:
+    """DS-3: latest row per order with ids and a non-negative amount (NULL fails, L9); status
+    upper-cased, shipping city in ``initcap``."""
     latest = _latest(bronze, "order_id", ORDER_COLUMNS, "updated_at", tie_cols)
     valid = F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (F.col("total_amount") >= 0)
     return latest.filter(valid).select(
@@ -100,6 +105,7 @@ def silver_order_items(bronze: DataFrame) -> DataFrame:
 
 
 def silver_payments(bronze: DataFrame, tie_cols: Sequence[str] | None = None) -> DataFrame:
+    """DS-5: latest row per payment with a non-negative amount; method and status upper-cased."""
     latest = _latest(bronze, "payment_id", PAYMENT_COLUMNS, "updated_at", tie_cols)
     return latest.filter(F.col("amount") >= 0).select(
         "payment_id",

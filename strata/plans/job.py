@@ -21,6 +21,7 @@ from strata.streaming.kafka import kafka_options, kafka_stream
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
+    """Command-line options of the job."""
     ap = argparse.ArgumentParser(prog="strata.plans.job", description=__doc__)
     ap.add_argument("--root", required=True, help="storage root of the lake (landing/bronze/silver/gold)")
     ap.add_argument("--prefix", default="", help="database name prefix (one lake per prefix)")
@@ -40,6 +41,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run the selected steps; exit code 1 when a data test fails."""
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = build_session()
     props = {}

@@ -25,6 +25,7 @@ CUTOFF = "TIMESTAMP '2000-01-01 00:00:00'"
 
 
 def initcap(x: str) -> str:
+    """Spark's ``initcap`` in DuckDB: split on single spaces, upper first letter, lower the rest."""
     return (
         f"(CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_transform("
         f"string_split(lower({x}), ' '), lambda w: upper(w[1]) || w[2:]), ' ') END)"
@@ -49,6 +50,7 @@ def half_up_div_cents(num: str, den: str, target: str) -> str:
 
 
 def spark_round_double(x: str) -> str:
+    """Spark's ``round(double, 2)``: half-up on the shortest decimal form of the double."""
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), 2) AS DOUBLE)"
 
 
@@ -63,6 +65,7 @@ SIGNUP = "CAST(DATE '1990-01-01' + CAST(c.c_custkey % 1000 AS INTEGER) AS TIMEST
 
 
 def b_customers(run: int) -> str:
+    """The Bronze customers mapping (``run`` 2 = the changed extract), as in the adapters."""
     city = "n.n_name"
     where = ""
     if run == 2:
@@ -89,6 +92,7 @@ def b_customers(run: int) -> str:
 
 
 def b_products(run: int) -> str:
+    """The Bronze products mapping (``run`` 2 = the changed extract), as in the adapters."""
     price = "CAST(p_retailprice AS DECIMAL(10,2))"
     stock = "CAST(p_size * 3 - 20 AS INTEGER)"
     discontinued = "p_size > 45"
@@ -171,6 +175,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
 def cte(name: str, body: str, deps: Sequence[str] = ()) -> None:
+    """Register a named CTE and the CTEs it reads."""
     CTES[name] = (body, tuple(deps))
 
 
@@ -356,6 +361,7 @@ cte("p_flag", "SELECT *, dbt_valid_to IS NULL AS is_current FROM p_hist", ["p_hi
 
 
 def with_ctes(select: str, *needed: str) -> str:
+    """``WITH`` the needed CTEs (and their dependencies, in order) followed by ``select``."""
     order: list[str] = []
 
     def visit(n: str) -> None:

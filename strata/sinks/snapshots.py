@@ -34,6 +34,7 @@ def _mkdirs(spark: SparkSession, path: str) -> None:
 
 
 def committed_run(spark: SparkSession, view: str) -> int:
+    """The run number recorded by the last commit of ``view`` (0 before the first run)."""
     if not spark.catalog.tableExists(view):
         return 0
     rows = spark.sql(f"SHOW TBLPROPERTIES {view}").filter(F.col("key") == RUN_PROPERTY).collect()

@@ -187,6 +187,8 @@ def orders_batch_since(spark: SparkSession, sf_dir: str, cutoff: str = UPSERT_CU
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze ``order_items``, one per line item; ``order_item_id`` repeats in this data (a real
+    finding of the unique test on the raw source)."""
     li = read(spark, sf_dir, "lineitem")
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
