@@ -105,7 +105,13 @@ def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server's setting applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must be set on the Spark Connect server") from None
+        return configured
     configured = _conf_checkpoint_dir(spark)
     current = sc.getCheckpointDir()
     if configured:
