@@ -84,3 +84,14 @@ def test_l2_source_is_read_once_per_run(spark, tmp_root):
                      layout.control_table, layout.tables, run_date="2024-01-02")
     assert r.rows == 50
     assert reads.value == 50  # landed once; count, merge and watermark all read the landed batch
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from strata.session import scale_conf
+
+    big = scale_conf(100 * 10**12, 8000)
+    assert 150_000 < int(big["spark.sql.shuffle.partitions"]) <= 200_000
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
+    small = scale_conf(50 * 10**6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"  # at least two tasks per core
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
