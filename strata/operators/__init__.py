@@ -20,7 +20,7 @@ from strata.operators.quality import (
 from strata.operators.sales import customer_ltv, daily_sales
 from strata.operators.scd2 import as_of_join, current_flag, snapshot, version_stats
 from strata.operators.sequence import sequence_within_groups
-from strata.operators.sessions import funnel, sessionize
+from strata.operators.sessions import funnel, session_events, sessionize
 from strata.operators.upsert import merge_frames
 
 __all__ = [
@@ -45,6 +45,7 @@ __all__ = [
     "version_stats",
     "sequence_within_groups",
     "funnel",
+    "session_events",
     "sessionize",
     "merge_frames",
 ]

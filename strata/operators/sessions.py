@@ -27,6 +27,23 @@ FUNNEL_STAGES = (
 )
 
 
+def session_events(
+    events: DataFrame,
+    time_col: str = "event_time",
+    type_col: str = "event_type",
+    customer_col: str = "customer_id",
+) -> DataFrame:
+    """The per-event part of Silver sessions, without the sequence: drops events whose time
+    failed to parse (FLT-3), normalises the type (PRJ-8) and adds the per-event anonymous flag
+    (PRJ-10, ledger L14).  Aggregates over sessions (funnel, per-customer clicks) need only this."""
+    passthrough = [c for c in EVENT_COLUMNS if c in events.columns]
+    return (
+        events.filter(F.col(time_col).isNotNull())
+        .withColumn(type_col, lower_trim(type_col))
+        .select(*passthrough, F.col(customer_col).isNull().alias("is_anonymous_session"))
+    )
+
+
 def sessionize(
     events: DataFrame,
     session_col: str = "session_id",
@@ -40,14 +57,13 @@ def sessionize(
 ) -> DataFrame:
     """Silver ``silver_clickstream_sessions``: one row per event with its place in the session.
 
-    Drops events whose time failed to parse (FLT-3), normalises the type (PRJ-8), numbers events
-    by time within the session with ``tie_cols`` as tie-break (WIN-2, ledger L8), takes the
-    previous event's time and type (WIN-3, WIN-4), the whole-second gap (PRJ-9) and the
-    per-event anonymous flag (PRJ-10, ledger L14).  A session larger than ``max_session_rows``
+    ``session_events`` plus the sequence: events numbered by time within the session with
+    ``tie_cols`` as tie-break (WIN-2, ledger L8), the previous event's time and type (WIN-3,
+    WIN-4) and the whole-second gap (PRJ-9).  A session larger than ``max_session_rows``
     (measured first) switches to the range path that splits it across tasks (see
     ``sequence_within_groups``).
     """
-    src = events.filter(F.col(time_col).isNotNull()).withColumn(type_col, lower_trim(type_col))
+    src = session_events(events, time_col, type_col, customer_col)
     seq = sequence_within_groups(
         src,
         group_col=session_col,
@@ -63,7 +79,7 @@ def sessionize(
         F.col("_seq").cast("int").alias("event_sequence_in_session"),
         F.col(f"_prev_{type_col}").alias("previous_event_type"),
         elapsed_seconds(time_col, f"_prev_{time_col}").alias("seconds_since_previous_event"),
-        F.col(customer_col).isNull().alias("is_anonymous_session"),
+        "is_anonymous_session",
     )
 
 

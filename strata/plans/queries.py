@@ -22,7 +22,7 @@ from strata.operators.joins import click_order_join
 from strata.operators.quality import ALL_RULES, foreign_key_violations, row_counts, run_checks
 from strata.operators.sales import customer_ltv, daily_sales
 from strata.operators.scd2 import VALID_FROM, as_of_join, current_flag, snapshot, version_stats
-from strata.operators.sessions import funnel, sessionize
+from strata.operators.sessions import funnel, session_events, sessionize
 from strata.operators.upsert import merge_frames
 from strata.plans import reports
 from strata.plans.pipeline import CUSTOMER_SNAPSHOT, PRODUCT_SNAPSHOT
@@ -97,7 +97,8 @@ def q_gold_customer_ltv(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_gold_clickstream_funnel(spark: SparkSession, d: str) -> DataFrame:
-    return funnel(q_silver_clickstream_sessions(spark, d))
+    # the funnel reads session, type and anonymous flag only: the sequence is not needed
+    return funnel(session_events(A.clickstream_events(spark, d)))
 
 
 # --- Snapshots (three runs: base, changed/deleted, restored) -------------------------------
@@ -167,7 +168,7 @@ def q_as_of_price_at_sale(spark: SparkSession, d: str) -> DataFrame:
 
 # --- Joins, upsert, ingest ---------------------------------------------------------------------
 def q_click_order_join(spark: SparkSession, d: str) -> DataFrame:
-    return click_order_join(q_silver_clickstream_sessions(spark, d), q_silver_orders(spark, d))
+    return click_order_join(session_events(A.clickstream_events(spark, d)), q_silver_orders(spark, d))
 
 
 def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
