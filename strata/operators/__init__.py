@@ -18,7 +18,7 @@ from strata.operators.quality import (
     unique_violations,
 )
 from strata.operators.sales import customer_ltv, daily_sales
-from strata.operators.scd2 import as_of_join, current_flag, snapshot, version_stats
+from strata.operators.scd2 import as_of_join, current_flag, snapshot, snapshot_changes, version_stats
 from strata.operators.sequence import sequence_within_groups
 from strata.operators.sessions import funnel, session_events, sessionize
 from strata.operators.upsert import merge_frames
@@ -42,6 +42,7 @@ __all__ = [
     "as_of_join",
     "current_flag",
     "snapshot",
+    "snapshot_changes",
     "version_stats",
     "sequence_within_groups",
     "funnel",
