@@ -27,14 +27,16 @@ from strata.operators.quality import ALL_RULES, REPORT_SCHEMA, run_checks
 from strata.operators.sales import customer_ltv, daily_sales
 from strata.operators.scd2 import version_stats
 from strata.operators.sessions import funnel, sessionize
-from strata.sinks.snapshots import snapshot_run
-from strata.sinks.tables import materialize
+from strata.sinks.snapshots import snapshot_run, vacuum_snapshot
+from strata.sinks.tables import materialize, vacuum_versions
 from strata.sources.incremental import TABLES_CONFIG, TableConfig, ensure_control_table, ingest_all
 from strata.streaming.ingest import ingest_stream
 
 # Layer schemas, and the snapshot configurations (key, check columns, columns).
 LAYERS = ("landing", "bronze", "silver", "gold")
 STEPS = ("ingest", "snapshot", "models", "test")
+# Versions of each rebuilt table (and runs of each snapshot's open partition) kept on storage.
+RETAIN = 3
 CUSTOMER_SNAPSHOT = (
     "customer_id",
     "first_name last_name email phone address_line city state country postal_code is_active".split(),
@@ -169,23 +171,32 @@ def _tables(spark: SparkSession, db: str, names) -> dict[str, DataFrame]:
     return {n: spark.table(f"{db}.{n}") for n in names if spark.catalog.tableExists(f"{db}.{n}")}
 
 
-def snapshot_all(spark: SparkSession, layout: Layout, as_of: _dt.datetime | str | None = None) -> None:
-    """The snapshot step: one run of each type-2 history, read from Bronze (L22), appended (SNK-7)."""
+def snapshot_all(
+    spark: SparkSession, layout: Layout, as_of: _dt.datetime | str | None = None, retain: int = RETAIN
+) -> None:
+    """The snapshot step: one run of each type-2 history, read from Bronze (L22), appended (SNK-7).
+    Superseded open partitions older than the last ``retain`` runs are removed."""
     bronze = _tables(spark, layout.db("bronze"), BRONZE_TABLES)
     snap_at = str(as_of or _dt.datetime.now().replace(microsecond=0))
     for name, (key, check, cols), src in zip(SNAPSHOTS, (CUSTOMER_SNAPSHOT, PRODUCT_SNAPSHOT), ("customers", "products")):
-        snapshot_run(spark, f"{layout.db('silver')}.{name}", bronze[src].select(*cols), key, check, snap_at, layout.tables)
+        view = f"{layout.db('silver')}.{name}"
+        snapshot_run(spark, view, bronze[src].select(*cols), key, check, snap_at, layout.tables)
+        vacuum_snapshot(spark, view, keep_runs=retain)
 
 
-def build_layers(spark: SparkSession, layout: Layout, ltv_as_of: _dt.date | str | None = None) -> None:
+def build_layers(
+    spark: SparkSession, layout: Layout, ltv_as_of: _dt.date | str | None = None, retain: int = RETAIN
+) -> None:
     """The model step: Silver then Gold, each table materialised before the models that read it
-    (in the reference's DAG order), so later models read stored tables."""
+    (in the reference's DAG order), so later models read stored tables.  Each table keeps its
+    last ``retain`` versions."""
     silver_db, gold_db = layout.db("silver"), layout.db("gold")
     bronze = _tables(spark, layout.db("bronze"), BRONZE_TABLES)
     stored = _tables(spark, silver_db, SNAPSHOTS)
 
     def store(name: str, df: DataFrame, db: str) -> None:
         materialize(df, f"{db}.{name}", layout.tables)
+        vacuum_versions(spark, f"{db}.{name}", keep=retain)
         stored[name] = spark.table(f"{db}.{name}")
 
     for name, df in build_models(bronze).items():

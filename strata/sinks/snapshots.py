@@ -86,3 +86,31 @@ def snapshot_run(
     )
     spark.catalog.refreshTable(table)
     return run
+
+
+def vacuum_snapshot(spark: SparkSession, view: str, keep_runs: int = 3) -> list[str]:
+    """Drop the superseded *open* partitions of runs older than the last ``keep_runs`` and delete
+    their folders.  Closed partitions are history and are never removed; the committed run's
+    open partition is always kept.  Returns the deleted paths."""
+    table = f"{view}__versions"
+    run = committed_run(spark, view)
+    if run == 0:
+        return []
+    deleted = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        spec = dict(item.split("=", 1) for item in row[0].split("/"))
+        run_no, is_open = int(spec["run_no"]), spec["_open"] == "true"
+        if not is_open or run_no > run - max(keep_runs, 1):
+            continue
+        loc = (
+            spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (run_no={run_no}, _open=true)")
+            .filter(F.col("col_name") == "Location")
+            .first()
+        )
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_no={run_no}, _open=true)")
+        if loc is not None:
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(loc["data_type"])
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+            deleted.append(loc["data_type"])
+    spark.catalog.refreshTable(table)
+    return deleted

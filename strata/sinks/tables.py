@@ -44,6 +44,35 @@ def _version_path(base: str) -> str:
     return f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
 
 
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def vacuum_versions(spark: SparkSession, name: str, keep: int = 3) -> list[str]:
+    """Delete all but the ``keep`` newest version folders of a versioned table (``v-*`` next to
+    its current location); the current version is always kept.  Returns the deleted paths.
+
+    Readers planned on one of the kept versions are unaffected; keep enough versions to cover
+    the longest reader.
+    """
+    current = (_location(spark, name) or "").rstrip("/")
+    if "/v-" not in current:
+        return []
+    fs, parent = _fs(spark, current.rsplit("/", 1)[0])
+    statuses = [st for st in fs.listStatus(parent) if st.isDirectory() and st.getPath().getName().startswith("v-")]
+    statuses.sort(key=lambda st: st.getModificationTime(), reverse=True)
+    kept = {st.getPath().toString().rstrip("/") for st in statuses[: max(keep, 1)]}
+    deleted = []
+    for st in statuses:
+        path = st.getPath().toString().rstrip("/")
+        if path in kept or path.endswith(current.split("/")[-1]):
+            continue
+        fs.delete(st.getPath(), True)
+        deleted.append(path)
+    return deleted
+
+
 def materialize(
     df: DataFrame,
     name: str,

@@ -188,3 +188,21 @@ def test_snk7_crashed_run_stays_invisible_and_is_replaced(spark, tmp_root):
     snapshot_run(spark, view, ext(spark, [(1, "B", "a", 0)]), "id", CHECK, "2024-02-01 00:00:00", tmp_root)
     assert committed_run(spark, view) == 2
     assert sorted((r.id, r.a) for r in spark.table(view).collect()) == [(1, "A"), (1, "B")]
+
+
+def test_snk7_vacuum_drops_superseded_open_partitions_only(spark, tmp_root):
+    import uuid
+
+    from strata.sinks.snapshots import snapshot_run, vacuum_snapshot
+
+    db = f"w{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    view = f"{db}.hist"
+    for i, data in enumerate([[(1, "A", "a", 0)], [(1, "B", "a", 0)], [(1, "C", "a", 0)], [(1, "C", "a", 0)]]):
+        snapshot_run(spark, view, ext(spark, data), "id", CHECK, f"2024-0{i + 1}-01 00:00:00", tmp_root)
+    before = sorted(map(str, spark.table(view).collect()))
+    deleted = vacuum_snapshot(spark, view, keep_runs=2)
+    assert len(deleted) == 2  # the open partitions of runs 1 and 2
+    assert sorted(map(str, spark.table(view).collect())) == before
+    parts = {(r.run_no, r._open) for r in spark.table(f"{view}__versions").select("run_no", "_open").distinct().collect()}
+    assert (1, True) not in parts and (2, True) not in parts and (4, True) in parts

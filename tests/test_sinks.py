@@ -92,3 +92,21 @@ def test_partitioned_upsert_on_driver_orders_matches_query(spark, tmp_root):
     upsert_table(spark, t, A.orders_batch_since(spark, d).withColumns(month), ["order_id"], root=tmp_root,
                  partition_by=["_created_month"])
     assert rows(spark.table(t).drop("_created_month")) == rows(Q.q_upsert_orders(spark, d))
+
+
+def test_vacuum_versions_keeps_the_newest(spark, tmp_root):
+    import glob
+    import time
+
+    from strata.sinks.tables import vacuum_versions
+
+    db = f"v{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    for i in range(5):
+        materialize(spark.createDataFrame([(i,)], "k int"), f"{db}.t", tmp_root)
+        time.sleep(0.05)
+    folders = glob.glob(f"{tmp_root}/{db}/t/v-*")
+    assert len(folders) == 5
+    deleted = vacuum_versions(spark, f"{db}.t", keep=2)
+    assert len(deleted) == 3 and len(glob.glob(f"{tmp_root}/{db}/t/v-*")) == 2
+    assert rows(spark.table(f"{db}.t")) == [(4,)]
