@@ -2,8 +2,9 @@
 (snapshot -> silver -> gold -> tests, PIPE-3) and the whole run (PIPE-4).
 
 Every model is a function call on DataFrames; a layer is stored only where the reference
-stores it (SNK-6): model tables are rebuilt into fresh version folders and repointed, so a
-snapshot can read its own previous state while it writes the next one.
+stores it (SNK-6).  Model tables are rebuilt into fresh version folders and repointed, so
+readers of the previous version are unaffected and nothing overwrites what it reads; snapshots
+append one partition per run (``sinks/snapshots.py``); old versions are pruned to ``RETAIN``.
 """
 
 from __future__ import annotations
