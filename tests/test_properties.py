@@ -116,3 +116,52 @@ def test_daily_sums_add_up(spark, data):
     assert daily.agg(F.sum("gross_revenue")).first()[0] == total
     assert daily.agg(F.sum("total_orders")).first()[0] == len(data)
     assert rows(daily) == rows(daily_sales(df, unique_orders=False))
+
+
+version_plans = st.lists(
+    st.tuples(st.sampled_from([1, 1, 1, 2, None]), st.integers(0, 3), st.integers(1, 4), st.booleans()),
+    min_size=0,
+    max_size=25,
+)
+fact_plans = st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.one_of(st.none(), st.integers(-2, 40))), max_size=30)
+
+
+@SETTINGS
+@given(plan=version_plans, fact_times=fact_plans)
+def test_as_of_sorted_equals_range(spark, plan, fact_times):
+    from strata.operators.scd2 import as_of_join
+
+    hist, clock = [], {}
+    for k, gap, length, closed in plan:  # non-overlapping intervals per key, gaps allowed
+        start = clock.get(k, 0) + gap
+        end = start + length
+        clock[k] = end
+        hist.append((k, len(hist), BASE + dt.timedelta(hours=start), BASE + dt.timedelta(hours=end) if closed else None))
+        if not closed:
+            clock[k] = 10**6  # an open version is the last of its key
+    hist = [h for h in hist if h[2] < BASE + dt.timedelta(hours=10**5)]
+    h = spark.createDataFrame(hist, "id int, ver int, dbt_valid_from timestamp, dbt_valid_to timestamp")
+    facts = [(i, k, None if t is None else BASE + dt.timedelta(hours=t)) for i, (k, t) in enumerate(fact_times)]
+    f = spark.createDataFrame(facts, "fid int, id int, at timestamp")
+    a = as_of_join(f, h, "id", "at", ["ver"], strategy="range")
+    b = as_of_join(f, h, "id", "at", ["ver"], strategy="sorted")
+    assert rows(a) == rows(b)
+
+
+@SETTINGS
+@given(runs=extracts)
+def test_stored_snapshot_equals_in_memory(spark, tmp_root, runs):
+    import uuid
+
+    from strata.sinks.snapshots import snapshot_run
+
+    db = f"h{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    hist = None
+    for i, ext in enumerate(runs):
+        df = spark.createDataFrame([(k, a, b, BASE) for k, (a, b) in ext.items()], "k int, a string, b string, updated_at timestamp")
+        at = BASE + dt.timedelta(days=i + 1)
+        hist = snapshot(hist, df, "k", ["a", "b"], at)
+        snapshot_run(spark, f"{db}.h", df, "k", ["a", "b"], at, tmp_root)
+    cols = ["k", "a", "b", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"]
+    assert rows(spark.table(f"{db}.h"), *cols) == rows(hist, *cols)
