@@ -64,10 +64,11 @@ def sessionize(
     ``sequence_within_groups``).
     """
     src = session_events(events, time_col, type_col, customer_col)
+    ties = [c for c in tie_cols if c in src.columns]  # without a tie column: time order only, as in SQL
     seq = sequence_within_groups(
         src,
         group_col=session_col,
-        order_cols=[time_col, *tie_cols],
+        order_cols=[time_col, *ties],
         carry_cols=[time_col, type_col],
         num_partitions=num_partitions,
         strategy=strategy,

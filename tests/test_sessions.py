@@ -135,3 +135,12 @@ def test_forward_fill_range_equals_window(spark):
         assert a.filter("f is not null and _fill_f != f").count() == 0
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_sessionize_without_event_id(spark):
+    df = spark.createDataFrame(
+        [("s", ts("2024-01-01 00:00:00"), "page_view"), ("s", ts("2024-01-01 00:00:05"), "checkout_start")],
+        "session_id string, event_time timestamp, event_type string",
+    ).withColumn("customer_id", F.lit(None).cast("int"))
+    out = sorted((r.event_sequence_in_session, r.previous_event_type) for r in sessionize(df).collect())
+    assert out == [(1, None), (2, "page_view")]
