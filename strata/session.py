@@ -30,6 +30,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # reliable checkpoints (range sequencing, long snapshot chains) are deleted by the context
+    # cleaner once nothing references them, instead of accumulating in spark.checkpoint.dir
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
