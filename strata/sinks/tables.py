@@ -1,10 +1,12 @@
-"""Table writers: full rebuild (SNK-2, SNK-6, SNK-7) and upsert into a table (SNK-3, SNK-4).
-
-Without a transactional table format (no Delta/Iceberg jar here), an upsert never rewrites the
-files it reads: each new state of the table is written to a fresh version folder and the
-external table is then pointed at it (``ALTER TABLE ... SET LOCATION``).  Readers of the
-previous state keep valid files; a failed write leaves the table on its previous version.
-When the catalog supports row-level MERGE, ``DataFrame.mergeInto`` is used instead.
+"""Table writers: full rebuild (SNK-2, SNK-6) and upsert into a table (SNK-3, SNK-4).
+
+Without a transactional table format (no Delta/Iceberg jar here), nothing overwrites the files
+it reads: a rebuild writes a fresh version folder and then points the external table at it
+(``ALTER TABLE ... SET LOCATION``), so readers of the previous state keep valid files and a
+failed write leaves the table on its previous version.  An upsert into a table partitioned by
+an attribute that never changes for a key replaces only the partitions its batch touches
+(dynamic partition overwrite); when the catalog supports row-level MERGE, ``mergeInto`` is
+used.  ``vacuum_versions`` keeps the newest versions and deletes older folders.
 """
 
 from __future__ import annotations
