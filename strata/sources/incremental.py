@@ -4,7 +4,9 @@ SRC-7, SRC-9, SNK-1..4, DDL-2, PIPE-1).
 Improvement over the reference (ledger L2): the source is read **once** — the extract is
 landed, the landed files are read back, and the merge and the new watermark both come from
 that landed batch, so the watermark can never pass rows that were not merged.  The watermark
-is advanced last (L6): a crash before it re-reads the batch, which the upsert absorbs.
+is advanced last (L6): a crash before it re-reads the batch, which the upsert absorbs.  JDBC
+sources split their read by key range; fact tables are partitioned by creation month so an
+upsert rewrites only the partitions its batch touches.
 """
 
 from __future__ import annotations
