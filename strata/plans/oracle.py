@@ -568,6 +568,27 @@ ORACLE_SQL: dict[str, str] = {
         "g_daily",
     ),
     "bronze_customers": with_ctes("SELECT * FROM b_customers", "b_customers"),
+    # Lenient decoding of the same messages: quoted ids and "$" prices are repaired, and an
+    # epoch-millisecond time is read as the event time truncated to milliseconds.
+    "stream_decode_events_lenient": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+        upper(event_type) AS event_type,
+        CASE WHEN event_id % 4 = 0 THEN ts
+             WHEN event_id % 4 IN (1, 2) THEN date_trunc('second', ts)
+             ELSE date_trunc('millisecond', ts) END AS event_time,
+        CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
+        CAST(CASE WHEN user_id % 5 = 0 THEN NULL ELSE user_id END AS INTEGER) AS customer_id,
+        CAST(NULL AS VARCHAR) AS device,
+        CAST(NULL AS VARCHAR) AS page_url,
+        CAST(NULL AS VARCHAR) AS referrer,
+        CAST(NULL AS VARCHAR) AS user_agent,
+        CAST(NULL AS VARCHAR) AS ip_address,
+        CAST(props ->> '$.k' AS INTEGER) AS product_id,
+        CAST(NULL AS INTEGER) AS quantity,
+        CAST(NULL AS VARCHAR) AS search_term,
+        value AS cart_value,
+        ts AS kafka_timestamp,
+        CAST(NULL AS VARCHAR) AS _corrupt_record
+    FROM events""",
     # Expected drift counts, from the rules that build the messages (quoted ids, "$" prices and
     # epoch-millisecond times are lost by strict decoding and repaired by lenient decoding).
     "stream_drift_report": """WITH m AS (SELECT event_id AS eid, user_id AS uid FROM events)

@@ -275,6 +275,16 @@ def q_stream_decode_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_stream_decode_events_lenient(spark: SparkSession, d: str) -> DataFrame:
+    """The same drain with lenient decoding: drifted fields and epoch-millisecond times repaired."""
+    from strata.streaming.ingest import drain_file_stream
+
+    sink = drain_file_stream(spark, A.event_messages(spark, d), mode="lenient")
+    return sink.drop("_ingested_at", "_source_system").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("event_time", "kafka_timestamp")}
+    )
+
+
 def q_stream_drift_report(spark: SparkSession, d: str) -> DataFrame:
     """Per field: values the strict decode loses, the lenient decode repairs, or nobody can read."""
     from strata.streaming.decode import drift_report
@@ -313,5 +323,6 @@ QUERIES = {
     "order_status_breakdown": q_order_status_breakdown,
     "bronze_customers": q_bronze_customers,
     "stream_decode_events": q_stream_decode_events,
+    "stream_decode_events_lenient": q_stream_decode_events_lenient,
     "stream_drift_report": q_stream_drift_report,
 }
