@@ -241,3 +241,36 @@ def test_pipeline_on_driver_tables_matches_registered_queries(spark, tmp_root):
     assert rows(spark.table(f"{gold}.gold_customer_ltv")) == rows(Q.q_gold_customer_ltv(spark, d))
     bronze_orders = spark.table(f"{layout.db('bronze')}.orders")
     assert "_created_month" in bronze_orders.columns and bronze_orders.count() == A.orders(spark, d).count()
+
+
+def test_job_exits_1_when_a_data_test_fails(spark, tmp_root):
+    from strata.plans.job import main
+
+    t = ts("2024-01-01")
+    url = derby_url()
+    write_source(spark.createDataFrame(
+        [(1, "a", "b", "a@x", None, None, "c", None, None, None, t, True, t, t)],
+        "customer_id int, first_name string, last_name string, email string, phone string, address_line string, "
+        "city string, state string, country string, postal_code string, signup_date timestamp, is_active boolean, "
+        "created_at timestamp, updated_at timestamp"), url, "CUSTOMERS")
+    write_source(spark.createDataFrame(
+        [(1, "w", "c", None, None, D("1.00"), 1, False, t, t)],
+        "product_id int, product_name string, category string, sub_category string, brand string, price decimal(10,2), "
+        "stock_qty int, is_discontinued boolean, created_at timestamp, updated_at timestamp"), url, "PRODUCTS")
+    write_source(spark.createDataFrame(
+        [(1, 1, t, "LOST IN SPACE", None, None, D("2.00"), t, t)],  # not an accepted status
+        "order_id int, customer_id int, order_date timestamp, status string, shipping_city string, "
+        "shipping_country string, total_amount decimal(12,2), created_at timestamp, updated_at timestamp"), url, "ORDERS")
+    write_source(spark.createDataFrame(
+        [(1, 1, 1, 1, D("2.00"), t)],
+        "order_item_id int, order_id int, product_id int, quantity int, unit_price decimal(10,2), created_at timestamp"),
+        url, "ORDER_ITEMS")
+    write_source(spark.createDataFrame(
+        [(1, 1, D("2.00"), "COD", "SUCCESS", t, t, t)],
+        "payment_id int, order_id int, amount decimal(12,2), method string, status string, paid_at timestamp, "
+        "created_at timestamp, updated_at timestamp"), url, "PAYMENTS")
+    code = main([
+        "--root", os.path.join(tmp_root, "lake"), "--prefix", f"x{uuid.uuid4().hex[:6]}_",
+        "--jdbc-url", url, "--jdbc-driver", DERBY["driver"], "--run-date", "2024-01-02", "--as-of", "2024-01-02 00:00:00",
+    ])
+    assert code == 1
