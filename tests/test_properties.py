@@ -165,3 +165,20 @@ def test_stored_snapshot_equals_in_memory(spark, tmp_root, runs):
         snapshot_run(spark, f"{db}.h", df, "k", ["a", "b"], at, tmp_root)
     cols = ["k", "a", "b", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to"]
     assert rows(spark.table(f"{db}.h"), *cols) == rows(hist, *cols)
+
+
+@SETTINGS
+@given(
+    child=st.lists(st.one_of(st.none(), st.integers(0, 8)), max_size=40),
+    parent=st.lists(st.integers(0, 8), max_size=10, unique=True),
+)
+def test_foreign_key_violations_equal_brute_force(spark, child, parent):
+    from collections import Counter
+
+    from strata.operators.quality import foreign_key_violations
+
+    c = spark.createDataFrame([(v,) for v in child], "fk int")
+    p = spark.createDataFrame([(v,) for v in parent], "pk int")
+    got = {r.fk: r.child_rows for r in foreign_key_violations(c, "fk", p, "pk").collect()}
+    expected = {k: n for k, n in Counter(v for v in child if v is not None).items() if k not in set(parent)}
+    assert got == expected
