@@ -1,4 +1,5 @@
-"""Skew-proof ``row_number`` + ``lag`` within groups (WIN-2..WIN-4).
+"""Skew-proof ``row_number``, ``lag`` and forward fill (``last(..., ignorenulls)``) within groups
+(WIN-2..WIN-4; the forward fill also carries the as-of join's sorted path).
 
 ``Window.partitionBy(group)`` puts every row of a group into one task; one session holding a
 third of all events would then sort a third of the data on one core.  Instead:
@@ -11,8 +12,9 @@ third of all events would then sort a third of the data on one core.  Instead:
    cache that could be cleared, and lost executors do not lose it).
 3. One Arrow-batched pass per slice numbers the rows and takes the previous row's values.
 4. Only the first group of a slice can continue from earlier slices.  A JVM aggregate gets,
-   per slice, the row count and last row of its first and last group; a window over that
-   table (at most 2 rows per slice) gives each slice its carried offset and previous row.
+   per slice, the row count, last row and last non-null fill values of its first and last
+   group; a window over that table (at most 2 rows per slice) gives each slice its carried
+   offset, previous row and fill values.
    That table has one row per slice, a bound fixed by ``n``, so broadcasting it is safe.
 
 Result: exact SQL semantics (``row_number()``/``lag`` over ``partition by group order by
