@@ -54,40 +54,48 @@ def _shared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 # --- Silver ------------------------------------------------------------------------------
 @_shared
 def q_silver_customers(spark: SparkSession, d: str) -> DataFrame:
+    """DS-1 (WIN-1, FLT-4, FLT-5, PRJ-3)."""
     return silver_customers(A.customers(spark, d))
 
 
 @_shared
 def q_silver_products(spark: SparkSession, d: str) -> DataFrame:
+    """DS-2 (WIN-1, FLT-8, PRJ-4)."""
     return silver_products(A.products(spark, d))
 
 
 @_shared
 def q_silver_orders(spark: SparkSession, d: str) -> DataFrame:
+    """DS-3 (WIN-1, FLT-6, PRJ-5)."""
     return silver_orders(A.orders(spark, d))
 
 
 @_shared
 def q_silver_order_items(spark: SparkSession, d: str) -> DataFrame:
+    """DS-4 (FLT-9, PRJ-7)."""
     return silver_order_items(A.order_items(spark, d))
 
 
 @_shared
 def q_silver_payments(spark: SparkSession, d: str) -> DataFrame:
+    """DS-5 (WIN-1, FLT-7, PRJ-6)."""
     return silver_payments(A.payments(spark, d))
 
 
 def q_silver_clickstream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """DS-6 (FLT-3, PRJ-8..10, WIN-2..4)."""
     return sessionize(A.clickstream_events(spark, d))
 
 
 # --- Gold --------------------------------------------------------------------------------
 def q_gold_daily_sales_summary(spark: SparkSession, d: str) -> DataFrame:
+    """DS-12 / RPT-7 (AGG-3..7, AGG-12, ORD-1)."""
     return daily_sales(q_silver_orders(spark, d)).orderBy("order_day")
 
 
 @_shared
 def q_gold_customer_ltv(spark: SparkSession, d: str) -> DataFrame:
+    """DS-13 (JOIN-1..3, PRJ-12..14)."""
     return customer_ltv(
         q_silver_customers(spark, d),
         q_silver_orders(spark, d),
@@ -97,6 +105,7 @@ def q_gold_customer_ltv(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_gold_clickstream_funnel(spark: SparkSession, d: str) -> DataFrame:
+    """DS-14 / RPT-9 (AGG-10, AGG-11, AGG-15, PRJ-15, PRJ-16)."""
     # the funnel reads session, type and anonymous flag only: the sequence is not needed
     return funnel(session_events(A.clickstream_events(spark, d)))
 
@@ -120,6 +129,7 @@ def _history(extracts, key: str, check_cols, cut_every: int = LINEAGE_CUT_EVERY)
 
 @_shared
 def customers_history(spark: SparkSession, d: str) -> DataFrame:
+    """SCD-2: three snapshot runs of customers (base, moved and deleted, restored)."""
     key, check, cols = CUSTOMER_SNAPSHOT
     runs = [(A.customers(spark, d, run=r).select(*cols), at) for r, at in enumerate(A.SNAPSHOT_RUNS, start=1)]
     return _history(runs, key, check)
@@ -127,28 +137,34 @@ def customers_history(spark: SparkSession, d: str) -> DataFrame:
 
 @_shared
 def products_history(spark: SparkSession, d: str) -> DataFrame:
+    """SCD-3: three snapshot runs of products (base, repriced and discontinued, restored)."""
     key, check, cols = PRODUCT_SNAPSHOT
     runs = [(A.products(spark, d, run=r).select(*cols), at) for r, at in enumerate(A.SNAPSHOT_RUNS, start=1)]
     return _history(runs, key, check)
 
 
 def q_customers_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """DS-10 (SCD-1, SCD-2, JOIN-6)."""
     return customers_history(spark, d)
 
 
 def q_products_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """DS-11 (SCD-1, SCD-3, SCD-4)."""
     return products_history(spark, d)
 
 
 def q_customers_current_flag(spark: SparkSession, d: str) -> DataFrame:
+    """DS-8 (SCD-5, PRJ-11)."""
     return current_flag(customers_history(spark, d))
 
 
 def q_products_current_flag(spark: SparkSession, d: str) -> DataFrame:
+    """DS-9 (SCD-5, PRJ-11)."""
     return current_flag(products_history(spark, d))
 
 
 def q_customer_profile_history(spark: SparkSession, d: str) -> DataFrame:
+    """DS-7 (SCD-6, AGG-13, PRJ-17)."""
     return version_stats(customers_history(spark, d), "customer_id")
 
 
@@ -168,14 +184,17 @@ def q_as_of_price_at_sale(spark: SparkSession, d: str) -> DataFrame:
 
 # --- Joins, upsert, ingest ---------------------------------------------------------------------
 def q_click_order_join(spark: SparkSession, d: str) -> DataFrame:
+    """JOIN-8."""
     return click_order_join(session_events(A.clickstream_events(spark, d)), q_silver_orders(spark, d))
 
 
 def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-3 / JOIN-5: Bronze orders as of the cutoff merged with the batch since."""
     return merge_frames(A.orders_before(spark, d), A.orders_batch_since(spark, d), ["order_id"], ["updated_at"])
 
 
 def q_incremental_extract(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-1 / FLT-1: rows above the watermark, pushed into the scan."""
     return extract_incremental(A.orders(spark, d), "updated_at", A.INCREMENTAL_SINCE)
 
 
@@ -207,10 +226,12 @@ def model_tables(spark: SparkSession, d: str, prefix: str = "") -> dict[str, Dat
 
 
 def q_dq_report(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-1..3, DQ-5: the 39 declared tests."""
     return run_checks(model_tables(spark, d), ALL_RULES)
 
 
 def q_foreign_key_violations(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-4 over the four source relationships."""
     customers, orders = A.customers(spark, d), A.orders(spark, d)
     items, products, pays = A.order_items(spark, d), A.products(spark, d), A.payments(spark, d)
     checks = [
@@ -229,39 +250,48 @@ def q_foreign_key_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-6 / RPT-2."""
     return row_counts(spark, model_tables(spark, d, prefix="bronze."))
 
 
 # --- Reports -----------------------------------------------------------------------------------
 def q_events_per_type(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-1 (AGG-16, ORD-2)."""
     return reports.events_per_type(A.clickstream_events(spark, d))
 
 
 def q_repriced_products(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-3 (JOIN-4, AGG-14, ORD-3)."""
     return reports.repriced_products(products_history(spark, d))
 
 
 def q_discontinued_top10(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-4 (FLT-12, ORD-4)."""
     return reports.discontinued_latest(products_history(spark, d), k=10)
 
 
 def q_customer_history(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-5 (FLT-13)."""
     return reports.customer_history(customers_history(spark, d), customer_id=1)
 
 
 def q_product_price_history(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-6 (FLT-13)."""
     return reports.product_price_history(products_history(spark, d), product_id=2)
 
 
 def q_top_customers_ltv(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-8 (ORD-5)."""
     return reports.top_customers(q_gold_customer_ltv(spark, d), k=10)
 
 
 def q_order_status_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-10."""
     return reports.order_status_breakdown(daily_sales(q_silver_orders(spark, d)))
 
 
 def q_bronze_customers(spark: SparkSession, d: str) -> DataFrame:
+    """RPT-11: the Bronze customers table."""
     return A.customers(spark, d)
 
 
