@@ -182,3 +182,23 @@ def test_foreign_key_violations_equal_brute_force(spark, child, parent):
     got = {r.fk: r.child_rows for r in foreign_key_violations(c, "fk", p, "pk").collect()}
     expected = {k: n for k, n in Counter(v for v in child if v is not None).items() if k not in set(parent)}
     assert got == expected
+
+
+@SETTINGS
+@given(
+    data=st.lists(
+        st.tuples(st.sampled_from([1, 2, 3, None]), st.one_of(st.none(), st.integers(0, 4)), st.sampled_from(["a", "b", "c"])),
+        max_size=40,
+    )
+)
+def test_keep_latest_equals_brute_force(spark, data):
+    from strata.operators.dedup import keep_latest
+
+    df = spark.createDataFrame(data, "k int, u int, v string")
+    got = {r.k: (r.u, r.v) for r in keep_latest(df, ["k"], ["u"], ["v"]).collect()}
+    expected = {}
+    for k in {k for k, _, _ in data}:
+        candidates = [(u, v) for kk, u, v in data if kk == k]
+        # greatest u (NULL lowest: DESC NULLS LAST), then greatest v
+        expected[k] = max(candidates, key=lambda c: (c[0] is not None, c[0] if c[0] is not None else 0, c[1]))
+    assert got == expected
