@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from strata.llm.jaccard_join import op10_ngram_jaccard_join
 from strata.llm.langid import op1_language_id
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
