@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from strata.llm.jaccard_join import op10_ngram_jaccard_join
 from strata.llm.langid import op1_language_id
+from strata.llm.substrings import op3_substring_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
