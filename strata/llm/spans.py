@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPAN = "struct<kind:string,start:long,end:long,text:string>"
+SPAN = "struct<kind:string,start:long,end:long,text:string,before:string,after:string>"
+_CONTEXT = 40
 
 
 def literal_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -25,22 +26,23 @@ def no_spans() -> Column:
 def matches(text: Column, pattern: str, kind: str | Column, keep=None, group: int | None = None) -> Column:
     """All matches of a pattern, leftmost and without overlap, as spans in code points (end exclusive).
 
+    Each has the matched text, up to 40 characters before it (since the match before) and one after it.
     ``keep`` maps the matched text (or, with ``group``, that group's text) to whether the span stays.
     The text between matches comes from splitting at them, so positions are sums of lengths.
     Patterns must not match the empty string.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     rest = F.split(text, pattern, -1)
-    step = F.zip_with(F.slice(rest, 1, F.size(found)), found, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
+    step = F.arrays_zip(F.slice(rest, 1, F.size(found)).alias("gap"), found.alias("m"), F.slice(rest, 2, F.size(found)).alias("next"))
     if group:
         step = F.zip_with(step, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x, g: x.withField("g", g))
     kind = F.lit(kind) if isinstance(kind, str) else kind
     start = F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("spans"))
 
     def add(state, x):
-        begin = state["at"] + x["gap"]
+        begin = state["at"] + F.length(x["gap"])
         end = begin + F.length(x["m"])
-        span = F.struct(kind.alias("kind"), begin.alias("start"), end.alias("end"), x["m"].alias("text"))
+        span = F.struct(kind.alias("kind"), begin.alias("start"), end.alias("end"), x["m"].alias("text"), F.substring(x["gap"], -_CONTEXT, _CONTEXT).alias("before"), F.substring(x["next"], 1, 1).alias("after"))
         spans = F.concat(state["spans"], F.array(span))
         if keep is not None:
             spans = F.when(keep(x["g"] if group else x["m"]), spans).otherwise(state["spans"])
