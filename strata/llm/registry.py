@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata.llm.jaccard_join import op10_ngram_jaccard_join
 from strata.llm.langid import op1_language_id
 from strata.llm.licenses import op2_license_scan
+from strata.llm.pii import op6_pii
 from strata.llm.secret_scan import op5_secret_scan
 from strata.llm.substrings import op3_substring_dedup
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_secret_scan": op5_secret_scan,
+    "op6_pii": op6_pii,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
