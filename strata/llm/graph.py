@@ -16,6 +16,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def beside(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of narrow rows as a join's smaller side: broadcast if it has that many rows at most (its
+    count comes from the files' footers), else left to a shuffled join, which gives the same result."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the undirected ``edges`` (a, b); label is the smallest node
     that it is connected with.

@@ -130,18 +130,25 @@ def _features(s: Column, kind: Kind) -> Column:
     return F.struct(*[v.alias(f) for v, f in zip([*votes, length, digits, side(near) * 3 + side(after)], SPAN_FEATURES, strict=True)])
 
 
-def candidate_spans(docs: DataFrame, id_col: str, text_col: str, base=None, more=None) -> DataFrame:
-    """Per row: the id and ``base`` and ``more``, arrays of spans with their features."""
+def candidate_columns(docs: DataFrame, text_col: str, out: str, base=None, more=None) -> DataFrame:
+    """``docs`` with a struct column ``out`` of ``base`` and ``more``, arrays of spans with their features."""
     base, more = base or BASE_KINDS, more or MORE_KINDS
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
     def of(kind: Kind) -> Column:
-        spans = matches_if(F.col("text"), kind.pattern, kind.name, kind.keep, quick=F.col("text").rlike(kind.quick))
+        spans = matches_if(text, kind.pattern, kind.name, kind.keep, quick=text.rlike(kind.quick))
         return F.transform(spans, lambda s: s.withField("f", _features(s, kind)))
 
-    found = rows.select("id", F.concat(*map(of, base)).alias("base"), F.concat(*map(of, more)).alias("more"))
-    apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return found.select("id", "base", apart.alias("more"))
+    found = docs.withColumn(out, F.struct(F.concat(*map(of, base)).alias("base"), F.concat(*map(of, more)).alias("more")))
+    own, others = F.col(out)["base"], F.col(out)["more"]
+    apart = F.filter(others, lambda m: ~F.exists(own, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    return found.withColumn(out, F.struct(own.alias("base"), F.when(F.size(others) > 0, apart).otherwise(others).alias("more")))
+
+
+def candidate_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: the id and ``base`` and ``more``, arrays of spans with their features."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return candidate_columns(rows, "text", "spans").select("id", "spans.base", "spans.more")
 
 
 def combination_counts(spans: DataFrame) -> list:
@@ -224,7 +231,12 @@ def find_personal_data(docs: DataFrame, id_col: str, text_col: str, keep_from: f
     """
     spans = candidate_spans(docs, id_col, text_col)
     weights = train_span_classifier(spans)
-    return spans.select("id", "base", F.filter("more", lambda s: _probability(s, weights) >= keep_from).alias("more"))
+    return spans.select("id", "base", confirmed(F.col("more"), weights, keep_from).alias("more"))
+
+
+def confirmed(spans: Column, weights: dict[str, float], keep_from: float = 0.5) -> Column:
+    """The spans to which the classifier gives a probability of at least ``keep_from``."""
+    return F.filter(spans, lambda s: _probability(s, weights) >= keep_from)
 
 
 def redacted(text: Column, spans: Column) -> Column:
