@@ -111,9 +111,11 @@ def containment_join(blocks: DataFrame, key_cols: list[str], words_col: str, tem
 
 
 def fullest(pairs: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Of the pairs of one block, those whose common words do not all belong to a fuller match of that block
-    (of equals, the first template): a notice also holds most words of its near relatives.
-    A block has one pair per template at most."""
+    """Of the matches with one key, each template's best, without those whose common words all belong to a fuller match
+    (of equals, the first template): a notice also holds most words of its near relatives, and a part of it can hold a
+    larger share of theirs.  So a key has one match per template at most."""
+    best = F.max_by(F.struct("common", "containment"), "containment")
+    pairs = pairs.groupBy(*key_cols, "template", "label").agg(best.alias("b")).select(*key_cols, "template", "label", "b.*")
     pair = F.struct("template", "label", "common", "containment")
 
     def explained(x: Column, y: Column) -> Column:
@@ -126,8 +128,8 @@ def fullest(pairs: DataFrame, key_cols: list[str]) -> DataFrame:
 
 
 def license_labels(docs: DataFrame, text_col: str, templates=None, threshold: float = 0.8, block_words: int = 64) -> DataFrame:
-    """``template``, ``label``, ``containment`` of every block (``text_key``, ``block``) of every text that holds
-    a notice; a notice that a fuller one of the same block explains is left out.
+    """``template``, ``label``, ``containment`` of every line (``text_key``, ``line``) that holds a notice; of its
+    blocks the best counts, and a notice that a fuller one of the same line explains is left out.
 
     Null and empty texts have no block.  An empty table gives an empty result.
     """
@@ -149,9 +151,9 @@ def license_labels(docs: DataFrame, text_col: str, templates=None, threshold: fl
     half = block_words // 2
     count = F.greatest(F.lit(1), F.ceil((F.size("words") - half) / half).cast("int"))
     blocks = lines.select("text_key", "line", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(i.alias("part"), F.array_distinct(F.slice(F.col("words"), i * half + 1, F.lit(block_words))).alias("words")))).alias("b"))
-    blocks = blocks.select("text_key", F.struct("line", "b.part").alias("block"), F.col("b.words").alias("words"))
-    pairs = containment_join(blocks, ["text_key", "block"], "words", templates, order, threshold)
-    return fullest(pairs, ["text_key", "block"])
+    blocks = blocks.select("text_key", "line", "b.part", "b.words")
+    pairs = containment_join(blocks, ["text_key", "line", "part"], "words", templates, order, threshold)
+    return fullest(pairs, ["text_key", "line"])
 
 
 def scan_licenses(docs: DataFrame, id_col: str, text_col: str, templates=None, threshold: float = 0.8, block_words: int = 64) -> DataFrame:

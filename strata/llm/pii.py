@@ -67,7 +67,7 @@ class Kind(NamedTuple):
 BASE_KINDS = [
     Kind(
         "email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)++", "@", None,
-        r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$",
+        r"^[A-Za-z0-9][^@]*+@[A-Za-z0-9].*[A-Za-z0-9]\.[A-Za-z]{2,}$",
         r"(?i)\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk|it|nl|eu|us|ca|ch|at|be)$", r"mail|contact|kontakt|courriel|correo|write|from|@",
     ),
     Kind(
