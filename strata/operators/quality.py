@@ -124,11 +124,23 @@ def run_table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
     )
 
 
+def spark_of(tables: dict[str, DataFrame]) -> SparkSession:
+    return next((t.sparkSession for t in tables.values()), None) or SparkSession.active()
+
+
+def _absent(spark: SparkSession, rules: TableRules) -> DataFrame:
+    """Every declared test of a table that is not there, as failed (one failure: the table)."""
+    tests = [("not_null", c) for c in rules.not_null] + [("accepted_values", c) for c in rules.accepted_values] + [("unique", c) for c in rules.unique]
+    rows = F.array(*[F.struct(F.lit(name).alias("test_name"), F.lit(c).alias("column_name")) for name, c in tests])
+    one = spark.range(1).select(F.inline(rows))
+    return one.select("test_name", F.lit(rules.model).alias("model"), "column_name", F.lit(1).cast("long").alias("failures"), F.lit("fail").alias("status"))
+
+
 def run_checks(tables: dict[str, DataFrame], rules: Iterable[TableRules]) -> DataFrame:
-    """Test-run report (DQ-5): one row per declared test, over all tables."""
+    """Test-run report (DQ-5): one row per declared test, over all tables; a test of an absent table fails."""
     out = None
     for r in rules:
-        part = run_table_checks(tables[r.model], r)
+        part = run_table_checks(tables[r.model], r) if r.model in tables else _absent(spark_of(tables), r)
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no rules")

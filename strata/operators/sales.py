@@ -29,7 +29,7 @@ def _distinct_or_count(unique: bool, id_col: str, cond: Column | None = None) ->
     return F.count_distinct(target)
 
 
-def daily_sales(orders: DataFrame, unique_orders: bool = True) -> DataFrame:
+def daily_sales(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
     """One row per calendar day of ``order_date`` (AGG-3..7, AGG-12).
 
     ``unique_orders`` states that ``order_id`` is unique and non-null, which ``silver_orders``
@@ -54,7 +54,7 @@ def customer_ltv(
     orders: DataFrame,
     payments: DataFrame,
     as_of: str | _dt.date | Column | None = None,
-    unique_keys: bool = True,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """One row per customer with order and payment history (JOIN-1..3, PRJ-12..14).
 

@@ -10,11 +10,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.compare import changed, version_id
 from strata.operators.dedup import default_ties, keep_latest
+from strata.operators.sequence import sequence_within_groups
 
 # Metadata column names of a snapshot table.
 SCD_ID = "dbt_scd_id"
@@ -47,15 +49,11 @@ def snapshot(
     * open version, key gone and ``close_missing`` -> close at ``as_of`` (hard delete)
     * closed versions                   -> untouched; a key that returns opens a new version
 
-    Closed history only passes by in a union; the work is ``snapshot_changes`` over the open
-    versions.  Unchecked columns are frozen at the moment a version opens (ledger L32).
+    One full outer join of history and extract, on the key and only for open versions: closed ones
+    pass through it unmatched, so a chain of n runs reads each extract once and has n - 1 joins.
+    Unchecked columns are frozen at the moment a version opens (ledger L32).
     """
-    if history is None:
-        return snapshot_changes(None, extract, key, check_cols, as_of, close_missing, order_col)
-    closed = history.filter(F.col(VALID_TO).isNotNull())
-    open_ = history.filter(F.col(VALID_TO).isNull())
-    current = snapshot_changes(open_, extract, key, check_cols, as_of, close_missing, order_col)
-    return closed.select(*current.columns).unionByName(current)
+    return snapshot_changes(history, extract, key, check_cols, as_of, close_missing, order_col)
 
 
 def snapshot_changes(
@@ -67,12 +65,12 @@ def snapshot_changes(
     close_missing: bool = True,
     order_col: str | None = "updated_at",
 ) -> DataFrame:
-    """The versions a run touches: every previously open version in its new state (kept or
-    closed at ``as_of``) plus the versions it opens.  ``open_versions=None`` is the first run.
+    """The given versions in their new state (kept or closed at ``as_of``; closed ones as they are) plus
+    the versions the run opens.  ``open_versions=None`` is the first run.
 
     The extract is reduced to its latest row per key first, so the full outer join with the
-    open versions (one per key) is 1:1: nothing can fan out, and a run costs in proportion to
-    the number of keys, not to the length of the history.
+    open versions (one per key) is 1:1: nothing can fan out, and a run over the open versions costs in
+    proportion to the number of keys, not to the length of the history.
     """
     cols = list(extract.columns)
     ts_type = extract.schema[order_col].dataType if order_col else "timestamp"
@@ -98,11 +96,13 @@ def snapshot_changes(
     open_ = open_versions.select(*[F.col(c).alias(f"h_{c}") for c in hist_cols])
     e = ext.select(*[F.col(c).alias(f"e_{c}") for c in cols])
 
-    j = open_.join(e, F.col(f"h_{key}") == F.col(f"e_{key}"), "full_outer")
-    has_h = F.col(f"h_{key}").isNotNull()
-    has_e = F.col(f"e_{key}").isNotNull()
+    is_open = F.col(f"h_{VALID_TO}").isNull()
+    j = open_.withColumn("has_h", F.lit(True)).join(
+        e.withColumn("has_e", F.lit(True)), F.col(f"h_{key}").eqNullSafe(F.col(f"e_{key}")) & is_open, "full_outer"
+    )
+    has_h, has_e = F.col("has_h").isNotNull(), F.col("has_e").isNotNull()
     diff = has_h & has_e & changed("h_", "e_", check_cols)
-    gone = has_h & ~has_e & F.lit(bool(close_missing))
+    gone = has_h & is_open & ~has_e & F.lit(bool(close_missing))
 
     kept_or_closed = F.struct(
         *[F.col(f"h_{c}").alias(c) for c in cols],
@@ -142,10 +142,6 @@ def version_stats(history: DataFrame, key: str = "customer_id") -> DataFrame:
     return stats.withColumn("has_relocated", F.col("number_of_profile_changes") > 0)
 
 
-# Largest number of versions per key for which the equi + range join is used (its per-fact cost).
-DEFAULT_MAX_VERSIONS_PER_KEY = 1000
-
-
 def as_of_join(
     facts: DataFrame,
     history: DataFrame,
@@ -155,53 +151,31 @@ def as_of_join(
     prefix: str = "",
     how: str = "left",
     fact_key: str | None = None,
-    strategy: str = "auto",
-    max_versions_per_key: int = DEFAULT_MAX_VERSIONS_PER_KEY,
-    max_group_rows: int | None = None,
+    slice_unit: str = "MONTH",
 ) -> DataFrame:
     """Attach to each fact the version valid at its time: ``from <= t < coalesce(to, +inf)``.
 
-    Versions of a key do not overlap, so a fact matches at most one version and nothing fans
-    out; facts before the first version (or in a gap after a hard delete) get NULLs.
-
-    * ``"range"``: an equi-join on the key with the range as residual.  Every fact is compared
-      with every version of its key, so the cost per fact is the number of versions of that
-      key; a hot key on the fact side is a skewed sort-merge partition that AQE splits.
-    * ``"sorted"``: facts and version starts are merged in time order per key and the last
-      version start is carried forward (``sequence_within_groups`` forward fill: a window, or
-      the range path when one key is too big for a task); facts then join the history on
-      ``(key, version start)``, unique on the history side.  O(n log n), no pairwise
-      comparisons, whatever the number of versions.
-    * ``"auto"``: measure the largest number of versions of one key (an aggregate over the
-      history, which is small next to the facts) and use ``"range"`` when it is within
-      ``max_versions_per_key``, else ``"sorted"``.
+    Versions of a key must not overlap and have distinct starts, as snapshots make them; a fact then
+    matches at most one and nothing fans out.  Facts before the first version, in a gap after a hard
+    delete, or without key or time get NULLs (``how="inner"`` leaves them out).
+
+    Facts and version starts are merged in time order per key and the latest start is carried forward
+    (``sequence_within_groups``, which spreads a hot key over tasks by ``slice_unit``); facts then join the
+    history on (key, version start), unique on the history side: O(n log n) whatever the number of versions.
     """
-    if strategy not in ("auto", "range", "sorted"):
-        raise ValueError(f"unknown strategy {strategy!r}")
+    inner = how == "inner"
+    if not inner and how not in ("left", "leftouter", "left_outer"):
+        raise ValueError("how must be 'left' or 'inner'")
     fk = fact_key or key
-    if strategy == "auto":
-        row = history.groupBy(key).count().agg(F.max("count").alias("m")).first()
-        most = int(row["m"] or 0) if row else 0
-        strategy = "range" if most <= max_versions_per_key else "sorted"
     h = history.select(
         F.col(key).alias("_h_key"),
         F.col(VALID_FROM).alias("_h_from"),
         F.col(VALID_TO).alias("_h_to"),
         *[F.col(c).alias(f"{prefix}{c}") for c in columns],
     )
-    t = F.col(fact_time)
-    if strategy == "range":
-        cond = (F.col(fk) == F.col("_h_key")) & (t >= F.col("_h_from")) & (F.col("_h_to").isNull() | (t < F.col("_h_to")))
-        return facts.join(h, cond, how).drop("_h_key", "_h_from", "_h_to")
-
-    # sorted: carry the start of the latest version forward through the facts of each key.  The
-    # forward fill runs on sequence_within_groups, which measures the largest key and splits a
-    # hot one over tasks, so a key hot on both sides is not confined to one task either.
-    from strata.operators.sequence import sequence_within_groups
-
     from_type = history.schema[VALID_FROM].dataType
     events = facts.select(
-        *facts.columns, F.col(fk).alias("_k"), t.alias("_t"), F.lit(1).alias("_kind"),
+        *facts.columns, F.col(fk).alias("_k"), F.col(fact_time).alias("_t"), F.lit(1).alias("_kind"),
         F.lit(None).cast(from_type).alias("_vfrom"),
     ).unionByName(
         history.select(
@@ -211,24 +185,16 @@ def as_of_join(
         )
     )
     # a version starting at the fact's instant covers it: versions sort before facts on ties
-    bound = {"max_group_rows": max_group_rows} if max_group_rows is not None else {}
-    filled = sequence_within_groups(events, "_k", ["_t", "_kind"], [], fill_cols=["_vfrom"], **bound)
+    timed = isinstance(events.schema["_t"].dataType, T.TimestampType | T.TimestampNTZType | T.DateType)
+    cut = F.date_trunc(slice_unit, "_t") if timed else None
+    filled = sequence_within_groups(events, "_k", ["_t", "_kind"], [], fill_cols=["_vfrom"], slice_by=cut)
     located = filled.filter(F.col("_kind") == 1).select(
         *facts.columns,
         F.when(F.col("_k").isNotNull() & F.col("_t").isNotNull(), F.col("_fill__vfrom")).alias("_cur"),
         F.col("_k").alias("_fk"),
         F.col("_t").alias("_ft"),
     )
-    cond = (F.col("_fk") == F.col("_h_key")) & (F.col("_cur") == F.col("_h_from"))
-    joined = located.join(h, cond, "left")
     inside = F.col("_h_to").isNull() | (F.col("_ft") < F.col("_h_to"))
-    out = joined.select(
-        *[F.col(c) for c in facts.columns],
-        *[F.when(inside, F.col(f"{prefix}{c}")).alias(f"{prefix}{c}") for c in columns],
-        (F.col("_h_key").isNotNull() & inside).alias("_matched"),
-    )
-    if how == "inner":
-        out = out.filter(F.col("_matched"))
-    elif how != "left":
-        raise ValueError("the sorted strategy supports how='left' or 'inner'")
-    return out.drop("_matched")
+    cond = (F.col("_fk") == F.col("_h_key")) & (F.col("_cur") == F.col("_h_from")) & inside
+    joined = located.join(h, cond, "inner" if inner else "left")
+    return joined.select(*facts.columns, *[f"{prefix}{c}" for c in columns])

@@ -1,50 +1,39 @@
 """Skew-proof ``row_number``, ``lag`` and forward fill (``last(..., ignorenulls)``) within groups
-(WIN-2..WIN-4; the forward fill also carries the as-of join's sorted path).
+(WIN-2..WIN-4; the forward fill also carries the as-of join).
 
 ``Window.partitionBy(group)`` puts every row of a group into one task; one session holding a
-third of all events would then sort a third of the data on one core.  Instead:
+third of all events would then sort a third of the data on one core.  Instead the rows of a
+group are cut into slices by a function of the first order column that never decreases (the hour
+of a time, blocks of 1,024 of a number), so the cut is a property of the data: every reader, and every
+recomputation after a lost executor, sees the same one.
 
-1. ``repartitionByRange(n, group, order...)`` samples the keys and cuts the *sorted* data into
-   ``n`` balanced slices, so a hot group is split over several tasks (one shuffle).
-2. The slices, with their slice id as a column, are written once with a reliable
-   ``checkpoint()`` into ``spark.checkpoint.dir``.  Range bounds are sampled per execution, so
-   every reader below must see the *same* cut: the checkpoint pins it as data (no recompute, no
-   cache that could be cleared, and lost executors do not lose it).
-3. One Arrow-batched pass per slice numbers the rows and takes the previous row's values.
-4. Only the first group of a slice can continue from earlier slices.  A JVM aggregate gets,
-   per slice, the row count, last row and last non-null fill values of its first and last
-   group; a window over that table (at most 2 rows per slice) gives each slice its carried
-   offset, previous row and fill values.
-   That table has one row per slice, a bound fixed by ``n``, so broadcasting it is safe.
+1. A window over (group, slice) numbers the rows of a slice and takes the previous row's values.
+2. An aggregate over (group, slice) keeps each slice's row count, last row and last non-null fill
+   values; a window over that table, one row per slice, gives each slice its offset and what it
+   carries on from the slices before it.
+3. Both join on (group, slice).
 
 Result: exact SQL semantics (``row_number()``/``lag`` over ``partition by group order by
-order_cols``), one full shuffle, no group ever confined to one task.
-
-``strategy="auto"`` first measures the largest group with a partial count per group (it reads
-only the group column; one scalar reaches the driver).  When that size is within
-``max_group_rows`` — a bound a single task sorts comfortably — the plain window is provably
-safe and cheaper, and is used; otherwise the range path above.
+order_cols``) by one path whatever the sizes, JVM-side, and nothing runs until an action does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import ensure_checkpoint_dir
-
-
-# Largest group (rows) the plain window may put into one task.
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
 
-def largest_group(df: DataFrame, group_col: str) -> int:
-    """Rows in the biggest group (NULL keys form one group); partial counts are combined map-side."""
-    row = df.groupBy(group_col).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0) if row else 0
+def default_slice(df: DataFrame, order_col: str) -> Column:
+    """The hour of a time, a number's block of 1,024; other types are not cut."""
+    kind = df.schema[order_col].dataType
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType | T.DateType):
+        return F.date_trunc("HOUR", order_col)
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(order_col) / 1024)
+    return F.lit(None).cast("int")
 
 
 def sequence_within_groups(
@@ -52,175 +41,51 @@ def sequence_within_groups(
     group_col: str,
     order_cols: Sequence[str],
     carry_cols: Sequence[str],
-    num_partitions: int | None = None,
     seq_col: str = "_seq",
     prev_prefix: str = "_prev_",
-    strategy: str = "auto",
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
     fill_cols: Sequence[str] = (),
     fill_prefix: str = "_fill_",
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Add ``seq_col`` (1-based position in the group), ``prev_prefix + c`` for each carry column
     (the previous row's value) and ``fill_prefix + c`` for each fill column (the last non-null
     value up to and including the row: a forward fill).
 
     Ordering is ascending with NULLs first on ``group_col`` and ``order_cols``; give order columns
-    that make the order total (ties are otherwise broken arbitrarily, as in SQL).
-    ``strategy``: ``"auto"`` (measure, then choose), ``"window"`` or ``"range"``.
+    that make the order total (ties are otherwise broken arbitrarily, as in SQL).  ``slice_by``
+    must not decrease along ``order_cols[0]``; by default ``default_slice``.
     """
-    if strategy not in ("auto", "window", "range"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, group_col) <= max_group_rows else "range"
-    if strategy == "window":
-        order = [F.col(c).asc_nulls_first() for c in order_cols]
-        w = Window.partitionBy(group_col).orderBy(*order)
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(
-            "*",
-            F.row_number().over(w).cast("long").alias(seq_col),
-            *[F.lag(c).over(w).alias(f"{prev_prefix}{c}") for c in carry_cols],
-            *[F.last(c, ignorenulls=True).over(upto).alias(f"{fill_prefix}{c}") for c in fill_cols],
-        )
-    return _sequence_by_range(
-        df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix, list(fill_cols), fill_prefix
+    sliced = df.withColumn("_slice", default_slice(df, order_cols[0]) if slice_by is None else slice_by)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    place = F.struct(*order_cols)
+    carried = F.struct(F.lit(True).alias("_row"), *carry_cols)
+
+    inside = Window.partitionBy(group_col, "_slice").orderBy(*order)
+    rows = sliced.select(
+        "*",
+        F.row_number().over(inside).cast("long").alias("_lseq"),
+        F.lag(carried).over(inside).alias("_lprev"),
+        *[F.last(c, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_lfill_{c}") for c in fill_cols],
     )
-
-
-def _sequence_by_range(
-    df, group_col, order_cols, carry_cols, num_partitions, seq_col, prev_prefix, fill_cols=(), fill_prefix="_fill_"
-) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc_nulls_first() for c in (group_col, *order_cols)]
-    ensure_checkpoint_dir(spark)
-    ranged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
+    edges = sliced.groupBy(F.col(group_col).alias("_g"), F.col("_slice").alias("_s")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max_by(carried, place).alias("_tail"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"_last_{c}") for c in fill_cols],
     )
-
-    carry = list(carry_cols)
-    fills = list(fill_cols)
-    local_schema = T.StructType(
-        list(ranged.schema.fields)
-        + [
-            T.StructField("_lseq", T.LongType(), False),
-            T.StructField("_head", T.BooleanType(), False),
-        ]
-        + [T.StructField(f"_lprev_{c}", ranged.schema[c].dataType, True) for c in carry]
-        + [T.StructField(f"_lfill_{c}", ranged.schema[c].dataType, True) for c in fills]
+    across = Window.partitionBy("_g").orderBy(F.col("_s").asc_nulls_first())
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    starts = edges.select(
+        "_g",
+        "_s",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.lag("_tail").over(across).alias("_cprev"),
+        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_cfill_{c}") for c in fill_cols],
     )
-
-    def local_pass(batches):
-        # Runs inside the task on Arrow batches of one sorted slice.  Self-contained on purpose:
-        # nothing from this package has to be importable on the executors.
-        import numpy as np
-        import pandas as pd
-
-        unset = object()
-        last_pid, last_key, last_null, last_seq, last_head = unset, None, False, 0, False
-        last_vals = {c: None for c in carry}
-        last_fill = {c: None for c in fills}
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            pid = pdf["_pid"].to_numpy()
-            key = pdf[group_col]
-            isnull = key.isna().to_numpy()
-            codes, _ = pd.factorize(key, use_na_sentinel=True)
-            # slice_start: first row of a slice; new: first row of a group within the slice
-            slice_start = np.empty(m, dtype=bool)
-            slice_start[0] = last_pid is unset or pid[0] != last_pid
-            slice_start[1:] = pid[1:] != pid[:-1]
-            new = slice_start.copy()
-            new[1:] |= codes[1:] != codes[:-1]
-            if not new[0]:
-                if isnull[0] or last_null:
-                    new[0] = not (isnull[0] and last_null)
-                else:
-                    new[0] = bool(key.iloc[0] != last_key)
-            idx = np.arange(m)
-            start = np.maximum.accumulate(np.where(new, idx, 0))
-            seq = (idx - start + 1).astype("int64")
-            if not new[0]:
-                seq[start == 0] += last_seq
-            # a group is a head group when it opens its slice; rows inherit their group's flag
-            flag = new & slice_start
-            if not new[0]:
-                flag[0] = last_head
-            head = flag[start]
-            out = pdf.copy()
-            out["_lseq"] = seq
-            out["_head"] = head
-            for c in carry:
-                prev = pdf[c].shift(1)
-                if not new[0]:
-                    prev.iloc[0] = last_vals[c]
-                prev[new] = None
-                out[f"_lprev_{c}"] = prev
-            gidx = np.cumsum(new)  # 0 = the group continued from the previous batch
-            for c in fills:
-                filled = pdf[c].groupby(gidx).ffill()
-                if not new[0] and last_fill[c] is not None:
-                    filled[(gidx == 0) & filled.isna().to_numpy()] = last_fill[c]
-                out[f"_lfill_{c}"] = filled
-            last_pid, last_key, last_null = pid[-1], key.iloc[-1], bool(isnull[-1])
-            last_seq, last_head = int(seq[-1]), bool(head[-1])
-            last_vals = {c: pdf[c].iloc[-1] for c in carry}
-            for c in fills:
-                v = out[f"_lfill_{c}"].iloc[-1]
-                last_fill[c] = None if pd.isna(v) else v
-            yield out
-
-    local = ranged.mapInPandas(local_pass, local_schema)
-
-    # --- per-slice edges, computed in the JVM from the same checkpointed slices ----------
-    g = F.col(group_col)
-    bounds = ranged.groupBy("_pid").agg(
-        F.min(F.struct(g.isNotNull().alias("nn"), g.alias("k"))).alias("_first"),
-        F.max(F.struct(g.isNotNull().alias("nn"), g.alias("k"))).alias("_last"),
+    joined = rows.join(starts, F.col(group_col).eqNullSafe(F.col("_g")) & F.col("_slice").eqNullSafe(F.col("_s")))
+    prev = F.coalesce("_lprev", "_cprev")
+    return joined.select(
+        *df.columns,
+        (F.col("_lseq") + F.col("_offset")).alias(seq_col),
+        *[prev[c].alias(f"{prev_prefix}{c}") for c in carry_cols],
+        *[F.coalesce(f"_lfill_{c}", f"_cfill_{c}").alias(f"{fill_prefix}{c}") for c in fill_cols],
     )
-    is_first = g.eqNullSafe(F.col("_first.k"))
-    is_last = g.eqNullSafe(F.col("_last.k"))
-    edge_rows = ranged.join(F.broadcast(bounds), "_pid").filter(is_first | is_last)
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
-    edges = edge_rows.groupBy("_pid", group_col).agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in carry]), order_struct).alias("_tail"),
-        F.max(is_first.cast("int")).alias("_is_first"),
-        # last non-null value of each fill column in this slice's part of the group
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(f"_lastnn_{c}") for c in fills],
-    )
-    w = Window.partitionBy(group_col).orderBy("_pid")
-    corr = (
-        edges.select(
-            "_pid",
-            "_is_first",
-            F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-            *[F.lag(F.col(f"_tail.{c}")).over(w).alias(f"_cprev_{c}") for c in carry],
-            *[
-                F.last(f"_lastnn_{c}", ignorenulls=True)
-                .over(w.rowsBetween(Window.unboundedPreceding, -1))
-                .alias(f"_cfill_{c}")
-                for c in fills
-            ],
-        )
-        .filter(F.col("_is_first") == 1)
-        .drop("_is_first")
-    )
-
-    # corr has exactly one row per non-empty slice: bounded by n, so the broadcast is safe.
-    joined = local.join(F.broadcast(corr), "_pid", "left")
-    head = F.col("_head")
-    first_row = head & (F.col("_lseq") == 1)
-    cols = [F.col(c) for c in df.columns]
-    cols.append(F.when(head, F.col("_lseq") + F.col("_offset")).otherwise(F.col("_lseq")).alias(seq_col))
-    for c in carry:
-        cols.append(F.when(first_row, F.col(f"_cprev_{c}")).otherwise(F.col(f"_lprev_{c}")).alias(f"{prev_prefix}{c}"))
-    for c in fills:
-        carried = head & F.col(f"_lfill_{c}").isNull()
-        cols.append(F.when(carried, F.col(f"_cfill_{c}")).otherwise(F.col(f"_lfill_{c}")).alias(f"{fill_prefix}{c}"))
-    return joined.select(*cols)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.math import pct
 from strata.functions.text import lower_trim
 from strata.functions.time import elapsed_seconds
-from strata.operators.sequence import DEFAULT_MAX_GROUP_ROWS, sequence_within_groups
+from strata.operators.sequence import sequence_within_groups
 
 # The decoded event columns carried into Silver, in output order.
 EVENT_COLUMNS = (
@@ -51,16 +51,12 @@ def sessionize(
     type_col: str = "event_type",
     customer_col: str = "customer_id",
     tie_cols: Sequence[str] = ("event_id",),
-    num_partitions: int | None = None,
-    strategy: str = "auto",
-    max_session_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Silver ``silver_clickstream_sessions``: one row per event with its place in the session.
 
     ``session_events`` plus the sequence: events numbered by time within the session with
     ``tie_cols`` as tie-break (WIN-2, ledger L8), the previous event's time and type (WIN-3,
-    WIN-4) and the whole-second gap (PRJ-9).  A session larger than ``max_session_rows``
-    (measured first) switches to the range path that splits it across tasks (see
+    WIN-4) and the whole-second gap (PRJ-9).  A big session is spread over tasks by the hour (see
     ``sequence_within_groups``).
     """
     src = session_events(events, time_col, type_col, customer_col)
@@ -70,9 +66,6 @@ def sessionize(
         group_col=session_col,
         order_cols=[time_col, *ties],
         carry_cols=[time_col, type_col],
-        num_partitions=num_partitions,
-        strategy=strategy,
-        max_group_rows=max_session_rows,
     )
     passthrough = [c for c in EVENT_COLUMNS if c in events.columns]
     return seq.select(

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,7 +46,7 @@ def _version_path(base: str) -> str:
     return f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
@@ -61,7 +61,7 @@ def vacuum_versions(spark: SparkSession, name: str, keep: int = 3) -> list[str]:
     current = (_location(spark, name) or "").rstrip("/")
     if "/v-" not in current:
         return []
-    fs, parent = _fs(spark, current.rsplit("/", 1)[0])
+    fs, parent = hadoop_path(spark, current.rsplit("/", 1)[0])
     statuses = [st for st in fs.listStatus(parent) if st.isDirectory() and st.getPath().getName().startswith("v-")]
     statuses.sort(key=lambda st: st.getModificationTime(), reverse=True)
     kept = {st.getPath().toString().rstrip("/") for st in statuses[: max(keep, 1)]}
@@ -141,6 +141,32 @@ def _point_table(spark: SparkSession, name: str, path: str, fmt: str, df: DataFr
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def _values(df: DataFrame, parts: Sequence[str]) -> list[tuple]:
+    return [tuple(r) for r in df.select(*parts).distinct().collect()]
+
+
+def _in_partitions(values: list[tuple], parts: Sequence[str]) -> Column:
+    """A literal filter on partition columns, which prunes the scan; NULL partitions included."""
+
+    def is_in(p: str, own: set) -> Column:
+        known = F.col(p).isin(*[v for v in own if v is not None])
+        return (known | F.col(p).isNull()) if None in own else known
+
+    if len(parts) == 1:
+        return is_in(parts[0], {v[0] for v in values})
+    rows = F.lit(False)
+    for v in values:
+        row = F.lit(True)
+        for p, x in zip(parts, v, strict=True):
+            row = row & F.col(p).eqNullSafe(F.lit(x))
+        rows = rows | row
+    return rows
+
+
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+
+
 def upsert_table(
     spark: SparkSession,
     name: str,
@@ -156,10 +182,11 @@ def upsert_table(
     Three ways, cheapest first:
 
     * a MERGE-capable table format: ``mergeInto`` rewrites only the files holding matched rows;
-    * ``partition_by`` (columns whose value never changes for a key, e.g. the month of
-      ``created_at``): only the partitions the batch touches are read, merged and replaced by
-      dynamic partition overwrite, O(touched partitions).  Each partition is swapped on its own
-      (delete + rename); if a job dies inside that window, ``replay_landed`` restores Bronze,
+    * ``partition_by`` (e.g. the month of ``created_at``): the partitions that the batch writes to, and those in
+      which its keys are stored now (found by a scan of keys and partition values alone), are read by
+      literal partition filters, merged and replaced by dynamic partition overwrite: O(touched partitions).  A key whose
+      partition changed moves; a partition that this leaves empty is dropped.  Each partition is swapped on its
+      own (delete + rename); if a job dies inside that window, ``replay_landed`` restores Bronze,
       since ingest advances the watermark last;
     * otherwise the whole table is merged into a new version folder and the table repointed:
       O(table), atomic, old readers unaffected.
@@ -179,9 +206,13 @@ def upsert_table(
     current = spark.table(name)
     if partition_by:
         parts = list(partition_by)
-        touched = deduped.select(*parts).distinct()
-        # the semi-join lets dynamic partition pruning read only the touched partitions
-        affected = current.join(touched, parts, "left_semi")
+        batch_keys = deduped.select(*keys)
+        stored = current.select(*keys, *parts).join(batch_keys, list(keys), "left_semi").select(*parts)
+        # partition values are metadata-sized: one row per touched partition
+        touched = _values(stored.unionByName(deduped.select(*parts)), parts)
+        affected = current.filter(_in_partitions(touched, parts))
+        left = affected.select(*keys, *parts).join(batch_keys, list(keys), "left_anti").select(*parts)
+        emptied = set(touched) - set(_values(left.unionByName(deduped.select(*parts)), parts))
         merged = merge_frames(affected, deduped, keys, order_cols, dedup_batch=False)
         (
             merged.select(*current.columns)
@@ -189,6 +220,9 @@ def upsert_table(
             .mode("overwrite")
             .insertInto(name)
         )
+        for values in emptied:
+            spec = ", ".join(f"{p}={_literal(v)}" for p, v in zip(parts, values, strict=True))
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
         spark.catalog.refreshTable(name)
         return name
     merged = merge_frames(current, deduped, keys, order_cols, dedup_batch=False)

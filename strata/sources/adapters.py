@@ -40,22 +40,9 @@ DISCONTINUED_SIZE = 20
 STOCK_ONLY_TYPE = "PROMO"
 
 
-_READ_CACHE: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table ``name`` (one parquet file per table, read-only).
-
-    A DataFrame is an immutable plan, so one per (session, path) is reused: the file listing
-    and footer read happen once per session instead of once per query.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _READ_CACHE.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _READ_CACHE[key] = hit
-    return hit[1]
+    """The driver table ``name`` (read-only), listed anew each time."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ts_ntz(value: str | _dt.datetime) -> Column:
@@ -72,11 +59,7 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
-    # nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions: broadcasting them
-    # is bounded by definition, whatever the scale factor.
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").join(
-        F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left"
-    )
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
     key = F.col("c_custkey")
     signup = F.date_add(F.lit("1990-01-01").cast("date"), (key % 1000).cast("int")).cast("timestamp_ntz")
     city = F.col("n_name")

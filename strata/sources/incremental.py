@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sinks.tables import upsert_table
+from strata.sinks.tables import upsert_table, vacuum_versions
 
 # First-run watermark, control-table columns, and the reference's ingest config.
 DEFAULT_WATERMARK = "1900-01-01 00:00:00"
@@ -245,6 +245,7 @@ def ingest_table(
     run_date: _dt.date | str | None = None,
     source_system: str = "postgres",
     overlap: _dt.timedelta | None = None,
+    keep_versions: int = 3,
 ) -> IngestResult:
     """PIPE-1 for one table: watermark -> extract -> land -> read back -> upsert -> advance.
 
@@ -254,7 +255,7 @@ def ingest_table(
     old = get_last_watermark(spark, control_table, cfg.source_table)
     extract = add_ingest_metadata(extract_incremental(source, cfg.watermark_col, old, overlap), source_system)
     batch_id = uuid.uuid4().hex[:16]
-    day = str(run_date or _dt.date.today())
+    day = str(run_date or spark.sql("SELECT cast(current_date() AS string)").first()[0])
     path = land(extract, landing_root, cfg.source_table, day, batch_id)
     # Read back exactly the folder just written: no listing of earlier batches.
     batch_dir = f"{path}/dt={day}/batch={batch_id}"
@@ -281,6 +282,8 @@ def ingest_table(
         partition_by=[c for c, _ in cfg.partitions],
     )
     update_watermark(spark, control_table, cfg.source_table, stats["w"], root=table_root)
+    for table in (bronze_table, control_table):  # an upsert without MERGE leaves a version folder behind
+        vacuum_versions(spark, table, keep=keep_versions)
     return IngestResult(cfg.source_table, int(stats["n"]), old, stats["w"], path)
 
 

@@ -81,11 +81,11 @@ groups = st.lists(
 
 @SETTINGS
 @given(data=groups, n=st.integers(1, 5))
-def test_range_sequencing_equals_window(spark, data, n):
+def test_sliced_sequencing_equals_window(spark, data, n):
     df = spark.createDataFrame(
         [(g, t, i, t if t % 3 == 0 else None) for i, (g, t) in enumerate(data)], "g string, t long, e long, f long"
     )
-    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], num_partitions=n, strategy="range", fill_cols=["f"])
+    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], fill_cols=["f"], slice_by=F.floor(F.col("t") / n))
     w = Window.partitionBy("g").orderBy("t", "e")
     ref = df.select(
         "*",
@@ -128,7 +128,7 @@ fact_plans = st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.one_of(st.n
 
 @SETTINGS
 @given(plan=version_plans, fact_times=fact_plans)
-def test_as_of_sorted_equals_range(spark, plan, fact_times):
+def test_as_of_join_equals_range_join(spark, plan, fact_times):
     from strata.operators.scd2 import as_of_join
 
     hist, clock = [], {}
@@ -143,9 +143,10 @@ def test_as_of_sorted_equals_range(spark, plan, fact_times):
     h = spark.createDataFrame(hist, "id int, ver int, dbt_valid_from timestamp, dbt_valid_to timestamp")
     facts = [(i, k, None if t is None else BASE + dt.timedelta(hours=t)) for i, (k, t) in enumerate(fact_times)]
     f = spark.createDataFrame(facts, "fid int, id int, at timestamp")
-    a = as_of_join(f, h, "id", "at", ["ver"], strategy="range")
-    b = as_of_join(f, h, "id", "at", ["ver"], strategy="sorted")
-    assert rows(a) == rows(b)
+    v = h.select(F.col("id").alias("k"), "ver", F.col("dbt_valid_from").alias("a"), F.col("dbt_valid_to").alias("z"))
+    inside = (F.col("at") >= F.col("a")) & (F.col("z").isNull() | (F.col("at") < F.col("z")))
+    want = f.join(v, (F.col("id") == F.col("k")) & inside, "left").select("fid", "id", "at", "ver")
+    assert rows(as_of_join(f, h, "id", "at", ["ver"], slice_unit="DAY")) == rows(want)
 
 
 @SETTINGS

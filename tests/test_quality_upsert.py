@@ -58,3 +58,10 @@ def test_upsert_semantics_and_idempotence(spark):
     assert rows(once, "k", "v") == [(1, "older"), (2, "b"), (3, "newer")]
     twice = merge_frames(once, batch, ["k"])
     assert rows(twice) == rows(once)
+
+
+def test_tests_of_an_absent_table_fail(spark):
+    rules = TableRules("gone", unique=["a"], not_null=["a"], accepted_values={"b": ["x"]})
+    out = run_checks({"here": spark.range(1)}, [TableRules("here", not_null=["id"]), rules])
+    got = sorted((r.test_name, r.model, r.column_name, r.failures, r.status) for r in out.collect())
+    assert got == [("accepted_values", "gone", "b", 1, "fail"), ("not_null", "gone", "a", 1, "fail"), ("not_null", "here", "id", 0, "pass"), ("unique", "gone", "a", 1, "fail")]

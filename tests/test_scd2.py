@@ -90,14 +90,22 @@ def test_scd7_as_of_join(spark):
         [(1, 7, ts("2023-12-31")), (2, 7, ts("2024-01-15")), (3, 7, ts("2024-02-01")), (4, 8, ts("2024-03-01"))],
         "sale_id int, id int, sold_at timestamp",
     )
-    for strategy in ("auto", "range", "sorted"):
-        got = as_of_join(facts, hist, "id", "sold_at", ["price"], strategy=strategy)
+    for how in ("left", "left_outer", "inner"):
+        got = as_of_join(facts, hist, "id", "sold_at", ["price"], how=how)
         out = {r.sale_id: r.price for r in got.collect()}
-        assert out == {1: None, 2: Decimal("1.00"), 3: Decimal("2.00"), 4: None}, strategy
+        missing = {} if how == "inner" else {1: None, 4: None}
+        assert out == {2: Decimal("1.00"), 3: Decimal("2.00"), **missing}, how
         assert got.columns == ["sale_id", "id", "sold_at", "price"]
 
 
-def test_scd7_sorted_equals_range_on_random_histories(spark):
+def by_range(facts, history, key, at, columns):
+    """The as-of join as SQL states it: every fact against every version of its key."""
+    h = history.select(F.col(key).alias("hk"), F.col("dbt_valid_from").alias("hf"), F.col("dbt_valid_to").alias("ht"), *columns)
+    t = F.col(at)
+    return facts.join(h, (F.col(key) == F.col("hk")) & (t >= F.col("hf")) & (F.col("ht").isNull() | (t < F.col("ht"))), "left").drop("hk", "hf", "ht")
+
+
+def test_scd7_equals_range_join_on_random_histories(spark):
     import random
 
     rnd = random.Random(11)
@@ -116,14 +124,10 @@ def test_scd7_sorted_equals_range_on_random_histories(spark):
             facts.append((len(facts), k, at))
     h = spark.createDataFrame(hist, "id int, ver int, dbt_valid_from timestamp, dbt_valid_to timestamp")
     f = spark.createDataFrame(facts, "fid int, id int, at timestamp")
-    a = as_of_join(f, h, "id", "at", ["ver"], strategy="range")
-    b = as_of_join(f, h, "id", "at", ["ver"], strategy="sorted")
-    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
-    plan = as_of_join(f, h, "id", "at", ["ver"], max_versions_per_key=10)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan  # auto switched to the sorted path for the hot key
-    c = as_of_join(f, h, "id", "at", ["ver"], strategy="sorted", max_group_rows=10)  # hot key split over tasks
-    assert "MapInPandas" in c._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, c.collect()), key=str)
+    want = sorted(map(tuple, by_range(f, h, "id", "at", ["ver"]).collect()), key=str)
+    for unit in ("MONTH", "HOUR"):  # one slice, and many
+        got = as_of_join(f, h, "id", "at", ["ver"], slice_unit=unit)
+        assert sorted(map(tuple, got.collect()), key=str) == want
 
 
 def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):
@@ -152,22 +156,27 @@ def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):
     assert (1, True) in parts and (3, True) in parts  # run 1's open rows stay on disk, superseded
 
 
-def test_history_chain_with_lineage_cuts_equals_lazy_chain(spark):
+def test_chain_of_n_runs_has_n_minus_1_joins(spark):
     from strata.plans.queries import _history
 
-    runs = [
-        (ext(spark, [(1, "A", "a", 0), (2, "B", "b", 0)]), "2024-01-01 00:00:00"),
-        (ext(spark, [(1, "A2", "a", 0)]), "2024-02-01 00:00:00"),
-        (ext(spark, [(1, "A", "a", 0), (2, "B", "b", 0)]), "2024-03-01 00:00:00"),
-    ]
-    lazy = _history(runs, "id", CHECK, cut_every=99)
-    cut = _history(runs, "id", CHECK, cut_every=1)
-    def checkpointed(df):  # a history read back from a checkpoint: LogicalRDD carrying version ids
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-        return any("LogicalRDD" in line and "dbt_scd_id" in line for line in plan.split("\n"))
-
-    assert checkpointed(cut) and not checkpointed(lazy)
-    assert sorted(map(str, cut.collect())) == sorted(map(str, lazy.collect()))
+    def chain(n):
+        runs = [(ext(spark, [(1, f"A{i}", "a", 0), (2 + i, "B", "b", 0)]), f"2024-0{i + 1}-01 00:00:00") for i in range(n)]
+        return _history(runs, "id", CHECK)
+
+    for n in range(2, 7):
+        plan = chain(n)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join FullOuter") == n - 1 and plan.count("LogicalRDD") == n
+    h = chain(4)
+    assert [v[0] for v in versions(h, 1)] == ["A0", "A1", "A2", "A3"]
+    assert len(versions(h, 2)) == 1 and versions(h, 2)[0][3] == "2024-02-01T00:00:00"
+
+
+def test_point_lookup_pushes_the_key(spark):
+    from strata.plans.queries import q_customer_history, q_product_price_history
+
+    for q, col in ((q_customer_history, "c_custkey"), (q_product_price_history, "p_partkey")):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"EqualTo({col},") == 3  # one scan per run, each with the key
 
 
 def test_snk7_crashed_run_stays_invisible_and_is_replaced(spark, tmp_root):

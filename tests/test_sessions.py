@@ -1,5 +1,6 @@
 """WIN-2..4 skew-proof sequencing, DS-6 sessions, DS-14 funnel; ledger L14/L15/L16/L21."""
 
+import datetime as dt
 import random
 
 from conftest import rows, ts
@@ -30,41 +31,47 @@ def reference_sequence(df):
     )
 
 
-def test_sequence_matches_window_with_hot_group_and_small_batches(spark):
+def sequenced(df, **kw):
+    got = sequence_within_groups(df, "g", ["t", "e"], ["t", "v"], **kw)
+    return got.select("g", "t", "e", "v", F.col("_seq").alias("seq"), F.col("_prev_t").alias("pt"), F.col("_prev_v").alias("pv"))
+
+
+def test_sequence_matches_window_with_hot_group(spark):
     rnd = random.Random(7)
     data = []
-    for i in range(3000):  # one hot group with ~60% of rows, NULL group, many small groups
+    for i in range(3000):  # one hot group with ~60% of rows, NULL group and times, many small groups
         g = "hot" if rnd.random() < 0.6 else (None if rnd.random() < 0.05 else f"s{rnd.randrange(200)}")
-        data.append((g, rnd.randrange(10_000), i, f"v{i}"))
+        data.append((g, None if i % 97 == 0 else rnd.randrange(10_000), i, f"v{i}"))
     df = spark.createDataFrame(data, "g string, t long, e long, v string")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")  # many batches per slice
-    try:
-        got = sequence_within_groups(df, "g", ["t", "e"], ["t", "v"], num_partitions=7, strategy="range")
-        spark.catalog.clearCache()  # the cut is pinned by a checkpoint, not by a cache
-        got = got.select("g", "t", "e", "v", F.col("_seq").alias("seq"), F.col("_prev_t").alias("pt"), F.col("_prev_v").alias("pv"))
-        assert rows(got) == rows(reference_sequence(df))
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-        spark.catalog.clearCache()
-
-
-def test_sequence_hot_group_is_split_across_tasks(spark):
-    df = spark.range(4000).selectExpr("'hot' as g", "id as t", "id as e", "cast(id as string) as v")
-    ranged = df.repartitionByRange(8, "g", "t", "e").withColumn("_pid", F.spark_partition_id())
-    assert ranged.select("_pid").distinct().count() > 1
-    got = sequence_within_groups(df, "g", ["t", "e"], ["t"], num_partitions=8, max_group_rows=1000)
-    assert "MapInPandas" in got._jdf.queryExecution().executedPlan().toString()  # auto chose the range path
-    assert got.filter(F.col("_seq") != F.col("t") + 1).count() == 0
-    spark.catalog.clearCache()
+    assert rows(sequenced(df)) == rows(reference_sequence(df))
+    assert rows(sequenced(df, slice_by=F.lit(1))) == rows(reference_sequence(df))
+    names = df.select("g", F.col("e").cast("string").alias("t"), "e", "v")  # a type that is not cut
+    assert rows(sequenced(names)) == rows(reference_sequence(names))
 
 
-def test_sequence_auto_uses_window_for_bounded_groups(spark):
-    df = spark.range(100).selectExpr("cast(id % 10 as string) as g", "id as t", "id as e", "cast(id as string) as v")
-    got = sequence_within_groups(df, "g", ["t", "e"], ["t", "v"])
-    assert "MapInPandas" not in got._jdf.queryExecution().executedPlan().toString()
-    ref = reference_sequence(df)
-    got = got.select("g", "t", "e", "v", F.col("_seq").alias("seq"), F.col("_prev_t").alias("pt"), F.col("_prev_v").alias("pv"))
-    assert rows(got) == rows(ref)
+def test_sequence_keeps_nan_nulls_and_late_times(spark):
+    t0 = ts("2499-12-31 22:30:00")
+    data = []
+    for i in range(400):  # one session holds half the rows and spans many hours, beyond what pandas can hold
+        g = "hot" if i % 2 else f"s{i % 20}"
+        data.append((g, t0 + dt.timedelta(minutes=7 * (i * 37 % 400)), i, float("nan") if i % 5 == 0 else (None if i % 7 == 0 else i / 3)))
+    df = spark.createDataFrame(data, "g string, t timestamp, e long, v double")
+    got, want = sequenced(df), reference_sequence(df)
+    as_text = lambda x: rows(x.select(*[F.col(c).cast("string") for c in x.columns]))
+    assert as_text(got) == as_text(want)
+    assert "NaN" in {r[-1] for r in as_text(got)}
+
+
+def test_sequence_splits_a_hot_group_and_runs_nothing_early(spark):
+    df = spark.range(4000).selectExpr("if(id >= 0, 'hot', 'none') as g", "id as t", "id as e", "cast(id as string) as v")
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy", "lazy")
+    got = sequence_within_groups(df, "g", ["t", "e"], ["t"])
+    assert not sc.statusTracker().getJobIdsForGroup("lazy")
+    sc._jsc.sc().clearJobGroup()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(g#" in plan and "_slice" in plan and "Python" not in plan and "Pandas" not in plan
+    assert got.filter(F.col("_seq") != F.col("t") + 1).count() == 0
 
 
 def test_ds6_sessionize(spark):
@@ -78,8 +85,6 @@ def test_ds6_sessionize(spark):
         EV_SCHEMA,
     )
     out = {r.event_id: r for r in sessionize(df).collect()}
-    ranged = {r.event_id: r for r in sessionize(df, strategy="range").collect()}
-    assert ranged == out
     assert set(out) == {"a1", "a2", "a3"}
     assert (out["a1"].event_sequence_in_session, out["a1"].previous_event_type, out["a1"].seconds_since_previous_event) == (1, None, None)
     assert out["a1"].event_type == "page_view"
@@ -119,22 +124,22 @@ def test_l21_funnel_over_zero_sessions(spark):
     spark.catalog.clearCache()
 
 
-def test_forward_fill_range_equals_window(spark):
+def test_forward_fill_equals_window(spark):
     rnd = random.Random(5)
     data = []
     for i in range(2500):
         g = "hot" if rnd.random() < 0.5 else (None if rnd.random() < 0.05 else f"s{rnd.randrange(50)}")
         data.append((g, rnd.randrange(5000), i, None if rnd.random() < 0.6 else rnd.randrange(100)))
     df = spark.createDataFrame(data, "g string, t long, e long, f long")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
-    try:
-        cols = ("g", "t", "e", "f", "_seq", "_fill_f")
-        a = sequence_within_groups(df, "g", ["t", "e"], [], num_partitions=7, strategy="range", fill_cols=["f"])
-        b = sequence_within_groups(df, "g", ["t", "e"], [], strategy="window", fill_cols=["f"])
-        assert rows(a, *cols) == rows(b, *cols)
-        assert a.filter("f is not null and _fill_f != f").count() == 0
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    cols = ("g", "t", "e", "f", "_seq", "_fill_f")
+    got = sequence_within_groups(df, "g", ["t", "e"], [], fill_cols=["f"])
+    w = Window.partitionBy("g").orderBy("t", "e")
+    want = df.select(
+        "*",
+        F.row_number().over(w).cast("long").alias("_seq"),
+        F.last("f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_fill_f"),
+    )
+    assert rows(got, *cols) == rows(want, *cols)
 
 
 def test_sessionize_without_event_id(spark):

@@ -110,3 +110,31 @@ def test_vacuum_versions_keeps_the_newest(spark, tmp_root):
     deleted = vacuum_versions(spark, f"{db}.t", keep=2)
     assert len(deleted) == 3 and len(glob.glob(f"{tmp_root}/{db}/t/v-*")) == 2
     assert rows(spark.table(f"{db}.t")) == [(4,)]
+
+
+def test_upsert_moves_a_key_whose_partition_changed(spark, tmp_root):
+    db = f"k{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    schema = "k int, v string, updated_at timestamp, month string"
+    t = f"{db}.t"
+    first = [(k, "a", ts("2024-01-01"), f"2024-0{k % 3 + 1}") for k in range(1, 10)] + [(20, "only", ts("2024-01-01"), "2023-12"), (21, "n", ts("2024-01-01"), None)]
+    upsert_table(spark, t, spark.createDataFrame(first, schema), ["k"], root=tmp_root, partition_by=["month"])
+    batch = spark.createDataFrame([(2, "moved", ts("2024-02-01"), "2024-05"), (20, "left", ts("2024-02-01"), "2024-01"), (21, "z", ts("2024-02-01"), None), (30, "new", ts("2024-02-01"), "2024-02")], schema)
+    for _ in range(2):  # a second time changes nothing
+        upsert_table(spark, t, batch, ["k"], root=tmp_root, partition_by=["month"])
+        got = {r.k: (r.v, r.month) for r in spark.table(t).collect()}
+        assert spark.table(t).count() == len(got) == 12
+        assert got[2] == ("moved", "2024-05") and got[20] == ("left", "2024-01") and got[21] == ("z", None) and got[30] == ("new", "2024-02")
+        assert got[5] == ("a", "2024-03")
+        assert spark.table(t).filter("month = '2023-12'").count() == 0
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_root):
+    from strata.sinks.tables import _in_partitions
+
+    db = f"f{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    df = spark.range(30).selectExpr("id as k", "concat('2024-0', id % 9) as month")
+    materialize(df, f"{db}.t", tmp_root, partition_by=["month"])
+    plan = spark.table(f"{db}.t").filter(_in_partitions([("2024-01",), ("2024-02",)], ["month"]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [month" in plan and "IN (2024-01,2024-02)" in plan
