@@ -197,8 +197,8 @@ cte(
     """SELECT l_orderkey * 10 + l_linenumber AS order_item_id,
         l_orderkey AS order_id,
         l_partkey AS product_id,
-        CAST(l_quantity AS INTEGER) AS quantity,
-        CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price,
+        CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 7 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
+        CAST(CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 12 THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(10,2)) AS unit_price,
         l_shipdate AS created_at
     FROM lineitem""",
 )
@@ -206,7 +206,7 @@ cte(
     "b_payments",
     """SELECT l_orderkey * 10 + l_linenumber AS payment_id,
         l_orderkey AS order_id,
-        CAST(l_extendedprice AS DECIMAL(12,2)) AS amount,
+        CAST(CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 3 THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(12,2)) AS amount,
         CASE WHEN l_linenumber % 4 = 0 THEN 'card' WHEN l_linenumber % 4 = 1 THEN ' UPI'
              WHEN l_linenumber % 4 = 2 THEN 'NetBanking ' ELSE 'COD' END AS method,
         CASE WHEN l_returnflag = 'R' THEN 'failed' WHEN l_returnflag = 'A' THEN 'SUCCESS'
@@ -222,7 +222,7 @@ cte(
         CASE WHEN event_type = 'view' THEN 'PAGE_VIEW' WHEN event_type = 'click' THEN 'product_view'
              WHEN event_type = 'signup' THEN 'add_to_cart' WHEN event_type = 'purchase' THEN 'checkout_start'
              WHEN event_type = 'error' THEN 'search' ELSE event_type END AS event_type,
-        ts AS event_time,
+        CASE WHEN event_id % 40 <> 11 THEN ts END AS event_time,
         CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
         CASE WHEN user_id % 5 = 0 THEN NULL ELSE user_id END AS customer_id,
         CASE WHEN event_id % 4 = 0 THEN 'DESKTOP' WHEN event_id % 4 = 1 THEN 'iPhone 15'
@@ -238,32 +238,57 @@ cte(
     FROM events""",
 )
 
+# second deliveries, one day later and changed
+cte(
+    "d_customers",
+    """SELECT * FROM b_customers UNION ALL
+    SELECT * REPLACE (CASE WHEN customer_id % 14 <> 3 THEN email END AS email, lower(city) AS city,
+        updated_at + INTERVAL 1 DAY AS updated_at) FROM b_customers WHERE customer_id % 7 = 3""",
+    ["b_customers"],
+)
+cte(
+    "d_products",
+    """SELECT * FROM b_products UNION ALL
+    SELECT * REPLACE (CAST(CASE WHEN product_id % 14 = 3 THEN -1 ELSE price + 1 END AS DECIMAL(10,2)) AS price,
+        updated_at + INTERVAL 1 DAY AS updated_at) FROM b_products WHERE product_id % 7 = 3""",
+    ["b_products"],
+)
+cte(
+    "d_orders",
+    """SELECT * FROM b_orders UNION ALL
+    SELECT * REPLACE (CASE WHEN order_id % 14 <> 3 THEN total_amount END AS total_amount,
+        CASE WHEN order_id % 21 <> 10 THEN status END AS status,
+        CASE WHEN order_id % 35 = 24 THEN -customer_id ELSE customer_id END AS customer_id,
+        updated_at + INTERVAL 1 DAY AS updated_at) FROM b_orders WHERE order_id % 7 = 3""",
+    ["b_orders"],
+)
+
 # Silver
 cte(
     "s_customers",
     f"""SELECT customer_id, {initcap('trim(first_name)')} AS first_name, {initcap('trim(last_name)')} AS last_name,
         lower(trim(email)) AS email, phone, address_line, {initcap('trim(city)')} AS city, state, country,
         postal_code, signup_date, is_active, created_at, updated_at
-    FROM {latest('b_customers', 'customer_id', 'updated_at', CUSTOMER_COLS)}
+    FROM {latest('d_customers', 'customer_id', 'updated_at', CUSTOMER_COLS)}
     WHERE email IS NOT NULL AND customer_id IS NOT NULL""",
-    ["b_customers"],
+    ["d_customers"],
 )
 cte(
     "s_products",
     f"""SELECT product_id, trim(product_name) AS product_name, trim(category) AS category,
         trim(sub_category) AS sub_category, trim(brand) AS brand, price, stock_qty, is_discontinued,
         created_at, updated_at
-    FROM {latest('b_products', 'product_id', 'updated_at', PRODUCT_COLS)}
+    FROM {latest('d_products', 'product_id', 'updated_at', PRODUCT_COLS)}
     WHERE price >= 0""",
-    ["b_products"],
+    ["d_products"],
 )
 cte(
     "s_orders",
     f"""SELECT order_id, customer_id, order_date, upper(trim(status)) AS status,
         {initcap('trim(shipping_city)')} AS shipping_city, shipping_country, total_amount, created_at, updated_at
-    FROM {latest('b_orders', 'order_id', 'updated_at', ORDER_COLS)}
+    FROM {latest('d_orders', 'order_id', 'updated_at', ORDER_COLS)}
     WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND total_amount >= 0""",
-    ["b_orders"],
+    ["d_orders"],
 )
 cte(
     "s_order_items",
@@ -378,9 +403,28 @@ def with_ctes(select: str, *needed: str) -> str:
 
 
 # --- data tests (the 39 declared tests) ---------------------------------------------------------
-def _dq_sql() -> str:
-    from strata.operators.quality import ALL_RULES
+# The declared tests, listed here on their own: (model, not null, unique, accepted values).
+DECLARED = [
+    ("bronze.customers", ('customer_id',), ('customer_id',), {}),
+    ("bronze.products", ('product_id',), ('product_id',), {}),
+    ("bronze.orders", ('order_id', 'customer_id'), ('order_id',), {}),
+    ("bronze.order_items", ('order_item_id',), ('order_item_id',), {}),
+    ("bronze.payments", ('payment_id',), ('payment_id',), {}),
+    ("bronze.clickstream_events", ('event_id',), ('event_id',), {}),
+    ("silver_customers", ('customer_id', 'email'), ('customer_id', 'email'), {}),
+    ("silver_products", ('product_id',), ('product_id',), {}),
+    ("silver_orders", ('order_id', 'customer_id'), ('order_id',), {"status": ('PENDING', 'CONFIRMED', 'SHIPPED', 'DELIVERED', 'CANCELLED')}),
+    ("silver_order_items", ('order_item_id',), ('order_item_id',), {}),
+    ("silver_payments", ('payment_id',), ('payment_id',), {"status": ('INITIATED', 'SUCCESS', 'FAILED', 'REFUNDED')}),
+    ("silver_clickstream_sessions", ('event_id',), ('event_id',), {"event_type": ('page_view', 'product_view', 'search', 'add_to_cart', 'remove_from_cart', 'checkout_start')}),
+    ("gold_daily_sales_summary", ('order_day',), ('order_day',), {}),
+    ("gold_customer_ltv", ('customer_id',), ('customer_id',), {}),
+    ("customers_snapshot", ('dbt_scd_id',), ('dbt_scd_id',), {}),
+    ("products_snapshot", ('dbt_scd_id',), ('dbt_scd_id',), {}),
+]
 
+
+def _dq_sql() -> str:
     tables = {
         "bronze.customers": "b_customers",
         "bronze.products": "b_products",
@@ -400,19 +444,19 @@ def _dq_sql() -> str:
         "products_snapshot": "p_hist",
     }
     parts = []
-    for r in ALL_RULES:
-        t = tables[r.model]
-        for c in r.not_null:
-            parts.append(f"SELECT 'not_null', '{r.model}', '{c}', count(*) FILTER (WHERE {c} IS NULL) FROM {t}")
-        for c, vals in r.accepted_values.items():
+    for model, not_null, unique, accepted in DECLARED:
+        t = tables[model]
+        for c in not_null:
+            parts.append(f"SELECT 'not_null', '{model}', '{c}', count(*) FILTER (WHERE {c} IS NULL) FROM {t}")
+        for c, vals in accepted.items():
             lst = ", ".join(f"'{v}'" for v in vals)
             parts.append(
-                f"SELECT 'accepted_values', '{r.model}', '{c}', "
+                f"SELECT 'accepted_values', '{model}', '{c}', "
                 f"count(DISTINCT {c}) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})) FROM {t}"
             )
-        for c in r.unique:
+        for c in unique:
             parts.append(
-                f"SELECT 'unique', '{r.model}', '{c}', (SELECT count(*) FROM (SELECT {c} FROM {t} "
+                f"SELECT 'unique', '{model}', '{c}', (SELECT count(*) FROM (SELECT {c} FROM {t} "
                 f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
             )
     union = "\nUNION ALL ".join(parts)
@@ -505,7 +549,7 @@ ORACLE_SQL: dict[str, str] = {
     "foreign_key_violations": with_ctes(
         """SELECT 'orders.customer_id -> customers' AS relationship, CAST(customer_id AS BIGINT) AS key_value,
                   count(*) AS child_rows
-           FROM b_orders x WHERE customer_id IS NOT NULL
+           FROM d_orders x WHERE customer_id IS NOT NULL
              AND NOT EXISTS (SELECT 1 FROM b_customers p WHERE p.customer_id = x.customer_id) GROUP BY customer_id
         UNION ALL
         SELECT 'order_items.order_id -> orders', CAST(order_id AS BIGINT), count(*)
@@ -520,13 +564,14 @@ ORACLE_SQL: dict[str, str] = {
            FROM b_payments x WHERE order_id IS NOT NULL
              AND NOT EXISTS (SELECT 1 FROM b_orders p WHERE p.order_id = x.order_id) GROUP BY order_id""",
         "b_orders",
+        "d_orders",
         "b_customers",
         "b_order_items",
         "b_products",
         "b_payments",
     ),
     "events_per_type": with_ctes(
-        "SELECT event_type, count(*) AS event_count FROM b_clicks GROUP BY event_type ORDER BY event_count DESC",
+        "SELECT event_type, count(*) AS event_count FROM b_clicks GROUP BY event_type ORDER BY event_count DESC, event_type",
         "b_clicks",
     ),
     "row_counts": with_ctes(

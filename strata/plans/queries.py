@@ -32,17 +32,17 @@ from strata.sources.incremental import extract_incremental
 # --- Silver ------------------------------------------------------------------------------
 def q_silver_customers(spark: SparkSession, d: str) -> DataFrame:
     """DS-1 (WIN-1, FLT-4, FLT-5, PRJ-3)."""
-    return silver_customers(A.customers(spark, d))
+    return silver_customers(A.customers_delivered(spark, d))
 
 
 def q_silver_products(spark: SparkSession, d: str) -> DataFrame:
     """DS-2 (WIN-1, FLT-8, PRJ-4)."""
-    return silver_products(A.products(spark, d))
+    return silver_products(A.products_delivered(spark, d))
 
 
 def q_silver_orders(spark: SparkSession, d: str) -> DataFrame:
     """DS-3 (WIN-1, FLT-6, PRJ-5)."""
-    return silver_orders(A.orders(spark, d))
+    return silver_orders(A.orders_delivered(spark, d))
 
 
 def q_silver_order_items(spark: SparkSession, d: str) -> DataFrame:
@@ -201,7 +201,7 @@ def q_dq_report(spark: SparkSession, d: str) -> DataFrame:
 
 def q_foreign_key_violations(spark: SparkSession, d: str) -> DataFrame:
     """DQ-4 over the four source relationships."""
-    customers, orders = A.customers(spark, d), A.orders(spark, d)
+    customers, orders = A.customers(spark, d), A.orders_delivered(spark, d)
     items, products, pays = A.order_items(spark, d), A.products(spark, d), A.payments(spark, d)
     checks = [
         ("orders.customer_id -> customers", orders, "customer_id", customers, "customer_id"),

@@ -91,6 +91,38 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     return out
 
 
+def _delivered_again(df: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:
+    """``df`` and, one day later, a changed second delivery of every row whose key is 3 modulo 7."""
+    again = df.filter(F.col(key) % 7 == 3).withColumns({"updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY"), **changes})
+    return df.unionByName(again)
+
+
+def customers_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with second deliveries; half of those lost the email (the latest row is the invalid one)."""
+    lost = F.when(F.col("customer_id") % 14 != 3, F.col("email"))
+    return _delivered_again(customers(spark, sf_dir), "customer_id", {"email": lost, "city": F.lower("city")})
+
+
+def products_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with second deliveries; half of those have a negative price."""
+    price = F.when(F.col("product_id") % 14 == 3, F.lit(-1)).otherwise(F.col("price") + 1).cast("decimal(10,2)")
+    return _delivered_again(products(spark, sf_dir), "product_id", {"price": price})
+
+
+def orders_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with second deliveries; some of those lost the amount or the status, some name no known customer."""
+    k = F.col("order_id")
+    return _delivered_again(
+        orders(spark, sf_dir),
+        "order_id",
+        {
+            "total_amount": F.when(k % 14 != 3, F.col("total_amount")),
+            "status": F.when(k % 21 != 10, F.col("status")),
+            "customer_id": F.when(k % 35 == 24, -F.col("customer_id")).otherwise(F.col("customer_id")),
+        },
+    )
+
+
 def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     """Bronze ``products``; ``run`` selects the SCD extract (1, 2 or 3; 3 equals 1)."""
     p = read(spark, sf_dir, "part")
@@ -169,6 +201,10 @@ def orders_batch_since(spark: SparkSession, sf_dir: str, cutoff: str = UPSERT_CU
     return new.unionByName(delivered)
 
 
+def _line() -> Column:
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ``order_items``, one per line item; ``order_item_id`` repeats in this data (a real
     finding of the unique test on the raw source)."""
@@ -177,8 +213,9 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
+        # some lines are void (quantity 0) or reversed (negative price)
+        F.when(_line() % 50 == 7, 0).otherwise(F.col("l_quantity")).cast("int").alias("quantity"),
+        F.when(_line() % 50 == 12, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).cast("decimal(10,2)").alias("unit_price"),
         F.col("l_shipdate").alias("created_at"),
     )
 
@@ -201,7 +238,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         (F.col("l_orderkey") * 10 + n).alias("payment_id"),
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
+        F.when(_line() % 50 == 3, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).cast("decimal(12,2)").alias("amount"),
         method.alias("method"),
         status.alias("status"),
         F.col("l_shipdate").alias("paid_at"),
@@ -233,7 +270,7 @@ def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         eid.cast("string").alias("event_id"),
         etype.alias("event_type"),
-        F.col("ts").alias("event_time"),
+        F.when(eid % 40 != 11, F.col("ts")).alias("event_time"),  # the others could not be parsed
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
         F.when(F.col("user_id") % 5 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("customer_id"),
         device.alias("device"),
