@@ -13,9 +13,9 @@ import argparse
 import os
 import sys
 
-from strata.plans.pipeline import STEPS, Layout, run
-from strata.session import build_session
-from strata.sources.incremental import TABLES_CONFIG, jdbc_source
+from strata.plans.pipeline import STEPS, Layout, run, setup
+from strata.session import build_session, scale_conf
+from strata.sources.incremental import TABLES_CONFIG, get_last_watermark, jdbc_source
 from strata.streaming.ingest import file_stream
 from strata.streaming.kafka import kafka_options, kafka_stream
 
@@ -30,7 +30,11 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--jdbc-driver", default=None)
     ap.add_argument("--jdbc-user-env", default=None, help="name of the env var holding the user")
     ap.add_argument("--jdbc-password-env", default=None, help="name of the env var holding the password")
-    ap.add_argument("--jdbc-partitions", type=int, default=1, help="parallel reads per table, split on its key")
+    ap.add_argument("--jdbc-partitions", type=int, default=8, help="parallel reads per table, split on its key")
+    ap.add_argument("--files-per-trigger", type=int, default=None, help="message files of one micro-batch")
+    ap.add_argument("--offsets-per-trigger", type=int, default=None, help="broker messages of one micro-batch")
+    ap.add_argument("--input-bytes", type=int, default=None, help="size of the input, to size shuffles and scans")
+    ap.add_argument("--total-cores", type=int, default=None, help="cores of the cluster, likewise")
     ap.add_argument("--kafka-connection-env", default=None, help="env var with the broker connection string")
     ap.add_argument("--topic", default=None)
     ap.add_argument("--events-dir", default=None, help="folder of message files instead of a broker")
@@ -43,7 +47,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     """Run the selected steps; exit code 1 when a data test fails."""
     args = parse_args(sys.argv[1:] if argv is None else argv)
-    spark = build_session()
+    sized = scale_conf(args.input_bytes, args.total_cores) if args.input_bytes and args.total_cores else None
+    spark = build_session(extra_conf=sized)
+    layout = Layout(args.root, args.prefix)
+    setup(spark, layout)  # the control table has the watermarks
     props = {}
     if args.jdbc_driver:
         props["driver"] = args.jdbc_driver
@@ -59,17 +66,18 @@ def main(argv: list[str] | None = None) -> int:
             props,
             partition_column=cfg.primary_key,
             num_partitions=args.jdbc_partitions,
+            newer_than=(cfg.watermark_col, get_last_watermark(spark, layout.control_table, cfg.source_table)),
         )
         for cfg in TABLES_CONFIG
     }
     stream = None
     if args.kafka_connection_env and args.topic:
-        stream = kafka_stream(spark, kafka_options(os.environ[args.kafka_connection_env], args.topic))
+        stream = kafka_stream(spark, kafka_options(os.environ[args.kafka_connection_env], args.topic, max_offsets_per_trigger=args.offsets_per_trigger))
     elif args.events_dir:
-        stream = file_stream(spark, args.events_dir)
+        stream = file_stream(spark, args.events_dir, max_files_per_trigger=args.files_per_trigger)
     steps = tuple(x.strip() for x in args.steps.split(",") if x.strip())
     report = run(
-        spark, Layout(args.root, args.prefix), sources, stream=stream, run_date=args.run_date, as_of=args.as_of, steps=steps
+        spark, layout, sources, stream=stream, run_date=args.run_date, as_of=args.as_of, steps=steps
     )
     failed = report.filter("status = 'fail'")
     n_failed = failed.count()  # one row per declared test at most

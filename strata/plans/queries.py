@@ -265,9 +265,9 @@ def q_bronze_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_decode_events(spark: SparkSession, d: str) -> DataFrame:
-    from strata.streaming.ingest import drain_file_stream
+    from strata.streaming.ingest import drain
 
-    sink = drain_file_stream(spark, A.event_messages(spark, d))
+    sink = drain(A.event_message_stream(spark, d))
     # ingestion time is not reproducible; event time compared zone-free
     return sink.drop("_ingested_at", "_source_system").withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("event_time", "kafka_timestamp")}
@@ -276,9 +276,9 @@ def q_stream_decode_events(spark: SparkSession, d: str) -> DataFrame:
 
 def q_stream_decode_events_lenient(spark: SparkSession, d: str) -> DataFrame:
     """The same drain with lenient decoding: drifted fields and epoch-millisecond times repaired."""
-    from strata.streaming.ingest import drain_file_stream
+    from strata.streaming.ingest import drain
 
-    sink = drain_file_stream(spark, A.event_messages(spark, d), mode="lenient")
+    sink = drain(A.event_message_stream(spark, d), mode="lenient")
     return sink.drop("_ingested_at", "_source_system").withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("event_time", "kafka_timestamp")}
     )

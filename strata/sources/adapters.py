@@ -293,7 +293,17 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sometimes arrive as strings and the cart value sometimes carries a ``$`` (L12); every
     20th message carries an extra unknown key.
     """
-    e = read(spark, sf_dir, "events")
+    return messages_of(read(spark, sf_dir, "events"))
+
+
+def event_message_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
+    """The same messages as a stream over the files of ``events``, so many files a micro-batch."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(read(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", str(files_per_trigger))
+    return messages_of(reader.parquet(path))
+
+
+def messages_of(e: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     ts = F.col("ts")
     event_time = (

@@ -77,11 +77,23 @@ def extract_incremental(
     return source.filter(F.col(watermark_col) > lower)
 
 
-def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, properties: dict[str, str] | None = None):
+def jdbc_bounds(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    properties: dict[str, str] | None = None,
+    newer_than: tuple[str, str] | None = None,
+):
     """``(min, max)`` of a numeric column, computed by the database in one small query; the
-    column is quoted by Spark's JDBC dialect for that database.  Two values come back."""
-    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
-    query = f"(SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}) strata_bounds"
+    column is quoted by Spark's JDBC dialect for that database.  Two values come back.
+
+    ``newer_than`` (watermark column, value) measures only the rows that an incremental read will return, which
+    mostly lie at the top of the key range."""
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    quoted = dialect.quoteIdentifier(column)
+    where = f" WHERE {dialect.quoteIdentifier(newer_than[0])} > '{newer_than[1]}'" if newer_than else ""
+    query = f"(SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}{where}) strata_bounds"
     row = jdbc_source(spark, url, query, properties).first()
     return (row[0], row[1]) if row else (None, None)
 
@@ -95,12 +107,13 @@ def jdbc_source(
     lower_bound=None,
     upper_bound=None,
     num_partitions: int | None = None,
+    newer_than: tuple[str, str] | None = None,
 ) -> DataFrame:
     """A JDBC table as a lazy DataFrame (SRC-1).
 
     Parallel reads need ``partition_column`` (numeric, e.g. the primary key) and bounds;
     ``numPartitions`` alone gives one partition (the reference's setting, BASELINE).  Without
-    explicit bounds they are fetched with ``jdbc_bounds``.  Filters applied later (the
+    explicit bounds they are fetched with ``jdbc_bounds`` (of the rows ``newer_than`` a watermark).  Filters applied later (the
     watermark) are pushed into every partition's query.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
@@ -108,7 +121,7 @@ def jdbc_source(
         reader = reader.option(k, v)
     if partition_column and (num_partitions or 0) > 1:
         if lower_bound is None or upper_bound is None:
-            lower_bound, upper_bound = jdbc_bounds(spark, url, table, partition_column, properties)
+            lower_bound, upper_bound = jdbc_bounds(spark, url, table, partition_column, properties, newer_than)
         if lower_bound is not None and upper_bound is not None and upper_bound > lower_bound:
             reader = (
                 reader.option("partitionColumn", partition_column)

@@ -76,15 +76,14 @@ def file_stream(
     return reader.parquet(source_dir)
 
 
-def drain_file_stream(spark: SparkSession, messages: DataFrame, mode: str = "strict") -> DataFrame:
-    """Land ``messages`` as files, drain them through ``ingest_stream``, read the sink back.
+def drain(messages: DataFrame, mode: str = "strict") -> DataFrame:
+    """Drain a bounded stream of messages (value, timestamp) through ``ingest_stream`` and read the sink.
 
-    All files live in a fresh folder under the shared scratch root (``spark.checkpoint.dir``).
+    The source is read as it lies, in the micro-batches its trigger limit sets.  Sink and stream checkpoint
+    live in a fresh folder under the shared scratch root (``spark.checkpoint.dir``).
     """
+    spark = messages.sparkSession
     root = scratch_path(spark, "stream-ingest")
-    source_dir, sink_dir, ckpt = f"{root}/source", f"{root}/sink", f"{root}/_checkpoint"
-    messages.select(
-        F.col("value").cast("string"), F.col("timestamp").cast("timestamp")
-    ).write.mode("errorifexists").parquet(source_dir)
-    ingest_stream(file_stream(spark, source_dir), ckpt, path=sink_dir, mode=mode)
-    return spark.read.parquet(sink_dir)
+    typed = messages.select(F.col("value").cast("string"), F.col("timestamp").cast("timestamp"))
+    ingest_stream(typed, f"{root}/_checkpoint", path=f"{root}/sink", mode=mode)
+    return spark.read.parquet(f"{root}/sink")
