@@ -52,7 +52,7 @@ def loss_spans(turns: Column, role: str = "assistant") -> Column:
 def common_turns(a: Column, b: Column) -> Column:
     """Number of leading turns that two conversations share."""
     same = F.transform(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y) & x.isNotNull() & y.isNotNull()), lambda x: ~x)
-    return F.coalesce(F.array_position(same, True) - F.lit(1), F.lit(0)) + F.when(F.array_contains(same, True), 0).otherwise(F.size(same))
+    return F.when(F.array_contains(same, True), F.array_position(same, True) - 1).otherwise(F.size(same))
 
 
 def format_preferences(pairs: DataFrame, chosen_col: str, rejected_col: str) -> DataFrame:

@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.llm import preferences as pf
+
+TURNS = [
+    (1, 0, "user", "hi"), (1, 1, "assistant", "héllo😀"), (1, 2, "user", "more"), (1, 3, "assistant", "a b"),
+    (2, 0, "user", "hi"), (2, 1, "assistant", "héllo😀"), (2, 3, "assistant", ""), (2, 2, "user", "less"),
+    (3, 0, "user", "hi"),
+    (4, 0, "user", "hi"), (4, 0, "user", "hi"), (4, 1, "assistant", "héllo😀"), (4, 2, "user", "more"), (4, 3, "assistant", "a b"),
+    (5, None, None, None), (5, 1, "assistant", "x" * 50_000),
+    (None, 0, "user", "lost"),
+]
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def text_of(turns):
+    return "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in turns)
+
+
+def conversations(spark, turns=TURNS):
+    df = spark.createDataFrame(turns, SCHEMA).withColumns({c: F.lit(1) for c in ("conv", "turns", "score", "part")})
+    return pf.conversations_of(df, "conv_id", "turn", "role", "text")
+
+
+def plain():
+    out = {}
+    for c, n, r, t in sorted(set(TURNS), key=lambda x: (x[1] is not None, x[1] or 0)):
+        if c is not None:
+            out.setdefault(c, []).append((r or "user", t or ""))
+    return out
+
+
+def test_conversations(spark):
+    got = {r.conv: [(t.role, t.text) for t in r.turns] for r in conversations(spark).collect()}
+    assert got == plain()
+
+
+def test_common_prefix_and_masks(spark):
+    conv, own = conversations(spark), plain()
+    ids = [(a, b) for a in own for b in own]
+    pairs = spark.createDataFrame(ids, "a long, b long")
+    pairs = pairs.join(conv.select(F.col("conv").alias("a"), F.col("turns").alias("x")), "a").join(conv.select(F.col("conv").alias("b"), F.col("turns").alias("y")), "b")
+    rows = pf.format_preferences(pairs, "x", "y").collect()
+    assert len(rows) == len(ids)
+    for r in rows:
+        a, b = own[r.a], own[r.b]
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        assert (r.n_common, r.prompt, r.chosen, r.rejected) == (n, text_of(a[:n]), text_of(a[n:]), text_of(b[n:]))
+        for rendered, spans, turns in ((r.chosen, r.chosen_loss, a[n:]), (r.rejected, r.rejected_loss, b[n:])):
+            assert [rendered[s.start : s.end] for s in spans] == [f"{t}<|im_end|>\n" for role, t in turns if role == "assistant"]
+
+
+def test_null_conversations_count_as_empty(spark):
+    kind = pf.TURN
+    df = spark.createDataFrame([(1, None, [("user", "x")]), (2, None, None)], f"no int, a {kind}, b {kind}")
+    rows = {r.no: r for r in pf.format_preferences(df, "a", "b").collect()}
+    assert (rows[1].n_common, rows[1].prompt, rows[1].chosen, rows[1].rejected) == (0, "", "", text_of([("user", "x")]))
+    assert (rows[2].prompt, rows[2].chosen, rows[2].rejected) == ("", "", "")
+
+
+def test_pairs_by_opening_is_one_chain(spark):
+    turns = [(i, 0, "user", "same") for i in range(300)] + [(i, 1, "assistant", "x" * (i % 7)) for i in range(300)] + [(1000, 0, "user", "alone")]
+    conv = conversations(spark, turns)
+    score = F.length(F.element_at("turns", -1)["text"])
+    pairs = [tuple(r) for r in pf.pairs_by_opening(conv, score).collect()]
+    assert len(pairs) == len(set(pairs)) == 299 and not any(1000 in p for p in pairs)
+    parent = list(range(300))
+    for a, b in pairs:
+        assert (a % 7, a) > (b % 7, b)
+        while parent[a] != a:
+            a = parent[a]
+        while parent[b] != b:
+            b = parent[b]
+        parent[a] = b
+    assert sum(parent[i] == i for i in range(300)) == 1
+
+
+def test_swapped_replies(spark):
+    rows = {r.chosen_id: r for r in pf.swapped_replies(conversations(spark), F.lit(0)).collect()}
+    assert set(rows) == {1, 2, 4, 5}  # 3 has no reply
+    assert [rows[i].rejected_id for i in (1, 2, 4, 5)] == [2, 4, 5, 1]
+    assert [(t.role, t.text) for t in rows[2].rejected_turns] == [*plain()[2][:-1], ("assistant", "a b")]
+    assert pf.swapped_replies(conversations(spark, TURNS[:4]), F.lit(0)).count() == 0
+
+
+def test_empty_table(spark):
+    conv = conversations(spark, [])
+    assert conv.count() == 0 and pf.pairs_by_opening(conv, F.lit(0)).count() == 0 and pf.swapped_replies(conv, F.lit(0)).count() == 0

@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm.prefix_forest import nearest
+
+SCHEMA = "vec_id long, embedding array<float>, id int, v int, entry int, score int"
+
+
+def make(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 1, 2, 3, 4) for i, v in rows], SCHEMA)
+
+
+def brute(rows, asks, k=5):
+    """{query: [(id, score)]} over all pairs, by the contract."""
+    rows = [(i, tuple(np.float32(x) for x in v)) for i, v in rows if i is not None and v and None not in v and all(map(math.isfinite, v)) and any(v)]
+    width = max({len(v) for _, v in rows}, key=lambda n: (sum(len(v) == n for _, v in rows), n), default=0)
+    rows = sorted({(i, v) for i, v in rows if len(v) == width})
+    out = {}
+    for q, a in rows:
+        if asks(q):
+            x = np.array(a, float)
+            near = []
+            for i, b in rows:
+                if i != q:
+                    y = np.array(b, float)
+                    near.append((-float(x @ y) / (math.sqrt(x @ x) * math.sqrt(y @ y)), i))
+            out.setdefault(q, []).append(sorted(near)[:k])
+    return out
+
+
+def run(df, **more):
+    got = {}
+    for r in nearest(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0, **more).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return got
+
+
+@pytest.fixture(scope="module")
+def clustered():
+    r = np.random.default_rng(4)
+    centres = r.standard_normal((40, 16))
+    return [(i, (centres[i % 40] + 0.4 * r.standard_normal(16)).tolist()) for i in range(2000)]
+
+
+def check(got, want):
+    assert set(got) == set(want)
+    for q, near in got.items():
+        assert [x[0] for x in near] == list(range(1, len(near) + 1))
+        assert [x[1] for x in near] == [i for _, i in want[q][0]]
+        assert [x[2] for x in near] == pytest.approx([-s for s, _ in want[q][0]], abs=1e-12)
+
+
+def test_all_candidates_give_the_exact_result(spark, clustered):
+    """With every entry a candidate the forest is exact: ties, repeated rows, copies, unusable vectors."""
+    rows = clustered[:300] + [(1000 + i, clustered[7][1]) for i in range(30)] + [(7, clustered[7][1])]
+    rows += [(2000, None), (2050, [0.0] * 16), (2100, [float("nan")] * 16), (2150, [None] * 16), (2200, [1.0, 2.0]), (2250, [float("inf")] + [1.0] * 15), (None, clustered[3][1]), (2300, [])]
+    check(run(make(spark, rows), candidate_share=100.0, group_rows=37), brute(rows, lambda i: i % 50 == 0))
+
+
+def test_fewer_candidates_than_wanted(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [2.0, 2.0])]
+    got = run(make(spark, rows))
+    assert [(r, i) for r, i, _ in got[0]] == [(1, 1), (2, 2)]
+    assert run(make(spark, rows[:1])) == {}
+
+
+def test_recall_of_small_candidate_sets(spark, clustered):
+    want = brute(clustered, lambda i: i % 50 == 0)
+    got = run(make(spark, clustered), candidates=300, candidate_share=0.0, trees=8)
+    hits = sum(len({i for _, i, _ in got.get(q, [])} & {i for _, i in near[0]}) for q, near in want.items())
+    assert hits / sum(len(near[0]) for near in want.values()) >= 0.9
+
+
+def test_parts_of_a_group_make_no_difference(spark, clustered):
+    df = make(spark, clustered[:600])
+    assert run(df, candidates=100, candidate_share=0.0, group_rows=10) == run(df, candidates=100, candidate_share=0.0)
+
+
+def test_empty_table(spark):
+    assert run(make(spark, [])) == {}
