@@ -77,10 +77,10 @@ def _status(failures):
 def run_table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
     """Report rows (REPORT_SCHEMA) for every test declared on one table, in **one pass** over it.
 
-    A single ``GROUPING SETS`` aggregate computes, with one shuffle of partial counts: the
-    empty set (global ``count_if(col IS NULL)`` per ``not_null`` column) and one set per
-    ``unique``/``accepted_values`` column (a count per distinct value).  A one-row aggregate
-    over that result turns it into failure counts.  The table is read once, however many tests
+    One aggregate computes, with one shuffle of partial counts, a count per distinct value of each
+    ``unique``/``accepted_values`` column (``GROUPING SETS``, one set per column) and, within each group, the NULLs of
+    the ``not_null`` columns; the groups of the first column add up to the whole table's NULLs.  A one-row
+    aggregate over that result turns it into failure counts.  The table is read once, however many tests
     it has; a hot value is just one partially-aggregated group.
     """
     group_cols = list(dict.fromkeys([*rules.unique, *rules.accepted_values]))
@@ -88,24 +88,22 @@ def run_table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
     tests: list[tuple[str, str, Column]] = []
     if group_cols:
         k = len(group_cols)
-        full = (1 << k) - 1  # grouping_id of the empty set: every column aggregated away
+        count = F.count(F.lit(1)).alias("_n")
+        if k == 1:
+            res = df.groupBy(group_cols[0]).agg(count, *nn).withColumn("_gid", F.lit(0))
+        else:
+            res = df.groupingSets([[c] for c in group_cols], *group_cols).agg(count, *nn, F.grouping_id().alias("_gid"))
 
-        def gid_of(c: str) -> int:
-            return full & ~(1 << (k - 1 - group_cols.index(c)))
+        def of(c: str) -> Column:
+            """The groups of one column: only its bit of the grouping id is 0."""
+            return F.col("_gid") == ((1 << k) - 1) & ~(1 << (k - 1 - group_cols.index(c)))
 
-        sets = [[]] + [[c] for c in group_cols]
-        res = df.groupingSets(sets, *group_cols).agg(
-            F.count(F.lit(1)).alias("_n"), *nn, F.grouping_id().alias("_gid")
-        )
-        gid = F.col("_gid")
         for i, c in enumerate(rules.not_null):
-            tests.append(("not_null", c, F.max(F.when(gid == full, F.col(f"_nn_{i}")))))
+            tests.append(("not_null", c, F.sum(F.when(of(group_cols[0]), F.col(f"_nn_{i}")))))
         for c, values in rules.accepted_values.items():
-            bad = (gid == gid_of(c)) & F.col(c).isNotNull() & ~F.col(c).isin(*values)
-            tests.append(("accepted_values", c, F.count_if(bad)))
+            tests.append(("accepted_values", c, F.count_if(of(c) & F.col(c).isNotNull() & ~F.col(c).isin(*values))))
         for c in rules.unique:
-            dup = (gid == gid_of(c)) & F.col(c).isNotNull() & (F.col("_n") > 1)
-            tests.append(("unique", c, F.count_if(dup)))
+            tests.append(("unique", c, F.count_if(of(c) & F.col(c).isNotNull() & (F.col("_n") > 1))))
     elif nn:
         res = df.agg(*nn)
         tests = [("not_null", c, F.max(F.col(f"_nn_{i}"))) for i, c in enumerate(rules.not_null)]
@@ -147,6 +145,25 @@ def run_checks(tables: dict[str, DataFrame], rules: Iterable[TableRules]) -> Dat
     return out
 
 
+def run_relationships(tables: dict[str, DataFrame], keys: Iterable[tuple[str, str, str, str]]) -> DataFrame:
+    """Report rows for foreign keys (child, column, parent, column): key values without a parent (DQ-4).  A
+    relationship of an absent table fails."""
+    out = None
+    for child, fk, parent, pk in keys:
+        if child in tables and parent in tables:
+            failures = foreign_key_violations(tables[child], fk, tables[parent], pk).agg(F.count(F.lit(1)).alias("failures"))
+        else:
+            failures = spark_of(tables).range(1).select(F.lit(1).cast("long").alias("failures"))
+        part = failures.select(
+            F.lit("relationships").alias("test_name"), F.lit(child).alias("model"), F.lit(fk).alias("column_name"),
+            "failures", _status(F.col("failures")).alias("status"),
+        )
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no relationships")
+    return out
+
+
 def row_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per table (DQ-6 / RPT-2) as one DataFrame: a union of global counts."""
     out = None
@@ -158,6 +175,14 @@ def row_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# The foreign keys of the source schema.
+FOREIGN_KEYS = (
+    ("bronze.orders", "customer_id", "bronze.customers", "customer_id"),
+    ("bronze.order_items", "order_id", "bronze.orders", "order_id"),
+    ("bronze.order_items", "product_id", "bronze.products", "product_id"),
+    ("bronze.payments", "order_id", "bronze.orders", "order_id"),
+)
+
 # The tests declared by the reference's schema files (39 tests).
 ORDER_STATUSES = ("PENDING", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED")
 PAYMENT_STATUSES = ("INITIATED", "SUCCESS", "FAILED", "REFUNDED")

@@ -23,7 +23,7 @@ from strata.operators.cleaning import (
     silver_payments,
     silver_products,
 )
-from strata.operators.quality import ALL_RULES, REPORT_SCHEMA, run_checks
+from strata.operators.quality import ALL_RULES, FOREIGN_KEYS, REPORT_SCHEMA, run_checks, run_relationships
 from strata.operators.sales import customer_ltv, daily_sales
 from strata.operators.scd2 import version_stats
 from strata.operators.sessions import funnel, sessionize
@@ -221,11 +221,11 @@ def build_layers(
 
 
 def run_data_tests(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The test step: every declared data test on the stored tables; the report (DQ-5)."""
+    """The test step: every declared data test and foreign key on the stored tables; the report (DQ-4, DQ-5)."""
     tables = {f"bronze.{k}": v for k, v in _tables(spark, layout.db("bronze"), BRONZE_TABLES).items()}
     tables.update(_tables(spark, layout.db("silver"), SILVER_TABLES + SNAPSHOTS))
     tables.update(_tables(spark, layout.db("gold"), GOLD_TABLES))
-    return run_checks(tables, ALL_RULES)
+    return run_checks(tables, ALL_RULES).unionByName(run_relationships(tables, FOREIGN_KEYS))
 
 
 def transform(

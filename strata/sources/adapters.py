@@ -24,6 +24,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sinks.tables import hadoop_path
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -93,8 +95,10 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
 
 def _delivered_again(df: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:
     """``df`` and, one day later, a changed second delivery of every row whose key is 3 modulo 7."""
-    again = df.filter(F.col(key) % 7 == 3).withColumns({"updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY"), **changes})
-    return df.unionByName(again)
+    twice = F.when(F.col(key) % 7 == 3, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = df.withColumn("_again", F.explode(twice))  # one scan
+    changes = {"updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY"), **changes}
+    return rows.withColumns({c: F.when(F.col("_again"), new).otherwise(F.col(c)) for c, new in changes.items()}).drop("_again")
 
 
 def customers_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +304,11 @@ def event_message_stream(spark: SparkSession, sf_dir: str, files_per_trigger: in
     """The same messages as a stream over the files of ``events``, so many files a micro-batch."""
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     reader = spark.readStream.schema(read(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", str(files_per_trigger))
-    return messages_of(reader.parquet(path))
+    fs, location = hadoop_path(spark, path)
+    if fs.getFileStatus(location).isDirectory():
+        return messages_of(reader.parquet(path))
+    # a file stream reads a folder: the one that holds the table's only file
+    return messages_of(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 
 
 def messages_of(e: DataFrame) -> DataFrame:
