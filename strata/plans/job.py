@@ -13,7 +13,7 @@ import argparse
 import os
 import sys
 
-from strata.plans.pipeline import STEPS, Layout, run, setup
+from strata.plans.pipeline import RETAIN, STEPS, Layout, run, setup
 from strata.session import build_session, scale_conf
 from strata.sources.incremental import TABLES_CONFIG, get_last_watermark, jdbc_source
 from strata.streaming.ingest import file_stream
@@ -40,6 +40,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--events-dir", default=None, help="folder of message files instead of a broker")
     ap.add_argument("--run-date", default=None)
     ap.add_argument("--as-of", default=None, help="snapshot instant (default: now)")
+    ap.add_argument("--retain", type=int, default=RETAIN, help="versions of rebuilt tables to keep")
     ap.add_argument("--steps", default=",".join(STEPS), help=f"comma-separated subset of {','.join(STEPS)}")
     return ap.parse_args(argv)
 
@@ -77,7 +78,8 @@ def main(argv: list[str] | None = None) -> int:
         stream = file_stream(spark, args.events_dir, max_files_per_trigger=args.files_per_trigger)
     steps = tuple(x.strip() for x in args.steps.split(",") if x.strip())
     report = run(
-        spark, layout, sources, stream=stream, run_date=args.run_date, as_of=args.as_of, steps=steps
+        spark, layout, sources, stream=stream, run_date=args.run_date, as_of=args.as_of, steps=steps,
+        retain=args.retain,
     )
     failed = report.filter("status = 'fail'")
     n_failed = failed.count()  # one row per declared test at most

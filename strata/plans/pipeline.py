@@ -23,6 +23,7 @@ from strata.operators.cleaning import (
     silver_payments,
     silver_products,
 )
+from strata.operators.joins import click_order_join
 from strata.operators.quality import ALL_RULES, FOREIGN_KEYS, REPORT_SCHEMA, run_checks, run_relationships
 from strata.operators.sales import customer_ltv, daily_sales
 from strata.operators.scd2 import version_stats
@@ -72,9 +73,10 @@ def safe_create(spark: SparkSession, statement: str) -> bool:
 class Layout:
     root: str
     prefix: str = ""
+    schemas: dict[str, str] | None = None  # custom names of layers (SNK-8)
 
     def db(self, layer: str) -> str:
-        return f"{self.prefix}{layer}"
+        return schema_name((self.schemas or {}).get(layer), f"{self.prefix}{layer}")
 
     @property
     def landing(self) -> str:
@@ -218,6 +220,8 @@ def build_layers(
     store("gold_customer_ltv", ltv, gold_db)
     if "silver_clickstream_sessions" in stored:
         store("gold_clickstream_funnel", funnel(stored["silver_clickstream_sessions"]), gold_db)
+        clicks_and_orders = click_order_join(stored["silver_clickstream_sessions"], stored["silver_orders"])
+        store("gold_click_order_join", clicks_and_orders, gold_db)
 
 
 def run_data_tests(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -249,9 +253,11 @@ def run(
     as_of: _dt.datetime | str | None = None,
     ltv_as_of: _dt.date | str | None = None,
     steps: tuple[str, ...] = STEPS,
+    retain: int = RETAIN,
 ) -> DataFrame:
     """PIPE-4: setup -> {batch ingest || stream drain} -> transform; returns the test report.
 
+    ``retain`` is how many versions of rebuilt tables (and superseded snapshot partitions) stay.
     ``steps`` selects a subset of ``("ingest", "snapshot", "models", "test")`` (the order is
     fixed); without ``"test"`` the report is empty.
 
@@ -270,9 +276,9 @@ def run(
             if query is not None:
                 query.awaitTermination()
     if "snapshot" in steps:
-        snapshot_all(spark, layout, as_of)
+        snapshot_all(spark, layout, as_of, retain)
     if "models" in steps:
-        build_layers(spark, layout, ltv_as_of)
+        build_layers(spark, layout, ltv_as_of, retain)
     if "test" in steps:
         return run_data_tests(spark, layout)
     return spark.createDataFrame([], REPORT_SCHEMA)
