@@ -1,13 +1,23 @@
-"""Shared helpers of the pair operators: written intermediate tables and connected components."""
+"""Shared helpers: batch sizes, written intermediate tables, checked broadcasts and connected components."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Sets the session to hand Python tasks batches of some megabytes, unless it asks for smaller ones: rows hold
+    whole texts, so a number of rows (10,000 by default) is no bound on a task's memory."""
+    if int(spark.conf.get(_BATCH_BYTES, str(2**31 - 1))) > most:
+        spark.conf.set(_BATCH_BYTES, str(most))
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to a fresh folder under spark.checkpoint.dir and read back: later steps neither
     recompute it nor depend on an executor's disk."""

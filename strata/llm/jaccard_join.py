@@ -9,50 +9,51 @@ Two texts link if ``den * |A & B| >= num * |A | B|`` over their sets of word n-g
    the order, must share an n-gram with the prefix of every class that it links to.
 3. The global order is cut into fragments; a class's set is cut at the same places into segments.
    The overlap of a candidate pair is counted separately per fragment and summed per pair.
-4. Candidates come in two rounds, so that a group of k near copies costs about k pairs: first each
-   class meets its neighbour and the first class under each prefix n-gram, then, under n-grams
-   whose classes are not yet all connected, all pairs of classes from different components.  A pair that
-   neither round verifies is connected already, or shares no prefix n-gram: no link between
-   components is lost.
+4. Candidates come in two rounds, so that a group of k near copies costs about k pairs.  First, under
+   a prefix n-gram of up to ``near`` + 1 classes, all pairs meet; under one of more classes each meets its
+   neighbour and the first class.  Then, under the latter n-grams, all pairs of classes from different components meet.
+   A pair that neither round meets is connected already, or shares no prefix n-gram: no link between
+   components is lost.  Before its segments are read, a pair must share enough of the prefixes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.graph import components, written
-from strata.llm.words import gram_hashes, hash_words
+from strata.llm.graph import beside, bound_batches, components, written
+from strata.llm.words import gram_hashes, hash_words, pieces
 
 _CLASS_SHIFT = 58  # an ordered n-gram: 5 bits of log2 frequency, 58 bits of hash
-_FLUSH = 4_000_000
+_FLUSH = 1_000_000  # n-grams counted at once by a task
 _SALTED = 10  # n-grams in more than 2^10 documents are split over several groups
 
 
 def _sets(texts, n: int, lower: bool):
     """The distinct n-gram hashes (58 bits) of each text; with fewer words, the whole sequence is one."""
-    h, off = hash_words(texts, lower)
-    grams = gram_hashes(h, n)
-    for i in range(len(off) - 1):
-        a, b = int(off[i]), int(off[i + 1])
-        if b - a >= n:
-            yield np.unique(grams[a : b - n + 1] >> np.uint64(64 - _CLASS_SHIFT))
-        elif b > a:
-            yield gram_hashes(h[a:b], b - a)[:1] >> np.uint64(64 - _CLASS_SHIFT)
-        else:
-            yield np.zeros(0, np.uint64)
+    for piece in pieces(texts):
+        h, off = hash_words(piece, lower)
+        grams = gram_hashes(h, n)
+        for a, b in itertools.pairwise(off.tolist()):
+            if b - a >= n:
+                yield np.unique(grams[a : b - n + 1] >> np.uint64(64 - _CLASS_SHIFT))
+            elif b > a:
+                yield gram_hashes(h[a:b], b - a)[:1] >> np.uint64(64 - _CLASS_SHIFT)
+            else:
+                yield np.zeros(0, np.uint64)
 
 
 def frequent_grams(docs: DataFrame, text_col: str, n: int, lower: bool, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, floor(log2 document frequency)) of the most frequent n-grams, ``most`` at most.
 
-    Lossy counting: every task counts all n-grams of its documents in blocks of some million and
-    passes on those that it met twice, so a frequency is short by at most one a block.  The result only shapes the order
-    of n-grams; links do not depend on it.
+    Lossy counting: every task counts all n-grams of its documents in blocks of a million n-grams and
+    passes on those that it met twice, so a frequency is short by at most one a block.  The result only shapes the
+    order of n-grams; links do not depend on it.
     """
 
     def count(batches):
@@ -103,6 +104,7 @@ def ngram_components(
     den: int = 100,
     lower: bool = True,
     fragments: int = 8,
+    near: int = 8,
     frequent_least: int = 8,
     frequent_most: int = 1 << 18,
 ) -> DataFrame:
@@ -115,6 +117,7 @@ def ngram_components(
     An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     hot = spark.sparkContext.broadcast(frequent_grams(rows, "text", n, lower, frequent_least, frequent_most))
 
@@ -135,20 +138,49 @@ def ngram_components(
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "grams")
 
     classes = signed.where("n > 0").groupBy("mark").agg(F.min("row").alias("class"))
-    heads = signed.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
+    copies = written(signed.join(classes, "mark").where("row <> class").select("row"), "copies")
+    heads = signed.where("n > 0").join(beside(copies), "row", "left_anti")
     frequency = F.shiftright("gram", _CLASS_SHIFT)
     salts = F.expr(f"shiftleft(1L, cast(greatest(shiftright(gram, {_CLASS_SHIFT}) - {_SALTED}, 0) as int))")
     postings = heads.select(F.col("row").alias("class"), "n", F.explode("prefix").alias("gram"))
     postings = postings.withColumn("salt", F.when(frequency > _SALTED, F.pmod(F.xxhash64("class"), salts)).otherwise(F.lit(0).cast("long")))
     group = Window.partitionBy("gram", "salt").orderBy("n", "class")
     met = F.struct("class", "n")
-    postings = postings.select("gram", "class", "n", F.lag(met).over(group).alias("prior"), F.lead("class").over(group).alias("after"), F.first(met).over(group).alias("hub"))
-    postings = written(postings.where((frequency > _SALTED) | F.col("prior").isNotNull() | F.col("after").isNotNull()).drop("after"), "postings")
+    postings = postings.select(
+        "gram", "class", "n",
+        F.collect_list(met).over(group.rowsBetween(1, near)).alias("after"),
+        F.first(met).over(group).alias("hub"),
+        F.row_number().over(group).alias("place"),
+        F.count(F.lit(1)).over(Window.partitionBy("gram", "salt")).alias("size"),
+        (frequency > _SALTED).alias("salted"),
+    )
+    postings = written(postings.where("salted or size > 1").withColumn("small", F.expr(f"not salted and size <= {near + 1}")), "postings")
+
+    long_enough = F.least("na", "nb").cast("long") * den >= F.greatest("na", "nb").cast("long") * num
+    # Linked sets share at least so many n-grams of their prefixes: the prefix that ends first in the order
+    # holds n - ceil(t n) + 1 n-grams, of which only n - overlap may be missing from the other set.
+    overlap = F.ceil(num * (F.col("na") + F.col("nb")).cast("long") / F.lit(den + num))
+    least_shared = overlap + 1 - F.ceil(num * F.greatest("na", "nb").cast("long") / F.lit(den))
+
+    def pairs_of(x: DataFrame) -> DataFrame:
+        """Candidate pairs (a, na, b, nb, shared) from structs x and y of (class, n); ``shared`` rows had each."""
+        p = x.where("x.class <> y.class").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "counts")
+        p = p.select(F.col("x.class").alias("a"), F.col("x.n").alias("na"), F.col("y.class").alias("b"), F.col("y.n").alias("nb"), "counts")
+        return p.where(long_enough).groupBy("a", "na", "b", "nb").agg(F.sum("counts").alias("shared"))
+
+    # First round.  Under an n-gram of few classes all pairs meet; under others neighbours, and all meet the first.
+    few, many = postings.where("small"), postings.where("not small")
+    each = lambda rows, others, counts: rows.select(met.alias("x"), F.explode(others).alias("y"), F.lit(counts).alias("counts"))
+    first_of = Window.partitionBy("gram").orderBy("n", "class")
+    heads = many.where("salted and place = 1").select(met.alias("x"), F.lag(met).over(first_of).alias("y"), F.lit(0).alias("counts"))
+    meetings = each(few, F.col("after"), 1).union(each(many, F.array_union(F.slice("after", 1, 1), F.array("hub")), 0)).union(heads.where("y is not null"))
+    unseen = many.groupBy("class").agg(F.count(F.lit(1)).alias("hidden"))  # prefix n-grams whose pairs were not all met
+    pairs = pairs_of(meetings)
+    for side in "ab":
+        pairs = pairs.join(unseen.select(F.col("class").alias(side), F.col("hidden").alias(f"hidden_{side}")), side, "left")
+    hidden = F.least(F.coalesce("hidden_a", F.lit(0)), F.coalesce("hidden_b", F.lit(0)))
+    tried = written(pairs.where(F.col("shared") + hidden >= least_shared).select("a", "na", "b", "nb"), "pairs")
 
-    # the sets of classes that share a prefix n-gram with another, cut into segments
-    shared = postings.select(F.col("class").alias("row")).distinct()
-    texts = rows.groupBy("text_key").agg(F.first("text").alias("text"))
-    texts = signed.join(shared, "row", "left_semi").select("row", "text_key").join(texts, "text_key").select("row", "text")
     bits = (fragments - 1).bit_length()
 
     def cut(batches):
@@ -164,43 +196,38 @@ def ngram_components(
                         parts.append(part)
             yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(where, pa.int32()), _lists(parts)], ["class", "fragment", "grams"])
 
-    segments = written(texts.mapInArrow(cut, "class long, fragment int, grams array<long>"), "segments")
-
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, na, b, nb) that reach the threshold."""
-        left = segments.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("ga"))
-        right = segments.select(F.col("class").alias("b"), "fragment", F.col("grams").alias("gb"))
-        part = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("both"))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        keys = written(signed.select("row", "text_key").join(ends, "row", "left_semi"), "keys")
+        texts = rows.join(beside(keys.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+        segments = keys.join(texts, "text_key").select("row", "text").mapInArrow(cut, "class long, fragment int, grams array<long>")
+        segments = written(segments, "segments")
+        # both joins are on (class, fragment), so the segments are shuffled once
+        part = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(1 << bits))))
+        for side in "ab":
+            part = part.join(segments.select(F.col("class").alias(side), "fragment", F.col("grams").alias(f"grams_{side}")), [side, "fragment"])
+        part = part.select("a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("both"))
         whole = part.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
         return whole.where(den * F.col("both") >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
-    long_enough = F.least("na", "nb").cast("long") * den >= F.greatest("na", "nb").cast("long") * num
-
-    def pairs_of(x: DataFrame) -> DataFrame:
-        """Distinct candidate pairs from structs x and y of (class, n), by the length filter."""
-        lo, hi = F.least("x", "y"), F.greatest("x", "y")
-        p = x.where("x.class <> y.class").select(lo.alias("x"), hi.alias("y"))
-        p = p.select(F.col("x.class").alias("a"), F.col("x.n").alias("na"), F.col("y.class").alias("b"), F.col("y.n").alias("nb"))
-        return p.where(long_enough).distinct()
-
-    first_of = Window.partitionBy("gram").orderBy("n", "class")
-    heads = postings.where((frequency > _SALTED) & F.col("prior").isNull()).select(met.alias("x"), F.lag(met).over(first_of).alias("y"))
-    near = postings.where("prior is not null")
-    meetings = near.select(met.alias("x"), F.col("prior").alias("y")).union(near.select(met.alias("x"), F.col("hub").alias("y"))).union(heads.where("y is not null"))
-    tried = written(pairs_of(meetings), "pairs")
     links = written(linked(tried), "links")
     label = components(links)
 
-    open_ = postings.select("gram", "class", "n").join(label.withColumnRenamed("node", "class"), "class", "left")
+    # Second round: under n-grams of many classes, all pairs of classes that are not connected yet.
+    open_ = many.select("gram", "class", "n").join(label.withColumnRenamed("node", "class"), "class", "left")
     open_ = open_.select("gram", "class", "n", F.coalesce("label", "class").alias("label"))
     grams = open_.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
     open_ = open_.join(grams, "gram", "left_semi")
     other = open_.select("gram", met.alias("y"), F.col("label").alias("label_y"))
-    rest = open_.select("gram", met.alias("x"), "label").join(other, "gram").where((F.col("label") < F.col("label_y")) & (F.least("x.n", "y.n").cast("long") * den >= F.greatest("x.n", "y.n").cast("long") * num))
-    rest = pairs_of(rest.select("x", "y")).join(tried, ["a", "b"], "left_anti")
-    more = written(linked(rest), "links")
+    sizes = F.least("x.n", "y.n").cast("long") * den >= F.greatest("x.n", "y.n").cast("long") * num
+    rest = open_.select("gram", met.alias("x"), "label").join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes)
+    rest = pairs_of(rest.select("x", "y", F.lit(1).alias("counts"))).where(F.col("shared") >= least_shared)
+    rest = written(rest.drop("shared").join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "pairs")
+    if not rest.isEmpty():
+        links = links.union(written(linked(rest), "links"))
+        label = components(links)
 
-    label = components(links.union(more))
     member = signed.join(classes, "mark", "left").select("id", "n", "row", "class")
     member = member.join(label.withColumnRenamed("node", "class"), "class", "left")
     member = member.select("id", "n", F.coalesce("label", "class", -1 - F.col("row")).alias("label"))

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_BLOCK = 1 << 20  # bytes hashed at once; documents are cut between words
+_BLOCK = 1 << 18  # bytes hashed at once; documents are cut between words
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INV = pow(_R, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,6 +49,16 @@ def utf8(texts) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def pieces(column, most: int = 4 * _BLOCK):
+    """An Arrow string column in slices of some megabytes of text (or one row), so that work on a batch stays small."""
+    _, off = utf8(column)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(off, off[at] + most, side="right")) - 1)
+        yield column.slice(at, to - at)
+        at = to
+
+
 def _hash_block(data: np.ndarray, breaks: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of one block; a word also ends at each position in breaks."""
     n = len(data)
