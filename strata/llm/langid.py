@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.graph import bound_batches
+
 UNKNOWN = "und"
 _SLICE = 1 << 20  # characters of a text counted at once
 _ALPHA: list[np.ndarray] = []
@@ -79,11 +81,11 @@ def _bundles(rows: list[tuple[np.ndarray, np.ndarray]], dimensions: int, seed: i
     out = np.zeros((len(rows), dimensions), dtype=np.float32)
     row = np.repeat(np.arange(len(rows)), [len(g) for g, _ in rows])
     count = np.concatenate([c for _, c in rows]).astype(np.float32)
-    for a in range(0, len(vocabulary), 4096):  # bounds the vectors held at once
-        part = (at >= a) & (at < a + 4096)
-        dense = np.zeros((len(rows), min(4096, len(vocabulary) - a)), dtype=np.float32)
+    for a in range(0, len(vocabulary), 1024):  # bounds the vectors held at once
+        part = (at >= a) & (at < a + 1024)
+        dense = np.zeros((len(rows), min(1024, len(vocabulary) - a)), dtype=np.float32)
         dense[row[part], at[part] - a] = count[part]
-        out += dense @ gram_vectors(vocabulary[a : a + 4096], dimensions, seed)
+        out += dense @ gram_vectors(vocabulary[a : a + 1024], dimensions, seed)
     return out
 
 
@@ -95,6 +97,7 @@ class LanguageModel:
 
     def identify(self, docs: DataFrame, text_col: str, out: str) -> DataFrame:
         """``docs`` with a struct column ``out`` (lang_pred string, score double)."""
+        bound_batches(docs.sparkSession)
         shared = docs.sparkSession.sparkContext.broadcast((self.languages, self.prototypes, self.seed))
 
         @F.pandas_udf("lang_pred string, score double")
@@ -136,6 +139,7 @@ def train(
     max_languages: int = 4096,
 ) -> LanguageModel:
     """Prototypes from all rows that satisfy ``where`` and have a language."""
+    bound_batches(docs.sparkSession)
     rows = docs.where(where & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
     )
@@ -166,8 +170,8 @@ def train(
             for lang in set(langs.tolist()):
                 part = langs == lang
                 v = np.zeros(dimensions)
-                for a in range(0, int(part.sum()), 4096):
-                    v += n[part][a : a + 4096].astype(np.float64) @ gram_vectors(grams[part][a : a + 4096], dimensions, seed)
+                for a in range(0, int(part.sum()), 1024):
+                    v += n[part][a : a + 1024].astype(np.float64) @ gram_vectors(grams[part][a : a + 1024], dimensions, seed)
                 total[lang] = total.get(lang, 0) + v
         for lang, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(v)], ["lang", "i", "v"])

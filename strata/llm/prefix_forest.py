@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.graph import written
+from strata.llm.graph import bound_batches, written
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -63,6 +63,7 @@ def nearest(
     several vectors has one entry each and none of them is its own neighbour.  Other columns are not read.
     """
     spark = items.sparkSession
+    bound_batches(spark)
     rows = items.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).where("id is not null")
     lengths = rows.where("size(v) > 0").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     width = lengths.n if lengths else 1

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.graph import written
+from strata.llm.graph import bound_batches, written
 from strata.llm.words import gram_hashes, hash_words
 
 _AT = (1 << 24) - 1  # low bits of an ordering key: a position, so that minima show where they are
@@ -80,6 +80,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int, f
     words, unchanged, also start anywhere else, in the same row or another, equal rows included.
     Texts with fewer words lose nothing.  Null ids pass through; an empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     id_type = rows.schema["id"].dataType.simpleString()
