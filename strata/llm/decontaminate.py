@@ -19,8 +19,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.graph import bound_batches
+
 MATCHES = "array<struct<item_id:{id},start:long,end:long,edits:int>>"
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 _BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SYMBOLS: list[tuple[np.ndarray, np.ndarray]] = []
@@ -127,11 +129,9 @@ class Index:
         key = np.concatenate([no << 44 | band, no << 44 | band - 1])
         key, n = np.unique(key, return_counts=True)
         key = key[n >= self.need[key >> 44]]
+        which, low = key >> 44, (key & (1 << 44) - 1) * self.width[key >> 44] - (1 << 20)  # and each band's first diagonal
         found: dict[int, list[tuple[int, int, int]]] = {}
-        for no, band in zip((key >> 44).tolist(), (key & (1 << 44) - 1).tolist(), strict=True):
-            _, item, k, _ = self.items[no]
-            low = band * (k + 1) - (1 << 20)  # the band's first diagonal; the last is low + 2 k + 1
-            best = align(item, cp, low - k, low + 3 * k + 1, k)
+        for no, best in zip(which.tolist(), align([self.items[no][1] for no in which], cp, low, self.width[which] - 1), strict=True):
             if best:
                 found.setdefault(no, []).append(best)
         out = []
@@ -144,46 +144,68 @@ class Index:
         return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
-def _last_row(item: np.ndarray, text: np.ndarray, low: int, high: int, free: bool) -> np.ndarray:
-    """Edits of all of ``item`` against a part of ``text`` that ends at the diagonal's place, per diagonal low..high.
+_FAR = 1 << 20
+
+
+def _last_rows(items: list[np.ndarray], text: np.ndarray, low: np.ndarray, high: np.ndarray, most: np.ndarray, free: bool) -> list[np.ndarray | None]:
+    """For each item, the edits of all of it against a part of ``text`` that ends on each of the diagonals low..high; None
+    if there are more than ``most`` on all of them.
 
-    With ``free`` the part begins anywhere, else at 0.
+    With ``free`` the part begins anywhere, else at 0.  All items go through the rows together, and one drops out as
+    soon as a whole row of it is above its budget.  Places outside the text match nothing.
     """
+    out: list[np.ndarray | None] = [None] * len(items)
+    length = np.array([len(x) for x in items])
     width = high - low + 1
-    far = len(item) + len(text) + 1
-    j = np.arange(low, high + 1)  # the text's place in row 0
-    row = np.where((j < 0) | (j > len(text)), far, 0 if free else np.maximum(j, 0))
-    padded = np.full(len(item) + width + 1, 0xFFFFFFFF, np.uint32)  # the text from place low on
-    a, z = max(low, 0), min(low + len(padded), len(text))
-    if a < z:
-        padded[a - low : z - low] = text[a:z]
-    step = np.arange(width)
-    for i, c in enumerate(item):
+    chars = np.zeros((len(items), length.max()), np.uint32)
+    for c, x in enumerate(items):
+        chars[c, : len(x)] = x
+    pad = int(max(0, -low.min(), (high + length).max() - len(text))) + 1
+    padded = np.full(len(text) + 2 * pad, 0xFFFFFFFF, np.uint32)
+    padded[pad : pad + len(text)] = text
+    step = np.arange(width.max())
+    beyond = np.where(step[None, :] < width[:, None], 0, _FAR)
+    start = low[:, None] + step
+    row = np.maximum(np.zeros_like(start) if free else np.where(start < 0, _FAR, start), beyond)
+    here = np.arange(len(items))
+    at = start + pad
+    for i in range(length.max()):
         # in row i + 1, diagonal d ends at place d + i + 1 and so has just read the text's place d + i
-        new = row + (padded[i : i + width] != c)
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        at = j + i + 1
-        new[(at < 0) | (at > len(text))] = far
-        row = np.minimum.accumulate(new - step) + step
-    return row
-
-
-def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best alignment of ``item`` with a part of ``text`` on diagonals low..high, at most k edits."""
-    m = len(item)
-    for d in range(max(low, 0), min(high, len(text) - m) + 1):  # exact, as most are
-        if text[d] == item[0] and np.array_equal(text[d : d + m], item):
-            return 0, d, d + m
-    row = _last_row(item, text, low, high, True)
-    best = int(row.argmin())
-    edits = int(row[best])
-    if edits > k:
-        return None
-    end = low + best + m
-    back = _last_row(item[::-1], text[:end][::-1], -k, k, False)
-    lengths = np.flatnonzero(back == edits)
-    start = end - (m + int(lengths[0]) - k)
-    return edits, start, end
+        new = row + (padded[np.clip(at + i, 0, len(padded) - 1)] != chars[here, i][:, None])
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        row = np.maximum(np.minimum.accumulate(new - step, axis=1) + step, beyond)
+        done = length[here] == i + 1
+        if done.any() or i % 8 == 7:
+            fine = row.min(axis=1) <= most[here]
+            for c in np.flatnonzero(done & fine):
+                out[here[c]] = row[c, : width[here[c]]]
+            go = fine & ~done
+            row, here, at, beyond = row[go], here[go], at[go], beyond[go]
+            if not len(here):
+                break
+    return out
+
+
+def align(items: list[np.ndarray], text: np.ndarray, low: np.ndarray, k: np.ndarray) -> list[tuple[int, int, int] | None]:
+    """Per item, (edits, start, end) of its best alignment with a part of ``text`` on the diagonals low - k .. low + 3 k + 1, a
+    band and what its alignments can reach; None if that has more than ``k`` edits.  Of equals the first end counts."""
+    out: list[tuple[int, int, int] | None] = []
+    for a in range(0, len(items), 512):  # bounds what is held at once
+        own = slice(a, a + 512)
+        rows = _last_rows(items[own], text, low[own] - k[own], low[own] + 3 * k[own] + 1, k[own], True)
+        for item, row, first, budget in zip(items[own], rows, (low[own] - k[own]).tolist(), k[own].tolist(), strict=True):
+            if row is None:
+                out.append(None)
+                continue
+            best = int(row.argmin())
+            edits, end = int(row[best]), min(first + best + len(item), len(text))
+            if edits == 0:
+                out.append((0, end - len(item), end))
+                continue
+            near = text[max(0, end - len(item) - budget) : end][::-1]
+            back = _last_rows([item[::-1]], near, np.array([-budget]), np.array([budget]), np.array([budget]), False)[0]
+            out.append((edits, max(0, end - (len(item) + int(back.argmin()) - budget)), end))
+    return out
 
 
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, min_chars: int, block_chars: int) -> Iterator[list[tuple[object, str]]]:
@@ -209,6 +231,7 @@ def find_leaks(docs: DataFrame, text_col: str, benchmark: DataFrame, item_id: st
     Items of fewer than ``min_chars`` characters, null ones too, say too little to be looked for.  An empty benchmark
     finds nothing; null and repeated ids and repeated items are reported as they are.
     """
+    bound_batches(docs.sparkSession)
     kind = MATCHES.format(id=benchmark.schema[item_id].dataType.simpleString())
     found: Column = F.array().cast(kind)
     for block in blocks_of(benchmark, item_id, item_text, min_chars, block_chars):

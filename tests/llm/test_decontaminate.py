@@ -97,17 +97,29 @@ def test_matches_never_span_two_texts(make_docs, benchmark):
     assert rows[1] == rows[2] == [] and [(h.start, h.end, h.edits) for h in rows[3]] == [(1, 1 + len(item), 0)]
 
 
-def test_aligned_edits(monkeypatch):
+def test_aligned_edits():
     r = np.random.default_rng(3)
-    for _ in range(60):
-        item = r.integers(0, 4, 30).astype(np.uint32)
-        text = np.concatenate([r.integers(0, 4, 20), item, r.integers(0, 4, 20)]).astype(np.uint32)
-        for _ in range(r.integers(0, 6)):
-            text = np.delete(text, r.integers(20, 50)) if r.random() < 0.5 else np.insert(text, r.integers(20, 50), 9)
-        want = edits_within(item.tolist(), text.tolist())
-        got = dc.align(item, text, -10, len(text), 8)
-        assert got and got[0] == want
-        assert edits_within(item.tolist(), text[got[1] : got[2]].tolist()) == want
+    items, low, want = [], [], []
+    text = r.integers(0, 4, 40).astype(np.uint32)
+    for _ in range(80):
+        item = r.integers(4, 8, int(r.integers(20, 40))).astype(np.uint32)
+        copy = item
+        for _ in range(r.integers(0, 9)):
+            at = r.integers(0, len(copy))
+            copy = [np.delete(copy, at), np.insert(copy, at, 9), np.concatenate([copy[:at], [9], copy[at + 1 :]])][r.integers(0, 3)]
+        items.append(item)
+        low.append(len(text) - 8)
+        text = np.concatenate([text, copy, r.integers(0, 4, 30)]).astype(np.uint32)
+    got = dc.align(items, text, np.array(low), np.full(len(items), 6))
+    for item, at, best in zip(items, low, got, strict=True):
+        want = edits_within(item.tolist(), text[max(0, at - 60) : at + 120].tolist())
+        assert (best is None) == (want > 6)
+        if best:
+            assert best[0] == want == edits_within(item.tolist(), text[best[1] : best[2]].tolist())
+            whole = text[best[1] : best[2]].tolist()
+            assert edits_within(whole, item.tolist()) <= want  # no longer than needed
+    assert sum(x is not None for x in got) > 40
+    assert dc.align([items[0]], items[0][2:-2], np.array([-4]), np.array([5])) == [(4, 0, len(items[0]) - 4)]
 
 
 def test_empty_tables(make_docs, benchmark):
