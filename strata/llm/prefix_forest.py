@@ -8,8 +8,10 @@ trees.  Those are scored exactly.
 In Spark: equal vectors are one entry, with the smallest ids that can matter.  Entries of a tree are grouped by their first
 bits, few enough that each group is expected to hold what a query needs; groups of more than ``group_rows`` entries are dealt into
 parts by id, and a query visits all parts of its group, so no task holds an unbounded group.  A first pass over
-the groups counts, per query and depth, the entries that share the prefix; the counts are summed over trees and
-parts and give each query's depth.  A second pass scores, and passes on only each part's best.
+the groups counts, per query and depth, the entries that share the prefix; above the groups, up to the root, the groups' sizes give
+the counts.  They are summed over trees and parts and give each query's depth.  A second pass scores, and passes on only each
+part's best: a query whose group holds too little visits all groups under its prefix (at the root those of one tree, which holds
+all entries).
 """
 
 from __future__ import annotations
@@ -57,8 +59,8 @@ def nearest(
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row that ``is_query``, itself left out.
 
     Nearness is the cosine in double precision, ties go to the smaller id.  A query sees at least
-    ``candidates`` entries, or ``candidate_share`` times the number of entries if that is more (an entry counts once per tree),
-    or all entries of its groups.  Vectors that are null, zero, hold null or non-finite components, or have
+    ``candidates`` entries, or ``candidate_share`` times the number of entries if that is more (an entry counts once per tree;
+    never fewer than give ``k`` others), or all entries if there are fewer.  Vectors that are null, zero, hold null or non-finite components, or have
     another length than most take no part, nor do null ids.  Repeated rows count once; an id with
     several vectors has one entry each and none of them is its own neighbour.  Other columns are not read.
     """
@@ -77,7 +79,7 @@ def nearest(
     entries = written(entries.select(F.monotonically_increasing_id().alias("entry"), "v", "ids"), "entries")
     asking = written(least.where("asks").select("id", "v").join(entries, "v").select("id", "entry"), "asking")
     n = entries.count()
-    wanted = max(candidates, math.ceil(candidate_share * n))
+    wanted = max(candidates, math.ceil(candidate_share * n), trees * (k + 1))
     first_bits = min(bits, max(0, int(math.log2(max(1.0, trees * n / wanted)))))
     normals = np.random.default_rng(seed).standard_normal((width, trees * bits))
 
@@ -92,14 +94,14 @@ def nearest(
 
     strings = entries.mapInArrow(hashed, f"entry long, tree int, code long, v array<double>, ids array<{id_type}>")
     strings = strings.withColumn("head", F.shiftright("code", bits - first_bits))
-    sizes = strings.groupBy("tree", "head").agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("parts"))
-    sizes = written(sizes, "sizes")
-    dealt = strings.join(sizes, ["tree", "head"]).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int")).drop("parts")
-    asks = strings.join(asking.select("entry").distinct(), "entry", "left_semi").join(sizes, ["tree", "head"])
-    asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tree", "head", "part", F.col("entry").alias("query"), "code", "v")
+    sizes = written(strings.groupBy("tree", "head").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / group_rows).cast("int")), "sizes")
+    dealt = strings.join(sizes.drop("n"), ["tree", "head"]).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int")).drop("parts")
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    asked = strings.join(asking.select("entry").distinct(), "entry", "left_semi").select("tree", "head", F.col("entry").alias("query"), "code", "v")
+    asks = asked.drop("v").join(sizes.drop("n"), ["tree", "head"]).withColumn("part", every_part)
     group = ["tree", "head", "part"]
 
-    def side(*cols: str) -> DataFrame:
+    def side(asks: DataFrame, *cols: str) -> DataFrame:
         """Columns of the queries under names of their own, grouped."""
         return asks.select(*[F.col(c).alias(f"ask_{c}") for c in (*group, *cols)]).groupBy(*[f"ask_{c}" for c in group])
 
@@ -114,10 +116,24 @@ def nearest(
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * shared.shape[1]), pa.array(shared.ravel().astype(np.int64)))
         return pa.table({"query": right.column("ask_query"), "shared": lists.cast(pa.list_(pa.int64()))})
 
-    counts = dealt.select(*group, "code").groupBy(*group).cogroup(side("query", "code")).applyInArrow(count, "query long, shared array<long>")
-    totals = counts.select("query", F.posexplode("shared").alias("up", "n")).groupBy("query", "up").agg(F.sum("n").alias("n"))
-    depths = totals.groupBy("query").agg((F.coalesce(F.max(F.when(F.col("n") >= wanted, F.col("up"))), F.lit(0)) + first_bits).alias("depth"))
-    asks = asks.join(written(depths, "depths"), "query")
+    counts = dealt.select(*group, "code").groupBy(*group).cogroup(side(asks, "query", "code")).applyInArrow(count, "query long, shared array<long>")
+    counts = counts.select("query", F.posexplode("shared").alias("up", "n")).select("query", (F.col("up") + first_bits).alias("depth"), "n")
+
+    # above the groups; the root holds all entries and needs no count
+    under = sizes.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(first_bits)))).withColumn("prefix", F.expr(f"shiftright(head, {first_bits} - depth)"))
+    above = under.where((F.col("depth") > 0) & (F.col("depth") < first_bits))
+    above = above.select("tree", "head", "depth", "prefix").join(above.groupBy("tree", "depth", "prefix").agg(F.sum("n").alias("n")), ["tree", "depth", "prefix"])
+    counts = counts.unionByName(asked.join(above, ["tree", "head"]).select("query", "depth", "n"))
+
+    totals = counts.groupBy("query", "depth").agg(F.sum("n").alias("n"))
+    depths = totals.groupBy("query").agg(F.coalesce(F.max(F.when(F.col("n") >= wanted, F.col("depth"))), F.lit(0)).alias("reached"))
+
+    # a query's groups: its own, or all under its prefix, found by prefixes of up to 6 bits more, so that none is too common
+    asks = asked.drop("head").join(written(depths, "depths"), "query").where("reached > 0 or tree = 0")
+    asks = asks.withColumn("top", F.least("reached", F.lit(first_bits))).withColumn("depth", F.least(F.col("top") + 6, F.lit(first_bits)))
+    asks = asks.withColumn("low", F.expr(f"shiftleft(shiftright(code, {bits} - top), depth - top)"))
+    asks = asks.withColumn("prefix", F.explode(F.expr("sequence(low, low + shiftleft(1L, depth - top) - 1)")))
+    asks = asks.join(under.drop("n"), ["tree", "depth", "prefix"]).withColumn("part", every_part).select(*group, "query", "code", "v", F.col("reached").alias("depth"))
 
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(left.column("code").to_numpy(), kind="stable")
@@ -146,7 +162,7 @@ def nearest(
         where = np.array([x for _, x, _ in out], dtype=np.int64)
         return pa.table({"query": pa.array([x for x, *_ in out], pa.int64()), "entry": left.column("entry").take(where), "ids": ids.take(where), "score": pa.array([x for *_, x in out], pa.float64())})
 
-    found = dealt.select(*group, "entry", "code", "v", "ids").groupBy(*group).cogroup(side("query", "code", "v", "depth"))
+    found = dealt.select(*group, "entry", "code", "v", "ids").groupBy(*group).cogroup(side(asks, "query", "code", "v", "depth"))
     found = found.applyInArrow(score, f"query long, entry long, ids array<{id_type}>, score double").groupBy("query", "entry").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
     found = found.select(F.col("query").alias("entry"), F.explode("ids").alias("vec_id"), "score")
     ranked = asking.withColumnRenamed("id", "query_id").join(found, "entry").where("vec_id <> query_id").groupBy("query_id", "entry", "vec_id").agg(F.max("score").alias("score"))

@@ -81,5 +81,23 @@ def test_parts_of_a_group_make_no_difference(spark, clustered):
     assert run(df, candidates=100, candidate_share=0.0, group_rows=10) == run(df, candidates=100, candidate_share=0.0)
 
 
+def test_outliers_of_one_big_cluster_ascend_above_their_groups(spark):
+    """Groups away from the cluster are thin or empty: k rows each all the same, and the right ones."""
+    r = np.random.default_rng(6)
+    centre, ids = r.standard_normal(64), [i for i in range(4000) if i % 50]
+    rows = [(i, (centre + 0.05 * r.standard_normal(64)).tolist()) for i in ids]
+    rows += [(50 * i if i < 80 else 4000 + 50 * i + 1, r.standard_normal(64).tolist()) for i in range(120)]
+    df, want = make(spark, rows), brute(rows, lambda i: i % 50 == 0)
+    assert len(want) == 80
+    for more in ({"group_rows": 700}, {"candidates": 100, "candidate_share": 0.0, "group_rows": 700}, {"candidates": 1, "candidate_share": 0.0}):
+        got = run(df, **more)
+        assert {q: len(got.get(q, [])) for q in want} == dict.fromkeys(want, 5)
+        if "candidates" not in more:
+            hits = sum(len({i for _, i, _ in got[q]} & {i for _, i in near[0]}) for q, near in want.items())
+            assert hits / (5 * len(want)) >= 0.9
+    # with as many candidates as all trees hold, those above the groups are exact
+    check(run(df, candidates=6 * len(rows), group_rows=700), want)
+
+
 def test_empty_table(spark):
     assert run(make(spark, [])) == {}
