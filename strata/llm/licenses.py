@@ -11,8 +11,11 @@ The join finds every block of text that holds at least ``threshold`` of a templa
   min(|T| - p, |B| - q) words can be common (positional filter);
 * what remains is verified by counting the common words.
 
-A block is one line; a longer line gives overlapping blocks of ``block_words`` words at every half of that, so that
-each run of up to ``block_words / 2`` words lies whole in one.  All of it is DataFrame code.  The templates are a
+A block is one line; a longer line gives overlapping blocks of ``block_words`` words (or twice the longest template, if that
+is more) at every half of that, so that each run of half a block's words lies whole in one.  A notice can be wrapped, so the words
+of a text of several lines also give blocks across the line breaks, of twice the longest template's words at every half of
+that: each run of as many words as the longest template has lies whole in one.  There the words must also stand in the template's
+order, since words of prose beside a notice would complete its relatives.  All of it is DataFrame code.  The templates are a
 small fixed table.  The only join on the corpus is on the text's hash, of narrow rows.
 """
 
@@ -23,6 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.graph import written
 from strata.llm.spans import literal_table
 
 #: The contract's phrases and their labels.
@@ -127,9 +131,37 @@ def fullest(pairs: DataFrame, key_cols: list[str]) -> DataFrame:
     return groups.select(*key_cols, F.inline(kept)).drop("common")
 
 
+def in_order(run: Column, template: Column) -> Column:
+    """How many words of the template stand in the run in its order (longest common subsequence)."""
+    ends = F.transform(template, lambda t: F.lit(0))  # the longest that ends at each of the template's words
+
+    def step(ends: Column, w: Column) -> Column:
+        before = lambda j: F.coalesce(F.array_max(F.slice(ends, F.lit(1), j)), F.lit(0))
+        return F.transform(ends, lambda n, j: F.when(F.get(template, j) == w, F.greatest(n, before(j) + 1)).otherwise(n))
+
+    return F.coalesce(F.array_max(F.aggregate(run, ends, step)), F.lit(0))
+
+
+def across_lines(pairs: DataFrame) -> DataFrame:
+    """Of the matches of blocks across lines (their line is null), those that no line of the text holds by itself and no fuller
+    match of the text explains; one per text and template."""
+    pair = F.struct("template", "label", "common", "containment", F.col("line").isNull().alias("across"))
+
+    def explained(x: Column, y: Column) -> Column:
+        fuller = (y["containment"] > x["containment"]) | ((y["containment"] == x["containment"]) & (y["template"] < x["template"]))
+        alone = ~y["across"] & (y["template"] == x["template"])
+        return (fuller & (y["template"] != x["template"]) | alone) & (F.size(F.array_except(x["common"], y["common"])) == 0)
+
+    groups = pairs.groupBy("text_key").agg(F.collect_set(pair).alias("all"))
+    kept = F.filter(F.filter("all", lambda x: x["across"]), lambda x: ~F.exists("all", lambda y: explained(x, y)))
+    found = groups.select("text_key", F.inline(kept)).groupBy("text_key", "template", "label").agg(F.max("containment").alias("containment"))
+    return found.select("text_key", F.lit(None).cast("int").alias("line"), "template", "label", "containment")
+
+
 def license_labels(docs: DataFrame, text_col: str, templates=None, threshold: float = 0.8, block_words: int = 64) -> DataFrame:
     """``template``, ``label``, ``containment`` of every line (``text_key``, ``line``) that holds a notice; of its
-    blocks the best counts, and a notice that a fuller one of the same line explains is left out.
+    blocks the best counts, and a notice that a fuller one of the same line explains is left out.  A notice that only
+    several lines hold together has a null ``line``.
 
     Null and empty texts have no block.  An empty table gives an empty result.
     """
@@ -148,12 +180,36 @@ def license_labels(docs: DataFrame, text_col: str, templates=None, threshold: fl
     texts = texts.where(F.col("text").rlike(some)).select(F.unhex(F.md5("text")).alias("text_key"), "text")
     lines = texts.select("text_key", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(some))
     lines = lines.select("text_key", "line", lower_words(F.col("text")).alias("words"))
+    longest = max(len(t.split(" ")) for _, t in templates)
+    block_words = max(block_words, 2 * longest)
     half = block_words // 2
     count = F.greatest(F.lit(1), F.ceil((F.size("words") - half) / half).cast("int"))
     blocks = lines.select("text_key", "line", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(i.alias("part"), F.array_distinct(F.slice(F.col("words"), i * half + 1, F.lit(block_words))).alias("words")))).alias("b"))
     blocks = blocks.select("text_key", "line", "b.part", "b.words")
-    pairs = containment_join(blocks, ["text_key", "line", "part"], "words", templates, order, threshold)
-    return fullest(pairs, ["text_key", "line"])
+
+    # across lines: template words only, the others match nothing; a block with fewer than any template needs is none
+    least = min(math.ceil(threshold * len(set(t.split(" "))) - 1e-9) for _, t in templates)
+    whole = texts.where(F.col("text").contains("\n")).select("text_key", lower_words(F.col("text")).alias("words"))
+    whole = whole.select("text_key", F.transform("words", lambda w: F.when(w.isin(words), w)).alias("words"))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size("words") - 2 * longest) / longest).cast("int")))
+    runs = F.transform(starts, lambda i: F.struct(i.alias("part"), F.array_compact(F.slice(F.col("words"), i * longest + 1, F.lit(2 * longest))).alias("run")))
+    leads = F.array(*map(F.lit, sorted(lead)))
+    whole = whole.select("text_key", F.explode(F.filter(runs, lambda b: (F.size(b["run"]) >= least) & F.arrays_overlap(b["run"], leads))).alias("b"))
+    numbers = F.create_map(*[x for w, i in place.items() for x in (F.lit(w), F.lit(i))])
+    whole = whole.select("text_key", "b.part", F.transform("b.run", lambda w: numbers[w]).alias("run"))
+
+    def matched(t: int, label: str, text: str) -> Column:
+        own = [place[w] for w in text.split(" ")]
+        common = F.array_sort(F.array_intersect("run", F.array(*map(F.lit, sorted(set(own))))))
+        need = math.ceil(threshold * len(set(own)) - 1e-9)
+        match = F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), common.alias("common"), (F.size(common) / len(set(own))).alias("containment"))
+        return F.when((F.size(common) >= need) & (in_order(F.col("run"), F.array(*map(F.lit, own))) >= need), match)
+
+    matches = F.array_compact(F.array(*[matched(t, *x) for t, x in enumerate(templates)]))
+    whole = whole.select("text_key", F.lit(None).cast("int").alias("line"), "part", F.inline(matches))
+    alone = containment_join(blocks, ["text_key", "line", "part"], "words", templates, order, threshold)
+    pairs = written(alone.unionByName(whole), "pairs")
+    return fullest(pairs.where("line is not null"), ["text_key", "line"]).unionByName(across_lines(pairs))
 
 
 def scan_licenses(docs: DataFrame, id_col: str, text_col: str, templates=None, threshold: float = 0.8, block_words: int = 64) -> DataFrame:

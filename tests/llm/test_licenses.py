@@ -80,5 +80,34 @@ def test_long_line_is_cut_into_overlapping_blocks(make_docs):
         assert {r.label for r in license_labels(docs, "text").collect()} == {"gpl-3"}
 
 
+def test_wrapped_notices(make_docs):
+    """Real wording, wrapped where no line holds enough of it, among other text."""
+    bsd = "Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"
+    mit = "# Permission is hereby granted, free of charge, to any\n# person obtaining a copy of this software and associated\n# documentation files"
+    cc0 = "To the extent possible under law,\r\nJane Doe has waived all copyright\r\nand related or neighboring rights"
+    gpl = "This work is licensed\nunder the GNU General Public\nLicense, version 2."
+    docs = [(10 * i + k, f"{prose(i, lead)}\n{text}\n{prose(k, 50)}") for i, text in enumerate([bsd, mit, cc0, gpl]) for k, lead in enumerate([0, 7, 15, 24, 31])]
+    docs += [(90, "\n".join([*bsd.split()])), (91, NOTICES[2][1] + "\n" + gpl), (92, prose(5, 30) + "\n" + NOTICES[2][1] + "\n" + prose(6, 9))]
+    rows = {r.id: r for r in scan_licenses(make_docs(docs), "doc_id", "text").collect()}
+    want = ["bsd", "mit", "cc0", "gpl-2"]
+    assert {i: rows[i].labels for i in rows if i < 90} == {10 * i + k: want[i] for i in range(4) for k in range(5)}
+    assert rows[0].score == 1.0 and rows[20].score >= 0.8
+    assert (rows[90].labels, rows[91].labels, rows[92].labels) == ("bsd", "gpl-2,gpl-3", "gpl-3")
+
+
+def test_prose_beside_a_notice_completes_no_other(make_docs):
+    docs = make_docs([(1, f"{prose(1, 20)} mit dem\n{NOTICES[0][1]}\nunder the mit"), (2, f"{prose(1, 20)}\nreleased the\nunder license")])
+    rows = {r.id: r.labels for r in scan_licenses(docs, "doc_id", "text").collect()}
+    assert rows == {1: "apache-2", 2: ""}
+
+
+def test_longest_template_sets_the_blocks(make_docs):
+    """A template of more than half of ``block_words``, at any place of a long line."""
+    notice = " ".join(f"term{i}" for i in range(50))
+    docs = make_docs([(k, f"{prose(k, 3 + 7 * k)} {notice} {prose(9, 90)}") for k in range(10)])
+    rows = scan_licenses(docs, "doc_id", "text", templates=[("own", notice)]).collect()
+    assert [(r.labels, r.score) for r in rows] == [("own", 1.0)] * 10
+
+
 def test_empty_table(make_docs):
     assert scan_licenses(make_docs([]), "doc_id", "text").count() == 0
