@@ -38,7 +38,8 @@ BASE_RULES = [
 
 #: Published formats of further credentials.
 MORE_RULES = [
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    # to the END line where base64 (or header) lines, also with escaped breaks, lead to one, else the BEGIN line; possessive, so in linear time
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[A-Za-z0-9+/=:,.\x5C\s]*+(?:-(?!----)[A-Za-z0-9+/=:,.\x5C\s]*+){0,20}+-----END [A-Z ]{0,30}PRIVATE KEY-----)?"),
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),

@@ -74,3 +74,13 @@ def test_only_rules_without_trigrams(make_docs):
 
 def test_empty_table(make_docs):
     assert find_secrets(make_docs([]), "doc_id", "text").count() == 0
+
+
+def test_private_key_goes_on_to_its_end(make_docs):
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "x1+/" * 12] * 25)
+    whole = [f"{head}\n{body}=\n{end}", f"{head}\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,0A1B\r\n\r\n{body}\r\n{end}", f"{head}\\n{body[:64]}\\n{end}", f"{head}\n{'QUJD' * 50_000}\n{end}"]
+    docs = [(i, f"é key: {k}\nafter it {k}") for i, k in enumerate(whole)] + [(10, f"{head}\n{body}"), (11, f"{head} (see below) {end}"), (12, f"{head}\n{head}\n{body}\n{end}"), (13, head * 2000)]
+    got = {r.id: [s.text for s in r.spans if s.kind == "private_key"] for r in find_secrets(make_docs(docs), "doc_id", "text").collect()}
+    assert all(got[i] == [k, k] for i, k in enumerate(whole))
+    assert got[10] == got[11] == [head] and got[12] == [head, f"{head}\n{body}\n{end}"] and got[13] == [head] * 2000
