@@ -14,6 +14,7 @@ from strata.llm.preferences import op9_preference_format
 from strata.llm.prefix_forest import op8_prefix_forest
 from strata.llm.secret_scan import op5_secret_scan
 from strata.llm.substrings import op3_substring_dedup
+from strata.llm.token_counts import op13_token_counts
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_prefix_forest": op8_prefix_forest,
     "op9_preference_format": op9_preference_format,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
