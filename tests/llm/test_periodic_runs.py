@@ -1,0 +1,161 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from strata.llm import periodic_runs as pr
+
+from .conftest import prose
+
+
+def brute_runs(t, least):
+    """Every stretch that no neighbour extends, period by period; the smallest period of a stretch counts."""
+    out = {}
+    for p in range(1, len(t) // 2 + 1):
+        k = 0
+        while k < len(t) - p:
+            if t[k] != t[k + p]:
+                k += 1
+                continue
+            a = k
+            while k < len(t) - p and t[k] == t[k + p]:
+                k += 1
+            if (length := k - a + p) >= max(least, 2 * p):
+                out.setdefault((a, length), p)
+    return sorted(((a, n, p) for (a, n), p in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def brute(docs):
+    """The contract, word by word."""
+    out = []
+    for d, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        h, n = zlib.crc32(("" if d is None else str(d)).encode()), len(words)
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = brute_runs(words, 12)
+        gone = {i for a, length, p in runs for i in range(a + p, a + length)}
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+        digest = hashlib.sha256("".join(f"{a},{m},{p}\n" for a, m, p in runs).encode()).hexdigest()
+        kept = hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest()
+        out.append((d, len(runs), *best, 1000 * best[1] // best[2] if runs else None, digest, kept))
+    return sorted(map(str, out))
+
+
+def random_sequence(r):
+    n, k = r.choice([0, 1, 2, 5, 30, 100]), r.choice([1, 2, 3, 20])
+    t = [r.randint(1, k) for _ in range(n)]
+    if n > 20 and r.random() < 0.6:
+        a = r.randint(0, n - 1)
+        p = r.randint(1, max(1, (n - a) // 2))
+        t = t[:a] + [t[a + (i - a) % p] for i in range(a, n)]
+    if r.random() < 0.2:  # a Fibonacci word has runs of many periods inside each other
+        x, y = [1], [1, 2]
+        while len(y) < n:
+            x, y = y, y + x
+        t = y[:n]
+    return np.array(t, np.int32)
+
+
+@pytest.mark.parametrize("least", [2, 3, 12])
+def test_runs_equal_brute_force(least):
+    r = random.Random(least)
+    for _ in range(250):
+        texts = [random_sequence(r) for _ in range(r.randint(0, 5))]
+        got = pr.runs_of(texts, least)
+        assert [[tuple(x) for x in g.tolist()] for g in got] == [brute_runs(t.tolist(), least) for t in texts]
+
+
+def test_grids_of_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(pr, "_TABLE", 16)
+    monkeypatch.setattr(pr, "_MANY", 50)
+    monkeypatch.setattr(pr, "_GRID", [])
+    r = random.Random(9)
+    for _ in range(60):
+        t = random_sequence(r)
+        assert [tuple(x) for x in pr.runs_of([t], 2)[0].tolist()] == brute_runs(t.tolist(), 2)
+
+
+def test_grid_has_all_pairs():
+    for n in (1, 2, 10, 100):
+        left, right = pr._grid_upto(n)
+        assert sorted(zip(left.tolist(), right.tolist(), strict=True)) == sorted((k * p, k * p + p) for p in range(1, n) for k in range(n) if k * p + p < n)
+
+
+def test_extensions_of_the_grammar():
+    """Both directions, from any two places, against a plain comparison; symbols of every level spell equal words."""
+    r = random.Random(3)
+    for k in (1, 2, 5):
+        t = [r.randint(1, k) for _ in range(120)]
+        t[60:90] = t[10:40]
+        s = np.array([0, *t, 0, *t[:50], 0], np.int32)
+        g = pr.Grammar(s)
+        i, j = np.array([(a, b) for a in range(1, 121) for b in range(a + 1, 121)]).T
+        right, left = g.extend(i, j), g.extend(i, j, back=True)
+        for a, b, x, y in zip(i.tolist(), j.tolist(), right.tolist(), left.tolist(), strict=True):
+            n = 0
+            while s[b + n] and s[a + n] == s[b + n]:
+                n += 1
+            m = 0
+            while s[a - 1 - m] and s[a - 1 - m] == s[b - 1 - m]:
+                m += 1
+            assert (x, y) == (n, m)
+        spelled = {i: (int(c),) for i, c in enumerate(s)}
+        for first, level in zip(g.first, g.symbols[1:], strict=True):
+            spelled = {i: sum((spelled[x] for x in range(first[i], first[i + 1])), ()) for i in range(len(level))}
+            by_name = {}
+            for i, name in enumerate(level.tolist()):
+                assert by_name.setdefault(name, spelled[i]) == spelled[i]
+
+
+def test_levels_are_logarithmic():
+    for t in (np.ones(50_000), np.random.default_rng(1).integers(1, 3, 50_000), np.arange(50_000) + 1):
+        g = pr.Grammar(np.array([0, *t, 0], np.int32))
+        assert len(g.symbols) < 100 and len(g.symbols[-1]) == 3
+
+
+def write(make_docs, path, docs):
+    make_docs(docs).write.parquet(f"{path}/documents.parquet")
+
+
+def test_query_equals_brute_force(spark, tmp_path, make_docs, odd_docs):
+    r = random.Random(4)
+    docs = [d for d in odd_docs if len(d[1] or "") < 20_000]
+    for i in range(100, 190):
+        words = prose(i, r.randint(1, 80)).split()
+        a = r.randint(0, len(words) - 1)
+        docs.append((i, " ".join([*words[:a], *(words[a:] * r.randint(1, 5)), *prose(i + 1, 9).split()])))
+    docs += [(200, "la " * 30), (201, "la " * 11), (202, "a b " * 6), (203, "a\nb\t" * 7 + "é é é"), *docs[-3:]]
+    assert any(zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in docs)
+    write(make_docs, tmp_path, docs)
+    got = pr.op11_periodic_runs(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert sorted(str(tuple(x)) for x in got.collect()) == brute(docs)
+
+
+def test_runs_and_texts(make_docs):
+    docs = [(1, "x " + "one two three " * 5 + "one end"), (2, "no run here"), (3, None), (4, "")]
+    got = {r.id: r for r in pr.periodic_runs(make_docs(docs), "doc_id", "text", pr.collapsed, pr.COLLAPSED).collect()}
+    assert [tuple(x) for x in got[1].runs] == [(1, 16, 3)] and got[1].text == "x one two three end"
+    assert (got[2].runs, got[2].text) == ([], "no run here")
+    assert (got[3].runs, got[3].text, got[4].text) == ([], "", "")
+
+
+def test_very_long_text(make_docs):
+    text = prose(1, 70_000) + " " + "again and " * 40_000 + prose(2, 100)
+    got = pr.periodic_runs(make_docs([(1, text)]), "doc_id", "text", pr.digest, pr.DIGEST).first()
+    assert (got.n_runs, got.start, got.length, got.period, got.exponent_milli) == (1, 70_000, 80_000, 2, 40_000_000)
+
+
+def test_empty_table_and_bad_length(make_docs):
+    assert pr.periodic_runs(make_docs([]), "doc_id", "text", pr.digest, pr.DIGEST).count() == 0
+    with pytest.raises(ValueError, match="least"):
+        pr.periodic_runs(make_docs([]), "doc_id", "text", pr.digest, pr.DIGEST, least=1)
