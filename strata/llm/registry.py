@@ -8,11 +8,13 @@ from strata.llm.langid import op1_language_id
 from strata.llm.licenses import op2_license_scan
 from strata.llm.mixing import ORACLE_SQL as MIX_SQL
 from strata.llm.mixing import op7_source_mix
+from strata.llm.periodic_runs import op11_periodic_runs
 from strata.llm.pii import op6_pii
 from strata.llm.preferences import ORACLE_SQL as PREFERENCE_SQL
 from strata.llm.preferences import op9_preference_format
 from strata.llm.prefix_forest import op8_prefix_forest
 from strata.llm.secret_scan import op5_secret_scan
+from strata.llm.spelling import op12_spelling_variants
 from strata.llm.substrings import op3_substring_dedup
 from strata.llm.token_counts import op13_token_counts
 
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_prefix_forest": op8_prefix_forest,
     "op9_preference_format": op9_preference_format,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_token_counts": op13_token_counts,
 }
 
