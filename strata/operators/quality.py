@@ -2,7 +2,7 @@
 
 Failure counts follow the reference's test runner: ``unique`` counts duplicated *values*
 (NULLs ignored), ``not_null`` counts NULL rows, ``accepted_values`` counts distinct offending
-values (NULL passes).  All tests declared on one table share a single pass over it.
+values (NULL passes).  All tests declared on one table share a single pass over it, and all tables two shuffles.
 """
 
 from __future__ import annotations
@@ -74,75 +74,85 @@ def _status(failures):
     return F.when(failures == 0, F.lit("pass")).otherwise(F.lit("fail"))
 
 
-def run_table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
-    """Report rows (REPORT_SCHEMA) for every test declared on one table, in **one pass** over it.
+def declared_tests(rules: TableRules) -> list[tuple[str, str]]:
+    """(test, column) of every test declared for one table, in the order of the report."""
+    return [("not_null", c) for c in rules.not_null] + [("accepted_values", c) for c in rules.accepted_values] + [("unique", c) for c in rules.unique]
 
-    One aggregate computes, with one shuffle of partial counts, a count per distinct value of each
-    ``unique``/``accepted_values`` column (``GROUPING SETS``, one set per column) and, within each group, the NULLs of
-    the ``not_null`` columns; the groups of the first column add up to the whole table's NULLs.  A one-row
-    aggregate over that result turns it into failure counts.  The table is read once, however many tests
-    it has; a hot value is just one partially-aggregated group.
-    """
-    group_cols = list(dict.fromkeys([*rules.unique, *rules.accepted_values]))
-    nn = [F.count_if(F.col(c).isNull()).alias(f"_nn_{i}") for i, c in enumerate(rules.not_null)]
-    tests: list[tuple[str, str, Column]] = []
-    if group_cols:
-        k = len(group_cols)
-        count = F.count(F.lit(1)).alias("_n")
-        if k == 1:
-            res = df.groupBy(group_cols[0]).agg(count, *nn).withColumn("_gid", F.lit(0))
+
+def _findings(df: DataFrame, rules: TableRules, tests: Sequence[tuple[str, str]], number: dict[tuple[str, str, str], int]) -> DataFrame:
+    """(test, value) rows that the counts of one table's tests need: every value of a unique column, and only the offending
+    rows of the others.  One pass over the table, however many tests it has."""
+
+    def entry(name: str, c: str, when: Column | None, value: Column) -> Column:
+        own = F.struct(F.lit(number[name, rules.model, c]).alias("test"), value.alias("value"))
+        return own if when is None else F.when(when, own)
+
+    entries = []
+    for name, c in tests:
+        col = F.col(c)
+        if name == "unique":
+            entries.append(entry(name, c, col.isNotNull(), col.cast("string")))
+        elif name == "not_null":
+            entries.append(entry(name, c, col.isNull(), F.lit(None).cast("string")))
         else:
-            res = df.groupingSets([[c] for c in group_cols], *group_cols).agg(count, *nn, F.grouping_id().alias("_gid"))
-
-        def of(c: str) -> Column:
-            """The groups of one column: only its bit of the grouping id is 0."""
-            return F.col("_gid") == ((1 << k) - 1) & ~(1 << (k - 1 - group_cols.index(c)))
-
-        for i, c in enumerate(rules.not_null):
-            tests.append(("not_null", c, F.sum(F.when(of(group_cols[0]), F.col(f"_nn_{i}")))))
-        for c, values in rules.accepted_values.items():
-            tests.append(("accepted_values", c, F.count_if(of(c) & F.col(c).isNotNull() & ~F.col(c).isin(*values))))
-        for c in rules.unique:
-            tests.append(("unique", c, F.count_if(of(c) & F.col(c).isNotNull() & (F.col("_n") > 1))))
-    elif nn:
-        res = df.agg(*nn)
-        tests = [("not_null", c, F.max(F.col(f"_nn_{i}"))) for i, c in enumerate(rules.not_null)]
-    else:
-        raise ValueError(f"no tests declared for {rules.model}")
-    one_row = res.agg(*[expr.alias(f"_f{i}") for i, (_, _, expr) in enumerate(tests)])
-    stack = ", ".join(f"'{name}', '{col}', _f{i}" for i, (name, col, _) in enumerate(tests))
-    out = one_row.selectExpr(f"stack({len(tests)}, {stack}) as (test_name, column_name, failures)")
-    failures = F.coalesce(F.col("failures"), F.lit(0)).cast("long")
-    return out.select(
-        "test_name",
-        F.lit(rules.model).alias("model"),
-        "column_name",
-        failures.alias("failures"),
-        _status(failures).alias("status"),
-    )
+            entries.append(entry(name, c, col.isNotNull() & ~col.isin(*rules.accepted_values[c]), col.cast("string")))
+    if len(entries) == 1:
+        return df.select(entries[0].alias("e")).filter("e is not null").select("e.test", "e.value")
+    found = df.select(F.explode(F.array(*entries)).alias("e")).filter("e is not null")
+    return found.select("e.test", "e.value")
+
+
+def run_table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
+    """Report rows (REPORT_SCHEMA) for every test declared on one table, in **one pass** over it."""
+    return run_checks({rules.model: df}, [rules])
 
 
 def spark_of(tables: dict[str, DataFrame]) -> SparkSession:
     return next((t.sparkSession for t in tables.values()), None) or SparkSession.active()
 
 
-def _absent(spark: SparkSession, rules: TableRules) -> DataFrame:
-    """Every declared test of a table that is not there, as failed (one failure: the table)."""
-    tests = [("not_null", c) for c in rules.not_null] + [("accepted_values", c) for c in rules.accepted_values] + [("unique", c) for c in rules.unique]
-    rows = F.array(*[F.struct(F.lit(name).alias("test_name"), F.lit(c).alias("column_name")) for name, c in tests])
-    one = spark.range(1).select(F.inline(rows))
-    return one.select("test_name", F.lit(rules.model).alias("model"), "column_name", F.lit(1).cast("long").alias("failures"), F.lit("fail").alias("status"))
+def run_checks(tables: dict[str, DataFrame], rules: Iterable[TableRules], known: dict[str, dict[tuple[str, str], int]] | None = None) -> DataFrame:
+    """Test-run report (DQ-5): one row per declared test, over all tables; a test of an absent table fails.
 
-
-def run_checks(tables: dict[str, DataFrame], rules: Iterable[TableRules]) -> DataFrame:
-    """Test-run report (DQ-5): one row per declared test, over all tables; a test of an absent table fails."""
-    out = None
+    Each table is read once and turned into (test, value) rows; two aggregates over all of them together, by (test, value)
+    and by test, give every failure count.  Partial counts make one row of a hot value per map task.  Values are compared as
+    text, which keeps different ones of a column apart.  ``known`` has failure counts per table and (test, column) that
+    need no read (``sinks.metrics``); a table with nothing left to test is not read at all.
+    """
+    rules = list(rules)
+    declared = [(name, r.model, c) for r in rules for name, c in declared_tests(r)]
+    if not declared:
+        raise ValueError("no rules" if not rules else f"no tests declared for {rules[0].model}")
+    number = {test: i for i, test in enumerate(declared)}
+    spark = spark_of(tables)
+    told = {(name, r.model, c): n for r in rules for (name, c), n in (known or {}).get(r.model, {}).items()}
+    told |= {test: 1 for test in declared if test[1] not in tables}  # one failure: the table
+
+    parts = []
     for r in rules:
-        part = run_table_checks(tables[r.model], r) if r.model in tables else _absent(spark_of(tables), r)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no rules")
-    return out
+        left = [(name, c) for name, c in declared_tests(r) if (name, r.model, c) not in told]
+        if r.model in tables and left:
+            parts.append(_findings(tables[r.model], r, left, number))
+    # every declared test has a row of its own, with what is told of it: a test without findings is there too
+    seeds = spark.range(1, numPartitions=1).select(
+        F.inline(F.array(*[F.struct(F.lit(number[t]).alias("test"), F.lit(t[0]).alias("test_name"), F.lit(t[1]).alias("model"), F.lit(t[2]).alias("column_name"), F.lit(told.get(t, 0)).cast("long").alias("told")) for t in declared]))
+    )
+    blank = [F.lit(None).cast("string").alias(c) for c in ("test_name", "model", "column_name")]
+    out = seeds.select(*seeds.columns, F.lit(0).cast("long").alias("n"))
+    if parts:
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        counts = every.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(counts.select("test", *blank, F.lit(0).cast("long").alias("told"), "n"))
+    kind = F.first("test_name", ignorenulls=True)
+    by_test = out.groupBy("test").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("test_name", "model", "column_name")],
+        F.when(kind == "unique", F.count_if(F.col("n") > 1)).when(kind == "not_null", F.sum("n")).otherwise(F.count_if(F.col("n") > 0)).alias("found"),
+        F.sum("told").alias("told"),
+    )
+    failures = (F.col("found") + F.col("told")).cast("long")
+    return by_test.select("test_name", "model", "column_name", failures.alias("failures"), _status(failures).alias("status"))
 
 
 def run_relationships(tables: dict[str, DataFrame], keys: Iterable[tuple[str, str, str, str]]) -> DataFrame:

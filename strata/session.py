@@ -3,13 +3,13 @@
 On a cluster the session is created by the platform; ``build_session`` is for local runs and
 tests.  ``checkpoint_root`` is the single place where the library decides where intermediate
 files go: the folder named by ``spark.checkpoint.dir`` (shared storage on a cluster).  Only
-when that setting is absent (tests, laptops) does it create one of its own.
+when that setting is absent on a local master (tests, laptops) does it take a folder in the session's
+warehouse.  What a session writes there goes with it: the driver's file system deletes it on exit.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -128,8 +128,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
             "(checkpoints and scratch files must survive the loss of any machine)"
         )
-    # Unset on a local master (tests, laptops): a folder of our own.
-    local = tempfile.mkdtemp(prefix="strata-ckpt-")
+    # Unset on a local master (tests, laptops): a folder of our own in the session's warehouse.
+    local = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_strata_scratch"
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
@@ -147,6 +147,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+# Per application and root, the folder that holds its scratch folders and is deleted when the driver ends.
+_OWN_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unique folder under the shared scratch root for one run of one job."""
-    return f"{checkpoint_root(spark)}/strata/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared scratch root for one run of one job.  It is not created; what is
+    written there lives until ``remove_path`` or the end of the driver."""
+    root = checkpoint_root(spark)
+    own = _OWN_ROOTS.get((spark.sparkContext.applicationId, root))
+    if own is None:
+        own = f"{root}/strata/{uuid.uuid4().hex[:12]}"
+        fs, path = _file_system(spark, own)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _OWN_ROOTS[spark.sparkContext.applicationId, root] = own
+    return f"{own}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)

@@ -4,9 +4,10 @@ SRC-7, SRC-9, SNK-1..4, DDL-2, PIPE-1).
 Improvement over the reference (ledger L2): the source is read **once** — the extract is
 landed, the landed files are read back, and the merge and the new watermark both come from
 that landed batch, so the watermark can never pass rows that were not merged.  The watermark
-is advanced last (L6): a crash before it re-reads the batch, which the upsert absorbs.  JDBC
-sources split their read by key range; fact tables are partitioned by creation month so an
-upsert rewrites only the partitions its batch touches.
+is advanced last (L6): a crash before it re-reads the batch, which the upsert absorbs.  Row count and new
+watermark are observed while the batch lands.  JDBC sources split their read at quantiles of the key among the new
+rows; Bronze is bucketed by key, and fact tables are partitioned by creation month, so an upsert
+shuffles the batch alone and rewrites only the partitions it touches.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import remove_path
+from strata.sinks.metrics import observed
 from strata.sinks.tables import upsert_table, vacuum_versions
 
 # First-run watermark, control-table columns, and the reference's ingest config.
@@ -34,14 +37,16 @@ class TableConfig:
     """One row of the table-driven ingest config (SRC-7).
 
     ``partitions`` optionally names Bronze partition columns and the SQL expressions that derive
-    them; they must not change for a key (creation month, not update time).  Upserts then rewrite
-    only the partitions a batch touches.
+    them; they should seldom change for a key (creation month, not update time).  Upserts then rewrite
+    only the partitions a batch touches.  ``buckets`` is how many buckets of its key each partition of the Bronze table gets when it
+    is created (``sinks.tables.bucket_count`` sizes it): stored keys are then found without a shuffle.
     """
 
     source_table: str
     primary_key: str
     watermark_col: str
     partitions: tuple[tuple[str, str], ...] = ()
+    buckets: int = 4
 
 
 # Fact tables grow without bound and their keys are created once: partition them by creation
@@ -77,6 +82,14 @@ def extract_incremental(
     return source.filter(F.col(watermark_col) > lower)
 
 
+def _quoted(spark: SparkSession, url: str, column: str) -> str:
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+
+
+def _newer(spark: SparkSession, url: str, newer_than: tuple[str, str] | None) -> str:
+    return f"{_quoted(spark, url, newer_than[0])} > '{newer_than[1]}'" if newer_than else "1 = 1"
+
+
 def jdbc_bounds(
     spark: SparkSession,
     url: str,
@@ -90,14 +103,67 @@ def jdbc_bounds(
 
     ``newer_than`` (watermark column, value) measures only the rows that an incremental read will return, which
     mostly lie at the top of the key range."""
-    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
-    quoted = dialect.quoteIdentifier(column)
-    where = f" WHERE {dialect.quoteIdentifier(newer_than[0])} > '{newer_than[1]}'" if newer_than else ""
-    query = f"(SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}{where}) strata_bounds"
+    quoted = _quoted(spark, url, column)
+    query = f"(SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table} WHERE {_newer(spark, url, newer_than)}) strata_bounds"
     row = jdbc_source(spark, url, query, properties).first()
     return (row[0], row[1]) if row else (None, None)
 
 
+def key_cuts(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    parts: int,
+    properties: dict[str, str] | None = None,
+    newer_than: tuple[str, str] | None = None,
+    bins: int = 256,
+) -> list[int]:
+    """Keys at which a read splits into at most ``parts`` ranges that hold about as many rows each (SRC-1).
+
+    The database counts its rows per bin of the key range, and again within every bin that holds more than half a part,
+    until none does: one grouped count a level, log_bins(range) levels at most.  What comes back is counts of bins.  No range
+    gets more than one and a half times its share, however the new keys lie (rows with one equal key cannot be split).
+    """
+    quoted, where = _quoted(spark, url, column), _newer(spark, url, newer_than)
+    lo, hi = jdbc_bounds(spark, url, table, column, properties, newer_than)
+    if lo is None or hi is None or hi <= lo or parts < 2:
+        return []
+    done: list[tuple[int, int]] = []  # (first key, rows) of bins
+    todo = [(int(lo), int(hi) + 1)]
+    share = None
+    while todo:
+        counted: list[tuple[int, int, int]] = []
+        for at in range(0, len(todo), 100):  # a statement of bounded length
+            selects = []
+            for no, (a, b) in enumerate(todo[at : at + 100]):
+                width = -(-(b - a) // bins)
+                selects.append(f"SELECT {no} AS r, ({quoted} - {a}) / {width} AS b FROM {table} WHERE {where} AND {quoted} >= {a} AND {quoted} < {b}")
+            # FLOOR: not every database divides integers to integers
+            query = f"(SELECT r, f AS b, COUNT(*) AS n FROM (SELECT r, FLOOR(b) AS f FROM ({' UNION ALL '.join(selects)}) strata_k) strata_b GROUP BY r, f) strata_h"
+            for r, b, n in (tuple(map(int, row)) for row in jdbc_source(spark, url, query, properties).collect()):
+                a, z = todo[at + r]
+                width = -(-(z - a) // bins)
+                counted.append((a + b * width, min(a + (b + 1) * width, z), n))
+        if share is None:
+            share = sum(n for _, _, n in counted) / parts
+        todo = [(a, b) for a, b, n in counted if n > share / 2 and b - a > 1]
+        done += [(a, n) for a, b, n in counted if not (n > share / 2 and b - a > 1)]
+    cuts, rows = [], 0
+    for first, n in sorted(done):
+        if rows and rows + n > share and len(cuts) < parts - 1:
+            cuts.append(first)
+            rows = 0
+        rows += n
+    return cuts
+
+
+def range_predicates(column: str, cuts: Sequence[int]) -> list[str]:
+    """One condition per range between the cuts; together they hold for every row once, NULL keys included."""
+    first = [f"{column} < {cuts[0]} OR {column} IS NULL"]
+    return first + [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)] + [f"{column} >= {cuts[-1]}"]
+
+
 def jdbc_source(
     spark: SparkSession,
     url: str,
@@ -111,25 +177,26 @@ def jdbc_source(
 ) -> DataFrame:
     """A JDBC table as a lazy DataFrame (SRC-1).
 
-    Parallel reads need ``partition_column`` (numeric, e.g. the primary key) and bounds;
-    ``numPartitions`` alone gives one partition (the reference's setting, BASELINE).  Without
-    explicit bounds they are fetched with ``jdbc_bounds`` (of the rows ``newer_than`` a watermark).  Filters applied later (the
+    Parallel reads need ``partition_column`` (an integer, e.g. the primary key): the read splits at its quantiles among the
+    rows ``newer_than`` a watermark (``key_cuts``), so that a burst of neighbouring keys does not meet in one task.  With
+    ``lower_bound`` and ``upper_bound`` it splits into equal strides between them instead, without asking the database.
+    ``numPartitions`` alone gives one partition (the reference's setting, BASELINE).  Filters applied later (the
     watermark) are pushed into every partition's query.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
+    reader = spark.read
     if partition_column and (num_partitions or 0) > 1:
         if lower_bound is None or upper_bound is None:
-            lower_bound, upper_bound = jdbc_bounds(spark, url, table, partition_column, properties, newer_than)
-        if lower_bound is not None and upper_bound is not None and upper_bound > lower_bound:
+            cuts = key_cuts(spark, url, table, partition_column, num_partitions, properties, newer_than)
+            if cuts:
+                return reader.jdbc(url, table, predicates=range_predicates(_quoted(spark, url, partition_column), cuts), properties=properties or {})
+        elif upper_bound > lower_bound:
             reader = (
                 reader.option("partitionColumn", partition_column)
                 .option("lowerBound", str(lower_bound))
                 .option("upperBound", str(upper_bound))
                 .option("numPartitions", str(num_partitions))
             )
-    return reader.load()
+    return reader.format("jdbc").options(**(properties or {})).option("url", url).option("dbtable", table).load()
 
 
 # --- control table (SRC-4, SNK-4, DDL-2) ----------------------------------------------------
@@ -165,20 +232,17 @@ def update_watermark(spark: SparkSession, control_table: str, table_name: str, n
 
 
 # --- landing (SNK-1, SRC-9) -----------------------------------------------------------------
-def land(df: DataFrame, landing_root: str, table: str, run_date: _dt.date | str, batch_id: str) -> str:
+def land(df: DataFrame, landing_root: str, table: str, run_date: _dt.date | str, batch_id: str, watermark_col: str) -> tuple[str, int, str | None]:
     """Append the raw extract under ``<root>/<table>/dt=<date>/batch=<id>`` as Parquet (SNK-1).
 
-    The batch folder makes the landed batch addressable: it is read back by partition pruning
-    and is the recovery point of the run.
+    The batch folder makes the landed batch addressable: it is read back by its path and is the recovery point of the
+    run.  Returns the folder, and the rows and the greatest watermark (text) as the write observed them (AGG-2).
     """
-    path = f"{landing_root.rstrip('/')}/{table}"
-    (
-        df.withColumns({"dt": F.lit(str(run_date)), "batch": F.lit(batch_id)})
-        .write.mode("append")
-        .partitionBy("dt", "batch")
-        .parquet(path)
-    )
-    return path
+    path = f"{landing_root.rstrip('/')}/{table}/dt={run_date}/batch={batch_id}"
+    out, seen = observed(df, n=F.count(F.lit(1)), w=F.date_format(F.max(watermark_col), WATERMARK_FORMAT))
+    out.write.mode("errorifexists").parquet(path)
+    figures = seen.get
+    return path, int(figures["n"]), figures["w"]
 
 
 def read_landed(
@@ -224,6 +288,7 @@ def replay_landed(
             [cfg.watermark_col],
             root=table_root,
             partition_by=[c for c, _ in cfg.partitions],
+            buckets=cfg.buckets,
         )
     return n
 
@@ -262,27 +327,19 @@ def ingest_table(
 ) -> IngestResult:
     """PIPE-1 for one table: watermark -> extract -> land -> read back -> upsert -> advance.
 
-    The source is read exactly once (by the landing write).  Zero new rows: nothing is merged
+    The source is read exactly once (by the landing write, which also counts).  Zero new rows: nothing is merged
     and the watermark stays (L4).  Two scalars reach the driver: the old and the new watermark.
     """
     old = get_last_watermark(spark, control_table, cfg.source_table)
     extract = add_ingest_metadata(extract_incremental(source, cfg.watermark_col, old, overlap), source_system)
     batch_id = uuid.uuid4().hex[:16]
     day = str(run_date or spark.sql("SELECT cast(current_date() AS string)").first()[0])
-    path = land(extract, landing_root, cfg.source_table, day, batch_id)
+    path, rows, newest = land(extract, landing_root, cfg.source_table, day, batch_id, cfg.watermark_col)
+    if not rows:
+        remove_path(spark, path)
+        return IngestResult(cfg.source_table, 0, old, None, None)
     # Read back exactly the folder just written: no listing of earlier batches.
-    batch_dir = f"{path}/dt={day}/batch={batch_id}"
-    try:
-        landed = spark.read.parquet(batch_dir)
-    except Exception as e:  # an empty extract writes no batch folder
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return IngestResult(cfg.source_table, 0, old, None, None)
-        raise
-    stats = landed.agg(
-        F.count(F.lit(1)).alias("n"), F.date_format(F.max(cfg.watermark_col), WATERMARK_FORMAT).alias("w")
-    ).first()
-    if not stats or stats["n"] == 0:
-        return IngestResult(cfg.source_table, 0, old, None, path)
+    landed = spark.read.schema(extract.schema).parquet(path)
     bronze_table = f"{bronze_db}.{cfg.source_table}"
     landed = with_partitions(landed, cfg)
     upsert_table(
@@ -293,11 +350,12 @@ def ingest_table(
         [cfg.watermark_col],
         root=table_root,
         partition_by=[c for c, _ in cfg.partitions],
+        buckets=cfg.buckets,
     )
-    update_watermark(spark, control_table, cfg.source_table, stats["w"], root=table_root)
+    update_watermark(spark, control_table, cfg.source_table, newest, root=table_root)
     for table in (bronze_table, control_table):  # an upsert without MERGE leaves a version folder behind
         vacuum_versions(spark, table, keep=keep_versions)
-    return IngestResult(cfg.source_table, int(stats["n"]), old, stats["w"], path)
+    return IngestResult(cfg.source_table, rows, old, newest, path)
 
 
 def ingest_all(
