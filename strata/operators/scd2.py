@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +123,54 @@ def snapshot_changes(
     )
 
 
+def snapshot_series(
+    extracts: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    as_of: Sequence[str | _dt.datetime],
+    run_col: str = "_run",
+    close_missing: bool = True,
+    order_col: str | None = "updated_at",
+) -> DataFrame:
+    """The history after ``len(as_of)`` snapshot runs, from all their extracts in one pass (a backfill).
+
+    ``extracts`` has the rows of every extract with its number in ``run_col`` (1, 2, ...; run r happened at ``as_of[r - 1]``).
+    The result is that of ``snapshot`` run after run.  A key's rows in order of the runs tell its versions: one opens where
+    the key is new, comes back or differs from the run before, and ends where the next one opens or the key is missing.
+    That is two windows over a few rows a key, on one shuffle (and one for the latest row per key and run), instead of a join a run.
+    """
+    cols = [c for c in extracts.columns if c != run_col]
+    ts_type = extracts.schema[order_col].dataType if order_col else T.TimestampType()
+    times = F.array(*[_as_of_col(t, ts_type) for t in as_of])
+    at = lambda run: F.element_at(times, run.cast("int"))
+    if order_col:
+        ext = keep_latest(extracts, [key, run_col], [order_col], default_ties(cols, [key], [order_col]))
+    else:
+        ext = extracts.dropDuplicates([key, run_col])
+    runs = Window.partitionBy(key).orderBy(run_col)
+    checked = F.struct(run_col, *check_cols)
+    seen = ext.withColumns({"_before": F.lag(checked).over(runs), "_after": F.lead(checked).over(runs)})
+
+    def differs(other: str) -> Column:
+        """Not the same version in that run: changed, or (unless gaps are kept open) not the neighbouring run."""
+        equal = F.lit(True)
+        for c in check_cols:
+            equal = equal & F.col(c).eqNullSafe(F.col(f"{other}.{c}"))
+        return ~equal | (F.lit(bool(close_missing)) & (F.abs(F.col(run_col) - F.col(f"{other}.{run_col}")) != 1))
+
+    opens = F.col("_before").isNull() | differs("_before")
+    missing_next = F.lit(bool(close_missing)) & (F.col(run_col) < len(as_of)) & ~F.col(f"_after.{run_col}").eqNullSafe(F.col(run_col) + 1)
+    ends = F.when(missing_next, at(F.col(run_col) + 1)).when(F.col("_after").isNotNull() & differs("_after"), at(F.col(f"_after.{run_col}")))
+    onward = runs.rowsBetween(0, Window.unboundedFollowing)
+    versions = seen.select(*cols, run_col, opens.alias("_opens"), ends.alias("_ends")).withColumn(VALID_TO, F.first("_ends", ignorenulls=True).over(onward))
+    return (
+        versions.filter("_opens")
+        .withColumn(VALID_FROM, at(F.col(run_col)))
+        .withColumn(SCD_ID, version_id([key], VALID_FROM))
+        .select(*cols, SCD_ID, VALID_FROM, VALID_TO)
+    )
+
+
 def current_flag(history: DataFrame) -> DataFrame:
     """``select *, dbt_valid_to is null as is_current`` (PRJ-11); a view, not a copy (L23)."""
     return history.withColumn("is_current", F.col(VALID_TO).isNull())
@@ -159,42 +207,27 @@ def as_of_join(
     matches at most one and nothing fans out.  Facts before the first version, in a gap after a hard
     delete, or without key or time get NULLs (``how="inner"`` leaves them out).
 
-    Facts and version starts are merged in time order per key and the latest start is carried forward
-    (``sequence_within_groups``, which spreads a hot key over tasks by ``slice_unit``); facts then join the
-    history on (key, version start), unique on the history side: O(n log n) whatever the number of versions.
+    Facts and versions are merged in time order per key and the latest version, with its columns, is carried forward
+    (``sequence_within_groups``, which spreads a hot key over tasks by ``slice_unit``): O(n log n) whatever the number of
+    versions, and no join of facts with the history.
     """
     inner = how == "inner"
     if not inner and how not in ("left", "leftouter", "left_outer"):
         raise ValueError("how must be 'left' or 'inner'")
     fk = fact_key or key
-    h = history.select(
-        F.col(key).alias("_h_key"),
-        F.col(VALID_FROM).alias("_h_from"),
-        F.col(VALID_TO).alias("_h_to"),
-        *[F.col(c).alias(f"{prefix}{c}") for c in columns],
-    )
-    from_type = history.schema[VALID_FROM].dataType
+    version = F.struct(F.col(VALID_FROM).alias("_from"), F.col(VALID_TO).alias("_to"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
+    versions = history.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields],
+        F.col(key).alias("_k"), F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_kind"), version.alias("_v"),
+    )
     events = facts.select(
-        *facts.columns, F.col(fk).alias("_k"), F.col(fact_time).alias("_t"), F.lit(1).alias("_kind"),
-        F.lit(None).cast(from_type).alias("_vfrom"),
-    ).unionByName(
-        history.select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields],
-            F.col(key).alias("_k"), F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_kind"),
-            F.col(VALID_FROM).alias("_vfrom"),
-        )
-    )
+        *facts.columns, F.col(fk).alias("_k"), F.col(fact_time).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(versions.schema["_v"].dataType).alias("_v"),
+    ).unionByName(versions)
     # a version starting at the fact's instant covers it: versions sort before facts on ties
     timed = isinstance(events.schema["_t"].dataType, T.TimestampType | T.TimestampNTZType | T.DateType)
     cut = F.date_trunc(slice_unit, "_t") if timed else None
-    filled = sequence_within_groups(events, "_k", ["_t", "_kind"], [], fill_cols=["_vfrom"], slice_by=cut)
-    located = filled.filter(F.col("_kind") == 1).select(
-        *facts.columns,
-        F.when(F.col("_k").isNotNull() & F.col("_t").isNotNull(), F.col("_fill__vfrom")).alias("_cur"),
-        F.col("_k").alias("_fk"),
-        F.col("_t").alias("_ft"),
-    )
-    inside = F.col("_h_to").isNull() | (F.col("_ft") < F.col("_h_to"))
-    cond = (F.col("_fk") == F.col("_h_key")) & (F.col("_cur") == F.col("_h_from")) & inside
-    joined = located.join(h, cond, "inner" if inner else "left")
-    return joined.select(*facts.columns, *[f"{prefix}{c}" for c in columns])
+    filled = sequence_within_groups(events, "_k", ["_t", "_kind"], [], fill_cols=["_v"], slice_by=cut).filter(F.col("_kind") == 1)
+    v = F.col("_fill__v")
+    valid = F.col("_k").isNotNull() & F.col("_t").isNotNull() & v.isNotNull() & (v["_to"].isNull() | (F.col("_t") < v["_to"]))
+    out = filled.filter(valid) if inner else filled
+    return out.select(*facts.columns, *[F.when(valid, v[f"_c{i}"]).alias(f"{prefix}{c}") for i, c in enumerate(columns)])

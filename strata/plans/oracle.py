@@ -544,6 +544,19 @@ ORACLE_SQL: dict[str, str] = {
         "b_orders_before",
         "b_orders_batch",
     ),
+    "upsert_orders_stored": with_ctes(
+        f"""SELECT * FROM (
+            SELECT * FROM b_orders_before t WHERE NOT EXISTS (SELECT 1 FROM b_orders_batch b WHERE b.order_id = t.order_id)
+            UNION ALL
+            SELECT * FROM {latest('b_orders_batch', 'order_id', 'updated_at', ORDER_COLS)}) WHERE order_id % 11 <> 5
+        UNION ALL
+        SELECT * REPLACE ('pending' AS status, created_at + INTERVAL 40 DAY AS created_at,
+                          updated_at + INTERVAL 40 DAY + INTERVAL 2 HOUR AS updated_at)
+        FROM b_orders WHERE order_id % 11 = 5""",
+        "b_orders_before",
+        "b_orders_batch",
+        "b_orders",
+    ),
     "incremental_extract": with_ctes(f"SELECT * FROM b_orders WHERE updated_at > {SINCE}", "b_orders"),
     "dq_report": _dq_sql(),
     "foreign_key_violations": with_ctes(

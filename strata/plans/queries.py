@@ -1,11 +1,13 @@
 """The registered queries: every Silver/Gold model, snapshot, report and ingest step of the
 reference, run over the driver's tables through the adapters (SURVEY §7.3).
 
-Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the *whole* tables.
+Each function takes ``(spark, sf_dir)`` and returns a DataFrame over the *whole* tables.  It is lazy but for the
+queries of stored things, which write them first: the stream drains, ``upsert_orders_stored`` and ``dq_report``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +23,13 @@ from strata.operators.cleaning import (
 from strata.operators.joins import click_order_join
 from strata.operators.quality import ALL_RULES, foreign_key_violations, row_counts, run_checks
 from strata.operators.sales import customer_ltv, daily_sales
-from strata.operators.scd2 import VALID_FROM, as_of_join, current_flag, snapshot, version_stats
+from strata.operators.scd2 import VALID_FROM, as_of_join, current_flag, snapshot_series, version_stats
 from strata.operators.sessions import funnel, session_events, sessionize
 from strata.operators.upsert import merge_frames
 from strata.plans import reports
 from strata.plans.pipeline import CUSTOMER_SNAPSHOT, PRODUCT_SNAPSHOT
+from strata.session import scratch_path
+from strata.sinks.tables import upsert_table
 from strata.sources import adapters as A
 from strata.sources.incremental import extract_incremental
 
@@ -84,27 +88,17 @@ def q_gold_clickstream_funnel(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- Snapshots (three runs: base, changed/deleted, restored) -------------------------------
-def _history(extracts, key: str, check_cols) -> DataFrame:
-    """The runs one after the other; each adds one join to the plan."""
-    hist = None
-    for extract, as_of in extracts:
-        hist = snapshot(hist, extract, key, check_cols, as_of=as_of)
-    return hist
-
-
 def customers_history(spark: SparkSession, d: str, only: int | None = None) -> DataFrame:
     """SCD-2: three snapshot runs of customers (base, moved and deleted, restored); ``only`` one key's, read with the
-    key pushed into each extract (histories of different keys are independent)."""
+    key pushed into the scan (histories of different keys are independent)."""
     key, check, cols = CUSTOMER_SNAPSHOT
-    runs = [(_of_key(A.customers(spark, d, run=r), key, only).select(*cols), at) for r, at in enumerate(A.SNAPSHOT_RUNS, start=1)]
-    return _history(runs, key, check)
+    return snapshot_series(_of_key(A.customers_runs(spark, d), key, only).select("_run", *cols), key, check, A.SNAPSHOT_RUNS)
 
 
 def products_history(spark: SparkSession, d: str, only: int | None = None) -> DataFrame:
     """SCD-3: three snapshot runs of products (base, repriced and discontinued, restored); ``only`` as above."""
     key, check, cols = PRODUCT_SNAPSHOT
-    runs = [(_of_key(A.products(spark, d, run=r), key, only).select(*cols), at) for r, at in enumerate(A.SNAPSHOT_RUNS, start=1)]
-    return _history(runs, key, check)
+    return snapshot_series(_of_key(A.products_runs(spark, d), key, only).select("_run", *cols), key, check, A.SNAPSHOT_RUNS)
 
 
 def _of_key(extract: DataFrame, key: str, only: int | None) -> DataFrame:
@@ -161,6 +155,23 @@ def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
     return merge_frames(A.orders_before(spark, d), A.orders_batch_since(spark, d), ["order_id"], ["updated_at"])
 
 
+def q_upsert_orders_stored(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-2, SNK-3, PIPE-1: a Bronze table stored by key and year, created and upserted twice, read back.
+
+    The second batch is ``upsert_orders``'s; the third has two rows of each of its keys, and moves some to another year.
+    The writes happen when the query is built; the files that the table points to afterwards are the result.
+    """
+    root = scratch_path(spark, "upsert-orders")
+    name = f"strata_upsert_{uuid.uuid4().hex[:12]}"
+    year = F.year("created_at")
+    for batch in (A.orders_before(spark, d), A.orders_batch_since(spark, d), A.orders_rescheduled(spark, d)):
+        upsert_table(spark, name, batch.withColumn("_created_year", year), ["order_id"], ["updated_at"], root=root, partition_by=["_created_year"], buckets=4)
+    stored = spark.table(name)
+    out = spark.read.schema(stored.drop("_created_year").schema).parquet(*stored.inputFiles())
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay until the session's scratch folder goes
+    return out
+
+
 def q_incremental_extract(spark: SparkSession, d: str) -> DataFrame:
     """SRC-1 / FLT-1: rows above the watermark, pushed into the scan."""
     return extract_incremental(A.orders(spark, d), "updated_at", A.INCREMENTAL_SINCE)
@@ -309,6 +320,7 @@ QUERIES = {
     "as_of_price_at_sale": q_as_of_price_at_sale,
     "click_order_join": q_click_order_join,
     "upsert_orders": q_upsert_orders,
+    "upsert_orders_stored": q_upsert_orders_stored,
     "incremental_extract": q_incremental_extract,
     "dq_report": q_dq_report,
     "foreign_key_violations": q_foreign_key_violations,

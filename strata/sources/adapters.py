@@ -20,6 +20,7 @@ all driven by attributes of the data:
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,19 +57,23 @@ def _pad(col: Column, left: str = "", right: str = "") -> Column:
     return F.concat(F.lit(left), col, F.lit(right))
 
 
-def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
-    """Bronze ``customers``; ``run`` selects the SCD extract (1, 2 or 3; 3 equals 1)."""
+def _run_column(run: int | Sequence[int]) -> Column:
+    """The number of an extract: one, or a row for each of several (one scan for all)."""
+    return F.lit(run) if isinstance(run, int) else F.explode(F.array(*[F.lit(r) for r in run]))
+
+
+def _customer_rows(spark: SparkSession, sf_dir: str, run: int | Sequence[int]) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
     key = F.col("c_custkey")
     signup = F.date_add(F.lit("1990-01-01").cast("date"), (key % 1000).cast("int")).cast("timestamp_ntz")
-    city = F.col("n_name")
-    if run == 2:
-        moved = F.col("c_mktsegment") == MOVED_SEGMENT
-        city = F.when(moved, F.concat(F.col("n_name"), F.lit(" NEW"))).otherwise(city)
-    out = j.select(
+    moved = (F.col("_run") == 2) & (F.col("c_mktsegment") == MOVED_SEGMENT)
+    # in run 2 accounts in debt (is_active false) were closed: absent from that full extract
+    there = (F.col("_run") != 2) | F.coalesce(F.col("is_active"), F.lit(True))
+    return j.select("*", _run_column(run).alias("_run")).select(
+        "_run",
         key.alias("customer_id"),
         _pad(F.upper("c_name"), "  ", " ").alias("first_name"),
         _pad(F.col("c_mktsegment"), "", "  ").alias("last_name"),
@@ -77,7 +82,7 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
         .otherwise(F.lpad(key.cast("string"), 10, "0"))
         .alias("phone"),
         F.concat(key.cast("string"), F.lit(" Main St")).alias("address_line"),
-        city.alias("city"),
+        F.when(moved, F.concat(F.col("n_name"), F.lit(" NEW"))).otherwise(F.col("n_name")).alias("city"),
         F.col("r_name").alias("state"),
         F.col("n_name").alias("country"),
         F.when(F.col("c_nationkey") % 4 == 0, F.lit(None).cast("string"))
@@ -87,10 +92,17 @@ def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
         (F.col("c_acctbal") >= 0).alias("is_active"),
         signup.alias("created_at"),
         signup.alias("updated_at"),
-    )
-    if run == 2:  # accounts in debt (is_active false) were closed: absent from this full extract
-        out = out.filter(F.coalesce(F.col("is_active"), F.lit(True)))
-    return out
+    ).filter(there)
+
+
+def customers(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
+    """Bronze ``customers``; ``run`` selects the SCD extract (1, 2 or 3; 3 equals 1)."""
+    return _customer_rows(spark, sf_dir, run).drop("_run")
+
+
+def customers_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All SCD extracts of customers, with the number of each (``_run``)."""
+    return _customer_rows(spark, sf_dir, range(1, len(SNAPSHOT_RUNS) + 1))
 
 
 def _delivered_again(df: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:
@@ -127,20 +139,16 @@ def orders_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
-    """Bronze ``products``; ``run`` selects the SCD extract (1, 2 or 3; 3 equals 1)."""
+def _product_rows(spark: SparkSession, sf_dir: str, run: int | Sequence[int]) -> DataFrame:
     p = read(spark, sf_dir, "part")
     key = F.col("p_partkey")
+    second = F.col("_run") == 2
     price = F.col("p_retailprice").cast("decimal(10,2)")
     stock = (F.col("p_size") * 3 - 20).cast("int")
-    discontinued = F.col("p_size") > 45
-    if run == 2:
-        discontinued = discontinued | (F.col("p_size") == DISCONTINUED_SIZE)
-        repriced = F.col("p_size") <= REPRICED_MAX_SIZE
-        price = F.when(repriced, (price + F.lit(10).cast("decimal(10,2)")).cast("decimal(10,2)")).otherwise(price)
-        stock = F.when(F.col("p_type") == STOCK_ONLY_TYPE, stock + 7).otherwise(stock)
+    repriced = second & (F.col("p_size") <= REPRICED_MAX_SIZE)
     stamp = ts_ntz("1995-01-01 00:00:00")
-    return p.select(
+    return p.select("*", _run_column(run).alias("_run")).select(
+        "_run",
         key.alias("product_id"),
         _pad(F.col("p_name"), "", " ").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -148,14 +156,24 @@ def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
         .otherwise(F.concat(F.lower("p_type"), F.lit("_DEPT ")))
         .alias("sub_category"),
         F.col("p_brand").alias("brand"),
-        price.alias("price"),
-        stock.alias("stock_qty"),
-        discontinued.alias("is_discontinued"),
+        F.when(repriced, (price + F.lit(10).cast("decimal(10,2)")).cast("decimal(10,2)")).otherwise(price).alias("price"),
+        F.when(second & (F.col("p_type") == STOCK_ONLY_TYPE), stock + 7).otherwise(stock).alias("stock_qty"),
+        ((F.col("p_size") > 45) | (second & (F.col("p_size") == DISCONTINUED_SIZE))).alias("is_discontinued"),
         stamp.alias("created_at"),
         stamp.alias("updated_at"),
     )
 
 
+def products(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
+    """Bronze ``products``; ``run`` selects the SCD extract (1, 2 or 3; 3 equals 1)."""
+    return _product_rows(spark, sf_dir, run).drop("_run")
+
+
+def products_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All SCD extracts of products, with the number of each (``_run``)."""
+    return _product_rows(spark, sf_dir, range(1, len(SNAPSHOT_RUNS) + 1))
+
+
 def _order_columns(o: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     status = (
@@ -205,6 +223,21 @@ def orders_batch_since(spark: SparkSession, sf_dir: str, cutoff: str = UPSERT_CU
     return new.unionByName(delivered)
 
 
+def orders_rescheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later batch: every order whose key is 5 modulo 11 is taken up again 40 days on (another creation month), twice
+    in one batch; the second row of each is the later one."""
+    again = F.explode(F.array(F.lit(1), F.lit(2))).alias("_time")
+    o = orders(spark, sf_dir).filter(F.col("order_id") % 11 == 5).select("*", again)
+    later = F.expr("INTERVAL 40 DAYS")
+    return o.withColumns(
+        {
+            "status": F.when(F.col("_time") == 2, F.lit("pending")).otherwise(F.lit("confirmed")),
+            "created_at": F.col("created_at") + later,
+            "updated_at": F.col("updated_at") + later + F.make_interval(hours=F.col("_time")),
+        }
+    ).drop("_time")
+
+
 def _line() -> Column:
     return F.col("l_orderkey") * 10 + F.col("l_linenumber")
 
