@@ -6,9 +6,11 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.math import half_up_div
 from strata.functions.time import to_day
+from strata.operators.distinct import distinct_partials, finish_partials, merge_partials
 
 # Order status groups of the daily summary.
 DELIVERED = "DELIVERED"
@@ -17,36 +19,93 @@ IN_FLIGHT = ("PENDING", "CONFIRMED", "SHIPPED")
 FAILED_PAYMENT = "FAILED"
 
 
-def _distinct_or_count(unique: bool, id_col: str, cond: Column | None = None) -> Column:
-    """``count(distinct case when cond then id end)``; a plain conditional count when ids are unique.
+_ORDER_COUNTS = ("total_orders", "delivered_orders", "cancelled_orders", "in_flight_orders")
+_SALES_COUNTS = (*_ORDER_COUNTS, "unique_customers")
+_SALES_SUMS = ("gross_revenue", "net_revenue", "_amounts")
+
+
+def _net(amount: str = "total_amount") -> Column:
+    return F.when(F.col("status") != CANCELLED, F.col(amount)).otherwise(F.lit(0))
 
-    With unique, non-null ids both are equal, and the plain form avoids the ``Expand`` that
-    several distinct aggregates in one group-by cost (one copy of every row per distinct).
-    """
-    if unique:
-        return F.count_if(cond) if cond is not None else F.count(id_col)
-    target = F.col(id_col) if cond is None else F.when(cond, F.col(id_col))
-    return F.count_distinct(target)
+
+def _status_is() -> dict[str, Column | None]:
+    """The orders that each count of orders takes."""
+    status = F.col("status")
+    return dict(zip(_ORDER_COUNTS, (None, status == DELIVERED, status == CANCELLED, status.isin(*IN_FLIGHT)), strict=True))
 
 
 def daily_sales(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
     """One row per calendar day of ``order_date`` (AGG-3..7, AGG-12).
 
-    ``unique_orders`` states that ``order_id`` is unique and non-null, which ``silver_orders``
-    guarantees (dedup + filter) and the data tests check.  Net revenue counts a NULL status as
-    not cancelled in the sum but leaves it out of every status count (ledger L19).
+    Order and customer ids count once a day, and once per condition, however often they repeat.  With ``unique_orders``,
+    which states that ``order_id`` is unique and non-null (``silver_orders`` guarantees it, the data tests check it), orders
+    are simply counted.  Otherwise rows are first reduced to one per (day, id) with the conditions that any of its rows
+    meets, then counted: two copies of a row, one per id column, instead of the five of an ``Expand``.  Net revenue counts a
+    NULL status as not cancelled in the sum but leaves it out of every status count (ledger L19).
     """
-    status = F.col("status")
-    return orders.groupBy(to_day("order_date").alias("order_day")).agg(
-        _distinct_or_count(unique_orders, "order_id").alias("total_orders"),
-        _distinct_or_count(unique_orders, "order_id", status == DELIVERED).alias("delivered_orders"),
-        _distinct_or_count(unique_orders, "order_id", status == CANCELLED).alias("cancelled_orders"),
-        _distinct_or_count(unique_orders, "order_id", status.isin(*IN_FLIGHT)).alias("in_flight_orders"),
-        F.sum("total_amount").alias("gross_revenue"),
-        F.sum(F.when(status != CANCELLED, F.col("total_amount")).otherwise(F.lit(0))).alias("net_revenue"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.round(F.avg("total_amount"), 2).alias("avg_order_value"),
+    if unique_orders:
+        return orders.groupBy(to_day("order_date").alias("order_day")).agg(
+            *[(F.count("order_id") if c is None else F.count_if(c)).alias(name) for name, c in _status_is().items()],
+            F.sum("total_amount").alias("gross_revenue"),
+            F.sum(_net()).alias("net_revenue"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.round(F.avg("total_amount"), 2).alias("avg_order_value"),
+        )
+    flags = [name for name, c in _status_is().items() if c is not None]
+    amount = orders.schema["total_amount"].dataType
+    days = orders.select(
+        to_day("order_date").alias("order_day"), "order_id", "customer_id", F.col("total_amount").alias("_amount"), _net().alias("_net"),
+        *[c.alias(name) for name, c in _status_is().items() if c is not None],
+    )
+    no = [F.lit(None).cast("boolean").alias(f) for f in flags]
+    net = days.schema["_net"].dataType
+    entries = F.array(
+        F.struct(F.lit(True).alias("_order"), F.col("order_id").cast("string").alias("_id"), *flags, "_amount", "_net"),
+        F.struct(F.lit(False).alias("_order"), F.col("customer_id").cast("string").alias("_id"), *no, F.lit(None).cast(amount).alias("_amount"), F.lit(None).cast(net).alias("_net")),
+    )
+    once = (
+        days.select("order_day", F.explode(entries).alias("_e")).select("order_day", "_e.*").groupBy("order_day", "_order", "_id")
+        .agg(*[F.max(f).alias(f) for f in flags], F.sum("_amount").alias("_amount"), F.sum("_net").alias("_net"), F.count("_amount").alias("_amounts"))
+    )
+    known = F.col("_id").isNotNull()
+    summed = once.groupBy("order_day").agg(
+        F.count_if(known & F.col("_order")).alias("total_orders"),
+        *[F.count_if(known & F.col(f)).alias(f) for f in flags],
+        *[F.sum(c).cast(once.schema[c].dataType).alias(name) for c, name in (("_amount", "gross_revenue"), ("_net", "net_revenue"))],
+        F.count_if(known & ~F.col("_order")).alias("unique_customers"),
+        F.sum("_amounts").alias("_amounts"),
     )
+    return _with_mean(summed, once.schema["_amount"].dataType)
+
+
+def _with_mean(summed: DataFrame, total: T.DataType) -> DataFrame:
+    """The model's columns, with ``round(avg(total_amount), 2)`` from the sum and the number of amounts, as Spark has it:
+    a sum of decimal(p, s) is decimal(p + 10, s), an average decimal(p + 4, s + 4)."""
+    mean = F.col("gross_revenue") / F.col("_amounts").cast("decimal(20,0)" if isinstance(total, T.DecimalType) else "double")
+    if isinstance(total, T.DecimalType):
+        mean = mean.cast(T.DecimalType(total.precision - 6, total.scale + 4))
+    mean = F.when(F.col("_amounts") > 0, F.round(mean, 2))
+    return summed.select("order_day", *_ORDER_COUNTS, "gross_revenue", "net_revenue", "unique_customers", mean.alias("avg_order_value"))
+
+
+def daily_sales_partials(orders: DataFrame) -> DataFrame:
+    """Partial results of ``daily_sales`` that add up: a union of those of several batches is merged by
+    ``merge_daily_sales``.  Ids (integers) count once over all batches; amounts are summed over all rows, as the model does."""
+    counts = {name: ("order_id", c) for name, c in _status_is().items()} | {"unique_customers": ("customer_id", None)}
+    days = orders.withColumn("order_day", to_day("order_date"))
+    sums = {"gross_revenue": F.col("total_amount"), "net_revenue": _net(), "_amounts": F.col("total_amount").isNotNull().cast("long")}
+    return distinct_partials(days, ["order_day"], counts, sums)
+
+
+def merge_daily_sales(partials: DataFrame) -> DataFrame:
+    """Partials of several batches as one."""
+    return merge_partials(partials, ["order_day"], _SALES_COUNTS, _SALES_SUMS)
+
+
+def daily_sales_of(partials: DataFrame) -> DataFrame:
+    """``daily_sales`` of (merged) partials."""
+    summed = finish_partials(partials, ["order_day"], _SALES_COUNTS, _SALES_SUMS)
+    return _with_mean(summed, partials.schema["gross_revenue"].dataType)
 
 
 def customer_ltv(
@@ -63,18 +122,18 @@ def customer_ltv(
     result aggregated once per customer; the customers side then joins an input that is
     already one row per customer.  No join here can fan out.  This equals the reference's
     ``count(distinct payment_id)`` over ``orders left join payments`` when payment and order ids
-    are unique (``unique_keys``; the Silver models guarantee it).  ``as_of`` replaces
+    are unique (``unique_keys``; the Silver models guarantee it).  Without that, rows are first reduced to one per
+    (customer, id), which gives every conditional distinct count without an ``Expand``.  ``as_of`` replaces
     ``current_date()`` for a reproducible recency (ledger L18).
     """
     status = F.col("status")
-    order_aggs = [
-        _distinct_or_count(unique_keys, "order_id").alias("total_orders"),
-        _distinct_or_count(unique_keys, "order_id", status == DELIVERED).alias("delivered_orders"),
-        _distinct_or_count(unique_keys, "order_id", status == CANCELLED).alias("cancelled_orders"),
-        F.sum(F.when(status != CANCELLED, F.col("total_amount")).otherwise(F.lit(0))).alias("lifetime_revenue"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("most_recent_order_date"),
+    totals = [
+        F.sum("lifetime_revenue").cast("decimal(22,2)") if isinstance(orders.schema["total_amount"].dataType, T.DecimalType) else F.sum("lifetime_revenue"),
+        F.min("first_order_date"),
+        F.max("most_recent_order_date"),
     ]
+    per_row = [F.sum(_net()), F.min("order_date"), F.max("order_date")]
+    names = ("lifetime_revenue", "first_order_date", "most_recent_order_date")
     if unique_keys:
         # one row per order on both sides: a 1:1 join, then a single aggregate per customer
         per_order = payments.groupBy("order_id").agg(
@@ -84,21 +143,42 @@ def customer_ltv(
         per_customer = (
             orders.join(per_order, "order_id", "left")
             .groupBy("customer_id")
-            .agg(*order_aggs, F.sum("_attempts").alias("total_payment_attempts"), F.sum("_failed").alias("failed_payments"))
+            .agg(
+                F.count("order_id").alias("total_orders"),
+                F.count_if(status == DELIVERED).alias("delivered_orders"),
+                F.count_if(status == CANCELLED).alias("cancelled_orders"),
+                *[a.alias(n) for a, n in zip(per_row, names, strict=True)],
+                F.sum("_attempts").alias("total_payment_attempts"),
+                F.sum("_failed").alias("failed_payments"),
+            )
         )
     else:
-        # the reference's form: order figures from orders alone, payment health from the join
-        pay = payments.select("order_id", F.col("payment_id").alias("_pay_id"), F.col("status").alias("_pstatus"))
+        # ids may repeat: one row per (customer, id) with the conditions that any of its rows meets, then plain counts
+        once = orders.groupBy("customer_id", "order_id").agg(
+            F.max(status == DELIVERED).alias("_delivered"),
+            F.max(status == CANCELLED).alias("_cancelled"),
+            *[a.alias(n) for a, n in zip(per_row, names, strict=True)],
+        )
+        pay = payments.groupBy("order_id", F.col("payment_id").alias("_pay_id")).agg(F.max(status == FAILED_PAYMENT).alias("_failed"))
         health = (
-            orders.select("order_id", "customer_id")
-            .join(pay, "order_id", "left")
+            once.select("customer_id", "order_id")
+            .join(pay, "order_id")
+            .groupBy("customer_id", "_pay_id")
+            .agg(F.max("_failed").alias("_failed"))
             .groupBy("customer_id")
+            .agg(F.count("_pay_id").alias("total_payment_attempts"), F.count_if(F.col("_failed") & F.col("_pay_id").isNotNull()).alias("failed_payments"))
+        )
+        known = F.col("order_id").isNotNull()
+        per_customer = (
+            once.groupBy("customer_id")
             .agg(
-                F.count_distinct("_pay_id").alias("total_payment_attempts"),
-                F.count_distinct(F.when(F.col("_pstatus") == FAILED_PAYMENT, F.col("_pay_id"))).alias("failed_payments"),
+                F.count("order_id").alias("total_orders"),
+                F.count_if(known & F.col("_delivered")).alias("delivered_orders"),
+                F.count_if(known & F.col("_cancelled")).alias("cancelled_orders"),
+                *[a.alias(n) for a, n in zip(totals, names, strict=True)],
             )
+            .join(health, "customer_id", "left")
         )
-        per_customer = orders.groupBy("customer_id").agg(*order_aggs).join(health, "customer_id", "left")
 
     if as_of is None:
         today = F.current_date()

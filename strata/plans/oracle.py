@@ -323,9 +323,9 @@ cte(
 )
 
 # Gold
-cte(
-    "g_daily",
-    f"""SELECT CAST(order_date AS DATE) AS order_day,
+def daily_sql(orders: str) -> str:
+    """Daily sales of a table of order rows, in which ids may repeat."""
+    return f"""SELECT CAST(order_date AS DATE) AS order_day,
         count(DISTINCT order_id) AS total_orders,
         count(DISTINCT order_id) FILTER (WHERE status = 'DELIVERED') AS delivered_orders,
         count(DISTINCT order_id) FILTER (WHERE status = 'CANCELLED') AS cancelled_orders,
@@ -334,12 +334,12 @@ cte(
         CAST(coalesce(sum(total_amount) FILTER (WHERE status <> 'CANCELLED'), 0) AS DECIMAL(22,2)) AS net_revenue,
         count(DISTINCT customer_id) AS unique_customers,
         {spark_round_avg_cents('total_amount', 'DECIMAL(13,2)')} AS avg_order_value
-    FROM s_orders GROUP BY ALL""",
-    ["s_orders"],
-)
-cte(
-    "g_ltv",
-    f"""WITH per_customer AS (
+    FROM {orders} GROUP BY ALL"""
+
+
+def ltv_sql(orders: str, payments: str) -> str:
+    """Customer lifetime value over tables of order and payment rows, in which ids may repeat."""
+    return f"""WITH per_customer AS (
             SELECT customer_id,
                 count(DISTINCT order_id) AS n_orders,
                 count(DISTINCT order_id) FILTER (WHERE status = 'DELIVERED') AS n_delivered,
@@ -347,12 +347,12 @@ cte(
                 coalesce(sum(total_amount) FILTER (WHERE status <> 'CANCELLED'), 0) AS revenue,
                 min(order_date) AS first_at,
                 max(order_date) AS last_at
-            FROM s_orders GROUP BY ALL),
+            FROM {orders} GROUP BY ALL),
         attempts AS (
             SELECT customer_id,
                 count(DISTINCT payment_id) AS n_attempts,
-                count(DISTINCT payment_id) FILTER (WHERE s_payments.status = 'FAILED') AS n_failed
-            FROM s_orders JOIN s_payments USING (order_id) GROUP BY ALL)
+                count(DISTINCT payment_id) FILTER (WHERE {payments}.status = 'FAILED') AS n_failed
+            FROM {orders} JOIN {payments} USING (order_id) GROUP BY ALL)
     SELECT customer_id, first_name, last_name, email, city, country, signup_date, is_active,
         coalesce(n_orders, 0) AS total_orders,
         coalesce(n_delivered, 0) AS delivered_orders,
@@ -365,9 +365,15 @@ cte(
         CASE WHEN n_orders > 0 THEN {half_up_div_cents('revenue', 'n_orders', 'DECIMAL(23,2)')}
              ELSE CAST(0 AS DECIMAL(23,2)) END AS avg_order_value,
         CAST(date_diff('day', CAST(last_at AS DATE), {LTV_AS_OF}) AS INTEGER) AS days_since_last_order
-    FROM s_customers LEFT JOIN per_customer USING (customer_id) LEFT JOIN attempts USING (customer_id)""",
-    ["s_customers", "s_orders", "s_payments"],
-)
+    FROM s_customers LEFT JOIN per_customer USING (customer_id) LEFT JOIN attempts USING (customer_id)"""
+
+
+cte("g_daily", daily_sql("s_orders"), ["s_orders"])
+cte("g_ltv", ltv_sql("s_orders", "s_payments"), ["s_customers", "s_orders", "s_payments"])
+# the same over rows whose ids repeat: every delivery of an order, every attempt of a payment
+cte("r_orders", "SELECT * REPLACE (upper(trim(status)) AS status) FROM d_orders WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND total_amount >= 0", ["d_orders"])
+cte("r_payments", "SELECT * REPLACE (upper(trim(status)) AS status) FROM b_payments", ["b_payments"])
+cte("r_ltv", ltv_sql("r_orders", "r_payments"), ["s_customers", "r_orders", "r_payments"])
 
 # Snapshots: three runs (base, changed + deleted, restored)
 _c_snap = ", ".join(CUSTOMER_SNAP)
@@ -479,6 +485,8 @@ ORACLE_SQL: dict[str, str] = {
     "silver_clickstream_sessions": with_ctes("SELECT * FROM s_sessions", "s_sessions"),
     "gold_daily_sales_summary": with_ctes("SELECT * FROM g_daily ORDER BY order_day", "g_daily"),
     "gold_customer_ltv": with_ctes("SELECT * FROM g_ltv", "g_ltv"),
+    "daily_sales_of_deliveries": with_ctes(daily_sql("r_orders"), "r_orders"),
+    "customer_ltv_of_deliveries": with_ctes("SELECT * FROM r_ltv", "r_ltv"),
     "gold_clickstream_funnel": with_ctes(
         f"""SELECT * FROM (WITH reached AS (
                 SELECT bool_or(event_type = 'page_view') AS pv, bool_or(event_type = 'product_view') AS prv,

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.text import upper_trim
 from strata.operators.cleaning import (
     silver_customers,
     silver_order_items,
@@ -22,7 +23,7 @@ from strata.operators.cleaning import (
 )
 from strata.operators.joins import click_order_join
 from strata.operators.quality import ALL_RULES, foreign_key_violations, row_counts, run_checks
-from strata.operators.sales import customer_ltv, daily_sales
+from strata.operators.sales import customer_ltv, daily_sales, daily_sales_of, daily_sales_partials, merge_daily_sales
 from strata.operators.scd2 import VALID_FROM, as_of_join, current_flag, snapshot_series, version_stats
 from strata.operators.sessions import funnel, session_events, sessionize
 from strata.operators.upsert import merge_frames
@@ -82,6 +83,26 @@ def q_gold_customer_ltv(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _cleaned(orders: DataFrame) -> DataFrame:
+    """Order rows with the status as ``silver_orders`` writes it, but no dedup: ids repeat."""
+    valid = F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (F.col("total_amount") >= 0)
+    return orders.filter(valid).withColumn("status", upper_trim("status"))
+
+
+def q_daily_sales_of_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-3..7 on repeated ids: orders with their second deliveries (changed status, amount and customer), merged from
+    the partial results of two batches."""
+    first = _cleaned(A.orders(spark, d))
+    second = _cleaned(A.orders_delivered_again(spark, d))
+    return daily_sales_of(merge_daily_sales(daily_sales_partials(first).unionByName(daily_sales_partials(second))))
+
+
+def q_customer_ltv_of_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """DS-13 on repeated ids: every delivery of an order and every attempt of a payment is a row (AGG-4, JOIN-3)."""
+    payments = A.payments(spark, d).withColumn("status", upper_trim("status"))
+    return customer_ltv(q_silver_customers(spark, d), _cleaned(A.orders_delivered(spark, d)), payments, as_of=A.LTV_AS_OF)
+
+
 def q_gold_clickstream_funnel(spark: SparkSession, d: str) -> DataFrame:
     """DS-14 / RPT-9 (AGG-10, AGG-11, AGG-15, PRJ-15, PRJ-16)."""
     # the funnel reads session, type and anonymous flag only: the sequence is not needed
@@ -322,6 +343,8 @@ QUERIES = {
     "silver_clickstream_sessions": q_silver_clickstream_sessions,
     "gold_daily_sales_summary": q_gold_daily_sales_summary,
     "gold_customer_ltv": q_gold_customer_ltv,
+    "daily_sales_of_deliveries": q_daily_sales_of_deliveries,
+    "customer_ltv_of_deliveries": q_customer_ltv_of_deliveries,
     "gold_clickstream_funnel": q_gold_clickstream_funnel,
     "customers_snapshot": q_customers_snapshot,
     "products_snapshot": q_products_snapshot,

@@ -105,10 +105,10 @@ def customers_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer_rows(spark, sf_dir, range(1, len(SNAPSHOT_RUNS) + 1))
 
 
-def _delivered_again(df: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:
-    """``df`` and, one day later, a changed second delivery of every row whose key is 3 modulo 7."""
+def _delivered_again(df: DataFrame, key: str, changes: dict[str, Column], only_again: bool = False) -> DataFrame:
+    """``df`` and, one day later, a changed second delivery of every row whose key is 3 modulo 7 (or those alone)."""
     twice = F.when(F.col(key) % 7 == 3, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    rows = df.withColumn("_again", F.explode(twice))  # one scan
+    rows = df.filter(F.col(key) % 7 == 3).withColumn("_again", F.lit(True)) if only_again else df.withColumn("_again", F.explode(twice))  # one scan
     changes = {"updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY"), **changes}
     return rows.withColumns({c: F.when(F.col("_again"), new).otherwise(F.col(c)) for c, new in changes.items()}).drop("_again")
 
@@ -127,6 +127,15 @@ def products_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with second deliveries; some of those lost the amount or the status, some name no known customer."""
+    return _orders_delivered(spark, sf_dir, False)
+
+
+def orders_delivered_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second deliveries alone."""
+    return _orders_delivered(spark, sf_dir, True)
+
+
+def _orders_delivered(spark: SparkSession, sf_dir: str, only_again: bool) -> DataFrame:
     k = F.col("order_id")
     return _delivered_again(
         orders(spark, sf_dir),
@@ -136,6 +145,7 @@ def orders_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
             "status": F.when(k % 21 != 10, F.col("status")),
             "customer_id": F.when(k % 35 == 24, -F.col("customer_id")).otherwise(F.col("customer_id")),
         },
+        only_again,
     )
 
 
