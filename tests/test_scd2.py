@@ -1,9 +1,10 @@
 """SCD-1..7: snapshot cases, invariants, current flag, version stats, as-of join (L24/L25/L26/L32)."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal
 
-from conftest import ts
+from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from strata.operators.scd2 import as_of_join, current_flag, snapshot, version_stats
@@ -157,7 +158,12 @@ def test_snk7_stored_history_equals_in_memory_and_appends(spark, tmp_root):
 
 
 def test_chain_of_n_runs_has_n_minus_1_joins(spark):
-    from strata.plans.queries import _history
+    def _history(extracts, key, check):
+        hist = None
+        for extract, as_of in extracts:
+            hist = snapshot(hist, extract, key, check, as_of=as_of)
+        return hist
+
 
     def chain(n):
         runs = [(ext(spark, [(1, f"A{i}", "a", 0), (2 + i, "B", "b", 0)]), f"2024-0{i + 1}-01 00:00:00") for i in range(n)]
@@ -176,7 +182,7 @@ def test_point_lookup_pushes_the_key(spark):
 
     for q, col in ((q_customer_history, "c_custkey"), (q_product_price_history, "p_partkey")):
         plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-        assert plan.count(f"EqualTo({col},") == 3  # one scan per run, each with the key
+        assert plan.count(f"EqualTo({col},") == 1  # one scan for all runs, with the key
 
 
 def test_snk7_crashed_run_stays_invisible_and_is_replaced(spark, tmp_root):
@@ -215,3 +221,92 @@ def test_snk7_vacuum_drops_superseded_open_partitions_only(spark, tmp_root):
     assert sorted(map(str, spark.table(view).collect())) == before
     parts = {(r.run_no, r._open) for r in spark.table(f"{view}__versions").select("run_no", "_open").distinct().collect()}
     assert (1, True) not in parts and (2, True) not in parts and (4, True) in parts
+
+
+def _scan_rows(df) -> int:
+    """Rows that the scans of an executed query have put out: those of the row groups and pages that were read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves, n = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        while leaf.getClass().getSimpleName().endswith("QueryStageExec"):  # a stage that has run holds its plan
+            leaf = leaf.plan().collectLeaves().apply(0)
+        n += leaf.metrics().get("numOutputRows").get().value()
+    return n
+
+
+def test_lookup_of_a_key_reads_few_row_groups(spark, tmp_root):
+    from strata.sinks.snapshots import compact_snapshot, snapshot_run, vacuum_snapshot, versions_of
+
+    db = f"l{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
+    view, n = f"{db}.h", 40_000
+    small = {"parquet.block.size": str(64 << 10), "parquet.page.size": str(8 << 10), "parquet.page.row.count.limit": "500"}
+    shuffled = "cast(pmod(id * 7919, 40000) as int) as k"
+    for run in range(1, 5):
+        extract = spark.range(n).selectExpr(shuffled, f"concat('v', if(id % 3 = {run % 3}, {run}, 0)) as v", "timestamp'2024-01-01' as updated_at")
+        snapshot_run(spark, view, extract, "k", ["v"], f"2024-01-0{run} 00:00:00", tmp_root, options=small)
+    everything = sorted(map(str, spark.table(view).collect()))
+    total = len(everything)
+    found = versions_of(spark, view, "k", 12_345)
+    got = [(r.v, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in found.collect()]
+    assert got and _scan_rows(found) < total / 20
+    # nothing of a key that lies between two others
+    none = versions_of(spark, view, "k", 50_000)
+    assert none.count() == 0 or none.collect() == []
+    # compaction changes where rows lie, not which there are
+    assert compact_snapshot(spark, view, "k", tmp_root, small) == 4
+    assert sorted(map(str, spark.table(view).collect())) == everything
+    again = versions_of(spark, view, "k", 12_345)
+    assert [(r.v, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in again.collect()] == got and _scan_rows(again) < total / 20
+    assert vacuum_snapshot(spark, view, keep_runs=1)
+    assert sorted(map(str, spark.table(view).collect())) == everything
+    # and runs go on after it
+    extract = spark.range(n).selectExpr(shuffled, "'z' as v", "timestamp'2024-01-01' as updated_at")
+    snapshot_run(spark, view, extract, "k", ["v"], "2024-02-01 00:00:00", tmp_root, options=small)
+    assert spark.table(view).count() == total + n and spark.table(view).filter("dbt_valid_to is null").count() == n
+    assert compact_snapshot(spark, view, "k", tmp_root, small) == 5
+    vacuum_snapshot(spark, view, keep_runs=1)
+    assert spark.table(view).count() == total + n
+
+
+def _random_extracts(seed):
+    import random
+
+    r = random.Random(seed)
+    out = []
+    for run in range(1, r.randint(2, 6)):
+        for k in [None, *range(8)]:
+            for _ in range(r.choice([0, 1, 1, 1, 2])):
+                out.append((run, k, r.choice(["a", "b", None]), r.choice([1, 2, None]), r.randint(0, 9), ts(f"2024-01-0{r.randint(1, 3)}")))
+    return out
+
+
+def test_series_equals_runs_one_by_one(spark):
+    from strata.operators.scd2 import snapshot_series
+
+    schema = "_run int, k int, a string, b int, free int, updated_at timestamp"
+    times = [f"2024-0{m}-01 00:00:00" for m in range(1, 8)]
+    for seed in range(6):
+        data = _random_extracts(seed)
+        runs = max(d[0] for d in data)
+        frame = spark.createDataFrame(data, schema)
+        for close in (True, False):
+            hist = None
+            for run in range(1, runs + 1):
+                hist = snapshot(hist, frame.filter(f"_run = {run}").drop("_run"), "k", ["a", "b"], times[run - 1], close_missing=close)
+            series = snapshot_series(frame, "k", ["a", "b"], times[:runs], close_missing=close)
+            assert series.columns == hist.columns
+            assert rows(series) == rows(hist), (seed, close)
+
+
+def test_series_is_two_shuffles(spark):
+    import re
+
+    from strata.operators.scd2 import snapshot_series
+
+    frame = spark.createDataFrame(_random_extracts(1), "_run int, k int, a string, b int, free int, updated_at timestamp")
+    plan = snapshot_series(frame, "k", ["a", "b"], ["2024-01-01"] * 6)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Exchange hash", plan)) == 2 and "Join" not in plan
