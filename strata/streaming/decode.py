@@ -51,18 +51,20 @@ def decode_events(
     value_col: str = "value",
     broker_time_col: str = "timestamp",
     with_metadata: bool = True,
+    keep_message: bool = False,
 ) -> DataFrame:
     """Broker rows (``value`` bytes/string, ``timestamp``) -> one typed row per event.
 
-    Narrow projections only (no shuffle, no state), so each micro-batch is a map-only job.
+    Narrow projections only (no shuffle, no state), so each micro-batch is a map-only job.  ``keep_message`` keeps the
+    message's text as ``json_value``.
     """
     msgs = raw.select(
         F.col(value_col).cast("string").alias("json_value"),
         F.col(broker_time_col).cast("timestamp").alias("kafka_timestamp"),
     )
     if mode == "strict":
-        parsed = msgs.select(F.from_json("json_value", EVENT_SCHEMA).alias("data"), "kafka_timestamp")
-        flat = parsed.select("data.*", "kafka_timestamp")
+        parsed = msgs.select(F.from_json("json_value", EVENT_SCHEMA).alias("data"), "kafka_timestamp", "json_value")
+        flat = parsed.select("data.*", "kafka_timestamp", *(["json_value"] if keep_message else []))
     elif mode == "lenient":
         text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in EVENT_SCHEMA.fields])
         parsed = msgs.select(F.from_json("json_value", text_schema).alias("data"), "kafka_timestamp", "json_value")
@@ -72,7 +74,8 @@ def decode_events(
         flat = flat.withColumns(repaired)
         flat = flat.withColumn(
             "_corrupt_record", F.when(F.col("event_id").isNull() & F.col("event_type").isNull(), F.col("json_value"))
-        ).drop("json_value")
+        )
+        flat = flat if keep_message else flat.drop("json_value")
     else:
         raise ValueError(f"unknown decode mode {mode!r}")
     out = flat.withColumn("event_time", parse_event_time("event_time", mode))
@@ -81,6 +84,29 @@ def decode_events(
     return out
 
 
+NOT_JSON, NOT_AN_OBJECT, NO_ID = "not json", "not an object", "no event_id"
+
+
+def decode_all(raw: DataFrame, mode: str = "strict") -> DataFrame:
+    """``decode_events`` that loses nothing of a message (STR-2, PRJ-2).
+
+    ``_unknown`` is a VARIANT object of the keys that the event schema does not have (NULL if there are none), with
+    their values and types as sent.  ``_reason`` is NULL for an event and tells of every other message, whose text is in
+    ``json_value``, why it is none: ``not json``, ``not an object`` or ``no event_id``.
+    """
+    flat = decode_events(raw, mode, keep_message=True)
+    whole = F.try_parse_json("json_value")
+    fields = F.try_variant_get(whole, "$", "map<string,variant>")
+    unknown = F.map_filter(fields, lambda k, _: ~k.isin(*[f.name for f in EVENT_SCHEMA.fields]))
+    reason = F.when(whole.isNull(), F.lit(NOT_JSON)).when(fields.isNull(), F.lit(NOT_AN_OBJECT)).otherwise(F.lit(NO_ID))
+    return flat.withColumns(
+        {
+            "_unknown": F.when(F.size(unknown) > 0, F.to_variant_object(unknown)),
+            "_reason": F.when(F.col("event_id").isNull(), reason),
+        }
+    )
+
+
 def drift_report(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Per field: values present in the message that ``strict`` loses, that ``lenient`` repairs,
     and that stay unreadable; plus malformed messages.  One pass, one global aggregate.
