@@ -12,10 +12,12 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from dataclasses import replace
 
-from strata.plans.pipeline import RETAIN, STEPS, Layout, run, setup
+from strata.plans.pipeline import LAYERS, RETAIN, STEPS, Layout, run, setup
 from strata.session import build_session, scale_conf
-from strata.sources.incremental import TABLES_CONFIG, get_last_watermark, jdbc_source
+from strata.sinks.tables import bucket_count
+from strata.sources.incremental import TABLES_CONFIG, TableConfig, get_last_watermark, jdbc_source
 from strata.streaming.ingest import file_stream
 from strata.streaming.kafka import kafka_options, kafka_stream
 
@@ -41,16 +43,37 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--run-date", default=None)
     ap.add_argument("--as-of", default=None, help="snapshot instant (default: now)")
     ap.add_argument("--retain", type=int, default=RETAIN, help="versions of rebuilt tables to keep")
+    ap.add_argument("--schema-names", default="", help="custom names of layers, e.g. 'gold=marts,silver=core' (used as they are)")
+    ap.add_argument("--incremental", action="store_true", help="update the large models by changed keys instead of rebuilding them")
+    ap.add_argument("--event-sink", choices=("append", "batches"), default="append", help="batches: registered micro-batches and dead letters")
+    ap.add_argument("--bronze-buckets", type=int, default=None, help="buckets of new Bronze tables (default: sized from --input-bytes)")
     ap.add_argument("--steps", default=",".join(STEPS), help=f"comma-separated subset of {','.join(STEPS)}")
     return ap.parse_args(argv)
 
 
+def schema_names(text: str) -> dict[str, str] | None:
+    """SNK-8: custom layer names from ``layer=name,...``; an unknown layer is an error."""
+    names = dict(item.split("=", 1) for item in text.split(",") if item.strip())
+    names = {k.strip(): v for k, v in names.items()}
+    if unknown := set(names) - set(LAYERS):
+        raise ValueError(f"unknown layers {sorted(unknown)}")
+    return names or None
+
+
+def sized_configs(buckets: int | None, input_bytes: int | None) -> tuple[TableConfig, ...]:
+    """The ingest config with the number of buckets given, or sized for the input over about a hundred months."""
+    if buckets is None and input_bytes:
+        buckets = bucket_count(input_bytes, partitions=100)
+    return TABLES_CONFIG if buckets is None else tuple(replace(cfg, buckets=buckets) for cfg in TABLES_CONFIG)
+
+
 def main(argv: list[str] | None = None) -> int:
     """Run the selected steps; exit code 1 when a data test fails."""
     args = parse_args(sys.argv[1:] if argv is None else argv)
     sized = scale_conf(args.input_bytes, args.total_cores) if args.input_bytes and args.total_cores else None
     spark = build_session(extra_conf=sized)
-    layout = Layout(args.root, args.prefix)
+    layout = Layout(args.root, args.prefix, schema_names(args.schema_names))
+    configs = sized_configs(args.bronze_buckets, args.input_bytes)
     setup(spark, layout)  # the control table has the watermarks
     props = {}
     if args.jdbc_driver:
@@ -69,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
             num_partitions=args.jdbc_partitions,
             newer_than=(cfg.watermark_col, get_last_watermark(spark, layout.control_table, cfg.source_table)),
         )
-        for cfg in TABLES_CONFIG
+        for cfg in configs
     }
     stream = None
     if args.kafka_connection_env and args.topic:
@@ -79,7 +102,7 @@ def main(argv: list[str] | None = None) -> int:
     steps = tuple(x.strip() for x in args.steps.split(",") if x.strip())
     report = run(
         spark, layout, sources, stream=stream, run_date=args.run_date, as_of=args.as_of, steps=steps,
-        retain=args.retain,
+        retain=args.retain, event_sink=args.event_sink, incremental=args.incremental, configs=configs,
     )
     failed = report.filter("status = 'fail'")
     n_failed = failed.count()  # one row per declared test at most

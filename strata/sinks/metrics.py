@@ -4,20 +4,19 @@
 accepted list and the new watermark cost no second read.  Only aggregates that need no shuffle can be
 observed: uniqueness still takes a pass of its own (``quality.run_checks``).
 
-``TableMetrics`` keeps the figures of stored tables in a control table, one row per version folder.  They hold for a
+The figures of stored tables are noted in the ledger of runs, with the version folder that they are of.  They hold for a
 table as long as it points to that folder, so a table that something else has rewritten is read again instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.operators.quality import TableRules
 
-METRICS_SCHEMA = "table_name string, location string, metrics map<string, bigint>, written_at timestamp"
 ROWS = "rows"
 
 
@@ -44,32 +43,19 @@ def known_failures(metrics: dict[str, int], rules: TableRules) -> dict[tuple[str
     return out
 
 
-class TableMetrics:
-    """The control table of metrics; nothing is lost without it, as what it does not know is read."""
-
-    def __init__(self, spark: SparkSession, name: str, root: str):
-        self.spark, self.name = spark, name
-        self._path = f"{root.rstrip('/')}/{name.replace('.', '/')}/rows"
-
-    def ensure(self) -> None:
-        """Create the (external) table if missing."""
-        if not self.spark.catalog.tableExists(self.name):
-            self.spark.sql(f"CREATE TABLE {self.name} ({METRICS_SCHEMA}) USING parquet LOCATION '{self._path}'")
-
-    def record(self, rows: Sequence[tuple[str, str, dict[str, int]]]) -> None:
-        """Append (table, version folder, metrics), all of a run at once."""
-        if rows:
-            new = self.spark.createDataFrame([(t, p, {k: int(v or 0) for k, v in m.items()}) for t, p, m in rows], "table_name string, location string, metrics map<string, bigint>")
-            new.withColumn("written_at", F.current_timestamp()).coalesce(1).write.insertInto(self.name)
-
-    def current(self, locations: dict[str, str]) -> dict[str, dict[str, int]]:
-        """The metrics of the tables that lie where ``locations`` (table -> folder) says: a row each reaches the driver."""
-        if not locations or not self.spark.catalog.tableExists(self.name):
-            return {}
-        self.spark.catalog.refreshTable(self.name)
-        folder = {_folder(path): table for table, path in locations.items()}
-        known = self.spark.table(self.name).filter(F.col("table_name").isin(*locations)).groupBy("table_name", "location").agg(F.max_by("metrics", "written_at").alias("metrics"))
-        return {r.table_name: dict(r.metrics) for r in known.collect() if folder.get(_folder(r.location)) == r.table_name}
+def current_metrics(noted: DataFrame, locations: dict[str, str]) -> dict[str, dict[str, int]]:
+    """The metrics of the tables that lie where ``locations`` (table -> folder) says, from notes (name, location, detail
+    as JSON, at): a row a table reaches the driver."""
+    if not locations:
+        return {}
+    folder = {_folder(path): table for table, path in locations.items()}
+    known = noted.filter(F.col("name").isin(*locations) & F.col("detail").isNotNull()).groupBy("name", "location").agg(F.max_by("detail", "at").alias("detail"))
+    return {r.name: json.loads(r.detail) for r in known.collect() if folder.get(_folder(r.location)) == r.name}
+
+
+def as_note(figures: dict) -> str:
+    """Observed figures as the text that ``current_metrics`` reads."""
+    return json.dumps({k: int(v or 0) for k, v in figures.items()})
 
 
 def _folder(path: str) -> str:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators.dedup import default_ties, keep_latest
-from strata.operators.upsert import merge_frames
 from strata.session import remove_path, scratch_path
 
 
@@ -251,7 +250,7 @@ def _values(df: DataFrame, parts: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in df.select(*parts).distinct().collect()]
 
 
-def _in_partitions(values: list[tuple], parts: Sequence[str]) -> Column:
+def values_filter(values: list[tuple], parts: Sequence[str]) -> Column:
     """A literal filter on partition columns, which prunes the scan; NULL partitions included."""
 
     def is_in(p: str, own: set) -> Column:
@@ -303,35 +302,56 @@ def upsert_table(
     if not table_exists(spark, name):
         if root is None:
             raise ValueError("root is needed to create the table")
-        path = _version_path(f"{root.rstrip('/')}/{name.replace('.', '/')}")
         if fmt != "parquet":
             return materialize(deduped, name, root, fmt, partition_by=partition_by)
-        _write_version(deduped.repartition(buckets, *keys) if buckets else deduped, name, path, keys, parts, buckets)
-        _point_table(spark, name, path, fmt, deduped, parts, buckets, keys)
-        return path
+        return create_keyed(deduped, name, root, keys, parts, buckets)
     if _provider(spark, name) in ROW_LEVEL_FORMATS:
         target = name.split(".")[-1]
         cond = " AND ".join(f"{target}.{k} = s.{k}" for k in keys)
         deduped.alias("s").mergeInto(name, F.expr(cond)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return name
-    current = spark.table(name)
+    return replace_keys(spark, name, deduped, keys, parts)
+
+
+def create_keyed(df: DataFrame, name: str, root: str, keys: Sequence[str], partition_by: Sequence[str] = (), buckets: int = 0) -> str:
+    """Create a table stored by key, bucketed and sorted if it has ``buckets``; returns its version folder."""
+    path = _version_path(f"{root.rstrip('/')}/{name.replace('.', '/')}")
+    _write_version(df.repartition(buckets, *keys) if buckets else df, name, path, keys, partition_by, buckets)
+    _point_table(df.sparkSession, name, path, "parquet", df, partition_by, buckets, keys)
+    return path
+
+
+def replace_keys(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = (), gone: DataFrame | None = None) -> str:
+    """Replace all stored rows of a batch's keys by the batch's rows; ``gone`` has further keys, whose rows go.
+
+    Steps 1 to 4 of ``upsert_table``; a key may have several rows here, on either side.  Returns the new version folder.
+    """
+    current, parts = spark.table(name), list(partition_by)
     buckets = _bucket_count(spark, name)
-    base = (_location(spark, name) or f"{root}/{name}").rstrip("/")
+    base = (_location(spark, name) or "").rstrip("/")
     path = _version_path(base.rsplit("/", 1)[0] if "/v-" in base else base)
     spot = scratch_path(spark, "upsert-batch")
-    deduped.select(*current.columns).write.parquet(spot)
-    staged = spark.read.schema(current.schema).parquet(spot)
+    batch.select(*current.columns).write.parquet(f"{spot}/rows")
+    staged = spark.read.schema(current.schema).parquet(f"{spot}/rows")
+    replaced = staged.select(*keys)
+    if gone is not None:
+        gone.select(*keys).write.parquet(f"{spot}/gone")
+        replaced = replaced.unionByName(spark.read.schema(replaced.schema).parquet(f"{spot}/gone"))
     if buckets:
-        staged = staged.repartition(buckets, *keys)
+        staged, replaced = staged.repartition(buckets, *keys), replaced.repartition(buckets, *keys)
     touched: list[tuple] = []
     if parts:
         # partition values are metadata-sized: one row per touched partition
-        touched = _values(stored_partitions(current, staged, keys, parts).unionByName(staged.select(*parts)), parts)
-    merged = upserted(current.filter(_in_partitions(touched, parts)) if parts else current, staged, keys)
+        touched = _values(stored_partitions(current, replaced, keys, parts).unionByName(staged.select(*parts)), parts)
+        if not touched:
+            remove_path(spark, spot)
+            return base
+    stored = current.filter(values_filter(touched, parts)) if parts else current
+    merged = replaced_rows(stored, replaced, staged, keys)
     _write_version(merged, name, path, keys, parts, buckets)
     remove_path(spark, spot)
     if not parts:
-        _point_table(spark, name, path, fmt, merged, (), buckets, keys)
+        _point_table(spark, name, path, "parquet", merged, (), buckets, keys)
         return path
     now, known = _folder_partitions(spark, path, len(parts)), set(_partitions(spark, name))
     _point_partitions(spark, name, path, sorted(now, key=lambda p: p in known), known)
@@ -348,9 +368,9 @@ def stored_partitions(stored: DataFrame, batch: DataFrame, keys: Sequence[str],
     return stored.select(*keys, *parts).join(batch.select(*keys), list(keys), "left_semi").select(*parts).distinct()
 
 
-def upserted(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The stored rows without the batch's keys, and the batch, which has one row per key."""
-    return merge_frames(stored, batch, keys, dedup_batch=False)
+def replaced_rows(stored: DataFrame, replaced: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The stored rows without the replaced keys, and the new rows."""
+    return stored.join(replaced.select(*keys), list(keys), "left_anti").select(*stored.columns).unionByName(rows.select(*stored.columns))
 
 
 def _text(value) -> str | None:

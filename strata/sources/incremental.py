@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -367,9 +367,12 @@ def ingest_all(
     table_root: str,
     configs: Sequence[TableConfig] = TABLES_CONFIG,
     run_date: _dt.date | str | None = None,
+    finished: Callable[[IngestResult], None] | None = None,
 ) -> list[IngestResult]:
-    """SRC-7: ingest every configured table in order; the first failure aborts the run."""
-    return [
-        ingest_table(spark, cfg, sources[cfg.source_table], landing_root, bronze_db, control_table, table_root, run_date)
-        for cfg in configs
-    ]
+    """SRC-7: ingest every configured table in order; the first failure aborts the run.  ``finished`` hears of each table."""
+    out = []
+    for cfg in configs:
+        out.append(ingest_table(spark, cfg, sources[cfg.source_table], landing_root, bronze_db, control_table, table_root, run_date))
+        if finished is not None:
+            finished(out[-1])
+    return out

@@ -130,11 +130,11 @@ def test_upsert_moves_a_key_whose_partition_changed(spark, tmp_root):
 
 
 def test_upsert_reads_only_touched_partitions(spark, tmp_root):
-    from strata.sinks.tables import _in_partitions
+    from strata.sinks.tables import values_filter
 
     db = f"f{uuid.uuid4().hex[:6]}"
     spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_root}/{db}'")
     df = spark.range(30).selectExpr("id as k", "concat('2024-0', id % 9) as month")
     materialize(df, f"{db}.t", tmp_root, partition_by=["month"])
-    plan = spark.table(f"{db}.t").filter(_in_partitions([("2024-01",), ("2024-02",)], ["month"]))._jdf.queryExecution().executedPlan().toString()
+    plan = spark.table(f"{db}.t").filter(values_filter([("2024-01",), ("2024-02",)], ["month"]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [month" in plan and "IN (2024-01,2024-02)" in plan

@@ -15,9 +15,9 @@ from strata.sinks.tables import (
     _partitions,
     bucket_count,
     materialize,
+    replaced_rows,
     stored_partitions,
     upsert_table,
-    upserted,
     vacuum_versions,
 )
 from strata.sources.incremental import key_cuts, jdbc_source, land, range_predicates
@@ -41,7 +41,7 @@ def stored(spark, db, root, n=300, buckets=4):
 def test_only_the_batch_is_shuffled(spark, db, tmp_root):
     t = stored(spark, db, tmp_root)
     batch = spark.createDataFrame([(3, "b", ts("2024-02-01"), "2024-09")], T).repartition(4, "k")
-    for df in (stored_partitions(spark.table(t), batch, ["k"], ["month"]), upserted(spark.table(t), batch, ["k"])):
+    for df in (stored_partitions(spark.table(t), batch, ["k"], ["month"]), replaced_rows(spark.table(t), batch, batch, ["k"])):
         lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
         scan = next(i for i, x in enumerate(lines) if "FileScan parquet" in x)
         depth = lambda x: len(x) - len(x.lstrip(" :+-"))
