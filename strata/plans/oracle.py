@@ -657,6 +657,16 @@ ORACLE_SQL: dict[str, str] = {
     FROM events""",
     # Expected drift counts, from the rules that build the messages (quoted ids, "$" prices and
     # epoch-millisecond times are lost by strict decoding and repaired by lenient decoding).
+    "stream_message_split": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+            CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
+            CASE WHEN event_id % 20 = 7 THEN '{"_meta_source_version":"v2"}' END AS unknown,
+            CAST(NULL AS VARCHAR) AS message, CAST(NULL AS VARCHAR) AS reason
+        FROM events WHERE event_id % 23 NOT IN (4, 9, 14)
+        UNION ALL
+        SELECT NULL, NULL, NULL,
+            CASE event_id % 23 WHEN 4 THEN '{"event_id":' WHEN 9 THEN '"a text"' ELSE '{"event_type":"SEARCH"}' END,
+            CASE event_id % 23 WHEN 4 THEN 'not json' WHEN 9 THEN 'not an object' ELSE 'no event_id' END
+        FROM events WHERE event_id % 23 IN (4, 9, 14)""",
     "stream_drift_report": """WITH m AS (SELECT event_id AS eid, user_id AS uid FROM events)
         SELECT 'event_time' AS field, count(*) FILTER (WHERE eid % 4 = 3) AS lost_strict,
                count(*) FILTER (WHERE eid % 4 = 3) AS repaired, CAST(0 AS BIGINT) AS unreadable FROM m

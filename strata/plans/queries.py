@@ -2,7 +2,7 @@
 reference, run over the driver's tables through the adapters (SURVEY §7.3).
 
 Each function takes ``(spark, sf_dir)`` and returns a DataFrame over the *whole* tables.  It is lazy but for the
-queries of stored things, which write them first: the stream drains, ``upsert_orders_stored`` and ``dq_report``.
+queries of stored things, which write them first: the streams, ``upsert_orders_stored`` and ``dq_report``.
 """
 
 from __future__ import annotations
@@ -327,6 +327,22 @@ def q_stream_decode_events_lenient(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_stream_message_split(spark: SparkSession, d: str) -> DataFrame:
+    """STR-2, STR-6, SNK-5: every message of a stream with broken ones, from the table it ended in: events with the keys
+    that the schema does not know, dead letters with text and reason."""
+    from strata.streaming.batches import ingest_batches, read_batches
+
+    root = scratch_path(spark, "stream-batches")
+    name = f"strata_events_{uuid.uuid4().hex[:12]}"
+    typed = A.broken_message_stream(spark, d).select(F.col("value").cast("string"), F.col("timestamp").cast("timestamp"))
+    ingest_batches(typed, f"{root}/_checkpoint", name, f"{root}/table")
+    events, dead = read_batches(spark, name, drop=True)
+    no = F.lit(None).cast("string")
+    return events.select("event_id", "session_id", F.to_json("_unknown").alias("unknown"), no.alias("message"), no.alias("reason")).unionByName(
+        dead.select(no.alias("event_id"), no.alias("session_id"), no.alias("unknown"), F.col("json_value").alias("message"), F.col("_reason").alias("reason"))
+    )
+
+
 def q_stream_drift_report(spark: SparkSession, d: str) -> DataFrame:
     """Per field: values the strict decode loses, the lenient decode repairs, or nobody can read."""
     from strata.streaming.decode import drift_report
@@ -369,5 +385,6 @@ QUERIES = {
     "bronze_customers": q_bronze_customers,
     "stream_decode_events": q_stream_decode_events,
     "stream_decode_events_lenient": q_stream_decode_events_lenient,
+    "stream_message_split": q_stream_message_split,
     "stream_drift_report": q_stream_drift_report,
 }

@@ -354,6 +354,18 @@ def event_message_stream(spark: SparkSession, sf_dir: str, files_per_trigger: in
     return messages_of(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 
 
+def broken_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream with messages that are no event: of every 23 one is cut off, one is a text and one has no id."""
+    no = F.get_json_object("value", "$.event_id").cast("long") % 23
+    broken = (
+        F.when(no == 4, F.substring("value", 1, 12))
+        .when(no == 9, F.lit('"a text"'))
+        .when(no == 14, F.lit('{"event_type":"SEARCH"}'))
+        .otherwise(F.col("value"))
+    )
+    return event_message_stream(spark, sf_dir).withColumn("value", broken)
+
+
 def messages_of(e: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     ts = F.col("ts")

@@ -118,9 +118,22 @@ def ingest_batches(
     return len(query.recentProgress)
 
 
+def read_batches(spark: SparkSession, name: str, drop: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The files of events and of dead letters that the views show now; ``drop`` removes the views and the table, whose files stay."""
+    out = []
+    for view in (name, f"{name}_dead_letters"):
+        shown = spark.table(view)
+        files = shown.inputFiles()
+        out.append(spark.read.schema(shown.schema).parquet(*files) if files else spark.createDataFrame([], shown.schema))
+    if drop:
+        for statement in (f"DROP VIEW {name}", f"DROP VIEW {name}_dead_letters", f"DROP TABLE {name}__batches"):
+            spark.sql(statement)
+    return out[0], out[1]
+
+
 def compact(spark: SparkSession, name: str, root: str, files: int = 1) -> int:
     """Rewrite all registered batches as one of few files; returns how many there were.  The views switch to it in one
-    step, events first-come or dead letters never count twice; ``vacuum`` drops what it replaces."""
+    step, so no message is missing or there twice at any moment; ``vacuum`` drops what it replaces."""
     state = _state(spark, name)
     parts = [dict(p.split("=", 1) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}__batches").collect()]
     batches = {(p["_stream"], int(p["_batch"])) for p in parts if not p["_stream"].startswith("compacted-") and int(p["_batch"]) > state["upto"].get(p["_stream"], -1)}
