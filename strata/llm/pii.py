@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.spans import count_kind, joined, matches_if
+from strata.llm.spans import clear_of, count_kind, joined, matches_if, replaced
 
 
 def _digits(m: Column) -> Column:
@@ -141,8 +141,7 @@ def candidate_columns(docs: DataFrame, text_col: str, out: str, base=None, more=
 
     found = docs.withColumn(out, F.struct(F.concat(*map(of, base)).alias("base"), F.concat(*map(of, more)).alias("more")))
     own, others = F.col(out)["base"], F.col(out)["more"]
-    apart = F.filter(others, lambda m: ~F.exists(own, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return found.withColumn(out, F.struct(own.alias("base"), F.when(F.size(others) > 0, apart).otherwise(others).alias("more")))
+    return found.withColumn(out, F.struct(own.alias("base"), F.when((F.size(others) > 0) & (F.size(own) > 0), clear_of(others, own)).otherwise(others).alias("more")))
 
 
 def candidate_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -241,17 +240,7 @@ def confirmed(spans: Column, weights: dict[str, float], keep_from: float = 0.5)
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by [KIND]; of overlapping spans, their union by the first one's kind."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def add(state, s):
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        gap = F.substr(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        fresh = F.struct(s["end"].alias("at"), F.concat(state["parts"], F.array(gap, mark)).alias("parts"))
-        return F.when(s["start"] >= state["at"], fresh).otherwise(F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts")))
-
-    done = F.aggregate(ordered, empty, add, lambda st: F.concat(F.array_join(st["parts"], ""), F.substr(text, (st["at"] + 1).cast("int"))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return replaced(text, spans, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:

@@ -30,6 +30,13 @@ def _matrix(column, width: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if len(column) else np.zeros((0, width))
 
 
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest magnitude to about one: cosines stay as they are, to the last
+    bit, and no square of a tiny or huge component is lost."""
+    _, up = np.frexp(np.abs(v).max(axis=1, initial=0.0))
+    return np.ldexp(v, -up[:, None])
+
+
 def usable(vector: Column, width: int) -> Column:
     """Whether a vector has that many finite components that are not all zero."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -86,7 +93,7 @@ def nearest(
     def hashed(batches):
         weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for b in batches:
-            signs = (_matrix(pa.chunked_array([b.column("v")]), width) @ normals > 0).reshape(-1, trees, bits)
+            signs = (_scaled(_matrix(pa.chunked_array([b.column("v")]), width)) @ normals > 0).reshape(-1, trees, bits)
             codes = (signs * weights).sum(axis=2)
             for t in range(trees):
                 arrays = [b.column("entry"), pa.array(np.full(len(codes), t, np.int32)), pa.array(codes[:, t]), b.column("v"), b.column("ids")]
@@ -138,11 +145,11 @@ def nearest(
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(left.column("code").to_numpy(), kind="stable")
         codes = left.column("code").to_numpy()[order]
-        v = _matrix(left.column("v"), width)[order]
+        v = _scaled(_matrix(left.column("v"), width))[order]
         norm = np.sqrt(np.einsum("ij,ij->i", v, v))
         ids = left.column("ids")
         first = np.array([x[0] for x in ids.to_pylist()])[order]
-        q = _matrix(right.column("ask_v"), width)
+        q = _scaled(_matrix(right.column("ask_v"), width))
         low, high = _bounds(codes, right.column("ask_code").to_numpy(), right.column("ask_depth").to_numpy(), bits)
         out: list[tuple[int, int, float]] = []
         for i, who in enumerate(right.column("ask_query").to_pylist()):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 SPAN = "struct<kind:string,start:long,end:long,text:string,before:string,after:string>"
 _CONTEXT = 40
+_BLOCK = 256  # characters
 
 
 def literal_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -23,32 +24,70 @@ def no_spans() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once: a lambda that names a column's expression would repeat it per element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, largest: bool = False, width: int = 512) -> Column:
+    """The running sums (or largest values so far) of an array of longs.
+
+    A fold that appends copies what it has at every step.  So the array is scanned in blocks of ``width``, and the blocks' results
+    are carried on from one to the next: some 512 copies a value, however long the array.
+    """
+    join = F.greatest if largest else (lambda a, b: a + b)
+    zero = F.lit(-1 if largest else 0).cast("long")
+    state = F.struct(zero.alias("at"), F.array().cast("array<long>").alias("out"))
+
+    def scanned(block: Column) -> Column:
+        def step(st, x):
+            return let(join(st["at"], x), lambda now: F.struct(now.alias("at"), F.concat(st["out"], F.array(now)).alias("out")))
+
+        return F.aggregate(block, state, step, lambda st: st["out"])
+
+    def whole(all_values: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_values) - 1) / width).cast("int")), lambda i: scanned(F.slice(all_values, i * width + 1, width)))
+
+        def carried(own: Column) -> Column:
+            before = F.aggregate(own, state, lambda st, x: F.struct(join(st["at"], F.element_at(x, -1)).alias("at"), F.concat(st["out"], F.array(st["at"])).alias("out")), lambda st: st["out"])
+            return F.flatten(F.zip_with(own, before, lambda x, add: F.transform(x, lambda v: join(v, add))))
+
+        return F.when(F.size(all_values) > 0, let(blocks, carried)).otherwise(F.array().cast("array<long>"))
+
+    return let(values, whole)
+
+
 def matches(text: Column, pattern: str, kind: str | Column, keep=None, group: int | None = None) -> Column:
     """All matches of a pattern, leftmost and without overlap, as spans in code points (end exclusive).
 
     Each has the matched text, up to 40 characters before it (since the match before) and one after it.
     ``keep`` maps the matched text (or, with ``group``, that group's text) to whether the span stays.
-    The text between matches comes from splitting at them, so positions are sums of lengths.
+    The text between matches comes from splitting at them, so positions are running sums of lengths.
     Patterns must not match the empty string.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rest = F.split(text, pattern, -1)
-    step = F.arrays_zip(F.slice(rest, 1, F.size(found)).alias("gap"), found.alias("m"), F.slice(rest, 2, F.size(found)).alias("next"))
-    if group:
-        step = F.zip_with(step, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x, g: x.withField("g", g))
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    start = F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("spans"))
-
-    def add(state, x):
-        begin = state["at"] + F.length(x["gap"])
-        end = begin + F.length(x["m"])
-        span = F.struct(kind.alias("kind"), begin.alias("start"), end.alias("end"), x["m"].alias("text"), F.substring(x["gap"], -_CONTEXT, _CONTEXT).alias("before"), F.substring(x["next"], 1, 1).alias("after"))
-        spans = F.concat(state["spans"], F.array(span))
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
+        F.split(text, pattern, -1).alias("rest"),
+        *([F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("g")] if group else []),
+    )
+
+    def spans(found: Column) -> Column:
+        n = F.size(found["m"])
+        gaps = F.slice(found["rest"], 1, n)
+        ends = running(F.zip_with(gaps, found["m"], lambda g, m: (F.length(g) + F.length(m)).cast("long")))
+        steps = F.arrays_zip(ends.alias("end"), found["m"].alias("m"), gaps.alias("gap"), F.slice(found["rest"], 2, n).alias("next"), (found["g"] if group else found["m"]).alias("g"))
         if keep is not None:
-            spans = F.when(keep(x["g"] if group else x["m"]), spans).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+            steps = F.filter(steps, lambda x: keep(x["g"]))
+        return F.transform(
+            steps,
+            lambda x: F.struct(
+                kind.alias("kind"), (x["end"] - F.length(x["m"])).alias("start"), x["end"].alias("end"), x["m"].alias("text"),
+                F.substring(x["gap"], -_CONTEXT, _CONTEXT).alias("before"), F.substring(x["next"], 1, 1).alias("after"),
+            ),
+        )
 
-    return F.aggregate(step, start, add, lambda s: s["spans"])
+    return let(parts, spans)
 
 
 def matches_if(text: Column, pattern: str, kind: str, keep=None, group: int | None = None, quick: Column | None = None) -> Column:
@@ -60,7 +99,14 @@ def in_order(spans: Column, kinds: list[str]) -> Column:
     """Distinct spans sorted by start, then kind as listed, then end."""
     rank = F.create_map(*[x for i, k in enumerate(kinds) for x in (F.lit(k), F.lit(i))])
     keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    return F.transform(F.array_sort(F.array_distinct(keyed)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    narrow = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
+
+    def distinct(ordered: Column) -> Column:  # equal ones are neighbours
+        before = F.concat(F.array(F.lit(None)), F.slice(ordered, 1, F.greatest(F.size(ordered) - 1, F.lit(0))))
+        fresh = F.filter(F.arrays_zip(ordered.alias("s"), before.alias("b")), lambda x: x["s"].isNotNull() & ~x["s"].eqNullSafe(x["b"]))
+        return F.transform(fresh, lambda x: narrow(x["s"]))
+
+    return let(F.array_sort(keyed), distinct)
 
 
 def joined(spans: Column, kinds: list[str]) -> Column:
@@ -69,5 +115,55 @@ def joined(spans: Column, kinds: list[str]) -> Column:
     return F.array_join(text, ",")
 
 
+def clear_of(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others.
+
+    All are sorted by start; a span meets another that begins before it if the largest end of those so far lies behind
+    its start, and one that begins later if the next start lies before its end (the same, read from the back).
+    """
+    size = F.lit(2**62).cast("long")
+    entry = lambda mine: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mine).alias("mine"), s.alias("s"))
+    together = F.array_sort(F.concat(F.transform(others, entry(False)), F.transform(spans, entry(True))))
+
+    def check(every: Column) -> Column:
+        ends = running(F.transform(every, lambda x: F.when(x["mine"], F.lit(-1).cast("long")).otherwise(x["end"])), largest=True)
+        starts = F.reverse(running(F.transform(F.reverse(every), lambda x: F.when(x["mine"], F.lit(-1).cast("long")).otherwise(size - x["start"])), largest=True))
+        clear = F.filter(
+            F.arrays_zip(every.alias("x"), ends.alias("upto"), starts.alias("after")),
+            lambda z: z["x"]["mine"] & (z["upto"] <= z["x"]["start"]) & ((z["after"] < 0) | (size - z["after"] >= z["x"]["end"])),
+        )
+        return F.transform(clear, lambda z: z["x"]["s"])
+
+    return let(together, check)
+
+
+def replaced(text: Column, spans: Column, mark) -> Column:
+    """The text with every span replaced by ``mark`` of it; of overlapping spans, their union by the first one's.
+
+    The text is cut into blocks once, so what lies between two spans is found without reading the text from its start.
+    """
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    work = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)).alias("blocks"), ordered.alias("spans"), F.length(text).cast("long").alias("n"))
+
+    def part(blocks: Column, begin: Column, end: Column) -> Column:
+        first = F.floor(begin / _BLOCK).cast("int")
+        last = F.floor((end - 1) / _BLOCK).cast("int")
+        held = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+        return F.when(end > begin, F.substr(held, (begin - first * _BLOCK + 1).cast("int"), (end - begin).cast("int"))).otherwise(F.lit(""))
+
+    def build(w: Column) -> Column:
+        ends = running(F.transform(w["spans"], lambda s: s["end"]), largest=True)
+
+        def out(done: Column) -> Column:
+            before = F.concat(F.array(F.lit(0).cast("long")), F.slice(done, 1, F.size(done) - 1))
+            fresh = F.filter(F.arrays_zip(w["spans"].alias("s"), before.alias("from")), lambda x: x["s"]["start"] >= x["from"])
+            parts = F.transform(fresh, lambda x: F.concat(part(w["blocks"], x["from"], x["s"]["start"]), mark(x["s"])))
+            return F.concat(F.array_join(parts, ""), part(w["blocks"], F.element_at(done, -1), w["n"]))
+
+        return let(ends, out)
+
+    return F.when(F.size(spans) > 0, let(work, build)).otherwise(text)
+
+
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

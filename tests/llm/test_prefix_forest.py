@@ -101,3 +101,20 @@ def test_outliers_of_one_big_cluster_ascend_above_their_groups(spark):
 
 def test_empty_table(spark):
     assert run(make(spark, [])) == {}
+
+
+def test_tiny_and_huge_components(spark):
+    """Vectors whose squares underflow or overflow: the cosine is that of their directions."""
+    import math
+
+    data = [(0, [1.0, 1.0]), (1, [1e-200, 1e-200]), (2, [1e200, 1e200]), (3, [1e300, -1e300]), (4, [5e-324, 0.0]), (5, [1.7e308, 1.7e308]), (6, [3.0, 4.0]), (50, [1e-310, 2e-310])]
+    items = spark.createDataFrame(data, "vec_id long, v array<double>")
+    got = {}
+    for r in nearest(items, "vec_id", "v", F.lit(True), k=7).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    direction = {i: math.atan2(*(x / max(map(abs, v)) for x in reversed(v))) for i, v in data}
+    for i, found in got.items():
+        want = sorted((-round(math.cos(direction[i] - direction[j]), 9), j) for j in direction if j != i)
+        assert sorted((-round(s, 9), j) for _, j, s in found) == want, i  # cosines of equal directions may differ in the last bit
+        assert [r for r, _, _ in sorted(found)] == list(range(1, 8)) and all(a[2] >= b[2] for a, b in zip(sorted(found), sorted(found)[1:], strict=False))
+    assert len(got) == len(data)
