@@ -4,7 +4,7 @@
 ``Window.partitionBy(group)`` puts every row of a group into one task; one session holding a
 third of all events would then sort a third of the data on one core.  Instead the rows of a
 group are cut into slices by a function of the first order column that never decreases (the hour
-of a time, blocks of 1,024 of a number), so the cut is a property of the data: every reader, and every
+of a time, blocks of 1,024 of a number, the first letters of a text), so the cut is a property of the data: every reader, and every
 recomputation after a lost executor, sees the same one.
 
 1. A window over (group, slice) numbers the rows of a slice and takes the previous row's values.
@@ -27,12 +27,14 @@ from pyspark.sql import types as T
 
 
 def default_slice(df: DataFrame, order_col: str) -> Column:
-    """The hour of a time, a number's block of 1,024; other types are not cut."""
+    """The hour of a time, a number's block of 1,024, a text's first four characters; other types are not cut."""
     kind = df.schema[order_col].dataType
     if isinstance(kind, T.TimestampType | T.TimestampNTZType | T.DateType):
         return F.date_trunc("HOUR", order_col)
     if isinstance(kind, T.NumericType):
         return F.floor(F.col(order_col) / 1024)
+    if isinstance(kind, T.StringType):
+        return F.substring(order_col, 1, 4)  # a longer text is never before its beginning
     return F.lit(None).cast("int")
 
 

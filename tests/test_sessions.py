@@ -149,3 +149,17 @@ def test_sessionize_without_event_id(spark):
     ).withColumn("customer_id", F.lit(None).cast("int"))
     out = sorted((r.event_sequence_in_session, r.previous_event_type) for r in sessionize(df).collect())
     assert out == [(1, None), (2, "page_view")]
+
+
+def test_sequence_by_text_is_cut_and_equal_to_a_window(spark):
+    from strata.operators.sequence import default_slice
+
+    r = random.Random(8)
+    texts = [None, "", "a", "ab", "abcd", "abcde", "abcdz", "é", "日本語文字", "\U0001F600", "Z", "z" * 9]
+    data = [(r.choice([None, 1, 2]), r.choice(texts), i, r.choice([None, i])) for i in range(300)]
+    df = spark.createDataFrame(data, "g int, t string, i int, v int")
+    w = Window.partitionBy("g").orderBy(F.col("t").asc_nulls_first(), "i")
+    plain = df.select("*", F.row_number().over(w).alias("s"), F.lag("i").over(w).alias("p"), F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("f"))
+    cut = sequence_within_groups(df, "g", ["t", "i"], ["i"], fill_cols=["v"])
+    assert sorted(map(str, cut.selectExpr("g", "t", "i", "v", "_seq", "_prev_i", "_fill_v").collect())) == sorted(x.replace(" s=", " _seq=").replace(" p=", " _prev_i=").replace(" f=", " _fill_v=") for x in map(str, plain.collect()))
+    assert df.select(default_slice(df, "t")).distinct().count() > 5
