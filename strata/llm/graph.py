@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import remove_path, scratch_path
 
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -18,12 +18,18 @@ def bound_batches(spark: SparkSession, most: int = 4 << 20) -> None:
         spark.conf.set(_BATCH_BYTES, str(most))
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to a fresh folder under spark.checkpoint.dir and read back: later steps neither
-    recompute it nor depend on an executor's disk."""
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` written to a fresh folder under spark.checkpoint.dir and read back, and that folder, for ``remove_path`` once
+    nothing reads it any more."""
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a fresh folder under spark.checkpoint.dir and read back: later steps neither
+    recompute it nor depend on an executor's disk.  The folder goes with the session's other scratch."""
+    return stored(df, purpose)[0]
 
 
 def beside(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
@@ -41,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
     repeated edges change nothing; null ends are dropped.
     """
     a, b = F.greatest("a", "b"), F.least("a", "b")
-    stars = written(edges.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "star")
+    spark = edges.sparkSession
+    stars, folder = stored(edges.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "star")
     seen = None
     while True:
         print_of = stars.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -55,5 +62,7 @@ def components(edges: DataFrame) -> DataFrame:
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        stars = written(small.select("e.*").where("a <> b").distinct(), "star")
+        before = folder
+        stars, folder = stored(small.select("e.*").where("a <> b").distinct(), "star")
+        remove_path(spark, before)
     return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).union(stars.select("b", "b")).distinct()

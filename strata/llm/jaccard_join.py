@@ -14,6 +14,10 @@ Two texts link if ``den * |A & B| >= num * |A | B|`` over their sets of word n-g
    neighbour and the first class.  Then, under the latter n-grams, all pairs of classes from different components meet.
    A pair that neither round meets is connected already, or shares no prefix n-gram: no link between
    components is lost.  Before its segments are read, a pair must share enough of the prefixes.
+5. Classes that meet in the second round are mostly copies that lie just under the threshold.  Each class has a bitmap with the
+   parity of its n-grams per slot; the bits in which two bitmaps differ are no more than the n-grams in which the sets
+   differ, so the join itself leaves out pairs with more of them than a link allows.  (Sets of some thousand n-grams
+   fill the bitmap, and pass.)
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.graph import beside, bound_batches, components, written
-from strata.llm.words import gram_hashes, hash_words, pieces
+from strata.llm.graph import beside, bound_batches, components, stored, written
+from strata.llm.words import gram_hashes, hash_words, mix64, pieces
+from strata.session import remove_path
 
 _CLASS_SHIFT = 58  # an ordered n-gram: 5 bits of log2 frequency, 58 bits of hash
 _FLUSH = 1_000_000  # n-grams counted at once by a task
+_WORDS = 8  # longs of a bitmap
 _SALTED = 10  # n-grams in more than 2^10 documents are split over several groups
 
 
@@ -89,6 +95,13 @@ def _ordered(grams: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarra
     return grams.view(np.int64)
 
 
+def _bitmap(grams: np.ndarray) -> np.ndarray:
+    """The parity of the n-grams that fall into each of the bitmap's slots, as longs."""
+    slots = mix64(grams) >> np.uint64(64 - (64 * _WORDS - 1).bit_length())
+    odd = np.bincount(slots.astype(np.int64), minlength=64 * _WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     offsets[1:] = np.cumsum([len(a) for a in arrays])
@@ -123,21 +136,22 @@ def ngram_components(
 
     def sign(batches):
         for b in batches:
-            sizes, marks, prefixes = [], [], []
+            sizes, marks, maps, prefixes = [], [], [], []
             for s in _sets(b.column("text"), n, lower):
                 m = len(s)
+                maps.append(_bitmap(s))
                 s = _ordered(s, hot.value)
                 sizes.append(m)
                 marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 # no other set can reach the threshold if m elements of m + 1 do not
                 prefixes.append(s[: m + num * m // -den + 1] if m * den >= num * (m + 1) else s[:0])
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(sizes, pa.int32()), pa.array(marks, pa.binary()), _lists(prefixes)], ["id", "text_key", "n", "mark", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(sizes, pa.int32()), pa.array(marks, pa.binary()), _lists(maps), _lists(prefixes)], ["id", "text_key", "n", "mark", "map", "prefix"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    signed = rows.mapInArrow(sign, f"id {id_type}, text_key binary, n int, mark binary, prefix array<long>")
+    signed = rows.mapInArrow(sign, f"id {id_type}, text_key binary, n int, mark binary, map array<long>, prefix array<long>")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "grams")
 
-    classes = signed.where("n > 0").groupBy("mark").agg(F.min("row").alias("class"))
+    classes = written(signed.where("n > 0").groupBy("mark").agg(F.min("row").alias("class")), "classes")
     copies = written(signed.join(classes, "mark").where("row <> class").select("row"), "copies")
     heads = signed.where("n > 0").join(beside(copies), "row", "left_anti")
     frequency = F.shiftright("gram", _CLASS_SHIFT)
@@ -199,19 +213,22 @@ def ngram_components(
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, na, b, nb) that reach the threshold."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        keys = written(signed.select("row", "text_key").join(ends, "row", "left_semi"), "keys")
+        keys, keys_at = stored(signed.select("row", "text_key").join(ends, "row", "left_semi"), "keys")
         texts = rows.join(beside(keys.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
         segments = keys.join(texts, "text_key").select("row", "text").mapInArrow(cut, "class long, fragment int, grams array<long>")
-        segments = written(segments, "segments")
+        segments, segments_at = stored(segments, "segments")
         # both joins are on (class, fragment), so the segments are shuffled once
         part = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(1 << bits))))
         for side in "ab":
             part = part.join(segments.select(F.col("class").alias(side), "fragment", F.col("grams").alias(f"grams_{side}")), [side, "fragment"])
         part = part.select("a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("both"))
         whole = part.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
-        return whole.where(den * F.col("both") >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+        out = written(whole.where(den * F.col("both") >= num * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "links")
+        for folder in (segments_at, keys_at):
+            remove_path(spark, folder)
+        return out
 
-    links = written(linked(tried), "links")
+    links = linked(tried)
     label = components(links)
 
     # Second round: under n-grams of many classes, all pairs of classes that are not connected yet.
@@ -219,19 +236,24 @@ def ngram_components(
     open_ = open_.select("gram", "class", "n", F.coalesce("label", "class").alias("label"))
     grams = open_.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
     open_ = open_.join(grams, "gram", "left_semi")
-    other = open_.select("gram", met.alias("y"), F.col("label").alias("label_y"))
+    maps = signed.select(F.col("row").alias("class"), *[F.col("map")[i].alias(f"map{i}") for i in range(_WORDS)])
+    open_ = open_.join(maps, "class")
+    other = open_.select("gram", met.alias("y"), F.col("label").alias("label_y"), *[F.col(f"map{i}").alias(f"other{i}") for i in range(_WORDS)])
     sizes = F.least("x.n", "y.n").cast("long") * den >= F.greatest("x.n", "y.n").cast("long") * num
-    rest = open_.select("gram", met.alias("x"), "label").join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes)
+    apart = sum((F.bit_count(F.col(f"map{i}").bitwiseXOR(F.col(f"other{i}"))) for i in range(_WORDS)), F.lit(0))
+    alike = apart * (den + num) <= (den - num) * (F.col("x.n") + F.col("y.n"))  # linked sets differ in so many n-grams at most
+    rest = open_.select("gram", met.alias("x"), "label", *[f"map{i}" for i in range(_WORDS)]).join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes & alike)
     rest = pairs_of(rest.select("x", "y", F.lit(1).alias("counts"))).where(F.col("shared") >= least_shared)
     rest = written(rest.drop("shared").join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "pairs")
     if not rest.isEmpty():
-        links = links.union(written(linked(rest), "links"))
+        links = links.union(linked(rest))
         label = components(links)
 
     member = signed.join(classes, "mark", "left").select("id", "n", "row", "class")
     member = member.join(label.withColumnRenamed("node", "class"), "class", "left")
     member = member.select("id", "n", F.coalesce("label", "class", -1 - F.col("row")).alias("label"))
-    smallest = member.groupBy("label").agg(F.min("id").alias("component_id"))
+    # written first, so that the join's only large side is the one with the hot labels, which Spark splits
+    smallest = written(member.groupBy("label").agg(F.min("id").alias("component_id")), "smallest")
     return member.join(smallest, "label").select("id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from strata.llm.graph import components
+from strata.llm import jaccard_join
 from strata.llm.jaccard_join import ngram_components
 from strata.llm.words import gram_hashes, hash_words
 
@@ -75,6 +76,24 @@ def test_group_larger_than_all_pairs_are_met_in(make_docs):
         assert run(make_docs, docs, 3, 80, 100, near=near, frequent_least=2) == brute(docs, 3, 80, 100)
 
 
+def test_group_of_copies_just_under_the_threshold(make_docs):
+    """Hardly any two link: what the second round is left with, in texts short and long enough to fill the bitmap."""
+    for words, edits in ((120, 5), (700, 24)):
+        base = prose(9, words)
+        docs = [(i, edited(base, i, edits + i % 3)) for i in range(60)]
+        docs += [(100 + i, edited(docs[i][1], 300 + i, 1)) for i in range(0, 60, 7)]
+        assert run(make_docs, docs, 3, 90, 100, near=2, frequent_least=2) == brute(docs, 3, 90, 100)
+
+
+def test_bitmaps_never_differ_in_more_bits_than_the_sets_in_elements():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        pool = r.integers(0, 1 << 58, 900, dtype=np.uint64)
+        a, b = (np.unique(pool[r.random(900) < r.choice([0.1, 0.5, 0.97])]) for _ in range(2))
+        differ = sum(int(x).bit_count() for x in (jaccard_join._bitmap(a) ^ jaccard_join._bitmap(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and (differ - len(np.setxor1d(a, b))) % 2 == 0
+
+
 def test_threshold_is_exact(make_docs):
     # 9 of 10 shingles shared is a link; 8 of 9 is none
     words = [f"v{i}" for i in range(12)]
