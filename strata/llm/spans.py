@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 SPAN = "struct<kind:string,start:long,end:long,text:string,before:string,after:string>"
 _CONTEXT = 40
 _BLOCK = 256  # characters
+_MATCHES = 64  # matches that are gathered one by one
 
 
 def literal_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -72,20 +73,36 @@ def matches(text: Column, pattern: str, kind: str | Column, keep=None, group: in
         *([F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("g")] if group else []),
     )
 
+    none = F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("spans"))
+
+    def add(st: Column, x: Column) -> Column:
+        begin = st["at"] + F.length(x["gap"])
+        end = begin + F.length(x["m"])
+        span = F.struct(
+            kind.alias("kind"), begin.alias("start"), end.alias("end"), x["m"].alias("text"),
+            F.substring(x["gap"], -_CONTEXT, _CONTEXT).alias("before"), F.substring(x["next"], 1, 1).alias("after"),
+        )
+        spans = F.concat(st["spans"], F.array(span))
+        return F.struct(end.alias("at"), (spans if keep is None else F.when(keep(x["g"]), spans).otherwise(st["spans"])).alias("spans"))
+
+    def moved(block: Column, by: Column) -> Column:
+        return F.transform(block["spans"], lambda s: s.withField("start", s["start"] + by).withField("end", s["end"] + by))
+
     def spans(found: Column) -> Column:
+        # as in ``running``: an array is only ever appended to within a block of matches
         n = F.size(found["m"])
-        gaps = F.slice(found["rest"], 1, n)
-        ends = running(F.zip_with(gaps, found["m"], lambda g, m: (F.length(g) + F.length(m)).cast("long")))
-        steps = F.arrays_zip(ends.alias("end"), found["m"].alias("m"), gaps.alias("gap"), F.slice(found["rest"], 2, n).alias("next"), (found["g"] if group else found["m"]).alias("g"))
-        if keep is not None:
-            steps = F.filter(steps, lambda x: keep(x["g"]))
-        return F.transform(
-            steps,
-            lambda x: F.struct(
-                kind.alias("kind"), (x["end"] - F.length(x["m"])).alias("start"), x["end"].alias("end"), x["m"].alias("text"),
-                F.substring(x["gap"], -_CONTEXT, _CONTEXT).alias("before"), F.substring(x["next"], 1, 1).alias("after"),
-            ),
-        )
+        numbers = F.sequence(F.lit(0), F.floor((n - 1) / _MATCHES).cast("int"))
+
+        def block(i: Column) -> Column:
+            part = lambda c, more=0: F.slice(found[c], i * _MATCHES + 1 + more, F.least(F.lit(_MATCHES), n - i * _MATCHES))
+            steps = F.arrays_zip(part("rest").alias("gap"), part("m").alias("m"), part("rest", 1).alias("next"), part("g" if group else "m").alias("g"))
+            return F.aggregate(steps, none, add)
+
+        def whole(blocks: Column) -> Column:
+            ends = running(F.transform(blocks, lambda b: b["at"]))
+            return F.flatten(F.zip_with(blocks, F.concat(F.array(F.lit(0).cast("long")), F.slice(ends, 1, F.size(ends) - 1)), moved))
+
+        return F.when(n > 0, let(F.transform(numbers, block), whole)).otherwise(no_spans())
 
     return let(parts, spans)
 
