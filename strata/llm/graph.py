@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.session import remove_path, scratch_path
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -20,10 +21,16 @@ def bound_batches(spark: SparkSession, most: int = 4 << 20) -> None:
 
 def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """``df`` written to a fresh folder under spark.checkpoint.dir and read back, and that folder, for ``remove_path`` once
-    nothing reads it any more."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    nothing reads it any more.  What the write has shuffled goes when it ends, not when the driver happens to collect
+    its garbage: nothing reads it again."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, purpose), spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
