@@ -30,7 +30,10 @@ from strata.llm.graph import written
 from strata.llm.spans import literal_table
 
 #: The contract's phrases and their labels.
-PHRASES = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+#: Phrases that give a label but no place.
+MORE_PHRASES = {"the mit license": "mit"}
 
 #: Usual wording of license notices, and their labels.
 TEMPLATES = [
@@ -69,6 +72,11 @@ def phrase_pattern(phrase: str) -> str:
     return rf"(?i)(?<!{_WORD}){_GAP.join(phrase.split(' '))}(?!{_WORD})"
 
 
+def shortest_phrases(phrases: list[str]) -> list[str]:
+    """Those phrases that hold no other one: a text with any phrase has one of these."""
+    return [p for p in phrases if not any(q != p and f" {q} " in f" {p} " for q in phrases)]
+
+
 def phrase_starts(words: Column, phrase: str) -> Column:
     """The places, from 0, at which the words of a phrase stand consecutively."""
     parts = phrase.split(" ")
@@ -215,15 +223,15 @@ def license_labels(docs: DataFrame, text_col: str, templates=None, threshold: fl
 def scan_licenses(docs: DataFrame, id_col: str, text_col: str, templates=None, threshold: float = 0.8, block_words: int = 64) -> DataFrame:
     """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Labels are distinct, sorted and comma-joined; none is the empty string.  The score is 1 with a phrase, else the largest
-    containment of a template, else 0.  A null text counts as empty; null and repeated ids pass through; an empty table
+    Labels are distinct, sorted and comma-joined; none is the empty string.  The score is 1 with a phrase (of either table), else
+    the largest containment of a template, else 0.  A null text counts as empty; null and repeated ids pass through; an empty table
     gives an empty result.  Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = license_labels(rows, "text", templates, threshold, block_words)
     found = found.groupBy("text_key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
 
-    has = F.col("text").rlike("|".join(phrase_pattern(p) for p in PHRASES))
+    has = F.col("text").rlike("|".join(phrase_pattern(p) for p in shortest_phrases([*PHRASES, *MORE_PHRASES])))
     base = rows.select(
         "id",
         F.unhex(F.md5("text")).alias("text_key"),
@@ -236,6 +244,7 @@ def scan_licenses(docs: DataFrame, id_col: str, text_col: str, templates=None, t
     base = base.select(
         "id", "text_key", "n_words",
         F.when(F.col("words").isNotNull(), F.flatten(F.array(*[places(*p) for p in PHRASES.items()]))).alias("places"),
+        F.array_compact(F.array(*[F.when(F.size(phrase_starts(F.col("words"), p)) > 0, F.lit(label)) for p, label in MORE_PHRASES.items()])).alias("own"),
     )
     at, labels = F.col("places.at"), F.coalesce(F.col("places.label"), F.array().cast("array<string>"))
     base = base.select(
@@ -244,14 +253,15 @@ def scan_licenses(docs: DataFrame, id_col: str, text_col: str, templates=None, t
         F.array_min(at).alias("first_word"),
         F.array_max(at).alias("last_word"),
         F.array_sort(F.array_distinct(labels)).alias("base"),
+        "own",
     )
     out = base.join(found, "text_key", "left")
-    every = F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))
+    every = F.array_union(F.array_union("base", "own"), F.coalesce("more", F.array().cast("array<string>")))
     return out.select(
         "id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(every), ",").alias("labels"),
-        F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("containment", F.lit(0.0))).alias("score"),
+        F.when((F.col("n_base") > 0) | (F.size("own") > 0), 1.0).otherwise(F.coalesce("containment", F.lit(0.0))).alias("score"),
     )
 
 

@@ -48,6 +48,16 @@ def test_base_matches_brute_force(make_docs, odd_docs):
     assert by[2].labels == by[6].labels == "" and by[6].score == 0
 
 
+def test_phrases_of_the_contract(make_docs):
+    """The first phrase has four words: its places begin at "under", and without that word there is none."""
+    texts = ["free under the MIT license, and Under The\nMIT License", "the mit license", "under the mit licenses", "It is under the mit-license. The MIT license", "cc by nc"]
+    rows = {r.id: tuple(r) for r in scan_licenses(make_docs(list(enumerate(texts))), "doc_id", "text").collect()}
+    assert {i: r[1:6] for i, r in rows.items()} == {
+        0: (10, 2, 1, 6, "mit"), 1: (3, 0, None, None, ""), 2: (4, 0, None, None, ""), 3: (9, 1, 2, 2, "mit"), 4: (3, 1, 0, 0, "cc-by-nc"),
+    }
+    assert [rows[i][6:] for i in range(5)] == [("mit", 1.0), ("mit", 1.0), ("", 0.0), ("mit", 1.0), ("cc-by-nc", 1.0)]
+
+
 def test_join_finds_all_pairs(spark):
     """Every (block, template) pair that reaches the threshold, against a comparison of all."""
     words = sorted({w for _, t in TEMPLATES for w in t.split()})
