@@ -31,7 +31,7 @@ from strata.plans import reports
 from strata.plans.pipeline import CUSTOMER_SNAPSHOT, PRODUCT_SNAPSHOT
 from strata.session import scratch_path
 from strata.sinks.metrics import known_failures, observed, rule_aggregates
-from strata.sinks.tables import upsert_table
+from strata.sinks.tables import buckets_of_rows, upsert_table
 from strata.sources import adapters as A
 from strata.sources.incremental import extract_incremental
 
@@ -181,13 +181,15 @@ def q_upsert_orders_stored(spark: SparkSession, d: str) -> DataFrame:
     """SNK-2, SNK-3, PIPE-1: a Bronze table stored by key and year, created and upserted twice, read back.
 
     The second batch is ``upsert_orders``'s; the third has two rows of each of its keys, and moves some to another year.
-    The writes happen when the query is built; the files that the table points to afterwards are the result.
+    The writes happen when the query is built; the files that the table points to afterwards are the result.  The number of
+    buckets follows the number of orders, so that what one task sorts and joins does not grow with them.
     """
     root = scratch_path(spark, "upsert-orders")
+    buckets = buckets_of_rows(A.orders(spark, d).count())
     name = f"strata_upsert_{uuid.uuid4().hex[:12]}"
     year = F.year("created_at")
     for batch in (A.orders_before(spark, d), A.orders_batch_since(spark, d), A.orders_rescheduled(spark, d)):
-        upsert_table(spark, name, batch.withColumn("_created_year", year), ["order_id"], ["updated_at"], root=root, partition_by=["_created_year"], buckets=4)
+        upsert_table(spark, name, batch.withColumn("_created_year", year), ["order_id"], ["updated_at"], root=root, partition_by=["_created_year"], buckets=buckets)
     stored = spark.table(name)
     out = spark.read.schema(stored.drop("_created_year").schema).parquet(*stored.inputFiles())
     spark.sql(f"DROP TABLE {name}")  # external: the files stay until the session's scratch folder goes

@@ -233,6 +233,12 @@ def bucket_count(input_bytes: int, partitions: int = 1, file_bytes: int = 256 <<
     return max(1, -(-input_bytes // (max(partitions, 1) * file_bytes)))
 
 
+def buckets_of_rows(rows: int, least: int = 4, bucket_rows: int = 500_000) -> int:
+    """Buckets of a stored table of so many narrow rows: one task handles a bucket, in all partitions that a batch touches, so its
+    memory is that of about ``bucket_rows`` rows however many the table has."""
+    return max(least, -(-rows // bucket_rows))
+
+
 def _write_version(df: DataFrame, name: str, path: str, keys: Sequence[str], partition_by: Sequence[str], buckets: int) -> None:
     """Write a version folder; bucketed files need a table to be written through, which is dropped and leaves them."""
     writer = df.write.format("parquet").mode("errorifexists")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import uuid
 
 import pytest
@@ -14,6 +15,7 @@ from strata.sinks.tables import (
     _bucket_count,
     _partitions,
     bucket_count,
+    buckets_of_rows,
     materialize,
     replaced_rows,
     stored_partitions,
@@ -22,6 +24,7 @@ from strata.sinks.tables import (
 )
 from strata.sources.incremental import key_cuts, jdbc_source, land, range_predicates
 
+SMOKE = "/root/testdata/sf0.001"
 T = "k bigint, v string, updated_at timestamp, month string"
 
 
@@ -158,6 +161,21 @@ def test_bucket_count():
     assert bucket_count(100_000_000_000_000, partitions=84) == 4435
 
 
+def test_buckets_of_rows():
+    assert (buckets_of_rows(0), buckets_of_rows(2_000_000), buckets_of_rows(54_000_000)) == (4, 4, 108)
+
+
+def test_buckets_of_the_stored_upsert_follow_its_orders(spark, monkeypatch):
+    from strata.plans import queries
+
+    few = queries.q_upsert_orders_stored(spark, SMOKE)
+    monkeypatch.setattr(queries, "buckets_of_rows", lambda n: buckets_of_rows(n, bucket_rows=100))
+    many = queries.q_upsert_orders_stored(spark, SMOKE)
+    buckets = lambda df: {re.search(r"_(\d{5})\.c", f)[1] for f in df.inputFiles()}
+    assert len(buckets(few)) == 4 and len(buckets(many)) == -(-few.count() // 100)
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+
+
 def test_landing_observes_rows_and_watermark(spark, tmp_root):
     df = spark.createDataFrame([(1, "a", ts("2024-01-01")), (2, "b", ts("2024-01-03 04:05:06.7")), (3, "c", None)], SCHEMA)
     path, n, w = land(df, tmp_root, "x", "2024-01-04", "b1", "updated_at")
