@@ -135,24 +135,25 @@ def run_checks(tables: dict[str, DataFrame], rules: Iterable[TableRules], known:
             parts.append(_findings(tables[r.model], r, left, number))
     # every declared test has a row of its own, with what is told of it: a test without findings is there too
     seeds = spark.range(1, numPartitions=1).select(
-        F.inline(F.array(*[F.struct(F.lit(number[t]).alias("test"), F.lit(t[0]).alias("test_name"), F.lit(t[1]).alias("model"), F.lit(t[2]).alias("column_name"), F.lit(told.get(t, 0)).cast("long").alias("told")) for t in declared]))
+        F.inline(F.array(*[F.struct(F.lit(number[t]).alias("test"), F.lit(told.get(t, 0)).cast("long").alias("told")) for t in declared]))
     )
-    blank = [F.lit(None).cast("string").alias(c) for c in ("test_name", "model", "column_name")]
-    out = seeds.select(*seeds.columns, F.lit(0).cast("long").alias("n"))
+    out = seeds.select("test", "told", F.lit(0).cast("long").alias("n"))
     if parts:
         every = parts[0]
         for part in parts[1:]:
             every = every.unionByName(part)
         counts = every.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n"))
-        out = out.unionByName(counts.select("test", *blank, F.lit(0).cast("long").alias("told"), "n"))
-    kind = F.first("test_name", ignorenulls=True)
+        out = out.unionByName(counts.select("test", F.lit(0).cast("long").alias("told"), "n"))
+    # sums of numbers alone: with names among them Spark would sort all values by test
     by_test = out.groupBy("test").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("test_name", "model", "column_name")],
-        F.when(kind == "unique", F.count_if(F.col("n") > 1)).when(kind == "not_null", F.sum("n")).otherwise(F.count_if(F.col("n") > 0)).alias("found"),
-        F.sum("told").alias("told"),
-    )
-    failures = (F.col("found") + F.col("told")).cast("long")
-    return by_test.select("test_name", "model", "column_name", failures.alias("failures"), _status(failures).alias("status"))
+        F.count_if(F.col("n") > 1).alias("repeated"), F.sum("n").alias("rows"), F.count_if(F.col("n") > 0).alias("values"), F.sum("told").alias("told")
+    )
+    names = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(t, ("test_name", "model", "column_name"), strict=True)]) for t in declared])
+    by_test = by_test.withColumn("t", F.get(names, F.col("test")))
+    kind = F.col("t.test_name")
+    found = F.when(kind == "unique", F.col("repeated")).when(kind == "not_null", F.col("rows")).otherwise(F.col("values"))
+    failures = (found + F.col("told")).cast("long")
+    return by_test.select("t.test_name", "t.model", "t.column_name", failures.alias("failures"), _status(failures).alias("status"))
 
 
 def run_relationships(tables: dict[str, DataFrame], keys: Iterable[tuple[str, str, str, str]]) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from strata.operators.quality import TableRules, run_table_checks
+from strata.operators.quality import TableRules, run_checks, run_table_checks
 from strata.operators.sales import daily_sales
 from strata.operators.sessions import sessionize
 from strata.plans import queries as Q
@@ -42,6 +42,13 @@ def test_all_tests_of_a_table_share_one_pass(spark):
     assert "Expand" not in p and p.count("FileScan parquet") == 1 and exchanges(p) == 3  # one of them is the dedup's
 
 
+def test_counts_of_all_tests_are_hashed_not_sorted(spark):
+    df = spark.range(100).selectExpr("id", "cast(id % 7 as string) as kind")
+    rules = TableRules("t", unique=["id", "kind"], not_null=["id"], accepted_values={"kind": ["1"]})
+    p = plan(run_checks({"t": df}, [rules]))
+    assert "SortAggregate" not in p and "Sort [" not in p and exchanges(p) == 2
+
+
 def test_sessions_are_cut_by_the_hour_without_python(spark):
     p = plan(sessionize(A.clickstream_events(spark, SMOKE)))
     assert "hashpartitioning(session_id#" in p and "_slice#" in p
