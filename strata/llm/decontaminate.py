@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.graph import bound_batches
+from strata.llm.graph import bound_batches, lean
 
 MATCHES = "array<struct<item_id:{id},start:long,end:long,edits:int>>"
 _SLICE = 1 << 19
@@ -236,7 +236,7 @@ def find_leaks(docs: DataFrame, text_col: str, benchmark: DataFrame, item_id: st
     found: Column = F.array().cast(kind)
     for block in blocks_of(benchmark, item_id, item_text, min_chars, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        found = F.concat(found, F.pandas_udf(_searcher(shared, error_rate, q), kind)(F.col(text_col).cast("string")))
+        found = F.concat(found, F.pandas_udf(lean(_searcher(shared, error_rate, q)), kind)(F.col(text_col).cast("string")))
     return docs.withColumn(out, found)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,21 @@ def bound_batches(spark: SparkSession, most: int = 4 << 20) -> None:
         spark.conf.set(_BATCH_BYTES, str(most))
 
 
+def lean(work):
+    """The work of a Python task on its batches, which after each of its results gives back what Arrow and the C library have
+    kept of freed memory: workers live on for later tasks, and several of them count against one executor."""
+
+    @functools.wraps(work)
+    def run(batches):
+        for result in work(batches):
+            yield result
+            del result
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
+
+    return run
+
+
 def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """``df`` written to a fresh folder under spark.checkpoint.dir and read back, and that folder, for ``remove_path`` once
     nothing reads it any more.  What the write has shuffled goes when it ends, not when the driver happens to collect

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.graph import beside, bound_batches, components, stored, written
+from strata.llm.graph import beside, bound_batches, components, lean, stored, written
 from strata.llm.words import gram_hashes, hash_words, mix64, pieces
 from strata.session import remove_path
 
@@ -80,7 +80,7 @@ def frequent_grams(docs: DataFrame, text_col: str, n: int, lower: bool, least: i
         if held:
             yield flush()
 
-    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "gram long, df long")
+    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(lean(count), "gram long, df long")
     top = counts.groupBy("gram").agg(F.sum("df").alias("df")).where(F.col("df") >= least).orderBy(F.desc("df"), "gram").limit(most).toPandas()
     top = top.sort_values("gram")
     return top["gram"].to_numpy(np.int64).view(np.uint64), np.floor(np.log2(top["df"].to_numpy(np.float64))).astype(np.uint64)
@@ -148,7 +148,7 @@ def ngram_components(
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(sizes, pa.int32()), pa.array(marks, pa.binary()), _lists(maps), _lists(prefixes)], ["id", "text_key", "n", "mark", "map", "prefix"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    signed = rows.mapInArrow(sign, f"id {id_type}, text_key binary, n int, mark binary, map array<long>, prefix array<long>")
+    signed = rows.mapInArrow(lean(sign), f"id {id_type}, text_key binary, n int, mark binary, map array<long>, prefix array<long>")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "grams")
 
     classes = written(signed.where("n > 0").groupBy("mark").agg(F.min("row").alias("class")), "classes")
@@ -215,7 +215,7 @@ def ngram_components(
         ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
         keys, keys_at = stored(signed.select("row", "text_key").join(ends, "row", "left_semi"), "keys")
         texts = rows.join(beside(keys.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-        segments = keys.join(texts, "text_key").select("row", "text").mapInArrow(cut, "class long, fragment int, grams array<long>")
+        segments = keys.join(texts, "text_key").select("row", "text").mapInArrow(lean(cut), "class long, fragment int, grams array<long>")
         segments, segments_at = stored(segments, "segments")
         # both joins are on (class, fragment), so the segments are shuffled once
         part = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(1 << bits))))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.graph import bound_batches
+from strata.llm.graph import bound_batches, lean
 
 UNKNOWN = "und"
 _SLICE = 1 << 20  # characters of a text counted at once
@@ -101,6 +101,7 @@ class LanguageModel:
         shared = docs.sparkSession.sparkContext.broadcast((self.languages, self.prototypes, self.seed))
 
         @F.pandas_udf("lang_pred string, score double")
+        @lean
         def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             languages, prototypes, seed = shared.value
             for texts in batches:
@@ -161,7 +162,7 @@ def train(
             g, c = have[lang][0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(c)], ["lang", "gram", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
     def vectors(batches):
         total: dict[str, np.ndarray] = {}
@@ -176,7 +177,7 @@ def train(
         for lang, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(v)], ["lang", "i", "v"])
 
-    sums = counts.mapInArrow(vectors, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
+    sums = counts.mapInArrow(lean(vectors), "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     found = (
         sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("v")).orderBy("lang").limit(max_languages + 1)
         .select("lang", F.transform("v", lambda x: x["v"]).alias("v")).collect()
