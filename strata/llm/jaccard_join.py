@@ -14,10 +14,11 @@ Two texts link if ``den * |A & B| >= num * |A | B|`` over their sets of word n-g
    neighbour and the first class.  Then, under the latter n-grams, all pairs of classes from different components meet.
    A pair that neither round meets is connected already, or shares no prefix n-gram: no link between
    components is lost.  Before its segments are read, a pair must share enough of the prefixes.
-5. Classes that meet in the second round are mostly copies that lie just under the threshold.  Each class has a bitmap with the
+5. Classes that meet in the first round are often unlike texts with a few n-grams in common, the more of them the larger the
+   table; those that meet in the second round are mostly copies that lie just under the threshold.  Each class has a bitmap with the
    parity of its n-grams per slot; the bits in which two bitmaps differ are no more than the n-grams in which the sets
-   differ, so the join itself leaves out pairs with more of them than a link allows.  (Sets of some thousand n-grams
-   fill the bitmap, and pass.)
+   differ, so pairs with more of them than a link allows are left out before any segment is cut.  (Sets of some thousand
+   n-grams fill the bitmap, and pass.)
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.graph import beside, bound_batches, components, lean, stored, written
@@ -37,6 +38,7 @@ from strata.session import remove_path
 _CLASS_SHIFT = 58  # an ordered n-gram: 5 bits of log2 frequency, 58 bits of hash
 _FLUSH = 1_000_000  # n-grams counted at once by a task
 _WORDS = 8  # longs of a bitmap
+_BATCH = 1 << 20  # bytes of a batch: as much as is hashed at once; Spark's buffers for larger ones are not pooled
 _SALTED = 10  # n-grams in more than 2^10 documents are split over several groups
 
 
@@ -127,10 +129,10 @@ def ngram_components(
     ``id_col`` may have any type with an order; null ids take part, and a component's id is its smallest
     non-null one.  Null, empty and blank texts have an empty set and link with nothing (their component is
     their own id).  Rows with equal sets link, repeated rows too.  Other columns are not read.
-    An empty table gives an empty result.
+    An empty table gives an empty result.  ``docs`` is read several times and must give the same rows each time.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, _BATCH)
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     hot = spark.sparkContext.broadcast(frequent_grams(rows, "text", n, lower, frequent_least, frequent_most))
 
@@ -176,6 +178,13 @@ def ngram_components(
     overlap = F.ceil(num * (F.col("na") + F.col("nb")).cast("long") / F.lit(den + num))
     least_shared = overlap + 1 - F.ceil(num * F.greatest("na", "nb").cast("long") / F.lit(den))
 
+    maps = signed.select(F.col("row").alias("class"), *[F.col("map")[i].alias(f"map{i}") for i in range(_WORDS)])
+
+    def alike(ours: str, theirs: str, both_n: Column) -> Column:
+        """Whether two bitmaps differ in no more bits than linked sets of so many n-grams, counted together, may in n-grams."""
+        apart = sum((F.bit_count(F.col(f"{ours}{i}").bitwiseXOR(F.col(f"{theirs}{i}"))) for i in range(_WORDS)), F.lit(0))
+        return apart * (den + num) <= (den - num) * both_n.cast("long")
+
     def pairs_of(x: DataFrame) -> DataFrame:
         """Candidate pairs (a, na, b, nb, shared) from structs x and y of (class, n); ``shared`` rows had each."""
         p = x.where("x.class <> y.class").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "counts")
@@ -193,30 +202,37 @@ def ngram_components(
     for side in "ab":
         pairs = pairs.join(unseen.select(F.col("class").alias(side), F.col("hidden").alias(f"hidden_{side}")), side, "left")
     hidden = F.least(F.coalesce("hidden_a", F.lit(0)), F.coalesce("hidden_b", F.lit(0)))
-    tried = written(pairs.where(F.col("shared") + hidden >= least_shared).select("a", "na", "b", "nb"), "pairs")
+    pairs = pairs.where(F.col("shared") + hidden >= least_shared).select("a", "na", "b", "nb")
+    for side in "ab":
+        pairs = pairs.join(maps.select(F.col("class").alias(side), *[F.col(f"map{i}").alias(f"{side}{i}") for i in range(_WORDS)]), side)
+    tried = written(pairs.where(alike("a", "b", F.col("na") + F.col("nb"))).select("a", "na", "b", "nb"), "pairs")
 
     bits = (fragments - 1).bit_length()
 
     def cut(batches):
         for b in batches:
-            who, where, parts = [], [], []
+            who, where, parts, opens = [], [], [], []
             for row, s in zip(b.column("row").to_pylist(), _sets(b.column("text"), n, lower), strict=True):
                 s = _ordered(s, hot.value)
                 borders = np.searchsorted(s, np.arange(1, (1 << bits) + 1, dtype=np.int64) << (_CLASS_SHIFT - bits))
                 for i, part in enumerate(np.split(s, borders)):
                     if len(part):
+                        opens.append(not who or who[-1] != row)
                         who.append(row)
                         where.append(i)
                         parts.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(where, pa.int32()), _lists(parts)], ["class", "fragment", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(where, pa.int32()), _lists(parts), pa.array(opens, pa.bool_())], ["class", "fragment", "grams", "opens"])
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, na, b, nb) that reach the threshold."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        keys, keys_at = stored(signed.select("row", "text_key").join(ends, "row", "left_semi"), "keys")
-        texts = rows.join(beside(keys.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-        segments = keys.join(texts, "text_key").select("row", "text").mapInArrow(lean(cut), "class long, fragment int, grams array<long>")
+        keys, keys_at = stored(signed.select("row", F.xxhash64("id").alias("id_key"), "text_key").join(ends, "row", "left_semi"), "keys")
+        # the texts stay where they are read: id and text name a class's row, or several with that id and text
+        texts = rows.select(F.xxhash64("id").alias("id_key"), "text_key", "text").join(beside(keys), ["id_key", "text_key"])
+        segments = texts.select("row", "text").mapInArrow(lean(cut), "class long, fragment int, grams array<long>, opens boolean")
         segments, segments_at = stored(segments, "segments")
+        if segments.where("opens").count() > keys.count():
+            segments = segments.dropDuplicates(["class", "fragment"])
         # both joins are on (class, fragment), so the segments are shuffled once
         part = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(1 << bits))))
         for side in "ab":
@@ -236,13 +252,10 @@ def ngram_components(
     open_ = open_.select("gram", "class", "n", F.coalesce("label", "class").alias("label"))
     grams = open_.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
     open_ = open_.join(grams, "gram", "left_semi")
-    maps = signed.select(F.col("row").alias("class"), *[F.col("map")[i].alias(f"map{i}") for i in range(_WORDS)])
     open_ = open_.join(maps, "class")
     other = open_.select("gram", met.alias("y"), F.col("label").alias("label_y"), *[F.col(f"map{i}").alias(f"other{i}") for i in range(_WORDS)])
     sizes = F.least("x.n", "y.n").cast("long") * den >= F.greatest("x.n", "y.n").cast("long") * num
-    apart = sum((F.bit_count(F.col(f"map{i}").bitwiseXOR(F.col(f"other{i}"))) for i in range(_WORDS)), F.lit(0))
-    alike = apart * (den + num) <= (den - num) * (F.col("x.n") + F.col("y.n"))  # linked sets differ in so many n-grams at most
-    rest = open_.select("gram", met.alias("x"), "label", *[f"map{i}" for i in range(_WORDS)]).join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes & alike)
+    rest = open_.select("gram", met.alias("x"), "label", *[f"map{i}" for i in range(_WORDS)]).join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes & alike("map", "other", F.col("x.n") + F.col("y.n")))
     rest = pairs_of(rest.select("x", "y", F.lit(1).alias("counts"))).where(F.col("shared") >= least_shared)
     rest = written(rest.drop("shared").join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "pairs")
     if not rest.isEmpty():

@@ -128,3 +128,41 @@ def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
     assert np.array_equal(gram_hashes(h, 7)[3:5], gram_hashes(h[3:11], 7))
     lower = hash_words(pa.array(["Ab Éx", "ab Éx", "ab éx"]), lower=True)[0]
     assert lower[0] == lower[2] and lower[1] == lower[3] != lower[5]
+
+
+def _watched(monkeypatch):
+    """What the join writes from now on, as (purpose, plan, rows)."""
+    seen = []
+
+    def stored(df, purpose, real=jaccard_join.stored):
+        out = real(df, purpose)
+        seen.append((purpose, df._jdf.queryExecution().executedPlan().toString(), out[0].count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    monkeypatch.setattr(jaccard_join, "written", lambda df, purpose: stored(df, purpose)[0])
+    return seen
+
+
+def test_unlike_texts_with_a_passage_in_common_are_left_out_before_segments_are_cut(make_docs, monkeypatch):
+    docs = []
+    for g in range(12):
+        passage = prose(500 + g, 190)
+        docs += [(10 * g + i, passage + " " + prose(900 + 10 * g + i, 110)) for i in range(2)]
+    seen = _watched(monkeypatch)
+    assert run(make_docs, docs) == brute(docs, 3, 90, 100)
+    assert [rows for purpose, _, rows in seen if purpose in ("pairs", "segments")] == [0] * 3
+
+
+def test_texts_are_cut_where_they_are_read(make_docs, monkeypatch):
+    docs = [(10 * g + i, edited(prose(g, 90), 10 * g + i, i)) for g in range(8) for i in range(3)]
+    seen = _watched(monkeypatch)
+    assert run(make_docs, docs) == brute(docs, 3, 90, 100)
+    plans = [plan for purpose, plan, rows in seen if purpose == "segments" and rows]
+    assert plans and not any("Exchange hashpartitioning" in plan for plan in plans)
+
+
+def test_repeated_rows_do_not_count_their_segments_again(make_docs):
+    docs = [(10 * g + i, edited(prose(g, 60), 10 * g + i, 2 * i)) for g in range(6) for i in range(3)] * 3
+    docs += [(None, prose(1, 60))] * 2 + [(7, None), (8, "")] * 2
+    assert run(make_docs, docs) == brute(docs, 3, 90, 100)
