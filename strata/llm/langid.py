@@ -127,7 +127,8 @@ class LanguageModel:
                         flush()
                 yield pd.DataFrame({"lang_pred": lang, "score": score})
 
-        return docs.withColumn(out, predict(F.col(text_col)))
+        # called so only that a filter on the prediction does not predict a second time, in further Python workers
+        return docs.withColumn(out, predict.asNondeterministic()(F.col(text_col)))
 
 
 def train(

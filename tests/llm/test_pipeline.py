@@ -118,3 +118,9 @@ def test_registered_query(spark, name):
 def test_all_operators_are_registered():
     assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 14)) and len(registry.QUERIES) == 13
     assert [n for n, _ in cp.STAGES] == ["language ID", "n-gram Jaccard join", "benchmark decontamination", "PII", "mixing sources"]
+
+
+def test_language_is_predicted_once_a_row(spark, make_docs):
+    docs = make_docs([(i, prose(i, 30)) for i in range(20)])
+    plan = cp.language(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
