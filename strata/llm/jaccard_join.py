@@ -11,7 +11,9 @@ Two texts link if ``den * |A & B| >= num * |A | B|`` over their sets of word n-g
    The overlap of a candidate pair is counted separately per fragment and summed per pair.
 4. Candidates come in two rounds, so that a group of k near copies costs about k pairs.  First, under
    a prefix n-gram of up to ``near`` + 1 classes, all pairs meet; under one of more classes each meets its
-   neighbour and the first class.  Then, under the latter n-grams, all pairs of classes from different components meet.
+   neighbour and the first class, the one with most frequent n-grams in its prefix: of near copies, it has the fewest
+   words of its own, so most others link to it.  Of the pairs that met only so, each class keeps the ``best`` that met most often.
+   Then, under the latter n-grams, all pairs of classes from different components meet.
    A pair that neither round meets is connected already, or shares no prefix n-gram: no link between
    components is lost.  Before its segments are read, a pair must share enough of the prefixes.
 5. Classes that meet in the first round are often unlike texts with a few n-grams in common, the more of them the larger the
@@ -97,10 +99,12 @@ def _ordered(grams: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarra
     return grams.view(np.int64)
 
 
-def _bitmap(grams: np.ndarray) -> np.ndarray:
-    """The parity of the n-grams that fall into each of the bitmap's slots, as longs."""
-    slots = mix64(grams) >> np.uint64(64 - (64 * _WORDS - 1).bit_length())
-    odd = np.bincount(slots.astype(np.int64), minlength=64 * _WORDS) & 1
+def _bitmap(grams: np.ndarray, words: int = _WORDS) -> np.ndarray:
+    """The parity of the n-grams that fall into each of the bitmap's slots, as longs.  ``words`` is a power of two; the
+    bitmap of half as many is the exclusive or of this one's halves."""
+    h = mix64(grams)
+    slots = (h & np.uint64(words - 1)) << np.uint64(6) | h >> np.uint64(58)
+    odd = np.bincount(slots.astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -120,6 +124,7 @@ def ngram_components(
     lower: bool = True,
     fragments: int = 8,
     near: int = 8,
+    best: int = 2,
     frequent_least: int = 8,
     frequent_most: int = 1 << 18,
 ) -> DataFrame:
@@ -138,7 +143,7 @@ def ngram_components(
 
     def sign(batches):
         for b in batches:
-            sizes, marks, maps, prefixes = [], [], [], []
+            sizes, common, marks, maps, prefixes = [], [], [], [], []
             for s in _sets(b.column("text"), n, lower):
                 m = len(s)
                 maps.append(_bitmap(s))
@@ -147,10 +152,12 @@ def ngram_components(
                 marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 # no other set can reach the threshold if m elements of m + 1 do not
                 prefixes.append(s[: m + num * m // -den + 1] if m * den >= num * (m + 1) else s[:0])
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(sizes, pa.int32()), pa.array(marks, pa.binary()), _lists(maps), _lists(prefixes)], ["id", "text_key", "n", "mark", "map", "prefix"])
+                common.append(np.count_nonzero(prefixes[-1] >> _CLASS_SHIFT))
+            columns = [pa.array(sizes, pa.int32()), pa.array(common, pa.int32()), pa.array(marks, pa.binary()), _lists(maps), _lists(prefixes)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), *columns], ["id", "text_key", "n", "common", "mark", "map", "prefix"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    signed = rows.mapInArrow(lean(sign), f"id {id_type}, text_key binary, n int, mark binary, map array<long>, prefix array<long>")
+    signed = rows.mapInArrow(lean(sign), f"id {id_type}, text_key binary, n int, common int, mark binary, map array<long>, prefix array<long>")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "grams")
 
     classes = written(signed.where("n > 0").groupBy("mark").agg(F.min("row").alias("class")), "classes")
@@ -158,9 +165,9 @@ def ngram_components(
     heads = signed.where("n > 0").join(beside(copies), "row", "left_anti")
     frequency = F.shiftright("gram", _CLASS_SHIFT)
     salts = F.expr(f"shiftleft(1L, cast(greatest(shiftright(gram, {_CLASS_SHIFT}) - {_SALTED}, 0) as int))")
-    postings = heads.select(F.col("row").alias("class"), "n", F.explode("prefix").alias("gram"))
+    postings = heads.select(F.col("row").alias("class"), "n", "common", F.explode("prefix").alias("gram"))
     postings = postings.withColumn("salt", F.when(frequency > _SALTED, F.pmod(F.xxhash64("class"), salts)).otherwise(F.lit(0).cast("long")))
-    group = Window.partitionBy("gram", "salt").orderBy("n", "class")
+    group = Window.partitionBy("gram", "salt").orderBy(F.desc("common"), "n", "class")
     met = F.struct("class", "n")
     postings = postings.select(
         "gram", "class", "n",
@@ -186,10 +193,10 @@ def ngram_components(
         return apart * (den + num) <= (den - num) * both_n.cast("long")
 
     def pairs_of(x: DataFrame) -> DataFrame:
-        """Candidate pairs (a, na, b, nb, shared) from structs x and y of (class, n); ``shared`` rows had each."""
+        """Candidate pairs (a, na, b, nb, shared, met) from structs x and y of (class, n): ``met`` rows had each, whose counts sum up to ``shared``."""
         p = x.where("x.class <> y.class").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "counts")
         p = p.select(F.col("x.class").alias("a"), F.col("x.n").alias("na"), F.col("y.class").alias("b"), F.col("y.n").alias("nb"), "counts")
-        return p.where(long_enough).groupBy("a", "na", "b", "nb").agg(F.sum("counts").alias("shared"))
+        return p.where(long_enough).groupBy("a", "na", "b", "nb").agg(F.sum("counts").alias("shared"), F.count(F.lit(1)).alias("met"))
 
     # First round.  Under an n-gram of few classes all pairs meet; under others neighbours, and all meet the first.
     few, many = postings.where("small"), postings.where("not small")
@@ -202,10 +209,16 @@ def ngram_components(
     for side in "ab":
         pairs = pairs.join(unseen.select(F.col("class").alias(side), F.col("hidden").alias(f"hidden_{side}")), side, "left")
     hidden = F.least(F.coalesce("hidden_a", F.lit(0)), F.coalesce("hidden_b", F.lit(0)))
-    pairs = pairs.where(F.col("shared") + hidden >= least_shared).select("a", "na", "b", "nb")
+    pairs = pairs.where(F.col("shared") + hidden >= least_shared).select("a", "na", "b", "nb", "shared", "met")
     for side in "ab":
         pairs = pairs.join(maps.select(F.col("class").alias(side), *[F.col(f"map{i}").alias(f"{side}{i}") for i in range(_WORDS)]), side)
-    tried = written(pairs.where(alike("a", "b", F.col("na") + F.col("nb"))).select("a", "na", "b", "nb"), "pairs")
+    pairs = written(pairs.where(alike("a", "b", F.col("na") + F.col("nb"))).select("a", "na", "b", "nb", "shared", "met"), "meetings")
+    # Pairs that met only under n-grams of many classes serve to connect, for which a few of each class do: what they
+    # leave apart meets again in the second round.
+    ends = pairs.where("shared = 0").select("a", "na", "b", "nb", "met", F.explode(F.array("a", "b")).alias("class"))
+    place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("met"), "a", "b"))
+    hubs = ends.withColumn("place", place).where(f"place <= {best}").select("a", "na", "b", "nb").distinct()
+    tried = written(pairs.where("shared > 0").select("a", "na", "b", "nb").union(hubs), "pairs")
 
     bits = (fragments - 1).bit_length()
 
@@ -257,7 +270,7 @@ def ngram_components(
     sizes = F.least("x.n", "y.n").cast("long") * den >= F.greatest("x.n", "y.n").cast("long") * num
     rest = open_.select("gram", met.alias("x"), "label", *[f"map{i}" for i in range(_WORDS)]).join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes & alike("map", "other", F.col("x.n") + F.col("y.n")))
     rest = pairs_of(rest.select("x", "y", F.lit(1).alias("counts"))).where(F.col("shared") >= least_shared)
-    rest = written(rest.drop("shared").join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "pairs")
+    rest = written(rest.join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "pairs")
     if not rest.isEmpty():
         links = links.union(linked(rest))
         label = components(links)

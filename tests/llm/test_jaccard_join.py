@@ -166,3 +166,11 @@ def test_repeated_rows_do_not_count_their_segments_again(make_docs):
     docs = [(10 * g + i, edited(prose(g, 60), 10 * g + i, 2 * i)) for g in range(6) for i in range(3)] * 3
     docs += [(None, prose(1, 60))] * 2 + [(7, None), (8, "")] * 2
     assert run(make_docs, docs) == brute(docs, 3, 90, 100)
+
+
+def test_pairs_of_a_large_group_of_near_copies_grow_with_its_members(make_docs, monkeypatch):
+    base = prose(11, 150)
+    docs = [(i, edited(base, i, i % 9)) for i in range(160)]
+    seen = _watched(monkeypatch)
+    assert run(make_docs, docs, 5, 80, 100, frequent_least=2) == brute(docs, 5, 80, 100)
+    assert sum(rows for purpose, _, rows in seen if purpose == "pairs") < 0.8 * len(docs)
