@@ -19,8 +19,8 @@ Two texts link if ``den * |A & B| >= num * |A | B|`` over their sets of word n-g
 5. Classes that meet in the first round are often unlike texts with a few n-grams in common, the more of them the larger the
    table; those that meet in the second round are mostly copies that lie just under the threshold.  Each class has a bitmap with the
    parity of its n-grams per slot; the bits in which two bitmaps differ are no more than the n-grams in which the sets
-   differ, so pairs with more of them than a link allows are left out before any segment is cut.  (Sets of some thousand
-   n-grams fill the bitmap, and pass.)
+   differ, so pairs with more of them than a link allows are left out before any segment is cut.  Large sets fill
+   that bitmap, and pass; they have a second one that grows with the set, read for the pairs that are left.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ from strata.session import remove_path
 _CLASS_SHIFT = 58  # an ordered n-gram: 5 bits of log2 frequency, 58 bits of hash
 _FLUSH = 1_000_000  # n-grams counted at once by a task
 _WORDS = 8  # longs of a bitmap
+_LARGE = 512  # n-grams of a set that has a second bitmap, of 2 to 4 slots for each
 _BATCH = 1 << 20  # bytes of a batch: as much as is hashed at once; Spark's buffers for larger ones are not pooled
 _SALTED = 10  # n-grams in more than 2^10 documents are split over several groups
 
@@ -108,6 +109,11 @@ def _bitmap(grams: np.ndarray, words: int = _WORDS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _wide(grams: np.ndarray) -> np.ndarray:
+    """The second bitmap of a large set; none for others."""
+    return _bitmap(grams, 1 << ((len(grams) - 1) // 32).bit_length()) if len(grams) >= _LARGE else np.zeros(0, np.int64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     offsets[1:] = np.cumsum([len(a) for a in arrays])
@@ -143,21 +149,22 @@ def ngram_components(
 
     def sign(batches):
         for b in batches:
-            sizes, common, marks, maps, prefixes = [], [], [], [], []
+            sizes, common, marks, maps, wides, prefixes = [], [], [], [], [], []
             for s in _sets(b.column("text"), n, lower):
                 m = len(s)
                 maps.append(_bitmap(s))
+                wides.append(_wide(s))
                 s = _ordered(s, hot.value)
                 sizes.append(m)
                 marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 # no other set can reach the threshold if m elements of m + 1 do not
                 prefixes.append(s[: m + num * m // -den + 1] if m * den >= num * (m + 1) else s[:0])
                 common.append(np.count_nonzero(prefixes[-1] >> _CLASS_SHIFT))
-            columns = [pa.array(sizes, pa.int32()), pa.array(common, pa.int32()), pa.array(marks, pa.binary()), _lists(maps), _lists(prefixes)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), *columns], ["id", "text_key", "n", "common", "mark", "map", "prefix"])
+            columns = [pa.array(sizes, pa.int32()), pa.array(common, pa.int32()), pa.array(marks, pa.binary()), _lists(maps), _lists(wides), _lists(prefixes)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), *columns], ["id", "text_key", "n", "common", "mark", "map", "wide", "prefix"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    signed = rows.mapInArrow(lean(sign), f"id {id_type}, text_key binary, n int, common int, mark binary, map array<long>, prefix array<long>")
+    signed = rows.mapInArrow(lean(sign), f"id {id_type}, text_key binary, n int, common int, mark binary, map array<long>, wide array<long>, prefix array<long>")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "grams")
 
     classes = written(signed.where("n > 0").groupBy("mark").agg(F.min("row").alias("class")), "classes")
@@ -192,6 +199,21 @@ def ngram_components(
         apart = sum((F.bit_count(F.col(f"{ours}{i}").bitwiseXOR(F.col(f"{theirs}{i}"))) for i in range(_WORDS)), F.lit(0))
         return apart * (den + num) <= (den - num) * both_n.cast("long")
 
+    def alike_wide(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, na, b, nb) whose second bitmaps, if both have one, do not differ in more bits either."""
+        ends = written(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "ends")
+        wide = signed.where("size(wide) > 0").select("row", "wide").join(beside(ends), "row", "left_semi")
+        for side in "ab":
+            pairs = pairs.join(wide.select(F.col("row").alias(side), F.col("wide").alias(f"wide_{side}")), side, "left")
+        size = F.least(F.size("wide_a"), F.size("wide_b"))
+        halves = lambda w: F.zip_with(F.slice(w, 1, size), F.slice(w, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        as_one = lambda w: F.when(F.size(w) == 2 * size, halves(w)).otherwise(F.col(w))
+        bits = F.zip_with(as_one("wide_a"), as_one("wide_b"), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        apart = F.aggregate(bits, F.lit(0).cast("long"), lambda so_far, more: so_far + more)
+        # null, where a set has none or sizes are further apart: such pairs pass
+        unlike = apart * (den + num) > (den - num) * (F.col("na") + F.col("nb")).cast("long")
+        return pairs.where(~F.coalesce(unlike, F.lit(False))).select("a", "na", "b", "nb")
+
     def pairs_of(x: DataFrame) -> DataFrame:
         """Candidate pairs (a, na, b, nb, shared, met) from structs x and y of (class, n): ``met`` rows had each, whose counts sum up to ``shared``."""
         p = x.where("x.class <> y.class").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "counts")
@@ -218,7 +240,7 @@ def ngram_components(
     ends = pairs.where("shared = 0").select("a", "na", "b", "nb", "met", F.explode(F.array("a", "b")).alias("class"))
     place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("met"), "a", "b"))
     hubs = ends.withColumn("place", place).where(f"place <= {best}").select("a", "na", "b", "nb").distinct()
-    tried = written(pairs.where("shared > 0").select("a", "na", "b", "nb").union(hubs), "pairs")
+    tried = written(alike_wide(pairs.where("shared > 0").select("a", "na", "b", "nb").union(hubs)), "pairs")
 
     bits = (fragments - 1).bit_length()
 
@@ -270,7 +292,8 @@ def ngram_components(
     sizes = F.least("x.n", "y.n").cast("long") * den >= F.greatest("x.n", "y.n").cast("long") * num
     rest = open_.select("gram", met.alias("x"), "label", *[f"map{i}" for i in range(_WORDS)]).join(other, "gram").where((F.col("label") < F.col("label_y")) & sizes & alike("map", "other", F.col("x.n") + F.col("y.n")))
     rest = pairs_of(rest.select("x", "y", F.lit(1).alias("counts"))).where(F.col("shared") >= least_shared)
-    rest = written(rest.join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "pairs")
+    rest = written(rest.join(tried, ["a", "b"], "left_anti").select("a", "na", "b", "nb"), "meetings")
+    rest = written(alike_wide(rest), "pairs")
     if not rest.isEmpty():
         links = links.union(linked(rest))
         label = components(links)

@@ -174,3 +174,22 @@ def test_pairs_of_a_large_group_of_near_copies_grow_with_its_members(make_docs,
     seen = _watched(monkeypatch)
     assert run(make_docs, docs, 5, 80, 100, frequent_least=2) == brute(docs, 5, 80, 100)
     assert sum(rows for purpose, _, rows in seen if purpose == "pairs") < 0.8 * len(docs)
+
+
+def test_long_unlike_texts_are_left_out_before_segments_are_cut(make_docs, monkeypatch):
+    docs = [(10 * g + i, prose(500 + g, 1900) + " " + prose(900 + 10 * g + i, 1100)) for g in range(4) for i in range(2)]
+    seen = _watched(monkeypatch)
+    assert run(make_docs, docs) == brute(docs, 3, 90, 100)
+    assert [rows for purpose, _, rows in seen if purpose in ("pairs", "segments")] == [0] * 3
+
+
+def test_second_bitmaps_of_different_sizes(make_docs):
+    """Links across the sizes at which a set gets a second bitmap, and at which that doubles."""
+    r = np.random.default_rng(2)
+    for size in (600, 1000, 5000):
+        grams = np.unique(r.integers(0, 1 << 58, size, dtype=np.uint64))
+        words = len(jaccard_join._wide(grams))
+        halves = jaccard_join._bitmap(grams, 2 * words).reshape(2, words)
+        assert np.array_equal(halves[0] ^ halves[1], jaccard_join._wide(grams)) and 2 * size <= 64 * words <= 4 * size
+    docs = [(100 * w + i, edited(prose(w, w), w, i) + " " + prose(w + i, 5 * i)) for w in (500, 1015) for i in range(8)]
+    assert run(make_docs, docs) == brute(docs, 3, 90, 100)
