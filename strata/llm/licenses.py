@@ -22,6 +22,7 @@ small fixed table.  The only join on the corpus is on the text's hash, of narrow
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +54,9 @@ TEMPLATES = [
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights"),
 ]
 
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # of text that is not lower-cased yet
-_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# of text that is not lower-cased yet; characters are named one by one, since Java looks those up in a table but tries ranges in turn
+_OTHER = "".join(rf"\x{i:02X}" for i in range(0x80) if not chr(i).isalnum())
+_WORD, _GAP = f"[^{_OTHER}]", f"[{_OTHER}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -63,13 +65,27 @@ def lower_words(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, _UPPER, _LOWER), _GAP), lambda w: w != "")
 
 
-def _any_of(words: list[str]) -> str:
-    """A pattern that finds one of the words, as a word, in either case (a to z only)."""
-    return rf"(?i)(?<!{_WORD})(?:{'|'.join(words)})(?!{_WORD})"
+def _tree(texts: list[str]) -> str:
+    """A pattern of any of the texts, each beginning of several written once; a blank stands for what separates words."""
+    rests: dict[str, list[str]] = {}
+    for x in texts:
+        rests.setdefault(x[:1], []).append(x[1:])
+    ends = rests.pop("", None) is not None
+    branches = [(_GAP if c == " " else re.escape(c)) + _tree(rest) for c, rest in sorted(rests.items())]
+    return f"(?:{'|'.join(branches)}){'?' if ends else ''}" if len(branches) > 1 or branches and ends else "".join(branches)
 
 
-def phrase_pattern(phrase: str) -> str:
-    return rf"(?i)(?<!{_WORD}){_GAP.join(phrase.split(' '))}(?!{_WORD})"
+def _any_of(texts: list[str]) -> str:
+    """A pattern whose group 1 is one of the words or phrases, as whole words, in either case (a to z only).  For texts
+    as ``_led`` gives them: each word has a separator before it, so that the other places are left at their first character."""
+    texts = [x for x in texts if x]
+    firsts = "".join(map(re.escape, sorted({x[0] for x in texts})))
+    return rf"(?i)[{_OTHER}](?=[{firsts}])({_tree(texts)})(?!{_WORD})" if texts else "(?!)()"
+
+
+def _led(text: Column) -> Column:
+    """The text after a blank."""
+    return F.concat(F.lit(" "), text)
 
 
 def shortest_phrases(phrases: list[str]) -> list[str]:
@@ -87,7 +103,7 @@ def phrase_starts(words: Column, phrase: str) -> Column:
 def word_order(docs: DataFrame, text_col: str, words: list[str]) -> list[str]:
     """The given words, rarest first by the number of documents that hold them, ties by the word.
     The result has as many rows as the templates have words."""
-    present = F.array_distinct(F.transform(F.regexp_extract_all(F.col(text_col), F.lit(_any_of(words)), F.lit(0)), F.lower))
+    present = F.array_distinct(F.transform(F.regexp_extract_all(_led(F.col(text_col)), F.lit(_any_of(words)), F.lit(1)), F.lower))
     counted = docs.select(F.explode(present).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
     n = {r.word: r.n for r in counted}
     return sorted(words, key=lambda w: (n.get(w, 0), w))
@@ -185,8 +201,8 @@ def license_labels(docs: DataFrame, text_col: str, templates=None, threshold: fl
 
     # only lines that hold a prefix word of some template can match
     some = _any_of(sorted(lead))
-    texts = texts.where(F.col("text").rlike(some)).select(F.unhex(F.md5("text")).alias("text_key"), "text")
-    lines = texts.select("text_key", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(some))
+    texts = texts.where(_led(F.col("text")).rlike(some)).select(F.unhex(F.md5("text")).alias("text_key"), "text")
+    lines = texts.select("text_key", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(_led(F.col("text")).rlike(some))
     lines = lines.select("text_key", "line", lower_words(F.col("text")).alias("words"))
     longest = max(len(t.split(" ")) for _, t in templates)
     block_words = max(block_words, 2 * longest)
@@ -231,7 +247,7 @@ def scan_licenses(docs: DataFrame, id_col: str, text_col: str, templates=None, t
     found = license_labels(rows, "text", templates, threshold, block_words)
     found = found.groupBy("text_key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
 
-    has = F.col("text").rlike("|".join(phrase_pattern(p) for p in shortest_phrases([*PHRASES, *MORE_PHRASES])))
+    has = _led(F.col("text")).rlike(_any_of(shortest_phrases([*PHRASES, *MORE_PHRASES])))
     base = rows.select(
         "id",
         F.unhex(F.md5("text")).alias("text_key"),
